@@ -1,0 +1,7 @@
+"""Streaming.
+
+The source system runs bounded date-range batches only: no watermark,
+event-time window, state store or late-data handling exists in it, and
+sessions are given by the visit start time, not derived. The feature build
+is therefore a batch DataFrame plan; nothing is built here.
+"""
