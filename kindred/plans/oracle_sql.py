@@ -22,8 +22,13 @@ def clean_sql(expr: str) -> str:
     return f"lower({out})"
 
 
-def feature_ctes(cfg: FeatureConfig) -> str:
-    """CTEs ``fe_base fe_tops fe_prep fe_page fe_map fe_sess fe_stats fe_row fe_long``."""
+def feature_ctes(cfg: FeatureConfig, source: str = "pageviews", prefix: str = "fe_") -> str:
+    """CTEs ``fe_base fe_tops fe_prep fe_page fe_map fe_sess fe_stats fe_row fe_long``
+    over the rows of ``source`` (names carry ``prefix`` instead of ``fe_``)."""
+    return _feature_ctes(cfg).replace("FROM pageviews WHERE", f"FROM {source} WHERE").replace("fe_", prefix)
+
+
+def _feature_ctes(cfg: FeatureConfig) -> str:
     top_union = "\n      UNION ALL ".join(
         f"SELECT {q(c)} AS dim, {c} AS cat, sum(page_views) AS tot FROM fe_base "
         f"WHERE {c} IS NOT NULL GROUP BY {c}" for c in cfg.collapse_columns)
@@ -127,8 +132,12 @@ def pivot_sql(long_source: str, key: str = "visitor_id") -> str:
             f"FROM (PIVOT ({long_source}) ON f USING first(v) GROUP BY {key}))")
 
 
-def wide_sql(cfg: FeatureConfig) -> str:
+def wide_sql(cfg: FeatureConfig, prefix: str = "fe_") -> str:
     """The full wide feature row (query body after ``with_features``)."""
+    return _wide_sql(cfg).replace("fe_", prefix)
+
+
+def _wide_sql(cfg: FeatureConfig) -> str:
     return f"""
 SELECT visitor_id,
        round(s.session_pvs_mean, 6) AS session_pvs_mean, round(s.session_pvs_median, 6) AS session_pvs_median,
