@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from kindred.operators.features import ratio
+from kindred.operators.features import exact_sum, ratio
 
 # Class texts of the two populations.
 C_LEVEL, NON_C_LEVEL = "C-level", "Non-Clevel"
@@ -75,7 +75,7 @@ def top_k_by_rank(summary: DataFrame, k_by_dimension: dict, rank_col: str = "c_r
 def class_avg_time(train: DataFrame, pred: DataFrame, cls: str = "c_level") -> DataFrame:
     """Average time per view by class, both populations side by side."""
     def one(df, suffix):
-        return (df.groupBy(cls).agg(ratio(F.sum("time_on_page"), F.sum("page_views"))
+        return (df.groupBy(cls).agg(ratio(exact_sum("time_on_page"), F.sum("page_views"))
                                     .alias("avg_time_on_page" + suffix)))
     return one(train, "_train").join(one(pred, "_pred"), cls, "inner")
 

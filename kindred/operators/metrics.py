@@ -7,11 +7,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+def _fsum(c):
+    # fixed-point accumulation: the total does not depend on row order
+    return F.sum(c.cast("decimal(38,12)")).cast("double")
+
+
 def overlap_sums(df: DataFrame, y: str, p: str) -> DataFrame:
     yt, yp = F.col(y).cast("double"), F.col(p).cast("double")
-    return df.agg(F.sum(yt * yp).alias("tp"), F.sum(yt * (1 - yp)).alias("fn"),
-                  F.sum((1 - yt) * yp).alias("fp"), F.sum(yt).alias("sum_true"),
-                  F.sum(yp).alias("sum_pred"))
+    return df.agg(_fsum(yt * yp).alias("tp"), _fsum(yt * (1 - yp)).alias("fn"),
+                  _fsum((1 - yt) * yp).alias("fp"), _fsum(yt).alias("sum_true"),
+                  _fsum(yp).alias("sum_pred"))
 
 
 def tversky(df: DataFrame, y: str, p: str, smooth: float = 1.0, alpha: float = 0.7,
