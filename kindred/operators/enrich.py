@@ -128,12 +128,13 @@ def membership_flag(df: DataFrame, ids: DataFrame, name: str, yes: str, no: str,
             .drop("_hit"))
 
 
-def add_flags(features: DataFrame, views: DataFrame, subscriptions: DataFrame,
-              resources: list[str]) -> DataFrame:
-    """Newsletter and subscriber flags as in the feature tables."""
-    out = membership_flag(features, unsubscriber_ids(views), "nl_subscription",
+def add_flags(features: DataFrame, nl_views: DataFrame, subscriptions: DataFrame,
+              sub_views: DataFrame, resources: list[str]) -> DataFrame:
+    """Newsletter flag (from the rows the features came from) and subscriber
+    flag (from all page views of active subscribers), as string columns."""
+    out = membership_flag(features, unsubscriber_ids(nl_views), "nl_subscription",
                           "nl_unsubscriber", "nl_subscriber")
-    return membership_flag(out, active_subscriber_ids(subscriptions, views, resources),
+    return membership_flag(out, active_subscriber_ids(subscriptions, sub_views, resources),
                            "subscriber", "subscriber", "non_subscriber")
 
 

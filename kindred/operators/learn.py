@@ -1,15 +1,265 @@
 """Learning operators on Spark ML: encoding, exact stratified splits and
 folds, boosted trees, cross-validated random search, shadow-feature
-selection, isotonic calibration and scoring."""
+selection, isotonic calibration and scoring.
+
+Everything here is distributed: the label counts and model parameters are
+the only things that reach the driver.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import math
+import random
+from dataclasses import dataclass
+
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.evaluation import MulticlassClassificationEvaluator
+from pyspark.ml.feature import StringIndexer, VectorAssembler
+from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
+from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kindred.operators.sample import row_hash
+
+KEY, LABEL = "visitor_id", "c_level"
 
 
-def align_features(df: DataFrame, features: list[str], key: str = "visitor_id") -> DataFrame:
+def align_features(df: DataFrame, features: list[str], key: str = KEY) -> DataFrame:
     """Select ``features`` in order; features absent from ``df`` become 0."""
     have = set(df.columns)
     cols = [F.col(f"`{f}`").cast("double").alias(f) if f in have else F.lit(0.0).alias(f) for f in features]
     return df.select(F.col(key), *cols)
+
+
+def string_columns(df: DataFrame, exclude: tuple = (KEY,)) -> list[str]:
+    return [f.name for f in df.schema.fields
+            if isinstance(f.dataType, T.StringType) and f.name not in exclude]
+
+
+def category_encoder(cols: list[str]) -> list[StringIndexer]:
+    """Ordinal codes in sorted value order; unseen values get the next code.
+    Fitted once on the training set and stored in the pipeline, so scoring
+    uses the training codes."""
+    return [StringIndexer(inputCol=c, outputCol=f"{c}_code", stringOrderType="alphabetAsc",
+                          handleInvalid="keep") for c in cols]
+
+
+# ---- exact, distributed ranking inside strata ---------------------------------
+
+BUCKET_HEX = 4  # 65 536 hash buckets
+
+
+def rank_by_hash(df: DataFrame, group_col: str, hash_col: str) -> DataFrame:
+    """Add ``_rn``: 1-based position of each row inside its ``group_col`` in
+    ascending ``hash_col`` (hex text) order — exact, without putting a group
+    into one task.
+
+    The leading hex digits of the hash cut the order into 65 536 contiguous
+    buckets. Rows are ranked inside (group, bucket); per-bucket counts
+    (at most groups x 65 536 rows) give each bucket's offset by a running
+    sum; the offsets are broadcast back (their size is bounded by that
+    product, not by the data).
+    """
+    b = F.substring(F.col(hash_col), 1, BUCKET_HEX)
+    keyed = df.withColumn("_bucket", b)
+    local = keyed.withColumn(
+        "_local", F.row_number().over(Window.partitionBy(group_col, "_bucket").orderBy(hash_col)))
+    counts = keyed.groupBy(group_col, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    run = Window.partitionBy(group_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(group_col, "_bucket",
+                            F.coalesce(F.sum("_cnt").over(run), F.lit(0)).alias("_off"))
+    return (local.join(F.broadcast(offsets), [group_col, "_bucket"])
+            .withColumn("_rn", (F.col("_off") + F.col("_local")).cast("long"))
+            .drop("_bucket", "_local", "_off"))
+
+
+def stratify(df: DataFrame, label: str = LABEL, key: str = KEY, seed: int = 4222,
+             holdout_every: int = 10, folds: int = 5) -> DataFrame:
+    """Exact stratified hold-out and fold assignment.
+
+    Inside each class, rows are ordered by ``md5(key|seed)``; the row at
+    position ``rn`` is held out iff ``(rn - 1) % holdout_every == 0`` (so each
+    class holds out ceil(n/holdout_every) rows). The remaining rows are
+    numbered again in the same order and get ``fold = (rn - 1) % folds``.
+    """
+    h = df.withColumn("_h", row_hash(key, str(seed)))
+    ranked = rank_by_hash(h, label, "_h")
+    ranked = ranked.withColumn("holdout", ((F.col("_rn") - 1) % holdout_every) == 0).drop("_rn")
+    train = rank_by_hash(ranked.where(~F.col("holdout")), label, "_h")
+    train = train.withColumn("fold", ((F.col("_rn") - 1) % folds).cast("int")).drop("_rn")
+    hold = ranked.where(F.col("holdout")).withColumn("fold", F.lit(None).cast("int"))
+    return train.unionByName(hold).drop("_h")
+
+
+# ---- boosted trees and search -------------------------------------------------
+
+@dataclass
+class TreeParams:
+    max_iter: int = 20
+    step_size: float = 0.1
+    max_depth: int = 5
+    subsampling_rate: float = 1.0
+    feature_subset: float = 1.0
+    min_info_gain: float = 0.0
+    pos_weight: int = 1
+
+    def as_dict(self):
+        return dict(self.__dict__)
+
+
+def gbt(params: TreeParams, features_col: str = "features", label_col: str = "label",
+        weight_col: str | None = "weight", seed: int = 4222) -> GBTClassifier:
+    kw = dict(featuresCol=features_col, labelCol=label_col, maxIter=max(1, params.max_iter),
+              stepSize=params.step_size, maxDepth=params.max_depth,
+              subsamplingRate=params.subsampling_rate, minInfoGain=params.min_info_gain,
+              featureSubsetStrategy=("all" if params.feature_subset >= 1.0
+                                     else str(round(params.feature_subset, 1))),
+              seed=seed)
+    if weight_col:
+        kw["weightCol"] = weight_col
+    return GBTClassifier(**kw)
+
+
+def with_label_weight(df: DataFrame, pos_weight: float, label: str = LABEL) -> DataFrame:
+    return (df.withColumn("label", F.col(label).cast("double"))
+            .withColumn("weight", F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0))))
+
+
+def draw_params(n: int, seed: int, max_iter_cap: int = 1000) -> list[TreeParams]:
+    """Seeded random draws over the search space of the source system:
+    positive weight int 1-5, step log-uniform 1e-9..1, trees 1..1000,
+    depth 2-13, row and feature fractions 0.1..1 by 0.1, min gain int 0-5."""
+    rng = random.Random(seed)
+    out = []
+    for _ in range(n):
+        out.append(TreeParams(
+            pos_weight=rng.randint(1, 5),
+            step_size=math.exp(rng.uniform(math.log(1e-9), 0.0)),
+            max_iter=min(max_iter_cap, rng.randint(1, 1000)),
+            max_depth=rng.randint(2, 13),
+            subsampling_rate=rng.randint(1, 10) / 10,
+            feature_subset=rng.randint(1, 10) / 10,
+            min_info_gain=float(rng.randint(0, 5)),
+        ))
+    return out
+
+
+def fit_model(train: DataFrame, features: list[str], params: TreeParams, seed: int = 4222) -> PipelineModel:
+    """Assemble features and fit the boosted trees (weighted positives)."""
+    data = with_label_weight(train, params.pos_weight)
+    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
+                            gbt(params, seed=seed)])
+    return pipe.fit(data)
+
+
+def cross_validate(train: DataFrame, features: list[str], candidates: list[TreeParams],
+                   seed: int = 4222, parallelism: int = 2, folds: int = 5) -> tuple[TreeParams, list[float]]:
+    """Mean weighted F1 over the precomputed folds for every candidate; the
+    best candidate and all means. Candidates sharing a positive weight share
+    one ``CrossValidator`` (the weight is a data column)."""
+    evaluator = MulticlassClassificationEvaluator(metricName="f1", labelCol="label",
+                                                  predictionCol="prediction")
+    means: list[float] = [0.0] * len(candidates)
+    by_weight: dict[int, list[int]] = {}
+    for i, p in enumerate(candidates):
+        by_weight.setdefault(p.pos_weight, []).append(i)
+    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
+    for w, idx in by_weight.items():
+        data = assembler.transform(with_label_weight(train, w)).select("features", "label", "weight", "fold")
+        est = gbt(candidates[idx[0]], seed=seed)
+        maps = []
+        for i in idx:
+            p = candidates[i]
+            g = gbt(p, seed=seed)
+            maps.append({est.maxIter: g.getMaxIter(), est.stepSize: g.getStepSize(),
+                         est.maxDepth: g.getMaxDepth(), est.subsamplingRate: g.getSubsamplingRate(),
+                         est.featureSubsetStrategy: g.getFeatureSubsetStrategy(),
+                         est.minInfoGain: g.getMinInfoGain()})
+        cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
+                            numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
+        model = cv.fit(data)
+        for i, m in zip(idx, model.avgMetrics):
+            means[i] = float(m)
+    best = max(range(len(candidates)), key=lambda i: means[i])
+    return candidates[best], means
+
+
+def random_search(train: DataFrame, features: list[str], trials: int, seed: int = 4222,
+                  max_iter_cap: int = 1000, parallelism: int = 2, folds: int = 5):
+    return cross_validate(train, features, draw_params(trials, seed, max_iter_cap), seed, parallelism, folds)
+
+
+# ---- shadow-feature selection -------------------------------------------------
+
+def _binom_cdf(k: int, n: int, p: float = 0.5) -> float:
+    return sum(math.comb(n, i) * p ** i * (1 - p) ** (n - i) for i in range(0, k + 1))
+
+
+def binomial_bounds(trials: int, alpha: float = 0.05) -> tuple[int, int]:
+    """Hit counts at or below ``lo`` reject, at or above ``hi`` accept
+    (two-sided test against a fair coin)."""
+    lo = max([k for k in range(trials + 1) if _binom_cdf(k, trials) <= alpha / 2] or [-1])
+    hi = min([k for k in range(trials + 1) if 1 - _binom_cdf(k - 1, trials) <= alpha / 2] or [trials + 1])
+    return lo, hi
+
+
+def shadow_frame(df: DataFrame, features: list[str], seed: int, key: str = KEY) -> DataFrame:
+    """Attach ``shadow_<f>`` columns: the feature values of another row,
+    picked by a seeded permutation (exact ranks in two hash orders, joined
+    on the rank) — the label link is broken, the distribution kept."""
+    one = F.lit("all")
+    a = rank_by_hash(df.withColumn("_g", one).withColumn("_h", row_hash(key, f"own{seed}")), "_g", "_h")
+    b = rank_by_hash(df.select(key, *features).withColumn("_g", one)
+                     .withColumn("_h", row_hash(key, f"shadow{seed}")), "_g", "_h")
+    shadows = b.select(F.col("_rn"), *[F.col(f"`{f}`").alias(f"shadow_{f}") for f in features])
+    return a.join(shadows, "_rn").drop("_rn", "_g", "_h")
+
+
+def shadow_selection(train: DataFrame, features: list[str], params: TreeParams, trials: int = 100,
+                     seed: int = 4222, alpha: float = 0.05) -> DataFrame:
+    """Per feature: hits (trials where its importance beats the best shadow)
+    and the decision accepted / tentative / rejected."""
+    hits = {f: 0 for f in features}
+    shadow_names = [f"shadow_{f}" for f in features]
+    for t in range(trials):
+        data = shadow_frame(train, features, seed + t).checkpoint()
+        model = fit_model(data, features + shadow_names, params, seed=seed + t)
+        imp = model.stages[-1].featureImportances.toArray()
+        real, shadow = imp[: len(features)], imp[len(features):]
+        best_shadow = max(shadow) if len(shadow) else 0.0
+        for f, v in zip(features, real):
+            if v > best_shadow:
+                hits[f] += 1
+    lo, hi = binomial_bounds(trials, alpha)
+    rows = [(f, hits[f], "accepted" if hits[f] >= hi else "rejected" if hits[f] <= lo else "tentative")
+            for f in features]
+    spark = train.sparkSession
+    return spark.createDataFrame(rows, "feature string, hits int, decision string")
+
+
+# ---- calibration and scoring ---------------------------------------------------
+
+def positive_probability(pred: DataFrame) -> DataFrame:
+    return pred.withColumn("p1", vector_to_array("probability")[1])
+
+
+def calibrate(model: PipelineModel, train: DataFrame) -> IsotonicRegressionModel:
+    """Isotonic map from the model's P(1) to the label, fitted on ``train``."""
+    p = positive_probability(model.transform(with_label_weight(train, 1)))
+    return IsotonicRegression(featuresCol="p1", labelCol="label", predictionCol="p_cal",
+                              isotonic=True).fit(p.select("p1", "label"))
+
+
+def score(df: DataFrame, model: PipelineModel, iso: IsotonicRegressionModel, key: str = KEY) -> DataFrame:
+    """(key, calibrated probability, predicted = probability > 0.5)."""
+    p = positive_probability(model.transform(df))
+    c = iso.transform(p)
+    return c.select(F.col(key), F.col("p_cal").alias("probability"),
+                    (F.col("p_cal") > 0.5).cast("int").alias("predicted"))
+
+
+_ = ParamGridBuilder
