@@ -31,20 +31,20 @@ from kindred.operators.clean import clean_views, collapse, ranked_totals
 V, VS, PATH, PV, TIME = "visitor_id", "visit_start", "page_path", "page_views", "time_on_page"
 CONTENT, SENT, DATE, PUB = "content_id", "sentiment_score", "view_date", "publish_date"
 
-# Time is accumulated as an exact decimal so that sums do not depend on the
-# order rows meet in (partitioning, retries); it becomes a double only at the
-# final division.
-TIME_DEC = "decimal(38,9)"
+# Sums of time and sentiment are accumulated as exact integers of
+# micro-units, so totals do not depend on the order rows meet in
+# (partitioning, retries) and stay on the fast fixed-width aggregate path.
+MICRO = 1_000_000
 
 
 def exact_sum(col) -> Column:
+    """Sum of a double column in exact micro-units, returned as double."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast(TIME_DEC))
+    return F.sum(F.round(c * F.lit(float(MICRO))).cast("long")) / F.lit(float(MICRO))
 
 
 def exact_avg(col) -> Column:
-    """Mean of a double column, accumulated in fixed point (scale 12) so the
-    result does not depend on the order partitions are combined in."""
+    """Mean of a double column, accumulated in fixed point (scale 12)."""
     c = F.col(col) if isinstance(col, str) else col
     return F.sum(c.cast("decimal(38,12)")).cast("double") / F.count(c)
 
@@ -60,6 +60,9 @@ class FeatureConfig:
     keep_inf: bool = False
     max_domain: int = 10000
     other: str = "other"
+    # A visitor with more rows than this is spread over several shuffle
+    # partitions (salts) before the visitor aggregates.
+    hot_rows: int = 1_000_000
 
 
 @dataclass(frozen=True)
@@ -181,54 +184,79 @@ def family_names(fam: Family, raw_values: list) -> "OrderedDict[str, list]":
     return out
 
 
-def _cond(column: str, raws: list) -> Column:
-    vals = [int(v) for v in raws] if column in INT_COLUMNS else list(raws)
-    c = F.col(column)
-    return c == F.lit(vals[0]) if len(vals) == 1 else c.isin(vals)
+def sql_str(v) -> str:
+    """A Spark SQL string literal."""
+    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def sql_name(n: str) -> str:
+    return "`" + n.replace("`", "``") + "`"
+
+
+def _cond(column: str, raws: list) -> str:
+    vals = [str(int(v)) for v in raws] if column in INT_COLUMNS else [sql_str(v) for v in raws]
+    if len(vals) == 1:
+        return f"{column} = {vals[0]}"
+    return f"{column} IN ({', '.join(vals)})"
 
 
 class _AggPlan:
-    """Collects aggregate expressions and the final projections of families."""
+    """Collects aggregate expressions and the final projections of families.
+
+    Expressions are generated as SQL text: a wide feature row has hundreds
+    of them, and one parse per expression is far cheaper on the driver than
+    assembling each through the Column API."""
 
     def __init__(self, cfg: FeatureConfig):
         self.cfg = cfg
-        self.aggs: "OrderedDict[str, Column]" = OrderedDict()
-        self.outputs: list = []  # (name, Column over aggregated columns)
+        self.aggs: "OrderedDict[str, tuple]" = OrderedDict()
+        self.outputs: list = []  # (name, SQL text over aggregated columns)
 
-    def _sum(self, column, raws, measure):
-        key = f"_{measure}|{column}|{'|'.join(map(str, raws))}"
-        alias = f"_a{len(self.aggs)}"
-        for k, (a, _) in self.aggs.items():
-            if k == key:
-                return a
-        value = F.when(_cond(column, raws), F.col(measure))
-        agg = exact_sum(value) if measure == TIME else F.sum(value)
-        self.aggs[key] = (alias, agg.alias(alias))
-        return alias
-
-    def _total(self, column):
-        key = f"_total|{column}"
+    def _add(self, key: str, text: str) -> str:
         if key not in self.aggs:
             alias = f"_a{len(self.aggs)}"
-            self.aggs[key] = (alias, F.sum(F.when(F.col(column).isNotNull(), F.col(PV))).alias(alias))
+            self.aggs[key] = (alias, text)
         return self.aggs[key][0]
 
+    def _sum(self, column, raws, measure):
+        cond = _cond(column, raws)
+        if measure == TIME:
+            text = (f"sum(CAST(round(CASE WHEN {cond} THEN {TIME} END * {float(MICRO)}D) AS BIGINT))"
+                    f" / {float(MICRO)}D")
+        else:
+            text = f"sum(CASE WHEN {cond} THEN {measure} END)"
+        return self._add(f"{measure}|{cond}", text)
+
+    def _total(self, column):
+        return self._add(f"total|{column}", f"sum(CASE WHEN {column} IS NOT NULL THEN {PV} END)")
+
     def add_family(self, fam: Family, raw_values: list):
         for name, raws in family_names(fam, raw_values).items():
             if fam.kind == "sum":
                 a = self._sum(fam.column, raws, PV)
-                self.outputs.append((name, F.coalesce(F.col(a).cast("double"), F.lit(0.0))))
+                self.outputs.append((name, f"coalesce(CAST({a} AS DOUBLE), 0D)"))
             elif fam.kind == "share":
                 a = self._sum(fam.column, raws, PV)
                 t = self._total(fam.column)
-                self.outputs.append((name, F.coalesce(F.try_divide(F.col(a), F.col(t)), F.lit(0.0))))
+                self.outputs.append((name, f"coalesce(try_divide({a}, {t}), 0D)"))
             else:
                 num = self._sum(fam.column, raws, TIME)
                 den = self._sum(fam.column, raws, PV)
-                self.outputs.append((name, ratio(F.col(num), F.col(den), self.cfg.keep_inf)))
+                self.outputs.append((name, ratio_sql(num, den, self.cfg.keep_inf)))
 
     def agg_columns(self):
-        return [c for _, c in self.aggs.values()]
+        return [F.expr(f"{text} AS {alias}") for alias, text in self.aggs.values()]
+
+    def output_columns(self):
+        return [F.expr(f"{text} AS {sql_name(name)}") for name, text in self.outputs]
+
+
+def ratio_sql(num: str, den: str, keep_inf: bool = False) -> str:
+    base = f"coalesce(try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE)), 0D)"
+    if not keep_inf:
+        return base
+    return (f"CASE WHEN {den} = 0 AND {num} > 0 THEN double('inf') "
+            f"WHEN {den} = 0 AND {num} < 0 THEN double('-inf') ELSE {base} END")
 
 
 def ratio(num: Column, den: Column, keep_inf: bool = False) -> Column:
@@ -254,7 +282,7 @@ def pivot_family(prepared: DataFrame, fam: Family, raw_values: list | None = Non
     present = F.count_if(F.col(fam.column).isNotNull()).alias("_present")
     agg = (prepared.where(F.col(V).isNotNull()).groupBy(V)
            .agg(present, *plan.agg_columns()))
-    return agg.where(F.col("_present") > 0).select(V, *[c.alias(n) for n, c in plan.outputs])
+    return agg.where(F.col("_present") > 0).select(V, *plan.output_columns())
 
 
 # ---- page and session grain ------------------------------------------------
@@ -286,7 +314,7 @@ def session_grain(pages: DataFrame, content_map: DataFrame | None = None,
     """Per (visitor, session): summed page maxima and mean page time; with a
     content map also the views of pages whose content id matches the pattern."""
     aggs = [F.sum(PV).alias("session_pvs"),
-            (exact_sum(TIME).cast("double") / F.count(F.lit(1))).alias("session_top")]
+            (exact_sum(TIME) / F.count(F.lit(1))).alias("session_top")]
     src = pages
     if content_map is not None:
         src = pages.join(content_map.select(PATH, CONTENT), PATH, "left")
@@ -315,6 +343,41 @@ SESSION_COLUMNS = ["session_pvs_mean", "session_pvs_median", "session_top_mean",
 SENTIMENT_COLUMNS = ["sentiment_score_mean", "sentiment_score_median"]
 
 
+def hot_visitors(cleaned: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """(visitor, n_salts) for visitors with more than ``hot_rows`` rows.
+
+    Lazy; its row count is at most total_rows / hot_rows (the counts of the
+    listed visitors add up to at most all rows), which bounds the broadcast.
+    """
+    return (cleaned.where(F.col(V).isNotNull()).groupBy(V).agg(F.count(F.lit(1)).alias("_n"))
+            .where(F.col("_n") > cfg.hot_rows)
+            .select(V, F.ceil(F.col("_n") / F.lit(cfg.hot_rows)).cast("int").alias("_salts")))
+
+
+def distribute_by_visitor(prepared: DataFrame, cfg: FeatureConfig = FeatureConfig(),
+                          hot: DataFrame | None = None) -> DataFrame:
+    """Hash-partition rows by (visitor, salt). Ordinary visitors have salt 0;
+    a hot visitor's rows are spread over ``n_salts`` partitions by a hash of
+    the row. Aggregates by visitor after this combine each (visitor, salt)
+    completely before the shuffle, so their shuffles carry about one row per
+    visitor instead of one per (task, visitor)."""
+    hot = hot if hot is not None else hot_visitors(prepared, cfg)
+    row_key = F.xxhash64(*[F.col(c) for c in prepared.columns])
+    salted = (prepared.join(F.broadcast(hot), V, "left")
+              .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
+                          .otherwise(F.pmod(row_key, F.col("_salts")).cast("int")))
+              .drop("_salts"))
+    return salted.repartition(V, "_salt").drop("_salt")
+
+
+def sentiment_median(rows: DataFrame) -> DataFrame:
+    """Exact median per visitor from (visitor, value, count): the percentile
+    buffer holds distinct values only, and the counting is partial-aggregated."""
+    counts = rows.where(F.col(V).isNotNull()).groupBy(V, SENT).agg(F.count(F.lit(1)).alias("_c"))
+    return counts.groupBy(V).agg(F.percentile(F.col(SENT), F.lit(0.5), F.col("_c"))
+                                 .alias("sentiment_score_median"))
+
+
 def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(),
                voc: Vocabulary | None = None) -> DataFrame:
     """Raw joined page-view rows -> one wide feature row per visitor."""
@@ -327,21 +390,24 @@ def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(),
     tail.aggs = head.aggs  # share one aggregate list
     for fam in TAIL_FAMILIES:
         tail.add_family(fam, voc.domains.get(fam.column, []))
-    row = (prepared.where(F.col(V).isNotNull()).groupBy(V).agg(
-        exact_avg(SENT).alias("sentiment_score_mean"),
-        F.median(SENT).alias("sentiment_score_median"),
+    needed = {V, VS, PATH, PV, TIME, CONTENT, SENT, PUB, "_date", "referral_group", "device_os"}
+    needed |= {f.column for f in HEAD_FAMILIES + TAIL_FAMILIES}
+    dist = distribute_by_visitor(prepared.select(*[c for c in prepared.columns if c in needed]), cfg,
+                                 hot_visitors(cleaned, cfg))
+    row = (dist.where(F.col(V).isNotNull()).groupBy(V).agg(
+        (exact_sum(SENT) / F.count(F.col(SENT))).alias("sentiment_score_mean"),
         F.count_if(F.col("referral_group").isNotNull()).alias("_ok_rf"),
         F.count_if(F.col("device_os").isNotNull()).alias("_ok_dos"),
         F.count_if(F.col("_date").isNotNull()).alias("_ok_date"),
         *head.agg_columns()))
-    pages = page_grain(prepared)
-    sess = session_stats(session_grain(pages, page_content_map(prepared), cfg))
-    joined = (row.where((F.col("_ok_rf") > 0) & (F.col("_ok_dos") > 0) & (F.col("_ok_date") > 0))
-              .join(sess, V, "inner"))
+    row = row.where((F.col("_ok_rf") > 0) & (F.col("_ok_dos") > 0) & (F.col("_ok_date") > 0))
+    pages = page_grain(dist)
+    sess = session_stats(session_grain(pages, page_content_map(dist), cfg))
+    joined = row.join(sess, V, "inner").join(sentiment_median(dist), V, "inner")
     cols = ([F.col(V)] + [F.col(c).cast("double").alias(c) for c in SESSION_COLUMNS + SENTIMENT_COLUMNS]
-            + [c.alias(n) for n, c in head.outputs]
+            + head.output_columns()
             + [F.col("bounce_rate"), F.col("content_views_rate")]
-            + [c.alias(n) for n, c in tail.outputs])
+            + tail.output_columns())
     return joined.select(*cols)
 
 

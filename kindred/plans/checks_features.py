@@ -57,7 +57,7 @@ def q_blank_to_other(spark, sf):
 
 
 @register("page_grain", f"{WF}\nSELECT visitor_id, visit_start, page_path, page_views, "
-                        "round(CAST(time_on_page AS DOUBLE), 6) AS time_on_page FROM fe_page")
+                        "round(time_on_page, 6) AS time_on_page FROM fe_page")
 def q_page_grain(spark, sf):
     return out(fe.page_grain(_cleaned(spark, sf)))
 
@@ -97,14 +97,14 @@ def q_content_view_rate(spark, sf):
 
 
 @register("sentiment_stats", f"""{WF}
-SELECT visitor_id, round(CAST(sum(CAST(sentiment_score AS DECIMAL(38,12))) AS DOUBLE) / count(sentiment_score), 6)
-       AS sentiment_score_mean,
+SELECT visitor_id, round((CAST(sum(CAST(round(sentiment_score * 1e6) AS BIGINT)) AS DOUBLE) / 1e6)
+       / count(sentiment_score), 6) AS sentiment_score_mean,
        round(median(sentiment_score), 6) AS sentiment_score_median
 FROM fe_prep WHERE visitor_id IS NOT NULL GROUP BY visitor_id""")
 def q_sentiment_stats(spark, sf):
     c = _cleaned(spark, sf)
     return out(c.where(F.col("visitor_id").isNotNull()).groupBy("visitor_id").agg(
-        fe.exact_avg("sentiment_score").alias("sentiment_score_mean"),
+        (fe.exact_sum("sentiment_score") / F.count("sentiment_score")).alias("sentiment_score_mean"),
         F.median("sentiment_score").alias("sentiment_score_median")))
 
 
@@ -115,7 +115,7 @@ def q_page_content_map(spark, sf):
 
 
 @register("join_page_content", f"""{WF}
-SELECT p.visitor_id, p.visit_start, p.page_path, p.page_views, round(CAST(p.time_on_page AS DOUBLE), 6) AS time_on_page,
+SELECT p.visitor_id, p.visit_start, p.page_path, p.page_views, round(p.time_on_page, 6) AS time_on_page,
        m.content_id FROM fe_page p LEFT JOIN fe_map m USING (page_path)""")
 def q_join_page_content(spark, sf):
     c = _cleaned(spark, sf)

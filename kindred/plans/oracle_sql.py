@@ -11,6 +11,11 @@ from kindred.operators.features import FeatureConfig
 from kindred.sources.fixtures import duckdb_with_clause
 
 
+def MSUM(expr: str) -> str:
+    """Exact sum in micro-units, as double (mirrors ``exact_sum``)."""
+    return f"(CAST(sum(CAST(round({expr} * 1e6) AS BIGINT)) AS DOUBLE) / 1e6)"
+
+
 def q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -45,7 +50,7 @@ def _feature_ctes(cfg: FeatureConfig) -> str:
 
     def ratio_fam(col, prefix, suffix, fam):
         return (f"SELECT {q(fam)} AS fam, visitor_id, {q(prefix)} || {clean_sql(col)} || {q(suffix)} AS f, "
-                f"CASE WHEN sum(page_views) = 0 THEN 0.0e0 ELSE CAST(sum(CAST(time_on_page AS DECIMAL(38,9))) AS DOUBLE) "
+                f"CASE WHEN sum(page_views) = 0 THEN 0.0e0 ELSE {MSUM('time_on_page')} "
                 f"/ sum(page_views) END AS v "
                 f"FROM fe_prep WHERE visitor_id IS NOT NULL AND {col} IS NOT NULL GROUP BY visitor_id, f")
 
@@ -91,7 +96,7 @@ fe_prep AS (
   FROM fe_prep1),
 fe_page AS (
   SELECT visitor_id, visit_start, page_path, max(page_views) AS page_views,
-         sum(CAST(time_on_page AS DECIMAL(38,9))) AS time_on_page
+         {MSUM('time_on_page')} AS time_on_page
   FROM fe_prep WHERE visitor_id IS NOT NULL AND visit_start IS NOT NULL AND page_path IS NOT NULL
   GROUP BY ALL),
 fe_map AS (
@@ -101,7 +106,7 @@ fe_map AS (
     FROM fe_prep WHERE page_path IS NOT NULL) WHERE rn = 1),
 fe_sess AS (
   SELECT p.visitor_id, p.visit_start, CAST(sum(p.page_views) AS BIGINT) AS session_pvs,
-         CAST(sum(p.time_on_page) AS DOUBLE) / count(*) AS session_top,
+         {MSUM('p.time_on_page')} / count(*) AS session_top,
          CAST(sum(CASE WHEN regexp_matches(m.content_id, {pattern}) THEN p.page_views ELSE 0 END) AS BIGINT) AS content_pvs
   FROM fe_page p LEFT JOIN fe_map m USING (page_path) GROUP BY ALL),
 fe_stats AS (
@@ -113,8 +118,7 @@ fe_stats AS (
          CASE WHEN sum(session_pvs) = 0 THEN 0.0e0 ELSE sum(content_pvs) / sum(session_pvs) END AS content_views_rate
   FROM fe_sess GROUP BY visitor_id),
 fe_row AS (
-  SELECT visitor_id, CAST(sum(CAST(sentiment_score AS DECIMAL(38,12))) AS DOUBLE) / count(sentiment_score)
-         AS sentiment_score_mean,
+  SELECT visitor_id, {MSUM('sentiment_score')} / count(sentiment_score) AS sentiment_score_mean,
          median(sentiment_score) AS sentiment_score_median
   FROM fe_prep WHERE visitor_id IS NOT NULL GROUP BY visitor_id
   HAVING count(referral_group) > 0 AND count(device_os) > 0 AND count(d) > 0),
