@@ -358,9 +358,10 @@ def distribute_by_visitor(prepared: DataFrame, cfg: FeatureConfig = FeatureConfi
                           hot: DataFrame | None = None) -> DataFrame:
     """Hash-partition rows by (visitor, salt). Ordinary visitors have salt 0;
     a hot visitor's rows are spread over ``n_salts`` partitions by a hash of
-    the row. Aggregates by visitor after this combine each (visitor, salt)
-    completely before the shuffle, so their shuffles carry about one row per
-    visitor instead of one per (task, visitor)."""
+    the row. A wide aggregate by visitor after this combines each
+    (visitor, salt) completely before its shuffle, so the shuffle of wide
+    partial rows carries about one row per visitor instead of one per
+    (task, visitor); the raw rows cross the network once, narrow."""
     hot = hot if hot is not None else hot_visitors(prepared, cfg)
     row_key = F.xxhash64(*[F.col(c) for c in prepared.columns])
     salted = (prepared.join(F.broadcast(hot), V, "left")
@@ -401,9 +402,11 @@ def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(),
         F.count_if(F.col("_date").isNotNull()).alias("_ok_date"),
         *head.agg_columns()))
     row = row.where((F.col("_ok_rf") > 0) & (F.col("_ok_dos") > 0) & (F.col("_ok_date") > 0))
-    pages = page_grain(dist)
-    sess = session_stats(session_grain(pages, page_content_map(dist), cfg))
-    joined = row.join(sess, V, "inner").join(sentiment_median(dist), V, "inner")
+    # The narrow branches aggregate the (column-pruned) rows directly: their
+    # partial aggregates are small, so a raw repartition would only add cost.
+    pages = page_grain(prepared)
+    sess = session_stats(session_grain(pages, page_content_map(prepared), cfg))
+    joined = row.join(sess, V, "inner").join(sentiment_median(prepared), V, "inner")
     cols = ([F.col(V)] + [F.col(c).cast("double").alias(c) for c in SESSION_COLUMNS + SENTIMENT_COLUMNS]
             + head.output_columns()
             + [F.col("bounce_rate"), F.col("content_views_rate")]

@@ -65,10 +65,11 @@ def rank_by_hash(df: DataFrame, group_col: str, hash_col: str) -> DataFrame:
     product, not by the data).
     """
     b = F.substring(F.col(hash_col), 1, BUCKET_HEX)
-    keyed = df.withColumn("_bucket", b)
-    local = keyed.withColumn(
+    local = df.withColumn("_bucket", b).withColumn(
         "_local", F.row_number().over(Window.partitionBy(group_col, "_bucket").orderBy(hash_col)))
-    counts = keyed.groupBy(group_col, "_bucket").agg(F.count(F.lit(1)).alias("_cnt"))
+    # counts come from the ranked rows, so the input is read once (the
+    # window's exchange is shared by both branches)
+    counts = local.groupBy(group_col, "_bucket").agg(F.max("_local").alias("_cnt"))
     run = Window.partitionBy(group_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(group_col, "_bucket",
                             F.coalesce(F.sum("_cnt").over(run), F.lit(0)).alias("_off"))
@@ -86,13 +87,16 @@ def stratify(df: DataFrame, label: str = LABEL, key: str = KEY, seed: int = 4222
     class holds out ceil(n/holdout_every) rows). The remaining rows are
     numbered again in the same order and get ``fold = (rn - 1) % folds``.
     """
-    h = df.withColumn("_h", row_hash(key, str(seed)))
-    ranked = rank_by_hash(h, label, "_h")
-    ranked = ranked.withColumn("holdout", ((F.col("_rn") - 1) % holdout_every) == 0).drop("_rn")
-    train = rank_by_hash(ranked.where(~F.col("holdout")), label, "_h")
-    train = train.withColumn("fold", ((F.col("_rn") - 1) % folds).cast("int")).drop("_rn")
-    hold = ranked.where(F.col("holdout")).withColumn("fold", F.lit(None).cast("int"))
-    return train.unionByName(hold).drop("_h")
+    ranked = rank_by_hash(df.withColumn("_h", row_hash(key, str(seed))), label, "_h")
+    rn = F.col("_rn")
+    holdout = ((rn - 1) % holdout_every) == 0
+    # position among the class's non-held-out rows: rn minus the held-out
+    # positions 1, 1 + k, 1 + 2k, ... at or before it
+    train_rn = rn - (F.floor((rn - 1) / holdout_every) + 1)
+    return (ranked.withColumn("holdout", holdout)
+            .withColumn("fold", F.when(holdout, F.lit(None))
+                        .otherwise(((train_rn - 1) % folds).cast("int")).cast("int"))
+            .drop("_rn", "_h"))
 
 
 # ---- boosted trees and search -------------------------------------------------
