@@ -37,10 +37,15 @@ CONTENT, SENT, DATE, PUB = "content_id", "sentiment_score", "view_date", "publis
 MICRO = 1_000_000
 
 
+def micros(col) -> Column:
+    """A double as an integer count of micro-units (nearest, ties upward)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.floor(c * F.lit(float(MICRO)) + F.lit(0.5))
+
+
 def exact_sum(col) -> Column:
     """Sum of a double column in exact micro-units, returned as double."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.sum(F.round(c * F.lit(float(MICRO))).cast("long")) / F.lit(float(MICRO))
+    return F.sum(micros(col)) / F.lit(float(MICRO))
 
 
 def exact_avg(col) -> Column:
@@ -168,12 +173,10 @@ def prepare(cleaned: DataFrame, voc: Vocabulary, cfg: FeatureConfig = FeatureCon
     utc = epoch_to_utc(F.col(VS))
     hour = F.hour(F.when(F.col("country") == F.lit(cfg.home_country),
                          to_local(utc, cfg.home_zone)).otherwise(utc))
-    return (out.withColumn("_date", d)
-            .withColumn("weekpart", weekpart(d))
-            .withColumn("day_name", day_name(d))
-            .withColumn("day_of_month", F.dayofmonth(d))
-            .withColumn("session_hour", hour)
-            .withColumn("business_hours", business_hours(hour)))
+    return (out.withColumns({"_date": d, "weekpart": weekpart(d), "day_name": day_name(d),
+                             "day_of_month": F.dayofmonth(d), "session_hour": hour,
+                             "_tmicro": micros(TIME), "_smicro": micros(SENT)})
+            .withColumn("business_hours", business_hours(F.col("session_hour"))))
 
 
 def family_names(fam: Family, raw_values: list) -> "OrderedDict[str, list]":
@@ -221,8 +224,7 @@ class _AggPlan:
     def _sum(self, column, raws, measure):
         cond = _cond(column, raws)
         if measure == TIME:
-            text = (f"sum(CAST(round(CASE WHEN {cond} THEN {TIME} END * {float(MICRO)}D) AS BIGINT))"
-                    f" / {float(MICRO)}D")
+            text = f"sum(CASE WHEN {cond} THEN _tmicro END) / {float(MICRO)}D"
         else:
             text = f"sum(CASE WHEN {cond} THEN {measure} END)"
         return self._add(f"{measure}|{cond}", text)
@@ -391,12 +393,12 @@ def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(),
     tail.aggs = head.aggs  # share one aggregate list
     for fam in TAIL_FAMILIES:
         tail.add_family(fam, voc.domains.get(fam.column, []))
-    needed = {V, VS, PATH, PV, TIME, CONTENT, SENT, PUB, "_date", "referral_group", "device_os"}
+    needed = {V, SENT, "_tmicro", "_smicro", PV, "_date", "referral_group", "device_os"}
     needed |= {f.column for f in HEAD_FAMILIES + TAIL_FAMILIES}
     dist = distribute_by_visitor(prepared.select(*[c for c in prepared.columns if c in needed]), cfg,
                                  hot_visitors(cleaned, cfg))
     row = (dist.where(F.col(V).isNotNull()).groupBy(V).agg(
-        (exact_sum(SENT) / F.count(F.col(SENT))).alias("sentiment_score_mean"),
+        (F.sum("_smicro") / F.lit(float(MICRO)) / F.count(F.col(SENT))).alias("sentiment_score_mean"),
         F.count_if(F.col("referral_group").isNotNull()).alias("_ok_rf"),
         F.count_if(F.col("device_os").isNotNull()).alias("_ok_dos"),
         F.count_if(F.col("_date").isNotNull()).alias("_ok_date"),

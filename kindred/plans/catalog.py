@@ -47,20 +47,36 @@ def round6(c):
     return F.when(F.isnan(c) | (F.abs(c) == F.lit(float("inf"))), c).otherwise(scaled)
 
 
+def _q(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def out(df: DataFrame) -> DataFrame:
-    """Doubles rounded to 6 places; dates and timestamps as ISO text."""
-    cols = []
+    """Doubles rounded to 6 places (as ``round6``); dates and timestamps as
+    ISO text. Built as one SQL projection (cheap to plan for wide rows)."""
+    exprs = []
     for f in df.schema.fields:
-        c = F.col(f"`{f.name}`")
+        c = _q(f.name)
         if isinstance(f.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
-            c = round6(c)
+            d = f"CAST({c} AS DOUBLE)"
+            e = (f"CASE WHEN isnan({d}) OR abs({d}) = double('inf') THEN {d} "
+                 f"ELSE signum({d}) * floor(abs({d}) * 1000000D + 0.5D) / 1000000D END")
         elif isinstance(f.dataType, T.DateType):
-            c = F.date_format(c, "yyyy-MM-dd")
+            e = f"date_format({c}, 'yyyy-MM-dd')"
         elif isinstance(f.dataType, (T.TimestampType, T.TimestampNTZType)):
-            c = F.date_format(c, "yyyy-MM-dd HH:mm:ss")
-        cols.append(c.alias(f.name))
-    return df.select(*cols)
+            e = f"date_format({c}, 'yyyy-MM-dd HH:mm:ss')"
+        else:
+            e = c
+        exprs.append(f"{e} AS {c}")
+    return df.selectExpr(*exprs)
+
+
+_SHARED: dict = {}
 
 
 def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
-    return Fixtures(spark, sf_dir)
+    """One persisted set of fixture views per session and scale directory."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _SHARED:
+        _SHARED[key] = Fixtures(spark, sf_dir, persist=True)
+    return _SHARED[key]

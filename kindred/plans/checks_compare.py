@@ -132,11 +132,11 @@ def q_compare_top_k(spark, sf):
 @register("class_avg_time", f"""{CM}
 SELECT c_level, round(t.a, 6) AS avg_time_on_page_train, round(p.a, 6) AS avg_time_on_page_pred FROM
  (SELECT c_level, CASE WHEN sum(page_views) = 0 THEN 0.0e0
-         ELSE (CAST(sum(CAST(round(time_on_page * 1e6) AS BIGINT)) AS DOUBLE) / 1e6) / sum(page_views) END AS a
+         ELSE (CAST(sum(CAST(floor(time_on_page * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6) / sum(page_views) END AS a
   FROM cm_train GROUP BY c_level) t
 JOIN
  (SELECT c_level, CASE WHEN sum(page_views) = 0 THEN 0.0e0
-         ELSE (CAST(sum(CAST(round(time_on_page * 1e6) AS BIGINT)) AS DOUBLE) / 1e6) / sum(page_views) END AS a
+         ELSE (CAST(sum(CAST(floor(time_on_page * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6) / sum(page_views) END AS a
   FROM cm_pred GROUP BY c_level) p USING (c_level)""")
 def q_class_avg_time(spark, sf):
     fx = fixtures(spark, sf)

@@ -97,7 +97,7 @@ def q_content_view_rate(spark, sf):
 
 
 @register("sentiment_stats", f"""{WF}
-SELECT visitor_id, round((CAST(sum(CAST(round(sentiment_score * 1e6) AS BIGINT)) AS DOUBLE) / 1e6)
+SELECT visitor_id, round((CAST(sum(CAST(floor(sentiment_score * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6)
        / count(sentiment_score), 6) AS sentiment_score_mean,
        round(median(sentiment_score), 6) AS sentiment_score_median
 FROM fe_prep WHERE visitor_id IS NOT NULL GROUP BY visitor_id""")

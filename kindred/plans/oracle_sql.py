@@ -13,7 +13,7 @@ from kindred.sources.fixtures import duckdb_with_clause
 
 def MSUM(expr: str) -> str:
     """Exact sum in micro-units, as double (mirrors ``exact_sum``)."""
-    return f"(CAST(sum(CAST(round({expr} * 1e6) AS BIGINT)) AS DOUBLE) / 1e6)"
+    return f"(CAST(sum(CAST(floor({expr} * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6)"
 
 
 def q(s: str) -> str:

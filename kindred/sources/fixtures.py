@@ -16,6 +16,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 DIALECTS = {
@@ -148,11 +149,17 @@ def duckdb_with_clause(names: list[str] | None = None) -> str:
 
 
 class Fixtures:
-    """Lazily built Spark DataFrames for the logical tables of one scale."""
+    """Lazily built Spark DataFrames for the logical tables of one scale.
 
-    def __init__(self, spark: SparkSession, sf_dir: str):
+    With ``persist=True`` each derived view is persisted on first use: the
+    views stand in for stored source tables, so queries should not pay for
+    re-deriving them (six joins for ``pageviews``) in every branch.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, persist: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
+        self.persist = persist
         self._cache: dict[str, DataFrame] = {}
 
     def driver_table(self, name: str) -> DataFrame:
@@ -172,5 +179,8 @@ class Fixtures:
             body, deps = VIEWS[name]
             args = {d: (self.view(d) if d in VIEWS else self.driver_table(d))
                     for d in deps}
-            self._cache[name] = self.spark.sql(render(body, "spark"), **args)
+            df = self.spark.sql(render(body, "spark"), **args)
+            if self.persist:
+                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            self._cache[name] = df
         return self._cache[name]
