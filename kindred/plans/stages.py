@@ -49,6 +49,25 @@ class Artifacts:
     report: dict = field(default_factory=dict)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table under the shared checkpoint folder and
+    read it back. Used for the joined raw rows of stage 1 (the source system
+    stores them as a table too): every later pass reads a column-pruned scan
+    instead of re-running the dimension joins, and the lineage is cut, so a
+    lost executor does not send the job back to the joins."""
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def training_rows(views: DataFrame, content: DataFrame, category: DataFrame, sentiment: DataFrame,
+                  seed_labels: DataFrame, start: str, end: str,
+                  zone: str = "America/New_York") -> DataFrame:
+    """Stage 1 rows for labelled visitors (window, semi join, article /
+    category / sentiment joins)."""
+    return en.raw_rows(views, content, category, sentiment, start, end, labelled=seed_labels, zone=zone)
+
+
 def visitor_features(rows: DataFrame, all_views: DataFrame, subscriptions: DataFrame,
                      resources: list[str], cfg: fe.FeatureConfig = fe.FeatureConfig()) -> DataFrame:
     """Stage 1: joined rows -> wide features + newsletter and subscriber flags."""
