@@ -74,3 +74,25 @@ def test_dates_are_session_zone_independent(spark):
         assert df.select(epoch_to_text("s")).first()[0] == "2024-03-10 07:30:00"
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
+
+
+def test_fused_wide_equals_join_of_families(spark):
+    """The fused one-aggregate build equals the source system's shape: one
+    frame per family, session and sentiment statistics, inner-joined."""
+    from functools import reduce
+    from kindred.operators.clean import clean_views
+    pv = Fixtures(spark, SF001).pageviews
+    cfg = fe.FeatureConfig(home_country="NATION_19")
+    cleaned = clean_views(pv)
+    voc = fe.Vocabulary.build(cleaned, cfg)
+    prepared = fe.prepare(cleaned, voc, cfg)
+    frames = [fe.session_stats(fe.session_grain(fe.page_grain(prepared), fe.page_content_map(prepared), cfg)),
+              prepared.groupBy("visitor_id").agg(
+                  (fe.exact_sum("sentiment_score") / F.count("sentiment_score")).alias("sentiment_score_mean"),
+                  F.median("sentiment_score").alias("sentiment_score_median"))]
+    frames += [fe.pivot_family(prepared, fam, voc.domains.get(fam.column), cfg)
+               for fam in fe.HEAD_FAMILIES + fe.TAIL_FAMILIES]
+    joined = reduce(lambda a, b: a.join(b, "visitor_id", "inner"), frames)
+    wide = fe.build_wide(pv, cfg, voc)
+    assert sorted(joined.columns) == sorted(wide.columns)
+    assert _wide_rows(joined.select(*wide.columns)) == _wide_rows(wide)
