@@ -18,7 +18,7 @@ from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
-from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -265,5 +265,3 @@ def score(df: DataFrame, model: PipelineModel, iso: IsotonicRegressionModel, key
     return c.select(F.col(key), F.col("p_cal").alias("probability"),
                     (F.col("p_cal") > 0.5).cast("int").alias("predicted"))
 
-
-_ = ParamGridBuilder

@@ -137,10 +137,17 @@ def q_calibrate_isotonic(spark, sf):
     return out(scored)
 
 
+_TRAINED: dict = {}
+
+
 def _trained(spark, sf):
-    fx, feats = _features(spark, sf)
-    art = st.train(st.training_set(feats, fx.seed_labels), QUICK)
-    return fx, art
+    """Train once per session and scale; the report and the scoring query
+    share the artifacts."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _TRAINED:
+        fx, feats = _features(spark, sf)
+        _TRAINED[key] = (fx, st.train(st.training_set(feats, fx.seed_labels), QUICK))
+    return _TRAINED[key]
 
 
 @register("training_report")

@@ -11,11 +11,10 @@ from kindred.functions.calendar import publish_date_local
 from kindred.functions.text import matches, word_count
 from kindred.operators import enrich as en
 from kindred.operators import features as fe
-from kindred.operators.compare import class_from_label
 from kindred.operators.sample import dedupe, sample_rows
 from kindred.plans.catalog import (
     CFG, DATE_END, DATE_START, RESOURCES, SAMPLE_ROWS, SAMPLE_SEED, W, fixtures, out, register)
-from kindred.plans.oracle_sql import feature_ctes, q, wide_sql, pivot_sql
+from kindred.plans.oracle_sql import feature_ctes, q, wide_sql
 from kindred.sources import profile
 from kindred.sources.session import scratch_path
 from kindred.sources.sinks import read_back, write_table
@@ -433,5 +432,3 @@ def q_flag_c_level(spark, sf):
     return lab.select("visitor_id", "management_level",
                       F.when(F.col("management_level") == "C-Level", 1).otherwise(0).alias("c_level"))
 
-
-_ = (pivot_sql, class_from_label)
