@@ -68,6 +68,9 @@ class FeatureConfig:
     # A visitor with more rows than this is spread over several shuffle
     # partitions (salts) before the visitor aggregates.
     hot_rows: int = 1_000_000
+    # Opt-in: approximate medians (fixed-size sketch per visitor) instead of
+    # exact ones (buffer of distinct values per visitor).
+    approx_median: bool = False
 
 
 @dataclass(frozen=True)
@@ -277,7 +280,9 @@ def pivot_family(prepared: DataFrame, fam: Family, raw_values: list | None = Non
     """One family as a wide frame: visitors with at least one categorised row."""
     if raw_values is None:
         vals = [r[0] for r in prepared.where(F.col(fam.column).isNotNull())
-                .select(F.col(fam.column)).distinct().collect()]
+                .select(F.col(fam.column)).distinct().limit(cfg.max_domain + 1).collect()]
+        if len(vals) > cfg.max_domain:
+            raise ValueError(f"{fam.column}: more than max_domain={cfg.max_domain} categories")
         raw_values = sorted([str(v) for v in vals], key=_sort_key(fam.column))
     plan = _AggPlan(cfg)
     plan.add_family(fam, raw_values)
@@ -325,13 +330,15 @@ def session_grain(pages: DataFrame, content_map: DataFrame | None = None,
     return src.groupBy(V, VS).agg(*aggs)
 
 
-def session_stats(sessions: DataFrame) -> DataFrame:
+def session_stats(sessions: DataFrame, approx: bool = False) -> DataFrame:
     """Visitor statistics over sessions: mean/median views and time, bounce
-    rate and (if present) content view rate."""
+    rate and (if present) content view rate. ``approx`` uses quantile
+    sketches for the medians."""
+    med = (lambda c: F.percentile_approx(c, 0.5).cast("double")) if approx else F.median
     aggs = [F.avg("session_pvs").alias("session_pvs_mean"),
-            F.median("session_pvs").alias("session_pvs_median"),
+            med("session_pvs").alias("session_pvs_median"),
             exact_avg("session_top").alias("session_top_mean"),
-            F.median("session_top").alias("session_top_median"),
+            med("session_top").alias("session_top_median"),
             F.avg(F.when(F.col("session_pvs") == 1, F.lit(1.0)).otherwise(F.lit(0.0))).alias("bounce_rate")]
     if "content_pvs" in sessions.columns:
         aggs.append(F.coalesce(F.try_divide(F.sum("content_pvs"), F.sum("session_pvs")),
@@ -373,9 +380,13 @@ def distribute_by_visitor(prepared: DataFrame, cfg: FeatureConfig = FeatureConfi
     return salted.repartition(V, "_salt").drop("_salt")
 
 
-def sentiment_median(rows: DataFrame) -> DataFrame:
+def sentiment_median(rows: DataFrame, approx: bool = False) -> DataFrame:
     """Exact median per visitor from (visitor, value, count): the percentile
-    buffer holds distinct values only, and the counting is partial-aggregated."""
+    buffer holds distinct values only, and the counting is partial-aggregated.
+    ``approx`` uses a fixed-size quantile sketch instead."""
+    if approx:
+        return (rows.where(F.col(V).isNotNull()).groupBy(V)
+                .agg(F.percentile_approx(SENT, 0.5).cast("double").alias("sentiment_score_median")))
     counts = rows.where(F.col(V).isNotNull()).groupBy(V, SENT).agg(F.count(F.lit(1)).alias("_c"))
     return counts.groupBy(V).agg(F.percentile(F.col(SENT), F.lit(0.5), F.col("_c"))
                                  .alias("sentiment_score_median"))
@@ -407,8 +418,8 @@ def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(),
     # The narrow branches aggregate the (column-pruned) rows directly: their
     # partial aggregates are small, so a raw repartition would only add cost.
     pages = page_grain(prepared)
-    sess = session_stats(session_grain(pages, page_content_map(prepared), cfg))
-    joined = row.join(sess, V, "inner").join(sentiment_median(prepared), V, "inner")
+    sess = session_stats(session_grain(pages, page_content_map(prepared), cfg), cfg.approx_median)
+    joined = row.join(sess, V, "inner").join(sentiment_median(prepared, cfg.approx_median), V, "inner")
     cols = ([F.col(V)] + [F.col(c).cast("double").alias(c) for c in SESSION_COLUMNS + SENTIMENT_COLUMNS]
             + head.output_columns()
             + [F.col("bounce_rate"), F.col("content_views_rate")]

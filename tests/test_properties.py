@@ -96,3 +96,13 @@ def test_fused_wide_equals_join_of_families(spark):
     wide = fe.build_wide(pv, cfg, voc)
     assert sorted(joined.columns) == sorted(wide.columns)
     assert _wide_rows(joined.select(*wide.columns)) == _wide_rows(wide)
+
+
+def test_approx_median_option_runs_and_is_close(spark):
+    pv = Fixtures(spark, SF001).pageviews
+    exact = {r["visitor_id"]: r for r in fe.build_wide(pv).collect()}
+    approx = {r["visitor_id"]: r for r in fe.build_wide(pv, fe.FeatureConfig(approx_median=True)).collect()}
+    assert set(exact) == set(approx)
+    for v, r in exact.items():
+        assert approx[v]["session_pvs_mean"] == r["session_pvs_mean"]
+        assert abs(approx[v]["sentiment_score_median"] - r["sentiment_score_median"]) <= 1.0
