@@ -37,7 +37,7 @@ class TrainConfig:
     final_search_trials: int = 60
     max_iter_cap: int = 1000
     parallelism: int = 2
-    model_version: str = "c-level-v2"
+    model_version: str = "kindred-1"
     training_date: str | None = None
 
 
