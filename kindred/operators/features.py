@@ -2,12 +2,17 @@
 
 The feature set is a list of *families*: a category column turned into one
 column per category value, holding either a sum of page views, a share of
-the visitor's views, or a ratio of time to views. All families at row grain
-are computed by **one** fused ``groupBy(visitor)`` of conditional sums (partial
-aggregation map-side, so a visitor holding a large share of all rows is
-combined before the shuffle). Session statistics come from the page grain
-``(visitor, session, path)`` → session grain ``(visitor, session)`` →
-visitor. The two visitor-grain results are joined once.
+the visitor's views, or a ratio of time to views. All row-grain families
+are computed by **one** fused ``groupBy(visitor)`` of conditional sums. Its
+input is first repartitioned by (visitor, salt): hot visitors are spread
+over several salts, and partial aggregation then emits about one wide row
+per visitor instead of one per (task, visitor).
+
+Session statistics come from the page grain ``(visitor, session, path)`` →
+session grain ``(visitor, session)`` → visitor, using Spark's own narrow
+partial aggregation. The sentiment median comes from ``(visitor, value,
+count)``. The visitor-grain results are joined once, on a key that is
+unique on both sides.
 
 Pivot domains (which category columns exist) are data driven, as in the
 source system. They are found together with the top-n lists in a single
