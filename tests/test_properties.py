@@ -106,3 +106,16 @@ def test_approx_median_option_runs_and_is_close(spark):
     for v, r in exact.items():
         assert approx[v]["session_pvs_mean"] == r["session_pvs_mean"]
         assert abs(approx[v]["sentiment_score_median"] - r["sentiment_score_median"]) <= 1.0
+
+
+def test_hot_visitor_detected_on_sample_and_salting_is_exact(spark):
+    # visitor 0 holds a third of all rows (the skew the engine must survive)
+    df = spark.range(60000).select(
+        F.when(F.col("id") % 3 == 0, F.lit(0)).otherwise(F.col("id") % 500 + 1).alias("visitor_id"),
+        (F.col("id") % 7).cast("int").alias("page_views"))
+    cfg = fe.FeatureConfig(hot_rows=1000)
+    hot = {r["visitor_id"]: r["_salts"] for r in fe.hot_visitors(df, cfg).collect()}
+    assert list(hot) == [0] and 14 <= hot[0] <= 26
+    salted = fe.distribute_by_visitor(df, cfg).groupBy("visitor_id").agg(F.sum("page_views").alias("s"))
+    plain = df.groupBy("visitor_id").agg(F.sum("page_views").alias("s"))
+    assert salted.exceptAll(plain).count() == 0 and plain.exceptAll(salted).count() == 0
