@@ -390,7 +390,7 @@ def distribute_by_visitor(prepared: DataFrame, cfg: FeatureConfig = FeatureConfi
               .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
                           .otherwise(F.pmod(row_key, F.col("_salts")).cast("int")))
               .drop("_salts"))
-    return salted.repartition(V, "_salt").drop("_salt")
+    return salted.repartition(V, "_salt")
 
 
 def sentiment_median(rows: DataFrame, approx: bool = False) -> DataFrame:
@@ -417,16 +417,23 @@ def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(),
     tail.aggs = head.aggs  # share one aggregate list
     for fam in TAIL_FAMILIES:
         tail.add_family(fam, voc.domains.get(fam.column, []))
-    needed = {V, SENT, "_tmicro", "_smicro", PV, "_date", "referral_group", "device_os"}
-    needed |= {f.column for f in HEAD_FAMILIES + TAIL_FAMILIES}
+    cat_cols = sorted({f.column for f in HEAD_FAMILIES + TAIL_FAMILIES} | {"referral_group", "device_os"})
+    needed = {V, SENT, "_tmicro", "_smicro", PV} | set(cat_cols)
     dist = distribute_by_visitor(prepared.select(*[c for c in prepared.columns if c in needed]), cfg,
                                  hot_visitors(cleaned, cfg))
-    row = (dist.where(F.col(V).isNotNull()).groupBy(V).agg(
-        (F.sum("_smicro") / F.lit(float(MICRO)) / F.count(F.col(SENT))).alias("sentiment_score_mean"),
-        F.count_if(F.col("referral_group").isNotNull()).alias("_ok_rf"),
-        F.count_if(F.col("device_os").isNotNull()).alias("_ok_dos"),
-        F.count_if(F.col("_date").isNotNull()).alias("_ok_date"),
-        *head.agg_columns()))
+    # Collapse rows that agree on every category inside each (visitor, salt)
+    # partition: the keys contain the partitioning, so this needs no
+    # exchange, and the wide conditional aggregate then runs over fewer rows.
+    # ``day_name`` is null exactly when the date is unparseable.
+    pre = (dist.where(F.col(V).isNotNull()).groupBy(V, "_salt", *cat_cols)
+           .agg(F.sum(PV).alias(PV), F.sum("_tmicro").alias("_tmicro"), F.count(F.lit(1)).alias("_n"),
+                F.sum("_smicro").alias("_smicro"), F.count(F.col(SENT)).alias("_ns")))
+    row = pre.groupBy(V).agg(
+        (F.sum("_smicro") / F.lit(float(MICRO)) / F.sum("_ns")).alias("sentiment_score_mean"),
+        F.sum(F.when(F.col("referral_group").isNotNull(), F.col("_n"))).alias("_ok_rf"),
+        F.sum(F.when(F.col("device_os").isNotNull(), F.col("_n"))).alias("_ok_dos"),
+        F.sum(F.when(F.col("day_name").isNotNull(), F.col("_n"))).alias("_ok_date"),
+        *head.agg_columns())
     row = row.where((F.col("_ok_rf") > 0) & (F.col("_ok_dos") > 0) & (F.col("_ok_date") > 0))
     # The narrow branches aggregate the (column-pruned) rows directly: their
     # partial aggregates are small, so a raw repartition would only add cost.
