@@ -141,3 +141,20 @@ def test_home_country_hour(spark):
 
 def test_rows_are_plain_tuples():
     assert Row(a=1).a == 1
+
+
+def test_vocabulary_refuses_unbounded_domain(spark):
+    import pytest
+    from kindred.operators.clean import clean_views
+    rows = [view(i, 1, 100, "/a", 1, 1.0, referral_group=f"R{i}") for i in range(6)]
+    with pytest.raises(ValueError, match="max_domain"):
+        fe.Vocabulary.build(clean_views(spark.createDataFrame(rows, VIEW_SCHEMA)), fe.FeatureConfig(max_domain=4))
+
+
+def test_keep_inf_through_wide_build(spark):
+    rows = [view(1, 1, 100, "/a", 0, 5.0, tier1="Z"), view(2, 1, 100, "/b", 2, 4.0, tier1="Y")]
+    df = spark.createDataFrame(rows, VIEW_SCHEMA)
+    finite = fe.build_wide(df).first()
+    inf = fe.build_wide(df, fe.FeatureConfig(keep_inf=True)).first()
+    assert finite["t1_z_top"] == 0.0 and math.isinf(inf["t1_z_top"])
+    assert finite["t1_y_top"] == inf["t1_y_top"] == 2.0
