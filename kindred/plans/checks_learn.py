@@ -84,7 +84,19 @@ def q_stratified_folds(spark, sf):
     return _split(spark, sf).where(~F.col("holdout")).select("visitor_id", "c_level", "fold")
 
 
+_PREPARED: dict = {}
+
+
 def _prepared_train(spark, sf):
+    """Encoded, split and checkpointed training rows; built once per session
+    and scale and shared by the learning checks."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _PREPARED:
+        _PREPARED[key] = _build_prepared_train(spark, sf)
+    return _PREPARED[key]
+
+
+def _build_prepared_train(spark, sf):
     checkpoint_dir(spark)
     ts = _training_set(spark, sf).drop("management_level").na.fill(0).checkpoint()
     cats = ln.string_columns(ts)
