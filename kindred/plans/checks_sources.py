@@ -432,3 +432,26 @@ def q_flag_c_level(spark, sf):
     return lab.select("visitor_id", "management_level",
                       F.when(F.col("management_level") == "C-Level", 1).otherwise(0).alias("c_level"))
 
+
+
+# ---- end to end: stage-1 rows -> wide features + flags ------------------------------
+
+_STAGE1_SRC = (f"(SELECT * FROM st_full WHERE {WINDOW_SQL} "
+               f"AND visitor_id IN (SELECT visitor_id FROM seed_labels))")
+
+
+@register("training_features", f"""{WS},
+{feature_ctes(CFG, _STAGE1_SRC, "tf_")}
+SELECT w.*,
+  CASE WHEN u.visitor_id IS NOT NULL THEN 'nl_unsubscriber' ELSE 'nl_subscriber' END AS nl_subscription,
+  CASE WHEN s.visitor_id IS NOT NULL THEN 'subscriber' ELSE 'non_subscriber' END AS subscriber
+FROM ({wide_sql(CFG, "tf_")}) w
+LEFT JOIN (SELECT DISTINCT visitor_id FROM {_STAGE1_SRC} WHERE regexp_matches(page_path, {UNSUB})) u
+  ON u.visitor_id = w.visitor_id
+LEFT JOIN ({SUBS_SQL}) s ON s.visitor_id = w.visitor_id""")
+def q_training_features(spark, sf):
+    from kindred.plans import stages as st
+    fx = _fx(spark, sf)
+    rows = st.training_rows(fx.pageviews, fx.content, fx.content_category, fx.sentiment,
+                            fx.seed_labels, DATE_START, DATE_END, ZONE)
+    return out(st.visitor_features(rows, fx.pageviews, fx.subscriptions, RESOURCES, CFG))
