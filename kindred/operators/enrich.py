@@ -42,9 +42,13 @@ def latest_content(content: DataFrame, zone: str = "America/New_York",
     lower-cased id, local publish time, title and body; publish date is the
     date of the local time."""
     ranked = latest_per_key(filter_articles(content, types), "natural_id", "version_ts")
-    return (ranked.select(to_local(F.col("published_at"), zone).alias("date_et"),
-                          "title", "body", F.lower("natural_id").alias("natid"))
-            .distinct()
+    # DISTINCT over (local time, title, body, id), keyed by a digest of the
+    # body: rows of one group have the same body, which is carried by
+    # ``first`` — and pruned, with no text shuffled, when no later step
+    # reads it.
+    keyed = ranked.select(to_local(F.col("published_at"), zone).alias("date_et"), "title", "body",
+                          F.lower("natural_id").alias("natid"), F.md5("body").alias("_bh"))
+    return (keyed.groupBy("date_et", "title", "natid", "_bh").agg(F.first("body").alias("body"))
             .select("natid", F.to_date("date_et").alias("publish_date"), "title", "body"))
 
 
