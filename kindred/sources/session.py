@@ -58,3 +58,25 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A path for an intermediate table inside the checkpoint folder."""
     base = checkpoint_dir(spark)
     return os.path.join(base, "tables", name)
+
+
+def size_partitions(spark: SparkSession, input_bytes: int, cores: int,
+                    target_bytes: int = 256 << 20, max_split_bytes: int = 128 << 20) -> int:
+    """Size the shuffle for an input of ``input_bytes``.
+
+    The initial shuffle partition count is chosen so that one partition of
+    the largest shuffle (at most about the input) holds ``target_bytes``,
+    but never fewer than two per core; AQE then coalesces small ones and
+    splits skewed ones at run time. File splits are capped so that scan
+    tasks also fit executor memory. Values already set by the deployment
+    are kept. Returns the partition count in effect.
+    """
+    conf = spark.conf
+    want = max(2 * cores, -(-int(input_bytes) // target_bytes))
+    current = int(conf.get("spark.sql.shuffle.partitions", "200"))
+    if want > current:
+        conf.set("spark.sql.shuffle.partitions", str(want))
+    if conf.get("spark.sql.files.maxPartitionBytes", None) in (None, str(128 << 20), "128m", "128MB"):
+        conf.set("spark.sql.files.maxPartitionBytes", str(max_split_bytes))
+    conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(target_bytes))
+    return int(conf.get("spark.sql.shuffle.partitions"))

@@ -158,3 +158,19 @@ def test_keep_inf_through_wide_build(spark):
     inf = fe.build_wide(df, fe.FeatureConfig(keep_inf=True)).first()
     assert finite["t1_z_top"] == 0.0 and math.isinf(inf["t1_z_top"])
     assert finite["t1_y_top"] == inf["t1_y_top"] == 2.0
+
+
+def test_size_partitions(spark):
+    from kindred.sources.session import size_partitions
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    old_adv = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    old_split = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert size_partitions(spark, 100 << 40, cores=8000) == (100 << 40) // (256 << 20)
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        assert size_partitions(spark, 1 << 20, cores=4) == 8
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old_adv)
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old_split)
