@@ -153,7 +153,11 @@ def scoring_rows(views: DataFrame, seed_labels: DataFrame, start: str, end: str,
 
 def score_features(features: DataFrame, art: Artifacts) -> DataFrame:
     """Stage 4: one row per visitor, aligned to the training features, scored."""
-    feats = lowercase_columns(dedupe(features, ["visitor_id"], ["visitor_id"]))
+    # One row per visitor holds by construction (the features are a
+    # ``groupBy(visitor)``, the flags left joins to distinct ids), so the
+    # source system's de-duplication on the visitor is a no-op here and is
+    # not paid for as a wide sort.
+    feats = lowercase_columns(features)
     cats = ln.string_columns(feats)
     numeric = [f for f in art.features if not f.endswith("_code")]
     aligned = ln.align_features(feats, numeric).join(feats.select("visitor_id", *cats), "visitor_id")
