@@ -10,7 +10,8 @@ from oracle_util import compare, duck
 FAST = ["user_features_wide", "pivot_country", "top_day_of_month", "share_tier1", "session_time_stats",
         "scan_pageviews", "anti_null_aware", "latest_content", "sample_visitors", "class_mix_all",
         "compare_top_k", "weighted_f1", "probability_histogram", "stratified_holdout", "fn_word_count",
-        "profile_nulls", "sink_append_roundtrip", "dedupe_visitor_class", "flag_subscriber"]
+        "profile_nulls", "sink_append_roundtrip", "dedupe_visitor_class", "flag_subscriber",
+        "training_features"]
 
 
 @pytest.fixture(scope="module")
