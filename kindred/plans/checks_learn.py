@@ -18,7 +18,7 @@ SEED = 4222
 # Small search sizes for the registered checks (the stage defaults are the
 # source system's 10 / 100 / 60 trials and up to 1000 trees).
 QUICK = st.TrainConfig(seed=SEED, selection_search_trials=2, selection_trials=3, final_search_trials=2,
-                       max_iter_cap=8, parallelism=2, training_date="2024-02-01")
+                       max_iter_cap=8, parallelism=4, training_date="2024-02-01")
 BASE = ln.TreeParams(max_iter=8, step_size=0.3, max_depth=3)
 
 
