@@ -7,8 +7,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import simhash
-from kindred.llm.common import table
+from kindred.llm import decontaminate, simhash
+from kindred.llm.common import sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,3 +28,32 @@ def q_simhash(spark, sf_dir):
     """Fingerprint and component of every document (3-word shingles, 3 bits)."""
     found = simhash.near_duplicates(table(spark, sf_dir, "documents"), words=3, max_bits=3)
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+_WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+OP2_SQL = f"""
+WITH doc AS (SELECT doc_id, coalesce({_WORDS}, []) AS w FROM documents),
+item AS (SELECT CAST(item_id AS VARCHAR) AS id, {_WORDS} AS w FROM benchmark),
+win AS (SELECT DISTINCT id, least(len(w), 10) AS n, array_to_string(w[s:s + least(len(w), 10) - 1], ' ') AS k
+        FROM (SELECT id, w, unnest(range(1, len(w) - least(len(w), 10) + 2)) AS s FROM item WHERE len(w) > 0)),
+gram AS (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS k
+         FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS s
+               FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)),
+met AS (SELECT g.doc_id, g.s, g.n, win.id FROM gram g JOIN win ON g.n = win.n AND g.k = win.k),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+        FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM met) GROUP BY doc_id),
+ids AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS l FROM met GROUP BY doc_id)
+SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
+       CAST(coalesce(len(l), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit ON doc.doc_id = hit.doc_id LEFT JOIN ids ON doc.doc_id = ids.doc_id
+"""
+
+
+@register("op2_benchmark_decontamination", OP2_SQL)
+def q_decontaminate(spark, sf_dir):
+    """Words of every document that lie in a 10-word window of a benchmark item."""
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.select("doc_id", "n_words", "n_hit", "n_items", sha_list("item_ids").alias("items_sha256"),
+                        "contaminated")
