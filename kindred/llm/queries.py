@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import decontaminate, simhash
+from kindred.llm import decontaminate, lines, simhash
 from kindred.llm.common import sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -57,3 +57,42 @@ def q_decontaminate(spark, sf_dir):
     found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
     return found.select("doc_id", "n_words", "n_hit", "n_items", sha_list("item_ids").alias("items_sha256"),
                         "contaminated")
+
+
+def _cut_sql(size: int, unit: str, keep: str) -> str:
+    """Oracle of the line operators: ``unit`` normalises a line ``x``,
+    ``keep`` says which units ``u`` are compared."""
+    return f"""
+WITH line AS (SELECT doc_id, i - 1 AS n, parts[i] AS raw, {unit.format(x='parts[i]')} AS x
+              FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
+                    FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text <> ''))),
+unit AS (SELECT * FROM (SELECT doc_id, n, list(x) OVER w AS u, count(*) OVER w AS k FROM line
+                        WINDOW w AS (PARTITION BY doc_id ORDER BY n ROWS BETWEEN CURRENT ROW AND {size - 1} FOLLOWING))
+         WHERE k = {size} AND {keep}),
+ranked AS (SELECT doc_id, n, first(doc_id) OVER w AS fd, first(n) OVER w AS fn FROM unit
+           WINDOW w AS (PARTITION BY u ORDER BY doc_id, n)),
+gone AS (SELECT DISTINCT doc_id, unnest(range(n, n + {size})) AS n FROM ranked
+         WHERE doc_id <> fd OR n >= fn + {size}),
+cut AS (SELECT line.doc_id, count(*) AS n_lines, count(gone.n) AS n_removed,
+               coalesce(string_agg(raw, chr(10) ORDER BY line.n) FILTER (WHERE gone.n IS NULL), '') AS text
+        FROM line LEFT JOIN gone ON line.doc_id = gone.doc_id AND line.n = gone.n GROUP BY line.doc_id)
+SELECT d.doc_id, CASE WHEN cut.doc_id IS NULL THEN d.text ELSE cut.text END AS text,
+       CAST(coalesce(cut.n_lines, CASE WHEN d.text IS NULL THEN 0 ELSE 1 END) AS BIGINT) AS n_lines,
+       CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed
+FROM documents d LEFT JOIN cut ON d.doc_id = cut.doc_id
+"""
+
+
+@register("op4_line_hash_dedup",
+          _cut_sql(1, "trim(regexp_replace(lower({x}), '[ \\t\\r]+', ' ', 'g'))", "len(string_split(u[1], ' ')) >= 5"))
+def q_unit_dedup(spark, sf_dir):
+    """Every document without the lines (5 words or more) that an earlier one holds."""
+    out = lines.unit_dedup(table(spark, sf_dir, "documents"), min_words=5)
+    return out.select("doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
+
+
+@register("op5_line_window_dedup", _cut_sql(3, "trim({x}, ' ' || chr(9) || chr(13))", "u <> ['', '', '']"))
+def q_window_dedup(spark, sf_dir):
+    """Every document without later occurrences of repeated three-line windows."""
+    out = lines.window_dedup(table(spark, sf_dir, "documents"), size=3)
+    return out.select("doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
