@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import decontaminate, lines, simhash
+from kindred.llm import decontaminate, lines, mixing, simhash
 from kindred.llm.common import sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,59 @@ def q_window_dedup(spark, sf_dir):
     """Every document without later occurrences of repeated three-line windows."""
     out = lines.window_dedup(table(spark, sf_dir, "documents"), size=3)
     return out.select("doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
+
+
+MIX = mixing.Mix(budget_share=0.5, max_epochs=4, seed="mix-1",
+                 weights={"domain": {"domain0": 4, "domain1": 3, "domain2": 2},
+                          "lang": {"en": 3, "de": 2, "fr": 2}})
+
+
+def _share_sql(name: str, src: str, parent: str, level: str, weight: str) -> str:
+    """CTEs that fill ``level`` of the tree by repeated division: ``name``
+    has the budget of each child."""
+    over = f"PARTITION BY {parent}" if parent else ""
+    keys = ", ".join(filter(None, [parent, level]))
+    return f"""
+{name}_w AS (SELECT *, CAST({weight} AS DOUBLE) AS w FROM {src}),
+{name}_l AS (SELECT *, sum(w) OVER ({over}) - coalesce(sum(w) OVER ({over} ORDER BY cap / w, {level}
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS wfrom,
+               coalesce(sum(cap) OVER ({over} ORDER BY cap / w, {level}
+                 ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS taken FROM {name}_w),
+{name} AS (SELECT {keys}, least(CAST(cap AS DOUBLE), w * max((budget - taken) / wfrom) OVER ({over})) AS budget
+           FROM {name}_l)"""
+
+
+OP9_SQL = f"""
+WITH t AS (SELECT doc_id, 'domain' || coalesce(TRY_CAST(regexp_extract(source, '[0-9]+') AS BIGINT), 0) % 4 AS domain,
+                  coalesce(lang, '') AS lang, coalesce(source, '') AS source, md5(coalesce(text, '')) AS body,
+                  CAST(len(coalesce(regexp_extract_all(text, '[^\\x20\\x09-\\x0D]+'), [])) AS BIGINT) AS tokens
+           FROM documents),
+leaf AS (SELECT domain, lang, source, CAST(sum(tokens) AS BIGINT) AS have, CAST(sum(tokens) * 4 AS BIGINT) AS cap
+         FROM t WHERE tokens > 0 GROUP BY ALL),
+d0 AS (SELECT domain, CAST(sum(cap) AS BIGINT) AS cap, CAST(floor((SELECT sum(have) FROM leaf) * 0.5) AS DOUBLE) AS budget
+       FROM leaf GROUP BY domain),
+{_share_sql('d1', 'd0', '', 'domain', "CASE domain WHEN 'domain0' THEN 4 WHEN 'domain1' THEN 3 WHEN 'domain2' THEN 2 ELSE 1 END")},
+l0 AS (SELECT leaf.domain, lang, CAST(sum(cap) AS BIGINT) AS cap, any_value(budget) AS budget
+       FROM leaf JOIN d1 ON leaf.domain = d1.domain GROUP BY leaf.domain, lang),
+{_share_sql('l1', 'l0', 'domain', 'lang', "CASE lang WHEN 'en' THEN 3 WHEN 'de' THEN 2 WHEN 'fr' THEN 2 ELSE 1 END")},
+s0 AS (SELECT leaf.domain, leaf.lang, source, cap, budget FROM leaf
+       JOIN l1 ON leaf.domain = l1.domain AND leaf.lang = l1.lang),
+{_share_sql('s1', 's0', 'domain, lang', 'source', '1')},
+goal AS (SELECT leaf.*, CAST(floor(round(budget, 3)) AS BIGINT) // have AS epochs,
+                CAST(floor(round(budget, 3)) AS BIGINT) % have AS rest
+         FROM leaf JOIN s1 ON leaf.domain = s1.domain AND leaf.lang = s1.lang AND leaf.source = s1.source),
+placed AS (SELECT t.*, epochs, rest, md5('mix-1:' || epochs || ':' || coalesce(CAST(doc_id AS VARCHAR), '') || ':' || body) AS place
+           FROM t JOIN goal g ON t.domain = g.domain AND t.lang = g.lang AND t.source = g.source WHERE tokens > 0),
+upto AS (SELECT *, sum(tokens) OVER (PARTITION BY domain, lang, source ORDER BY place) <= rest AS more FROM placed)
+SELECT doc_id, domain, lang, source, tokens,
+       CAST(unnest(range(epochs + CASE WHEN more THEN 1 ELSE 0 END)) AS INTEGER) AS epoch FROM upto
+"""
+
+
+@register("op9_mix_to_weights", OP9_SQL)
+def q_mix(spark, sf_dir):
+    """Documents by epoch that fill half of all tokens to the tree's weights."""
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix_rows(docs, MIX, ["doc_id", "lang", "source"]).select(
+        "doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"),
+        F.coalesce("source", F.lit("")).alias("source"), "tokens", "epoch")
