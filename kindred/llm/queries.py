@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import decontaminate, lines, mixing, simhash
+from kindred.llm import decontaminate, langid, lines, mixing, simhash
 from kindred.llm.common import sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,17 @@ def q_mix(spark, sf_dir):
     return mixing.mix_rows(docs, MIX, ["doc_id", "lang", "source"]).select(
         "doc_id", "domain", F.coalesce("lang", F.lit("")).alias("lang"),
         F.coalesce("source", F.lit("")).alias("source"), "tokens", "epoch")
+
+
+def language_fold(doc_id) -> "F.Column":
+    """crc32 of the id as text, modulo 5; a null id counts as the empty text."""
+    return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 5
+
+
+@register("op6_language_id")
+def q_language(spark, sf_dir):
+    """Language of every document; learnt from the documents outside fold 0."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels, proto = langid.fit(docs.where(language_fold(F.col("doc_id")) != 0))
+    return langid.predict(docs.select("doc_id", (language_fold(F.col("doc_id")) == 0).alias("held_out"), "text"),
+                          labels, proto).select("doc_id", "held_out", "lang_pred", "score")

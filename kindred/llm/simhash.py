@@ -16,7 +16,7 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.llm.common import components, staged
@@ -38,8 +38,9 @@ def simhash64(data: bytes | None, words: int = 3) -> int:
     return int(np.packbits(2 * ones > len(h), bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """``(doc_id, fp)`` for each row of ``docs``: 64-bit SimHash, signed.
+def fingerprints(docs: DataFrame, words: int = 3, carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``carry`` and ``fp`` for each row of ``docs``: 64-bit SimHash
+    of ``text``, signed.
 
     Text is lower-cased in A-Z and cut at ASCII white space into words;
     features are the ``words``-word shingles with repeats, joined by one
@@ -47,16 +48,16 @@ def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
     bit is 1 if it is set in over half the hashes. A null, empty or blank
     text has fingerprint 0. Rows with equal ``doc_id`` each give a row.
     """
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+    rows = docs.select(*carry, F.col("text").cast("binary").alias("_text"))
+    kinds = ", ".join(f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carry)
 
     def run(batches):
         for b in batches:
-            fp = [simhash64(x.as_py(), words) for x in b.column("text")]
+            fp = [simhash64(x.as_py(), words) for x in b.column("_text")]
             yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), pa.array(np.array(fp, dtype=np.uint64).view(np.int64))], ["doc_id", "fp"])
+                [b.column(c) for c in carry] + [pa.array(np.array(fp, dtype=np.uint64).view(np.int64))], [*carry, "fp"])
 
-    return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
-        run, f"doc_id {id_type}, fp long")
+    return rows.mapInArrow(run, f"{kinds}, fp long")
 
 
 def block_masks(blocks: int, max_bits: int) -> list[int]:
@@ -110,14 +111,15 @@ def links(fps: DataFrame, max_bits: int = 3, blocks: int = 5, bucket_rows: int =
     return met.select("fps").mapInArrow(run, "a long, b long").distinct()
 
 
-def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks: int = 5) -> DataFrame:
-    """``(doc_id, fp, component_id)`` for each row of ``docs``: the smallest
-    ``doc_id`` reachable over fingerprints that differ in at most
-    ``max_bits`` bits. Null ids are never a component's id unless the whole
-    component has none. Empty input gives an empty result; other columns of
-    ``docs`` are ignored.
+def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks: int = 5,
+                    carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
+    """Columns ``carry``, ``fp`` and ``component_id`` for each row of
+    ``docs``: the smallest ``doc_id`` reachable over fingerprints that differ
+    in at most ``max_bits`` bits. Null ids are never a component's id unless
+    the whole component has none. Empty input gives an empty result; other
+    columns of ``docs`` are ignored.
     """
-    rows = staged(fingerprints(docs, words), "simhash")
+    rows = staged(fingerprints(docs, words, carry), "simhash")
     groups = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-groups")
     roots = components(links(groups.select("fp"), max_bits, blocks))
     member = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
@@ -125,4 +127,18 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks:
     member = staged(member, "simhash-members")
     least = staged(member.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-components")
     names = staged(member.join(least, "root").select("fp", "component_id"), "simhash-names")
-    return rows.join(names, "fp").select("doc_id", "fp", "component_id")
+    return rows.join(names, "fp").select(*carry, "fp", "component_id")
+
+
+def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks: int = 5) -> DataFrame:
+    """``docs`` with one row of each component: that of the smallest
+    ``doc_id``, a null id counting as the largest; of several rows with that
+    id the one whose text has the smallest hash, repeated rows once."""
+    d = F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long")
+    keyed = docs.select(d.alias("doc_id"), F.xxhash64("text").alias("h"), "text")
+    found = near_duplicates(keyed, words, max_bits, blocks, ("doc_id", "h"))
+    keep = staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("h").alias("h"))
+                  .select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")), "simhash-keep")
+    met = docs.withColumn("_d", d).withColumn("_h", F.xxhash64("text")).join(keep, ["_d", "_h"], "left_semi")
+    first = Window.partitionBy("_d", "_h").orderBy("_d")
+    return met.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_d", "_h", "_n")
