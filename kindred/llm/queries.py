@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import decontaminate, langid, lines, mixing, simhash
+from kindred.llm import ann, decontaminate, langid, lines, mixing, simhash
 from kindred.llm.common import sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -166,3 +166,9 @@ def q_language(spark, sf_dir):
     labels, proto = langid.fit(docs.where(language_fold(F.col("doc_id")) != 0))
     return langid.predict(docs.select("doc_id", (language_fold(F.col("doc_id")) == 0).alias("held_out"), "text"),
                           labels, proto).select("doc_id", "held_out", "lang_pred", "score")
+
+
+@register("op7_nearest_neighbours")
+def q_nearest(spark, sf_dir):
+    """Ten nearest found of every hundredth vector among all others."""
+    return ann.nearest(table(spark, sf_dir, "embeddings"), query="id % 100 = 0", k=10)
