@@ -32,8 +32,7 @@ class Forest:
         self.seed = seed
         for t in range(trees):
             self.roots.append(self._grow(sample, leaf_rows, np.random.default_rng([seed, t])))
-        dim = sample.shape[1] if sample.size else 0
-        self.planes = np.array(self.planes, dtype=np.float64).reshape(-1, dim)
+        self.planes = np.array(self.planes, dtype=np.float64).reshape(len(self.planes), sample.shape[1])
         self.offsets = np.array(self.offsets, dtype=np.float64)
         self.children = np.array(self.children, dtype=np.int64).reshape(-1, 2)
 
