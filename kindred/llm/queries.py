@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, decontaminate, langid, lines, mixing, simhash
+from kindred.llm import ann, decontaminate, langid, licenses, lines, mixing, simhash
 from kindred.llm.common import sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +172,14 @@ def q_language(spark, sf_dir):
 def q_nearest(spark, sf_dir):
     """Ten nearest found of every hundredth vector among all others."""
     return ann.nearest(table(spark, sf_dir, "embeddings"), query="id % 100 = 0", k=10)
+
+
+@register("op10_license_scan")
+def q_licenses(spark, sf_dir):
+    """License notices and texts found in every document (Dice of 0.8 or more)."""
+    found = licenses.scan(table(spark, sf_dir, "documents"), threshold=0.8)
+    return found.select(
+        "doc_id", F.size("matches").cast("long").alias("n_matches"),
+        F.concat_ws(",", F.array_sort(F.array_distinct("matches.license"))).alias("licenses"),
+        F.concat_ws(",", F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))).alias("spans"),
+        F.coalesce(F.array_max("matches.dice"), F.lit(0.0)).alias("best_dice"))
