@@ -19,7 +19,13 @@ from pyspark.sql import functions as F
 from kindred.llm.common import staged
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+# The characters of a word once A-Z are lower case, and before that (as listed
+# ranges, which the regular expression engine reads faster than their complement).
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+RAW_WORD = r"[0-9A-Za-z\x80-\x{10FFFF}]+"
+# Term of the entry that closes each document's postings: its position is the
+# number of the document's words.
+END = -1
 # Benchmark-side tables up to this many rows are broadcast (about 100 bytes a
 # row); larger ones are joined by shuffle.
 BROADCAST_ROWS = 500_000
@@ -34,6 +40,18 @@ def words(text) -> F.Column:
                       F.array().cast("array<string>"))
 
 
+def tokens(text) -> F.Column:
+    """Words of a text in their own case, then one empty word for its end."""
+    found = F.regexp_extract_all(text, F.lit(RAW_WORD), F.lit(0))
+    return F.concat(F.coalesce(found, F.array().cast("array<string>")), F.array(F.lit("")))
+
+
+def lowered(word) -> F.Column:
+    """A-Z in lower case. For ASCII words that is ``lower``, which is faster."""
+    return F.when(F.octet_length(word) == F.char_length(word), F.lower(word)) \
+        .otherwise(F.translate(word, UPPER, LOWER))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Adds the document key ``(d, h)``. Rows equal in ``doc_id`` and text
     share it and so have equal results; null ids are told from id 0."""
@@ -48,7 +66,7 @@ def small(df: DataFrame) -> DataFrame:
 
 @dataclass
 class Index:
-    postings: DataFrame   # d, h, t, pos
+    postings: DataFrame   # d, h, t, pos; each document closes with (END, number of words)
     phrases: DataFrame    # p, ids (sorted distinct item ids as strings), len
     terms: DataFrame      # p, ipos, t, n (postings of t)
 
@@ -63,11 +81,13 @@ def build_index(docs: DataFrame, items: DataFrame) -> Index:
                 .where(F.size("words") > 0).groupBy("words").agg(F.array_sort(F.collect_set("id")).alias("ids"))
                 .withColumn("p", F.monotonically_increasing_id()), "dec-phrases")
     terms = ph.select("p", F.posexplode("words").alias("ipos", "word"))
-    vocab = staged(terms.select("word").distinct().withColumn("t", F.monotonically_increasing_id()), "dec-vocab")
+    end = docs.sparkSession.range(1).select(F.lit("").alias("word"), F.lit(END).cast("long").alias("t"))
+    vocab = staged(terms.select("word").distinct().withColumn("t", F.monotonically_increasing_id())
+                   .unionByName(end), "dec-vocab")
     terms = terms.join(vocab, "word").select("p", "ipos", "t")
-    tokens = keyed(docs).select("d", "h", words(F.col("text")).alias("words")) \
-        .select("d", "h", F.posexplode("words").alias("pos", "word"))
-    postings = staged(tokens.join(small(vocab), "word").select("d", "h", "t", "pos"), "dec-postings")
+    listed = keyed(docs).select("d", "h", F.posexplode(tokens(F.col("text"))).alias("pos", "raw")) \
+        .select("d", "h", "pos", lowered(F.col("raw")).alias("word"))
+    postings = staged(listed.join(small(vocab), "word").select("d", "h", "t", "pos"), "dec-postings")
     n = postings.groupBy("t").agg(F.count("*").alias("n"))
     terms = staged(terms.join(n, "t", "left").select("p", "ipos", "t", F.coalesce("n", F.lit(0)).alias("n")), "dec-terms")
     return Index(postings, ph.select("p", "ids", F.size("words").alias("len")), terms)
@@ -135,7 +155,8 @@ def report(docs: DataFrame, ix: Index, matches: DataFrame) -> DataFrame:
         .select("d", "h", F.explode_outer("ids").alias("id")) \
         .groupBy("d", "h").agg(F.array_sort(F.collect_set("id")).alias("item_ids"))
     found = staged(hit.join(ids, ["d", "h"]), "dec-found")
-    rows = keyed(docs).select("doc_id", "d", "h", F.size(words(F.col("text"))).cast("long").alias("n_words"))
+    sizes = ix.postings.where(F.col("t") == END).groupBy("d", "h").agg(F.max("pos").cast("long").alias("n_words"))
+    rows = keyed(docs).select("doc_id", "d", "h").join(sizes, ["d", "h"])
     return rows.join(found, ["d", "h"], "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
