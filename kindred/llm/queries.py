@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, decontaminate, langid, licenses, lines, mixing, simhash
+from kindred.llm import ann, decontaminate, langid, licenses, lines, mixing, pii, simhash
 from kindred.llm.common import sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -183,3 +183,20 @@ def q_licenses(spark, sf_dir):
         F.concat_ws(",", F.array_sort(F.array_distinct("matches.license"))).alias("licenses"),
         F.concat_ws(",", F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))).alias("spans"),
         F.coalesce(F.array_max("matches.dice"), F.lit(0.0)).alias("best_dice"))
+
+
+@register("op3_pii_boosting")
+def q_pii(spark, sf_dir):
+    """Personal data in every document: base patterns and what the trees add."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = pii.find(docs, pii.fit(docs))
+
+    def listed(col):
+        return F.transform(col, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"]))
+
+    def count(kind):
+        return F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+
+    return found.select(
+        "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
+        sha_list(listed("base")).alias("base_sha256"), F.concat_ws(",", listed("spans")).alias("spans"))
