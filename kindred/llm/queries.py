@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, decontaminate, langid, licenses, lines, mixing, pii, simhash
+from kindred.llm import ann, decontaminate, langid, licenses, lines, mixing, pii, simhash, tokencount
 from kindred.llm.common import sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -200,3 +200,9 @@ def q_pii(spark, sf_dir):
     return found.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
         sha_list(listed("base")).alias("base_sha256"), F.concat_ws(",", listed("spans")).alias("spans"))
+
+
+@register("op1_edit_token_counts")
+def q_token_counts(spark, sf_dir):
+    """Tokens of every document before and after its cleaning edits."""
+    return tokencount.edited_counts(table(spark, sf_dir, "documents"))
