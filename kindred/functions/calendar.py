@@ -65,11 +65,10 @@ def to_local(ts_utc, zone: str) -> Column:
     return F.convert_timezone(F.lit("UTC"), F.lit(zone), _c(ts_utc))
 
 
-def session_hour(visit_start, country, home_country: str, home_zone: str) -> Column:
-    """Hour of the session start: local time for the home country, else UTC."""
+def session_start(visit_start, country, home_country: str, home_zone: str) -> Column:
+    """Wall clock of the session start: local time for the home country, else UTC."""
     utc = epoch_to_utc(visit_start)
-    local = to_local(utc, home_zone)
-    return F.hour(F.when(_c(country) == F.lit(home_country), local).otherwise(utc))
+    return F.when(_c(country) == F.lit(home_country), to_local(utc, home_zone)).otherwise(utc)
 
 
 def business_hours(hour) -> Column:

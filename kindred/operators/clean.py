@@ -58,24 +58,18 @@ def collapse(col: str | Column, keep: list[str], other: str = "other") -> Column
     return F.when(c.isin(list(keep)), c).otherwise(F.lit(other))
 
 
-def ranked_totals(df: DataFrame, entries: dict[str, Column],
-                  measure: str = "page_views") -> DataFrame:
-    """Per (dimension, category): total ``measure``; rank of the category in
-    its dimension (total desc, name asc, null last) and categories per dimension.
+def top_categories(df: DataFrame, columns: list[str], n: int = 15, measure: str = "page_views") -> DataFrame:
+    """``dimension, category`` of the ``n`` categories of each column with the
+    most ``measure``, in that order; ties by name, nulls left out.
 
-    One pass over ``df``: the dimensions are stacked with ``explode`` and
-    aggregated together (partial aggregation before the shuffle).
+    One pass: the columns are stacked and aggregated together, and the rank
+    limit is applied in every task before the few rows left are ranked.
     """
-    stacked = df.select(
-        F.col(measure).alias("_m"),
-        F.explode(F.array(*[
-            F.struct(F.lit(k).alias("dimension"), v.cast("string").alias("category"))
-            for k, v in entries.items()])).alias("_e"))
-    totals = (stacked.groupBy(F.col("_e.dimension").alias("dimension"),
-                              F.col("_e.category").alias("category"))
-              .agg(F.sum("_m").alias("total")))
-    w = Window.partitionBy("dimension").orderBy(
-        F.col("category").isNull(), F.desc("total"), F.asc("category"))
-    return (totals
-            .withColumn("rank", F.row_number().over(w))
-            .withColumn("n_categories", F.count(F.lit(1)).over(Window.partitionBy("dimension"))))
+    each = df.select(F.col(measure).alias("_m"), F.explode(F.array(*[
+        F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("category")) for c in columns])).alias("_e"))
+    totals = (each.where(F.col("_e.category").isNotNull())
+              .groupBy(F.col("_e.dimension").alias("dimension"), F.col("_e.category").alias("category"))
+              .agg(F.sum("_m").alias("_total")))
+    order = Window.partitionBy("dimension").orderBy(F.desc("_total"), F.asc("category"))
+    return (totals.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= n)
+            .orderBy("dimension", "_n").select("dimension", "category"))

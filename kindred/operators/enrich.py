@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.calendar import to_local
 from kindred.functions.text import matches
+from kindred.sources.session import materialize
 
 # Content types that count as articles.
 ARTICLE_TYPES = ["blog", "blogslide", "magazine"]
@@ -28,7 +29,7 @@ def latest_per_key(df: DataFrame, key: str | Column, order: str | Column) -> Dat
 def latest_sentiment(sentiment: DataFrame) -> DataFrame:
     """Newest sentiment row per article (ties kept); id lower-cased."""
     return (latest_per_key(sentiment, "natid", "pub_date")
-            .select(F.lower("natid").alias("sentiment_natid"), "pub_date",
+            .select(F.lower("natid").alias("sentiment_key"), F.col("pub_date").alias("scored_on"),
                     "clean_body", "sentiment_score"))
 
 
@@ -44,39 +45,58 @@ def latest_content(content: DataFrame, zone: str = "America/New_York",
     ranked = latest_per_key(filter_articles(content, types), "natural_id", "version_ts")
     # DISTINCT over (local time, title, body, id), keyed by a digest of the
     # body: rows of one group have the same body, which is carried by
-    # ``first`` — and pruned, with no text shuffled, when no later step
-    # reads it.
-    keyed = ranked.select(to_local(F.col("published_at"), zone).alias("date_et"), "title", "body",
-                          F.lower("natural_id").alias("natid"), F.md5("body").alias("_bh"))
-    return (keyed.groupBy("date_et", "title", "natid", "_bh").agg(F.first("body").alias("body"))
-            .select("natid", F.to_date("date_et").alias("publish_date"), "title", "body"))
+    # ``first`` and pruned, with no text shuffled, when no later step reads it.
+    keyed = ranked.select(to_local(F.col("published_at"), zone).alias("_local"), "title", "body",
+                          F.lower("natural_id").alias("article_key"), F.md5("body").alias("_digest"))
+    return (keyed.groupBy("_local", "title", "article_key", "_digest").agg(F.first("body").alias("body"))
+            .select("article_key", F.to_date("_local").alias("publish_date"), "title", "body"))
 
 
 def latest_category(category: DataFrame) -> DataFrame:
     """Newest category per content id; distinct (several may tie)."""
     return (latest_per_key(category, "natid", "ts")
-            .select(F.col("category").alias("tier1"), "natid").distinct())
+            .select(F.col("category").alias("tier1"), F.col("natid").alias("category_key")).distinct())
 
 
 def content_with_category(content: DataFrame, category: DataFrame,
                           zone: str = "America/New_York") -> DataFrame:
     """Latest articles joined with their latest category on the lower-cased id."""
-    c = latest_content(content, zone)
-    k = latest_category(category)
-    return (c.join(k, F.lower(c["natid"]) == F.lower(k["natid"]), "inner")
-            .select(c["natid"].alias("content_natid"), "publish_date", "title", "body", k["tier1"]))
+    c, k = latest_content(content, zone), latest_category(category)
+    return c.join(k, F.lower("article_key") == F.lower("category_key")).drop("category_key")
+
+
+def article_facts(content: DataFrame, category: DataFrame, sentiment: DataFrame,
+                  zone: str = "America/New_York", text: bool = False) -> DataFrame:
+    """What page views need of articles, by ``fact_key``: each latest article
+    and category with each latest sentiment of the same id, or either alone.
+    Joining this once gives the rows of the two left joins in a row. The
+    texts (``body``, ``clean_body``) come along only with ``text``."""
+    c, s = content_with_category(content, category, zone), latest_sentiment(sentiment)
+    if not text:
+        c, s = c.drop("body"), s.drop("clean_body")
+    both = c.join(s, c["article_key"] == s["sentiment_key"], "full_outer")
+    return both.withColumn("fact_key", F.coalesce("article_key", "sentiment_key")).where("fact_key IS NOT NULL")
+
+
+def left_join_on_id(views: DataFrame, dim: DataFrame, dim_key: str, key: str = "content_id") -> DataFrame:
+    """Rows left-joined with ``dim`` on the lower-cased id; columns of ``dim``
+    replace those of the rows. Rows without an id match nothing and are kept
+    out of the join, where they would all meet in one task. With ``dim`` a
+    stored table, an id with very many rows is split at run time."""
+    v = views.drop(*[c for c in dim.columns if c in views.columns])
+    met = v.where(F.col(key).isNotNull()).join(dim, F.lower(F.col(key)) == F.col(dim_key), "left")
+    none = [F.lit(None).cast(f.dataType).alias(f.name) for f in dim.schema]
+    return met.unionByName(v.where(F.col(key).isNull()).select("*", *none))
 
 
 def join_content(views: DataFrame, content_t: DataFrame, key: str = "content_id") -> DataFrame:
     """Page views left-joined with article data on the lower-cased id."""
-    v = views.drop("tier1", "publish_date")
-    return v.join(content_t, F.lower(v[key]) == F.lower(content_t["content_natid"]), "left")
+    return left_join_on_id(views, content_t, "article_key", key)
 
 
 def join_sentiment(views: DataFrame, sentiment_t: DataFrame, key: str = "content_id") -> DataFrame:
     """Rows left-joined with the latest sentiment on the lower-cased id."""
-    v = views.drop("sentiment_score")
-    return v.join(sentiment_t, F.lower(v[key]) == F.lower(sentiment_t["sentiment_natid"]), "left")
+    return left_join_on_id(views, sentiment_t, "sentiment_key", key)
 
 
 def keep_visitors(views: DataFrame, ids: DataFrame, key: str = "visitor_id",
@@ -145,17 +165,19 @@ def add_flags(features: DataFrame, nl_views: DataFrame, subscriptions: DataFrame
 def raw_rows(views: DataFrame, content: DataFrame, category: DataFrame,
              sentiment: DataFrame, start: str | None = None, end: str | None = None,
              labelled: DataFrame | None = None, exclude: DataFrame | None = None,
-             zone: str = "America/New_York") -> DataFrame:
+             sampled: DataFrame | None = None, zone: str = "America/New_York", text: bool = False) -> DataFrame:
     """The joined page-view rows the features are built from: date window,
-    optional semi join to labelled visitors (training) or null-aware
-    exclusion of them (scoring), latest article + category, latest sentiment.
-    The semi/anti join is applied to the fact before the dimension joins."""
+    semi join to labelled (training) or sampled visitors, null-aware
+    exclusion of labelled ones (scoring), latest article + category, latest
+    sentiment. Rows are cut down before the one join with the stored article
+    facts, which carry no text unless asked for."""
     v = views
     if start is not None:
         v = v.where(F.col("view_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    if labelled is not None:
-        v = keep_visitors(v, labelled)
+    for ids in (labelled, sampled):
+        if ids is not None:
+            v = keep_visitors(v, ids)
     if exclude is not None:
         v = drop_visitors_not_in(v, exclude)
-    v = join_content(v, content_with_category(content, category, zone))
-    return join_sentiment(v, latest_sentiment(sentiment))
+    facts = materialize(article_facts(content, category, sentiment, zone, text), "articles")
+    return left_join_on_id(v, facts, "fact_key").drop("fact_key")

@@ -1,62 +1,48 @@
 """Visitor features.
 
 The feature set is a list of *families*: a category column turned into one
-column per category value, holding either a sum of page views, a share of
-the visitor's views, or a ratio of time to views. All row-grain families
-are computed by **one** fused ``groupBy(visitor)`` of conditional sums. Its
-input is first repartitioned by (visitor, salt): hot visitors are spread
-over several salts, and partial aggregation then emits about one wide row
-per visitor instead of one per (task, visitor).
-
-Session statistics come from the page grain ``(visitor, session, path)`` →
-session grain ``(visitor, session)`` → visitor, using Spark's own narrow
-partial aggregation. The sentiment median comes from ``(visitor, value,
-count)``. The visitor-grain results are joined once, on a key that is
-unique on both sides.
-
-Pivot domains (which category columns exist) are data driven, as in the
-source system. They are found together with the top-n lists in a single
-extra pass (``Vocabulary.build``) whose driver payload is bounded by
-``max_domain`` categories per dimension.
+feature per category value, holding a sum of page views, a share of the
+visitor's views, or a ratio of time to views. All families come from one
+aggregate by (visitor, category columns), which combines a visitor's equal
+rows before any shuffle and spreads a visitor with many rows over its
+categories, and one more by (visitor, family, feature): the long form. The
+long form needs no list of categories, so no domain is bounded or collected;
+only a wide row does, as its columns are the categories.
+
+Session statistics come from the page grain ``(visitor, session, path)`` ->
+session grain ``(visitor, session)`` -> visitor. The sentiment median comes
+from ``(visitor, value, count)``. The visitor-grain results are joined once,
+on a key that is unique on both sides.
 """
 
 from __future__ import annotations
 
-from collections import OrderedDict
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from kindred.functions.calendar import (
-    business_hours, day_name, epoch_to_utc, parse_date, to_local, weekpart)
-from kindred.functions.text import clean_name_str, matches
-from kindred.operators.clean import clean_views, collapse, ranked_totals
+    business_hours, day_name, parse_date, session_start, weekpart)
+from kindred.functions.text import clean_name, matches
+from kindred.operators.clean import clean_views, collapse, top_categories
+from kindred.sources.session import materialize
 
 V, VS, PATH, PV, TIME = "visitor_id", "visit_start", "page_path", "page_views", "time_on_page"
 CONTENT, SENT, DATE, PUB = "content_id", "sentiment_score", "view_date", "publish_date"
 
-# Sums of time and sentiment are accumulated as exact integers of
-# micro-units, so totals do not depend on the order rows meet in
-# (partitioning, retries) and stay on the fast fixed-width aggregate path.
-MICRO = 1_000_000
-
-
-def micros(col) -> Column:
-    """A double as an integer count of micro-units (nearest, ties upward)."""
-    c = F.col(col) if isinstance(col, str) else col
-    return F.floor(c * F.lit(float(MICRO)) + F.lit(0.5))
-
 
 def exact_sum(col) -> Column:
-    """Sum of a double column in exact micro-units, returned as double."""
-    return F.sum(micros(col)) / F.lit(float(MICRO))
+    """Sum of a double column in fixed point (scale 12), as double: it does
+    not depend on the order rows meet in (partitioning, retries)."""
+    c = F.col(col) if isinstance(col, str) else col
+    return F.sum(c.cast("decimal(38,12)")).cast("double")
 
 
 def exact_avg(col) -> Column:
     """Mean of a double column, accumulated in fixed point (scale 12)."""
     c = F.col(col) if isinstance(col, str) else col
-    return F.sum(c.cast("decimal(38,12)")).cast("double") / F.count(c)
+    return exact_sum(c) / F.count(c)
 
 
 @dataclass(frozen=True)
@@ -67,12 +53,9 @@ class FeatureConfig:
     home_zone: str = "America/New_York"
     # Fixed value: content ids counted as content views (case-sensitive).
     content_pattern: str = "blogandpostid|blogandslideid|galleryid|video"
+    # x/0 gives 0 for the model; with this it is +-inf as in the source system.
     keep_inf: bool = False
-    max_domain: int = 10000
     other: str = "other"
-    # A visitor with more rows than this is spread over several shuffle
-    # partitions (salts) before the visitor aggregates.
-    hot_rows: int = 1_000_000
     # Opt-in: approximate medians (fixed-size sketch per visitor) instead of
     # exact ones (buffer of distinct values per visitor).
     approx_median: bool = False
@@ -105,70 +88,22 @@ BUSINESS_PVS = Family("business_hours", "", "_pvs", "sum")
 HEAD_FAMILIES = (REFERRAL, COUNTRY, DEVICE_OS, TIER1, TIER1_SHARE, CHANNEL, SECTION, TIER1_TOP)
 TAIL_FAMILIES = (WEEKPART_TOP, BUSINESS_TOP, DAY_NAME_TOP, DAY_OF_MONTH_TOP)
 
-INT_COLUMNS = {"day_of_month"}
-
+FAMILIES = HEAD_FAMILIES + TAIL_FAMILIES
 
-def _sort_key(column):
-    if column in INT_COLUMNS:
-        return lambda v: int(v)
-    return lambda v: v
+# Columns whose categories are numbers: their features stand in numeric order.
+INT_COLUMNS = {"day_of_month"}
 
 
 @dataclass
 class Vocabulary:
-    """Top-n lists and category domains found in one pass over the rows."""
+    """The top-n lists: at most ``top_n`` values of each collapsed column."""
     tops: dict = field(default_factory=dict)      # column -> [values]
-    domains: dict = field(default_factory=dict)   # column -> [raw values, pivot order]
 
     @staticmethod
     def build(cleaned: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> "Vocabulary":
-        d = parse_date(F.col(DATE))
-        utc = epoch_to_utc(F.col(VS))
-        home = F.coalesce(F.col("country") == F.lit(cfg.home_country), F.lit(False))
-        entries: "OrderedDict[str, Column]" = OrderedDict()
-        for c in cfg.collapse_columns:
-            entries[c] = F.col(c)
-        for c in ("referral_group", "device_os", "tier1"):
-            entries[c] = F.col(c)
-        entries["weekpart"] = weekpart(d)
-        entries["day_name"] = day_name(d)
-        entries["day_of_month"] = F.dayofmonth(d)
-        entries["_bh_home_local"] = F.when(home, business_hours(F.hour(to_local(utc, cfg.home_zone))))
-        entries["_bh_home_utc"] = F.when(home, business_hours(F.hour(utc)))
-        entries["_bh_away"] = F.when(~home, business_hours(F.hour(utc)))
-        totals = ranked_totals(cleaned, entries)
-        is_top = F.col("dimension").isin(list(cfg.collapse_columns))
-        keep = ((is_top & (F.col("rank") <= cfg.top_n))
-                | (~is_top & (F.col("rank") <= cfg.max_domain + 1)))
-        rows = (totals.where(keep)
-                .select("dimension", "category", "rank", "n_categories").collect())
-        per_dim: dict = {}
-        counts: dict = {}
-        for r in rows:
-            per_dim.setdefault(r["dimension"], []).append((r["rank"], r["category"]))
-            counts[r["dimension"]] = r["n_categories"]
-        voc = Vocabulary()
-        for dim, items in per_dim.items():
-            if dim not in cfg.collapse_columns and counts[dim] > cfg.max_domain:
-                raise ValueError(
-                    f"{dim}: {counts[dim]} categories exceed max_domain={cfg.max_domain}; "
-                    "collapse the column to a top-n list first")
-        for c in cfg.collapse_columns:
-            items = sorted(per_dim.get(c, []))
-            top = [cat for _, cat in items if cat is not None][: cfg.top_n]
-            voc.tops[c] = top
-            dom = set(top)
-            if counts.get(c, 0) > len(top):
-                dom.add(cfg.other)
-            voc.domains[c] = sorted(dom)
-        for c in ("referral_group", "device_os", "tier1", "weekpart", "day_name", "day_of_month"):
-            vals = [cat for _, cat in per_dim.get(c, []) if cat is not None]
-            voc.domains[c] = sorted(vals, key=_sort_key(c))
-        home_kept = cfg.home_country in voc.tops.get("country", [])
-        bh = set(cat for _, cat in per_dim.get("_bh_away", []) if cat is not None)
-        src = "_bh_home_local" if home_kept else "_bh_home_utc"
-        bh |= set(cat for _, cat in per_dim.get(src, []) if cat is not None)
-        voc.domains["business_hours"] = sorted(bh)
+        voc = Vocabulary({c: [] for c in cfg.collapse_columns})
+        for r in top_categories(cleaned, list(cfg.collapse_columns), cfg.top_n).collect():
+            voc.tops[r["dimension"]].append(r["category"])
         return voc
 
 
@@ -178,95 +113,69 @@ def prepare(cleaned: DataFrame, voc: Vocabulary, cfg: FeatureConfig = FeatureCon
     for c in cfg.collapse_columns:
         out = out.withColumn(c, collapse(c, voc.tops.get(c, []), cfg.other))
     d = parse_date(F.col(DATE))
-    utc = epoch_to_utc(F.col(VS))
-    hour = F.hour(F.when(F.col("country") == F.lit(cfg.home_country),
-                         to_local(utc, cfg.home_zone)).otherwise(utc))
+    local = session_start(F.col(VS), F.col("country"), cfg.home_country, cfg.home_zone)
     return (out.withColumns({"_date": d, "weekpart": weekpart(d), "day_name": day_name(d),
-                             "day_of_month": F.dayofmonth(d), "session_hour": hour,
-                             "_tmicro": micros(TIME), "_smicro": micros(SENT)})
+                             "day_of_month": F.dayofmonth(d), "session_hour": F.hour(local),
+                             "session_minute": F.minute(local)})
             .withColumn("business_hours", business_hours(F.col("session_hour"))))
 
 
-def family_names(fam: Family, raw_values: list) -> "OrderedDict[str, list]":
-    """Feature name -> raw category values mapping to it (collisions merge)."""
-    out: "OrderedDict[str, list]" = OrderedDict()
-    for v in raw_values:
-        out.setdefault(fam.prefix + clean_name_str(v) + fam.suffix, []).append(v)
-    return out
-
-
-def sql_str(v) -> str:
-    """A Spark SQL string literal."""
-    return "'" + str(v).replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def sql_name(n: str) -> str:
-    return "`" + n.replace("`", "``") + "`"
-
-
-def _cond(column: str, raws: list) -> str:
-    vals = [str(int(v)) for v in raws] if column in INT_COLUMNS else [sql_str(v) for v in raws]
-    if len(vals) == 1:
-        return f"{column} = {vals[0]}"
-    return f"{column} IN ({', '.join(vals)})"
-
-
-class _AggPlan:
-    """Collects aggregate expressions and the final projections of families.
-
-    Expressions are generated as SQL text: a wide feature row has hundreds
-    of them, and one parse per expression is far cheaper on the driver than
-    assembling each through the Column API."""
-
-    def __init__(self, cfg: FeatureConfig):
-        self.cfg = cfg
-        self.aggs: "OrderedDict[str, tuple]" = OrderedDict()
-        self.outputs: list = []  # (name, SQL text over aggregated columns)
-
-    def _add(self, key: str, text: str) -> str:
-        if key not in self.aggs:
-            alias = f"_a{len(self.aggs)}"
-            self.aggs[key] = (alias, text)
-        return self.aggs[key][0]
-
-    def _sum(self, column, raws, measure):
-        cond = _cond(column, raws)
-        if measure == TIME:
-            text = f"sum(CASE WHEN {cond} THEN _tmicro END) / {float(MICRO)}D"
-        else:
-            text = f"sum(CASE WHEN {cond} THEN {measure} END)"
-        return self._add(f"{measure}|{cond}", text)
-
-    def _total(self, column):
-        return self._add(f"total|{column}", f"sum(CASE WHEN {column} IS NOT NULL THEN {PV} END)")
-
-    def add_family(self, fam: Family, raw_values: list):
-        for name, raws in family_names(fam, raw_values).items():
-            if fam.kind == "sum":
-                a = self._sum(fam.column, raws, PV)
-                self.outputs.append((name, f"coalesce(CAST({a} AS DOUBLE), 0D)"))
-            elif fam.kind == "share":
-                a = self._sum(fam.column, raws, PV)
-                t = self._total(fam.column)
-                self.outputs.append((name, f"coalesce(try_divide({a}, {t}), 0D)"))
-            else:
-                num = self._sum(fam.column, raws, TIME)
-                den = self._sum(fam.column, raws, PV)
-                self.outputs.append((name, ratio_sql(num, den, self.cfg.keep_inf)))
-
-    def agg_columns(self):
-        return [F.expr(f"{text} AS {alias}") for alias, text in self.aggs.values()]
-
-    def output_columns(self):
-        return [F.expr(f"{text} AS {sql_name(name)}") for name, text in self.outputs]
-
-
-def ratio_sql(num: str, den: str, keep_inf: bool = False) -> str:
-    base = f"coalesce(try_divide(CAST({num} AS DOUBLE), CAST({den} AS DOUBLE)), 0D)"
-    if not keep_inf:
-        return base
-    return (f"CASE WHEN {den} = 0 AND {num} > 0 THEN double('inf') "
-            f"WHEN {den} = 0 AND {num} < 0 THEN double('-inf') ELSE {base} END")
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
+def _entries(families) -> Column:
+    """The ``family, feature, place`` of a row in each family: ``family`` is
+    the position in ``families``, ``place`` orders features by category."""
+    def entry(k: int, f: Family) -> Column:
+        raw = F.col(f.column).cast("string")
+        name = F.concat(F.lit(f.prefix), clean_name(raw), F.lit(f.suffix))
+        place = F.lpad(raw, 12, "0") if f.column in INT_COLUMNS else raw
+        return F.struct(F.lit(k).alias("family"), name.alias("feature"), place.alias("place"))
+
+    return F.explode(F.array(*[entry(k, f) for k, f in enumerate(families)])).alias("_e")
+
+
+def long_features(prepared: DataFrame, families=FAMILIES, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """``visitor_id, family, feature, value``: one row for each feature a
+    visitor has (absent ones are 0). Categories whose cleaned names are equal
+    are one feature."""
+    cats = sorted({f.column for f in families})
+    rows = (prepared.where(F.col(V).isNotNull()).groupBy(V, *cats)
+            .agg(F.sum(PV).alias("_pv"), F.sum(F.col(TIME).cast("decimal(38,12)")).alias("_t")))
+    sums = (rows.select(V, "_pv", "_t", _entries(families)).where(F.col("_e.feature").isNotNull())
+            .groupBy(V, F.col("_e.family").alias("family"), F.col("_e.feature").alias("feature"))
+            .agg(F.sum("_pv").alias("_pv"), F.sum("_t").cast("double").alias("_t")))
+    of = {k: [i for i, f in enumerate(families) if f.kind == k] for k in ("share", "ratio")}
+    value = F.col("_pv").cast("double")
+    if of["ratio"]:
+        value = F.when(F.col("family").isin(of["ratio"]), ratio(F.col("_t"), F.col("_pv"), cfg.keep_inf)).otherwise(value)
+    if of["share"]:
+        total = F.sum("_pv").over(Window.partitionBy(V, "family"))
+        value = F.when(F.col("family").isin(of["share"]), ratio(F.col("_pv"), total)).otherwise(value)
+    return sums.select(V, "family", "feature", value.alias("value"))
+
+
+def feature_names(prepared: DataFrame, families=FAMILIES) -> list[tuple[int, str]]:
+    """``(family, feature)`` in the order of a wide row. One entry a category:
+    as many as the wide row they are asked for has columns."""
+    cats = sorted({f.column for f in families})
+    found = prepared.where(F.col(V).isNotNull()).select(*cats).distinct().select(_entries(families)) \
+        .where(F.col("_e.feature").isNotNull()).select("_e.*").distinct().collect()
+    first: dict = {}
+    for r in found:
+        key = (r["family"], r["feature"])
+        first[key] = min(first.get(key, r["place"]), r["place"])
+    return sorted(first, key=lambda k: (k[0], first[k], k[1]))
+
+
+def pivot_long(long: DataFrame, names: list[tuple[int, str]]) -> DataFrame:
+    """One row per visitor with a column ``family:feature`` for each name;
+    absent features are 0, others are left out."""
+    keys = [f"{k}:{n}" for k, n in names]
+    keyed = long.withColumn("_k", F.concat_ws(":", F.col("family").cast("string"), "feature"))
+    wide = keyed.groupBy(V).pivot("_k", keys).agg(F.sum("value"))
+    return wide.select(V, *[F.coalesce(F.col(quoted(k)), F.lit(0.0)).alias(k) for k in keys])
 
 
 def ratio(num: Column, den: Column, keep_inf: bool = False) -> Column:
@@ -280,21 +189,10 @@ def ratio(num: Column, den: Column, keep_inf: bool = False) -> Column:
             .otherwise(base))
 
 
-def pivot_family(prepared: DataFrame, fam: Family, raw_values: list | None = None,
-                 cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
+def pivot_family(prepared: DataFrame, fam: Family, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     """One family as a wide frame: visitors with at least one categorised row."""
-    if raw_values is None:
-        vals = [r[0] for r in prepared.where(F.col(fam.column).isNotNull())
-                .select(F.col(fam.column)).distinct().limit(cfg.max_domain + 1).collect()]
-        if len(vals) > cfg.max_domain:
-            raise ValueError(f"{fam.column}: more than max_domain={cfg.max_domain} categories")
-        raw_values = sorted([str(v) for v in vals], key=_sort_key(fam.column))
-    plan = _AggPlan(cfg)
-    plan.add_family(fam, raw_values)
-    present = F.count_if(F.col(fam.column).isNotNull()).alias("_present")
-    agg = (prepared.where(F.col(V).isNotNull()).groupBy(V)
-           .agg(present, *plan.agg_columns()))
-    return agg.where(F.col("_present") > 0).select(V, *plan.output_columns())
+    names = feature_names(prepared, (fam,))
+    return pivot_long(long_features(prepared, (fam,), cfg), names).toDF(V, *[n for _, n in names])
 
 
 # ---- page and session grain ------------------------------------------------
@@ -307,18 +205,12 @@ def page_grain(cleaned: DataFrame) -> DataFrame:
 
 
 def page_content_map(cleaned: DataFrame) -> DataFrame:
-    """Newest content per path (publish date desc, nulls last, then content id).
-
-    A min over a struct is a partial-aggregable aggregate, so a path seen in
-    a large share of all rows is combined map-side instead of being sorted
-    in one window partition.
-    """
-    best = F.min(F.struct(F.col(PUB).isNull().alias("n"),
-                          (-F.unix_date(F.col(PUB))).alias("d"),
-                          F.col(CONTENT).alias("c"),
-                          F.col(PUB).alias("p"))).alias("_b")
-    return (cleaned.where(F.col(PATH).isNotNull()).groupBy(PATH).agg(best)
-            .select(PATH, F.col("_b.c").alias(CONTENT), F.col("_b.p").alias(PUB)))
+    """Newest content per path (publish date desc, nulls last, then content
+    id). Distinct triples are found by hash aggregation first, so what is
+    ranked is small however many rows a path has."""
+    triples = cleaned.where(F.col(PATH).isNotNull()).select(PATH, CONTENT, PUB).distinct()
+    order = Window.partitionBy(PATH).orderBy(F.desc_nulls_last(PUB), F.asc(CONTENT))
+    return triples.withColumn("_n", F.row_number().over(order)).where("_n = 1").drop("_n")
 
 
 def session_grain(pages: DataFrame, content_map: DataFrame | None = None,
@@ -357,40 +249,14 @@ SESSION_COLUMNS = ["session_pvs_mean", "session_pvs_median", "session_top_mean",
 SENTIMENT_COLUMNS = ["sentiment_score_mean", "sentiment_score_median"]
 
 
-def hot_visitors(cleaned: DataFrame, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
-    """(visitor, n_salts) for visitors with more than about ``hot_rows`` rows.
-
-    Found on a seeded row sample of fraction ``min(1, 200 / hot_rows)`` (a
-    visitor at the threshold has ~200 sampled rows), so the detection
-    shuffle is tiny. Salting only spreads work; results do not depend on it.
-    The list has at most total_rows / hot_rows entries (sampled counts of
-    listed visitors add up to at most the sample), which bounds the broadcast.
-    """
-    frac = min(1.0, 200.0 / cfg.hot_rows)
-    rows = cleaned.where(F.col(V).isNotNull())
-    if frac < 1.0:
-        rows = rows.sample(fraction=frac, seed=17)
-    est = F.col("_n") / F.lit(frac)
-    return (rows.groupBy(V).agg(F.count(F.lit(1)).alias("_n"))
-            .where(est > cfg.hot_rows)
-            .select(V, F.ceil(est / F.lit(cfg.hot_rows)).cast("int").alias("_salts")))
-
-
-def distribute_by_visitor(prepared: DataFrame, cfg: FeatureConfig = FeatureConfig(),
-                          hot: DataFrame | None = None) -> DataFrame:
-    """Hash-partition rows by (visitor, salt). Ordinary visitors have salt 0;
-    a hot visitor's rows are spread over ``n_salts`` partitions by a hash of
-    the row. A wide aggregate by visitor after this combines each
-    (visitor, salt) completely before its shuffle, so the shuffle of wide
-    partial rows carries about one row per visitor instead of one per
-    (task, visitor); the raw rows cross the network once, narrow."""
-    hot = hot if hot is not None else hot_visitors(prepared, cfg)
-    row_key = F.xxhash64(*[F.col(c) for c in prepared.columns])
-    salted = (prepared.join(F.broadcast(hot), V, "left")
-              .withColumn("_salt", F.when(F.col("_salts").isNull(), F.lit(0))
-                          .otherwise(F.pmod(row_key, F.col("_salts")).cast("int")))
-              .drop("_salts"))
-    return salted.repartition(V, "_salt")
+def eligible_visitors(cleaned: DataFrame) -> DataFrame:
+    """Visitors that have a feature row: some row with a referral group, one
+    with a device, one with a date, and one with a session and a path."""
+    return (cleaned.where(F.col(V).isNotNull()).groupBy(V)
+            .agg(F.count("referral_group").alias("_rf"), F.count("device_os").alias("_dos"),
+                 F.count(parse_date(F.col(DATE))).alias("_date"),
+                 F.count(F.when(F.col(VS).isNotNull() & F.col(PATH).isNotNull(), 1)).alias("_sess"))
+            .where("_rf > 0 AND _dos > 0 AND _date > 0 AND _sess > 0").select(V))
 
 
 def sentiment_median(rows: DataFrame, approx: bool = False) -> DataFrame:
@@ -405,46 +271,30 @@ def sentiment_median(rows: DataFrame, approx: bool = False) -> DataFrame:
                                  .alias("sentiment_score_median"))
 
 
-def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(),
-               voc: Vocabulary | None = None) -> DataFrame:
-    """Raw joined page-view rows -> one wide feature row per visitor."""
+def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(), voc: Vocabulary | None = None,
+               names: list[tuple[int, str]] | None = None) -> DataFrame:
+    """Raw joined page-view rows -> one wide feature row per visitor.
+
+    ``names`` (of ``feature_names``) fixes the category columns, e.g. to
+    those of a training set; by default they are the ones found.
+    """
     cleaned = clean_views(views)
-    voc = voc or Vocabulary.build(cleaned, cfg)
-    prepared = prepare(cleaned, voc, cfg)
-    head, tail = _AggPlan(cfg), _AggPlan(cfg)
-    for fam in HEAD_FAMILIES:
-        head.add_family(fam, voc.domains.get(fam.column, []))
-    tail.aggs = head.aggs  # share one aggregate list
-    for fam in TAIL_FAMILIES:
-        tail.add_family(fam, voc.domains.get(fam.column, []))
-    cat_cols = sorted({f.column for f in HEAD_FAMILIES + TAIL_FAMILIES} | {"referral_group", "device_os"})
-    needed = {V, SENT, "_tmicro", "_smicro", PV} | set(cat_cols)
-    dist = distribute_by_visitor(prepared.select(*[c for c in prepared.columns if c in needed]), cfg,
-                                 hot_visitors(cleaned, cfg))
-    # Collapse rows that agree on every category inside each (visitor, salt)
-    # partition: the keys contain the partitioning, so this needs no
-    # exchange, and the wide conditional aggregate then runs over fewer rows.
-    # ``day_name`` is null exactly when the date is unparseable.
-    pre = (dist.where(F.col(V).isNotNull()).groupBy(V, "_salt", *cat_cols)
-           .agg(F.sum(PV).alias(PV), F.sum("_tmicro").alias("_tmicro"), F.count(F.lit(1)).alias("_n"),
-                F.sum("_smicro").alias("_smicro"), F.count(F.col(SENT)).alias("_ns")))
-    row = pre.groupBy(V).agg(
-        (F.sum("_smicro") / F.lit(float(MICRO)) / F.sum("_ns")).alias("sentiment_score_mean"),
-        F.sum(F.when(F.col("referral_group").isNotNull(), F.col("_n"))).alias("_ok_rf"),
-        F.sum(F.when(F.col("device_os").isNotNull(), F.col("_n"))).alias("_ok_dos"),
-        F.sum(F.when(F.col("day_name").isNotNull(), F.col("_n"))).alias("_ok_date"),
-        *head.agg_columns())
-    row = row.where((F.col("_ok_rf") > 0) & (F.col("_ok_dos") > 0) & (F.col("_ok_date") > 0))
-    # The narrow branches aggregate the (column-pruned) rows directly: their
-    # partial aggregates are small, so a raw repartition would only add cost.
-    pages = page_grain(prepared)
-    sess = session_stats(session_grain(pages, page_content_map(prepared), cfg), cfg.approx_median)
-    joined = row.join(sess, V, "inner").join(sentiment_median(prepared, cfg.approx_median), V, "inner")
-    cols = ([F.col(V)] + [F.col(c).cast("double").alias(c) for c in SESSION_COLUMNS + SENTIMENT_COLUMNS]
-            + head.output_columns()
-            + [F.col("bounce_rate"), F.col("content_views_rate")]
-            + tail.output_columns())
-    return joined.select(*cols)
+    prepared = prepare(cleaned, voc or Vocabulary.build(cleaned, cfg), cfg)
+    long = long_features(prepared, FAMILIES, cfg)
+    names = feature_names(prepared) if names is None else names
+    means = (prepared.where(F.col(V).isNotNull()).groupBy(V).agg(exact_avg(SENT).alias("sentiment_score_mean")))
+    # stored, so that the join with the pages has plain exchanges on both
+    # sides and a path with very many pages can be split at run time
+    content = materialize(page_content_map(prepared), "paths")
+    sess = session_stats(session_grain(page_grain(prepared), content, cfg), cfg.approx_median)
+    joined = (pivot_long(long, names).join(eligible_visitors(cleaned), V, "left_semi").join(means, V)
+              .join(sess, V).join(sentiment_median(prepared, cfg.approx_median), V))
+    cats = [(k, F.col(quoted(f"{k}:{n}")).alias(n)) for k, n in names]
+    n_head = len(HEAD_FAMILIES)
+    return joined.select(
+        V, *[F.col(c).cast("double").alias(c) for c in SESSION_COLUMNS + SENTIMENT_COLUMNS],
+        *[c for k, c in cats if k < n_head], "bounce_rate", "content_views_rate",
+        *[c for k, c in cats if k >= n_head])
 
 
 def feature_columns(wide: DataFrame) -> list[str]:

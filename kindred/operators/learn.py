@@ -10,29 +10,42 @@ from __future__ import annotations
 
 import math
 import random
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import StringIndexer
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import IsotonicRegression, IsotonicRegressionModel
 from pyspark.ml.tuning import CrossValidator
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from kindred.operators.features import quoted
 from kindred.operators.sample import row_hash
+from kindred.sources.session import materialize
 
 KEY, LABEL = "visitor_id", "c_level"
 
 
-def align_features(df: DataFrame, features: list[str], key: str = KEY) -> DataFrame:
-    """Select ``features`` in order; features absent from ``df`` become 0."""
+def align_features(df: DataFrame, features: list[str], key: str = KEY, carry: tuple = ()) -> DataFrame:
+    """Select ``features`` in order; features absent from ``df`` become 0.
+    Columns ``carry`` come along unchanged."""
     have = set(df.columns)
-    cols = [F.col(f"`{f}`").cast("double").alias(f) if f in have else F.lit(0.0).alias(f) for f in features]
-    return df.select(F.col(key), *cols)
+    cols = [F.col(quoted(f)).cast("double").alias(f) if f in have else F.lit(0.0).alias(f) for f in features]
+    return df.select(F.col(key), *[F.col(quoted(c)) for c in carry], *cols)
+
+
+def cells(features: list[str]):
+    """The features of a row as an array of doubles; any column name will do."""
+    return F.array(*[F.col(quoted(f)).cast("double") for f in features])
+
+
+def assemble(df: DataFrame, features: list[str], *keep: str) -> DataFrame:
+    """``keep`` and the feature vector, from the named columns."""
+    return df.select(*keep, array_to_vector(cells(features)).alias("features"))
 
 
 def string_columns(df: DataFrame, exclude: tuple = (KEY,)) -> list[str]:
@@ -61,8 +74,7 @@ def rank_by_hash(df: DataFrame, group_col: str, hash_col: str) -> DataFrame:
     The leading hex digits of the hash cut the order into 65 536 contiguous
     buckets. Rows are ranked inside (group, bucket); per-bucket counts
     (at most groups x 65 536 rows) give each bucket's offset by a running
-    sum; the offsets are broadcast back (their size is bounded by that
-    product, not by the data).
+    sum, joined back by (group, bucket).
     """
     b = F.substring(F.col(hash_col), 1, BUCKET_HEX)
     local = df.withColumn("_bucket", b).withColumn(
@@ -73,7 +85,7 @@ def rank_by_hash(df: DataFrame, group_col: str, hash_col: str) -> DataFrame:
     run = Window.partitionBy(group_col).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select(group_col, "_bucket",
                             F.coalesce(F.sum("_cnt").over(run), F.lit(0)).alias("_off"))
-    return (local.join(F.broadcast(offsets), [group_col, "_bucket"])
+    return (local.join(offsets, [group_col, "_bucket"])
             .withColumn("_rn", (F.col("_off") + F.col("_local")).cast("long"))
             .drop("_bucket", "_local", "_off"))
 
@@ -111,9 +123,6 @@ class TreeParams:
     min_info_gain: float = 0.0
     pos_weight: int = 1
 
-    def as_dict(self):
-        return dict(self.__dict__)
-
 
 def gbt(params: TreeParams, features_col: str = "features", label_col: str = "label",
         weight_col: str | None = "weight", seed: int = 4222) -> GBTClassifier:
@@ -133,31 +142,36 @@ def with_label_weight(df: DataFrame, pos_weight: float, label: str = LABEL) -> D
             .withColumn("weight", F.when(F.col(label) == 1, F.lit(float(pos_weight))).otherwise(F.lit(1.0))))
 
 
-def draw_params(n: int, seed: int, max_iter_cap: int = 1000) -> list[TreeParams]:
-    """Seeded random draws over the search space of the source system:
-    positive weight int 1-5, step log-uniform 1e-9..1, trees 1..1000,
-    depth 2-13, row and feature fractions 0.1..1 by 0.1, min gain int 0-5."""
+@dataclass(frozen=True)
+class SearchSpace:
+    """Ranges that parameters are drawn from, ends included; the defaults are
+    those of the source system. Narrow a range to search less of it."""
+    pos_weight: tuple[int, int] = (1, 5)
+    step_size: tuple[float, float] = (1e-9, 1.0)      # log-uniform
+    max_iter: tuple[int, int] = (1, 1000)
+    max_depth: tuple[int, int] = (2, 13)
+    row_tenths: tuple[int, int] = (1, 10)
+    feature_tenths: tuple[int, int] = (1, 10)
+    min_info_gain: tuple[int, int] = (0, 5)
+
+
+def draw_params(n: int, seed: int, space: SearchSpace = SearchSpace()) -> list[TreeParams]:
+    """Seeded random draws from ``space``."""
     rng = random.Random(seed)
-    out = []
-    for _ in range(n):
-        out.append(TreeParams(
-            pos_weight=rng.randint(1, 5),
-            step_size=math.exp(rng.uniform(math.log(1e-9), 0.0)),
-            max_iter=min(max_iter_cap, rng.randint(1, 1000)),
-            max_depth=rng.randint(2, 13),
-            subsampling_rate=rng.randint(1, 10) / 10,
-            feature_subset=rng.randint(1, 10) / 10,
-            min_info_gain=float(rng.randint(0, 5)),
-        ))
-    return out
-
-
-def fit_model(train: DataFrame, features: list[str], params: TreeParams, seed: int = 4222) -> PipelineModel:
-    """Assemble features and fit the boosted trees (weighted positives)."""
-    data = with_label_weight(train, params.pos_weight)
-    pipe = Pipeline(stages=[VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep"),
-                            gbt(params, seed=seed)])
-    return pipe.fit(data)
+    return [TreeParams(
+        pos_weight=rng.randint(*space.pos_weight),
+        step_size=math.exp(rng.uniform(*map(math.log, space.step_size))),
+        max_iter=rng.randint(*space.max_iter),
+        max_depth=rng.randint(*space.max_depth),
+        subsampling_rate=rng.randint(*space.row_tenths) / 10,
+        feature_subset=rng.randint(*space.feature_tenths) / 10,
+        min_info_gain=float(rng.randint(*space.min_info_gain))) for _ in range(n)]
+
+
+def fit_model(train: DataFrame, features: list[str], params: TreeParams, seed: int = 4222) -> GBTClassificationModel:
+    """Boosted trees on the assembled features (weighted positives)."""
+    data = assemble(with_label_weight(train, params.pos_weight), features, "label", "weight")
+    return gbt(params, seed=seed).fit(data)
 
 
 def cross_validate(train: DataFrame, features: list[str], candidates: list[TreeParams],
@@ -171,30 +185,27 @@ def cross_validate(train: DataFrame, features: list[str], candidates: list[TreeP
     by_weight: dict[int, list[int]] = {}
     for i, p in enumerate(candidates):
         by_weight.setdefault(p.pos_weight, []).append(i)
-    assembler = VectorAssembler(inputCols=features, outputCol="features", handleInvalid="keep")
     for w, idx in by_weight.items():
-        data = assembler.transform(with_label_weight(train, w)).select("features", "label", "weight", "fold")
+        data = assemble(with_label_weight(train, w), features, "label", "weight", "fold")
         est = gbt(candidates[idx[0]], seed=seed)
         maps = []
         for i in idx:
-            p = candidates[i]
-            g = gbt(p, seed=seed)
+            g = gbt(candidates[i], seed=seed)
             maps.append({est.maxIter: g.getMaxIter(), est.stepSize: g.getStepSize(),
                          est.maxDepth: g.getMaxDepth(), est.subsamplingRate: g.getSubsamplingRate(),
                          est.featureSubsetStrategy: g.getFeatureSubsetStrategy(),
                          est.minInfoGain: g.getMinInfoGain()})
         cv = CrossValidator(estimator=est, estimatorParamMaps=maps, evaluator=evaluator,
                             numFolds=folds, foldCol="fold", parallelism=parallelism, seed=seed)
-        model = cv.fit(data)
-        for i, m in zip(idx, model.avgMetrics):
+        for i, m in zip(idx, cv.fit(data).avgMetrics):
             means[i] = float(m)
     best = max(range(len(candidates)), key=lambda i: means[i])
     return candidates[best], means
 
 
 def random_search(train: DataFrame, features: list[str], trials: int, seed: int = 4222,
-                  max_iter_cap: int = 1000, parallelism: int = 2, folds: int = 5):
-    return cross_validate(train, features, draw_params(trials, seed, max_iter_cap), seed, parallelism, folds)
+                  space: SearchSpace = SearchSpace(), parallelism: int = 2, folds: int = 5):
+    return cross_validate(train, features, draw_params(trials, seed, space), seed, parallelism, folds)
 
 
 # ---- shadow-feature selection -------------------------------------------------
@@ -211,38 +222,61 @@ def binomial_bounds(trials: int, alpha: float = 0.05) -> tuple[int, int]:
     return lo, hi
 
 
-def shadow_frame(df: DataFrame, features: list[str], seed: int, key: str = KEY) -> DataFrame:
-    """Attach ``shadow_<f>`` columns: the feature values of another row,
-    picked by a seeded permutation (exact ranks in two hash orders, joined
-    on the rank) — the label link is broken, the distribution kept."""
-    one = F.lit("all")
-    a = rank_by_hash(df.withColumn("_g", one).withColumn("_h", row_hash(key, f"own{seed}")), "_g", "_h")
-    b = rank_by_hash(df.select(key, *features).withColumn("_g", one)
-                     .withColumn("_h", row_hash(key, f"shadow{seed}")), "_g", "_h")
-    shadows = b.select(F.col("_rn"), *[F.col(f"`{f}`").alias(f"shadow_{f}") for f in features])
-    return a.join(shadows, "_rn").drop("_rn", "_g", "_h")
+def ranked_cells(train: DataFrame, features: list[str], key: str = KEY) -> DataFrame:
+    """``_rn`` (from 0), label and the array ``x`` of features, stored: the
+    rows are ranked once for all trials."""
+    rows = train.select(F.lit("all").alias("_g"), row_hash(key, "cells").alias("_h"), F.col(LABEL), cells(features).alias("x"))
+    ranked = rank_by_hash(rows, "_g", "_h")
+    return materialize(ranked.select((F.col("_rn") - 1).alias("_rn"), LABEL, "x"), "cells")
+
+
+def with_shadows(ranked: DataFrame, n_rows: int, n_features: int, seed: int) -> DataFrame:
+    """The rows of ``ranked_cells`` with an array ``shadow``: feature ``j`` of
+    row ``r`` stands in row ``a_j r + b_j`` modulo the row count, with ``a_j``
+    prime to it, so every feature is permuted on its own."""
+    rng = random.Random(seed)
+    prime = [a for a in range(1, max(2, n_rows)) if math.gcd(a, n_rows) == 1] if n_rows <= 4096 else None
+
+    def factor():
+        while True:
+            a = rng.choice(prime) if prime else rng.randrange(1, n_rows)
+            if math.gcd(a, n_rows) == 1:
+                return a
+
+    a = F.array(*[F.lit(factor()) for _ in range(n_features)])
+    b = F.array(*[F.lit(rng.randrange(max(1, n_rows))) for _ in range(n_features)])
+    moved = ranked.select("_rn", F.posexplode("x").alias("j", "v")) \
+        .select(F.pmod(F.element_at(a, F.col("j") + 1).cast("long") * F.col("_rn") + F.element_at(b, F.col("j") + 1),
+                       F.lit(n_rows)).alias("_rn"), "j", "v")
+    shadow = moved.groupBy("_rn").agg(F.array_sort(F.collect_list(F.struct("j", "v"))).alias("s")) \
+        .select("_rn", F.col("s.v").alias("shadow"))
+    return ranked.join(shadow, "_rn")
 
 
 def shadow_selection(train: DataFrame, features: list[str], params: TreeParams, trials: int = 100,
-                     seed: int = 4222, alpha: float = 0.05) -> DataFrame:
+                     seed: int = 4222, alpha: float = 0.05, parallelism: int = 4) -> DataFrame:
     """Per feature: hits (trials where its importance beats the best shadow)
-    and the decision accepted / tentative / rejected."""
-    hits = {f: 0 for f in features}
-    shadow_names = [f"shadow_{f}" for f in features]
-    for t in range(trials):
-        data = shadow_frame(train, features, seed + t).checkpoint()
-        model = fit_model(data, features + shadow_names, params, seed=seed + t)
-        imp = model.stages[-1].featureImportances.toArray()
-        real, shadow = imp[: len(features)], imp[len(features):]
-        best_shadow = max(shadow) if len(shadow) else 0.0
-        for f, v in zip(features, real):
-            if v > best_shadow:
-                hits[f] += 1
-    lo, hi = binomial_bounds(trials, alpha)
-    rows = [(f, hits[f], "accepted" if hits[f] >= hi else "rejected" if hits[f] <= lo else "tentative")
-            for f in features]
-    spark = train.sparkSession
-    return spark.createDataFrame(rows, "feature string, hits int, decision string")
+    and the decision accepted / tentative / rejected. ``alpha`` is shared
+    out among the features. At least six trials are needed for a decision to
+    be possible; fewer raise."""
+    lo, hi = binomial_bounds(trials, alpha / max(1, len(features)))
+    if lo < 0 or hi > trials:
+        raise ValueError(f"{trials} trials cannot accept or reject any of {len(features)} features")
+    n = len(features)
+    ranked = ranked_cells(train, features)
+    n_rows = ranked.count()
+
+    def trial(t: int) -> list[int]:
+        data = with_shadows(ranked, n_rows, n, seed + t)
+        both = with_label_weight(data, params.pos_weight).select(
+            "label", "weight", array_to_vector(F.concat("x", "shadow")).alias("features"))
+        imp = gbt(params, seed=seed + t).fit(both).featureImportances.toArray()
+        return [int(v > imp[n:].max()) for v in imp[:n]]
+
+    with ThreadPoolExecutor(parallelism) as pool:
+        hits = [sum(h) for h in zip(*pool.map(trial, range(trials)))]
+    rows = [(f, h, "accepted" if h >= hi else "rejected" if h <= lo else "tentative") for f, h in zip(features, hits)]
+    return train.sparkSession.createDataFrame(rows, "feature string, hits int, decision string")
 
 
 # ---- calibration and scoring ---------------------------------------------------
@@ -251,17 +285,16 @@ def positive_probability(pred: DataFrame) -> DataFrame:
     return pred.withColumn("p1", vector_to_array("probability")[1])
 
 
-def calibrate(model: PipelineModel, train: DataFrame) -> IsotonicRegressionModel:
+def calibrate(model: GBTClassificationModel, train: DataFrame, features: list[str]) -> IsotonicRegressionModel:
     """Isotonic map from the model's P(1) to the label, fitted on ``train``."""
-    p = positive_probability(model.transform(with_label_weight(train, 1)))
+    p = positive_probability(model.transform(assemble(with_label_weight(train, 1), features, "label")))
     return IsotonicRegression(featuresCol="p1", labelCol="label", predictionCol="p_cal",
                               isotonic=True).fit(p.select("p1", "label"))
 
 
-def score(df: DataFrame, model: PipelineModel, iso: IsotonicRegressionModel, key: str = KEY) -> DataFrame:
-    """(key, calibrated probability, predicted = probability > 0.5)."""
-    p = positive_probability(model.transform(df))
-    c = iso.transform(p)
-    return c.select(F.col(key), F.col("p_cal").alias("probability"),
+def score(df: DataFrame, features: list[str], model: GBTClassificationModel, iso: IsotonicRegressionModel,
+          key: str = KEY, carry: tuple = ()) -> DataFrame:
+    """(key, raw and calibrated probability, predicted = probability > 0.5)."""
+    c = iso.transform(positive_probability(model.transform(assemble(df, features, key, *carry))))
+    return c.select(F.col(key), *carry, F.col("p1").alias("raw"), F.col("p_cal").alias("probability"),
                     (F.col("p_cal") > 0.5).cast("int").alias("predicted"))
-

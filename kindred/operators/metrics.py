@@ -63,8 +63,7 @@ def histogram(df: DataFrame, col: str, bins: int = 10) -> DataFrame:
     width = (hi - lo) / bins
     idx = F.least(F.floor((v - F.lit(lo)) / F.lit(hi - lo) * bins).cast("int"), F.lit(bins - 1))
     counts = df.where(v.isNotNull()).groupBy(idx.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
-    all_bins = df.agg(F.count(F.lit(1)).alias("_n")).select(
-        F.explode(F.sequence(F.lit(0), F.lit(bins - 1))).alias("bin"))
+    all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (all_bins.join(counts, "bin", "left")
             .select("bin", (F.lit(lo) + F.col("bin") * F.lit(width)).alias("bin_start"),
                     (F.lit(lo) + (F.col("bin") + 1) * F.lit(width)).alias("bin_end"),

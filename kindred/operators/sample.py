@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from kindred.sources.session import materialize
 
 
 def row_hash(id_col: str, seed: str):
@@ -15,40 +18,39 @@ def row_hash(id_col: str, seed: str):
 
 
 def sample_rows(df: DataFrame, n: int, seed: str, id_col: str = "event_id") -> DataFrame:
-    """The ``n`` rows first in seeded hash order (all rows if fewer).
+    """The ``n`` rows first in seeded hash order (all rows if fewer); rows of
+    one id stand together.
 
-    A plain ``orderBy(hash).limit(n)`` sends up to ``n`` rows from every
-    partition to one task. Rows are first cut by a threshold on the leading
-    60 bits of the hash, chosen so that a little more than ``n`` rows pass;
-    rows passing form a prefix of the hash order, so if at least ``n`` pass
-    the result is exact, otherwise the threshold is widened.
+    Rows are cut by a threshold on the leading 60 bits of the hash, chosen
+    so that a little more than ``n`` pass, and what passes is stored. It is
+    a prefix of the order, so if it holds ``n`` rows the result is exact;
+    else all rows are ranked. Only hashes are sorted to find the last one.
     """
     total = df.count()
-    h = row_hash(id_col, seed)
-    keyed = df.withColumn("_h", h)
-    if total > n:
-        frac = min(1.0, (n + 6 * math.sqrt(n) + 64) / total)
-        while frac < 1.0:
-            thr = int(frac * (1 << 60))
-            lead = F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")
-            cand = keyed.where(lead < F.lit(thr))
-            if cand.count() >= n:
-                keyed = cand
-                break
-            frac = min(1.0, frac * 2)
-    return keyed.orderBy("_h").limit(n).drop("_h")
+    keyed = df.withColumn("_h", row_hash(id_col, seed))
+    if total <= n:
+        return df
+    frac = (n + 6 * math.sqrt(n) + 64) / total
+    if frac < 1.0:
+        lead = F.conv(F.substring("_h", 1, 15), 16, 10).cast("long")
+        some = materialize(keyed.where(lead < F.lit(int(frac * (1 << 60)))), "sample")
+        keyed = some if some.count() >= n else keyed
+    last = keyed.select("_h").orderBy("_h").limit(n).agg(F.max("_h")).first()[0]
+    return keyed.where(F.col("_h") <= F.lit(last)).drop("_h")
 
 
 def dedupe(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per ``keys``: the first in ``order`` (ascending, nulls last).
 
-    Implemented as ``min`` over a struct — a partial-aggregable aggregate, so
-    a key holding many rows is reduced map-side, not sorted in one window.
+    With one order column of a fixed width, its minimum per key is a hash
+    aggregate of two narrow columns, joined back; only ties are ranked.
+    Else rows are ranked, with the rank limit applied in every task first.
     """
-    rest = [c for c in df.columns if c not in keys]
-    fields = []
-    for i, c in enumerate(order):
-        fields += [F.col(c).isNull().alias(f"_n{i}"), F.col(c).alias(f"_o{i}")]
-    fields += [F.col(c).alias(c) for c in rest]
-    best = df.groupBy(*keys).agg(F.min(F.struct(*fields)).alias("_b"))
-    return best.select(*keys, *[F.col(f"_b.{c}").alias(c) for c in rest]).select(*df.columns)
+    by = [F.col(c).asc_nulls_last() for c in order]
+    rows = df
+    if len(order) == 1 and isinstance(df.schema[order[0]].dataType, (T.NumericType, T.DateType, T.TimestampType)):
+        low = df.groupBy(*[F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)]).agg(F.min(order[0]).alias("_low"))
+        same = [F.col(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)]
+        rows = df.join(low, [*same, F.col(order[0]).eqNullSafe(F.col("_low"))], "left_semi")
+    first = Window.partitionBy(*keys).orderBy(*by)
+    return rows.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_n")

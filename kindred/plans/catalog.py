@@ -71,12 +71,20 @@ def out(df: DataFrame) -> DataFrame:
     return df.selectExpr(*exprs)
 
 
+def unpivoted(df: DataFrame, ids: list[str]) -> DataFrame:
+    """A wide frame as ``ids, feature, value``, rounded as ``out``."""
+    names = [c for c in df.columns if c not in ids]
+    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(_q(n)).cast("double").alias("value"))
+                                for n in names]))
+    return out(df.select(*ids, cells.alias("_c")).select(*ids, "_c.feature", "_c.value"))
+
+
 _SHARED: dict = {}
 
 
 def fixtures(spark: SparkSession, sf_dir: str) -> Fixtures:
-    """One persisted set of fixture views per session and scale directory."""
+    """One set of stored fixture views per session and scale directory."""
     key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _SHARED:
-        _SHARED[key] = Fixtures(spark, sf_dir, persist=True)
+        _SHARED[key] = Fixtures(spark, sf_dir, store=True)
     return _SHARED[key]

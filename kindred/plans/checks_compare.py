@@ -9,6 +9,7 @@ from kindred.operators import compare as cm
 from kindred.operators import enrich as en
 from kindred.operators import features as fe
 from kindred.operators import metrics as mt
+from kindred.operators.clean import clean_views
 from kindred.operators.sample import dedupe
 from kindred.plans.catalog import CFG, W, fixtures, out, register
 from kindred.plans.oracle_sql import feature_ctes, q
@@ -16,7 +17,8 @@ from kindred.plans.oracle_sql import feature_ctes, q
 TOP_K = {"channel": 20, "section": 25, "country": 20}
 
 
-def _mix_sql(pop: str) -> str:
+def mix_sql(pop: str) -> str:
+    """CTEs ``cm_<pop>_agg``, ``_share`` and ``_mix`` over the rows of ``cm_<pop>``."""
     parts = "\n    UNION ALL ".join(
         f"SELECT c_level, page_views, {q(d)} AS dimension, CAST({d} AS VARCHAR) AS category FROM cm_{pop}"
         for d in cm.DIMENSIONS)
@@ -50,8 +52,8 @@ cm_pred AS (
   SELECT p.*, r.probability, r.predicted,
          CASE WHEN r.predicted = 1 THEN 'C-level' ELSE 'Non-Clevel' END AS c_level
   FROM pageviews p JOIN predictions r USING (visitor_id)),
-{_mix_sql("train")},
-{_mix_sql("pred")},
+{mix_sql("train")},
+{mix_sql("pred")},
 cm_compare AS (
   SELECT t.dimension, t.category,
     t.c_level_share AS c_level_share_train, t.non_c_level_share AS non_c_level_share_train,
@@ -132,11 +134,11 @@ def q_compare_top_k(spark, sf):
 @register("class_avg_time", f"""{CM}
 SELECT c_level, round(t.a, 6) AS avg_time_on_page_train, round(p.a, 6) AS avg_time_on_page_pred FROM
  (SELECT c_level, CASE WHEN sum(page_views) = 0 THEN 0.0e0
-         ELSE (CAST(sum(CAST(floor(time_on_page * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6) / sum(page_views) END AS a
+         ELSE fsum(time_on_page) / sum(page_views) END AS a
   FROM cm_train GROUP BY c_level) t
 JOIN
  (SELECT c_level, CASE WHEN sum(page_views) = 0 THEN 0.0e0
-         ELSE (CAST(sum(CAST(floor(time_on_page * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6) / sum(page_views) END AS a
+         ELSE fsum(time_on_page) / sum(page_views) END AS a
   FROM cm_pred GROUP BY c_level) p USING (c_level)""")
 def q_class_avg_time(spark, sf):
     fx = fixtures(spark, sf)
@@ -168,12 +170,12 @@ ts AS (SELECT visitor_id, c_level FROM tr_row JOIN tr_stats USING (visitor_id) J
 
 def training_classes(spark, sf):
     fx = fixtures(spark, sf)
-    wide = fe.build_wide(en.keep_visitors(fx.pageviews, fx.seed_labels), CFG)
+    ids = fe.eligible_visitors(clean_views(en.keep_visitors(fx.pageviews, fx.seed_labels)))
     labels = fx.seed_labels.select(
         "visitor_id", F.when(F.col("management_level") == "C-Level", 1).otherwise(0).alias("c_level"),
         "management_level", "user_name")
     labels = dedupe(labels, ["visitor_id", "c_level"], ["management_level", "user_name"])
-    return wide.select("visitor_id").join(labels, "visitor_id")
+    return ids.join(labels, "visitor_id")
 
 
 @register("class_counts", f"{TS}\nSELECT c_level, count(*) AS n FROM ts GROUP BY c_level")

@@ -3,13 +3,15 @@ rates, calendar and clock functions, the wide row)."""
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from kindred.functions import calendar as cal
 from kindred.functions.text import blank_to_other, clean_name
 from kindred.operators import features as fe
 from kindred.operators.clean import clean_views, drop_null_content, fill_nulls, top_n
-from kindred.plans.catalog import CFG, fixtures, out, register
+from kindred.plans.catalog import CFG, fixtures, out, register, unpivoted
 from kindred.plans.oracle_sql import family_sql, wide_sql, with_features
 
 WF = with_features(CFG)
@@ -26,8 +28,7 @@ def _cleaned(spark, sf):
 
 def _prepared(spark, sf):
     cleaned = _cleaned(spark, sf)
-    voc = fe.Vocabulary.build(cleaned, CFG)
-    return fe.prepare(cleaned, voc, CFG), voc
+    return fe.prepare(cleaned, fe.Vocabulary.build(cleaned, CFG), CFG)
 
 
 @register("drop_null_content", f"{WF}\nSELECT {PV_SQL} FROM pageviews WHERE content_id IS NOT NULL")
@@ -69,8 +70,7 @@ def q_session_grain(spark, sf):
 
 
 def _stats(spark, sf):
-    prepared, _ = _prepared(spark, sf)
-    return fe.session_stats(fe.session_grain(fe.page_grain(prepared), fe.page_content_map(prepared), CFG))
+    return fe.session_stats(fe.session_grain(fe.page_grain(_cleaned(spark, sf))))
 
 
 @register("session_pv_stats", f"{WF}\nSELECT visitor_id, round(session_pvs_mean, 6) AS session_pvs_mean, "
@@ -93,19 +93,20 @@ def q_bounce_rate(spark, sf):
 @register("content_view_rate", f"{WF}\nSELECT visitor_id, round(content_views_rate, 6) AS content_views_rate "
                                "FROM fe_stats")
 def q_content_view_rate(spark, sf):
-    return out(_stats(spark, sf).select("visitor_id", "content_views_rate"))
+    rows = _cleaned(spark, sf)
+    stats = fe.session_stats(fe.session_grain(fe.page_grain(rows), fe.page_content_map(rows), CFG))
+    return out(stats.select("visitor_id", "content_views_rate"))
 
 
 @register("sentiment_stats", f"""{WF}
-SELECT visitor_id, round((CAST(sum(CAST(floor(sentiment_score * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6)
-       / count(sentiment_score), 6) AS sentiment_score_mean,
+SELECT visitor_id, round(fsum(sentiment_score) / count(sentiment_score), 6) AS sentiment_score_mean,
        round(median(sentiment_score), 6) AS sentiment_score_median
 FROM fe_prep WHERE visitor_id IS NOT NULL GROUP BY visitor_id""")
 def q_sentiment_stats(spark, sf):
     c = _cleaned(spark, sf)
-    return out(c.where(F.col("visitor_id").isNotNull()).groupBy("visitor_id").agg(
-        (fe.exact_sum("sentiment_score") / F.count("sentiment_score")).alias("sentiment_score_mean"),
-        F.median("sentiment_score").alias("sentiment_score_median")))
+    means = c.where(F.col("visitor_id").isNotNull()).groupBy("visitor_id").agg(
+        fe.exact_avg("sentiment_score").alias("sentiment_score_mean"))
+    return out(means.join(fe.sentiment_median(c), "visitor_id"))
 
 
 @register("page_content_map", f"{WF}\nSELECT page_path, content_id, strftime(publish_date, '%Y-%m-%d') "
@@ -125,7 +126,7 @@ def q_join_page_content(spark, sf):
 
 @register("collapse_top_n", f"{WF}\nSELECT event_id, country, channel, section FROM fe_prep")
 def q_collapse_top_n(spark, sf):
-    prepared, _ = _prepared(spark, sf)
+    prepared = _prepared(spark, sf)
     return prepared.select("event_id", "country", "channel", "section")
 
 
@@ -158,13 +159,19 @@ _FAMILIES = {
     "top_day_of_month": (fe.DAY_OF_MONTH_TOP, "dom_top"),
 }
 
+WF_INF = with_features(replace(CFG, keep_inf=True))
+
+
+def _family_query(fam, cfg):
+    def q(spark, sf):
+        return unpivoted(fe.pivot_family(_prepared(spark, sf), fam, cfg), ["visitor_id"])
+    return q
+
+
 for _name, (_fam, _tag) in _FAMILIES.items():
-    def _mkf(fam):
-        def q(spark, sf):
-            prepared, voc = _prepared(spark, sf)
-            return out(fe.pivot_family(prepared, fam, voc.domains.get(fam.column), CFG))
-        return q
-    register(_name, f"{WF}\n{family_sql(_tag)}")(_mkf(_fam))
+    register(_name, f"{WF}\n{family_sql(_tag)}")(_family_query(_fam, CFG))
+    if _fam.kind == "ratio":
+        register(f"{_name}_keep_inf", f"{WF_INF}\n{family_sql(_tag)}")(_family_query(_fam, replace(CFG, keep_inf=True)))
 
 
 @register("outer_weekpart", f"""{WF}
@@ -173,7 +180,7 @@ SELECT visitor_id,
   CAST(coalesce(sum(CASE WHEN weekpart = 'weekend' THEN page_views END), 0) AS DOUBLE) AS weekend_pvs
 FROM fe_prep WHERE visitor_id IS NOT NULL GROUP BY visitor_id""")
 def q_outer_weekpart(spark, sf):
-    prepared, _ = _prepared(spark, sf)
+    prepared = _prepared(spark, sf)
     s = lambda part: F.coalesce(F.sum(F.when(F.col("weekpart") == part, F.col("page_views"))),
                                 F.lit(0)).cast("double")
     return (prepared.where(F.col("visitor_id").isNotNull()).groupBy("visitor_id")
@@ -182,7 +189,7 @@ def q_outer_weekpart(spark, sf):
 
 @register("user_features_wide", f"{WF}\n{wide_sql(CFG)}")
 def q_user_features_wide(spark, sf):
-    return out(fe.build_wide(fixtures(spark, sf).pageviews, CFG))
+    return unpivoted(fe.build_wide(fixtures(spark, sf).pageviews, CFG), ["visitor_id"])
 
 
 # ---- scalar functions on the cleaned rows -----------------------------------
@@ -231,15 +238,14 @@ def q_fn_local_time(spark, sf):
         "event_id", cal.to_local(cal.epoch_to_utc("visit_start"), CFG.home_zone).alias("est_time")))
 
 
-@register("fn_session_hour", f"{WF}\nSELECT event_id, country, session_hour FROM fe_prep")
+@register("fn_session_hour", f"{WF}\nSELECT event_id, country, session_hour, session_minute FROM fe_prep")
 def q_fn_session_hour(spark, sf):
-    prepared, _ = _prepared(spark, sf)
-    return prepared.select("event_id", "country", "session_hour")
+    return _prepared(spark, sf).select("event_id", "country", "session_hour", "session_minute")
 
 
 @register("fn_business_hours", f"{WF}\nSELECT event_id, session_hour, business_hours FROM fe_prep")
 def q_fn_business_hours(spark, sf):
-    prepared, _ = _prepared(spark, sf)
+    prepared = _prepared(spark, sf)
     return prepared.select("event_id", "session_hour", "business_hours")
 
 

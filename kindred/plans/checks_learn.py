@@ -1,50 +1,45 @@
-"""Registered queries of the learning stage. Encoding and the exact
-stratified split have SQL oracles; model fitting, search, selection,
-calibration and scoring are checked by row counts and by the unit tests."""
+"""Registered queries of the learning stage. SQL cannot fit a model; the
+oracles state what must hold of its output: which rows there are, and that
+probabilities, decisions, scores and reports agree with each other."""
 
 from __future__ import annotations
 
+import os
+
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kindred.operators import enrich as en
+from kindred.operators import features as fe
 from kindred.operators import learn as ln
 from kindred.plans import stages as st
 from kindred.plans.catalog import (
     CFG, DATE_END, DATE_START, RESOURCES, SAMPLE_ROWS, SAMPLE_SEED, W, fixtures, out, register)
-from kindred.plans.checks_compare import TS
-from kindred.sources.session import checkpoint_dir
+from kindred.plans.checks_compare import TS, mix_sql, training_classes
+from kindred.plans.checks_sources import RES_SQL, SAMPLE_SQL, STAGE_SQL, UNSUB, WINDOW_SQL
+from kindred.plans.oracle_sql import feature_ctes
+from kindred.sources.session import materialize
 
 SEED = 4222
-# Small search sizes for the registered checks (the stage defaults are the
-# source system's 10 / 100 / 60 trials and up to 1000 trees).
-QUICK = st.TrainConfig(seed=SEED, selection_search_trials=2, selection_trials=3, final_search_trials=2,
-                       max_iter_cap=8, parallelism=4, training_date="2024-02-01")
-BASE = ln.TreeParams(max_iter=8, step_size=0.3, max_depth=3)
-
-
-def _features(spark, sf):
-    fx = fixtures(spark, sf)
-    rows = en.keep_visitors(fx.pageviews, fx.seed_labels)
-    return fx, st.visitor_features(rows, fx.pageviews, fx.subscriptions, RESOURCES, CFG)
-
-
-def _training_set(spark, sf):
-    fx, feats = _features(spark, sf)
-    return st.training_set(feats, fx.seed_labels)
+# The registered checks search small trees, few times; every range is one of
+# ``SearchSpace`` and every draw is used as drawn. The stage defaults are the
+# source system's 10 / 100 / 60 trials over its full ranges.
+SPACE = ln.SearchSpace(max_iter=(2, 6), max_depth=(2, 4), step_size=(0.05, 1.0))
+QUICK = st.TrainConfig(seed=SEED, selection_search_trials=3, selection_trials=20, final_search_trials=3,
+                       selection_space=SPACE, final_space=SPACE, parallelism=4, training_date="2024-02-01")
+BASE = ln.TreeParams(max_iter=4, step_size=0.3, max_depth=3)
 
 
 FLAGS_SQL = f"""{W},
-fl AS (
-  SELECT v.visitor_id,
-    CASE WHEN u.visitor_id IS NOT NULL THEN 'nl_unsubscriber' ELSE 'nl_subscriber' END AS nl_subscription,
-    CASE WHEN s.visitor_id IS NOT NULL THEN 'subscriber' ELSE 'non_subscriber' END AS subscriber
-  FROM (SELECT DISTINCT visitor_id FROM pageviews) v
-  LEFT JOIN (SELECT DISTINCT visitor_id FROM pageviews
-             WHERE regexp_matches(page_path, '(?i)newsletter/unsubscribe-confirmation')) u
-    ON u.visitor_id = v.visitor_id
-  LEFT JOIN (SELECT DISTINCT pv.visitor_id FROM (SELECT DISTINCT user_id_uid FROM subscriptions
-             WHERE resource_id IN ('PLAN_A', 'PLAN_B') AND status = 'active' AND total_refunded < 1) x
-             JOIN pageviews pv ON lower(pv.piano_id) = lower(x.user_id_uid)) s ON s.visitor_id = v.visitor_id)"""
+unsub AS (SELECT visitor_id FROM pageviews WHERE regexp_matches(page_path, {UNSUB})),
+paying AS (SELECT lower(user_id_uid) AS uid FROM subscriptions
+           WHERE resource_id IN ({RES_SQL}) AND status = 'active' AND total_refunded < 1),
+fl AS (SELECT visitor_id,
+         CASE WHEN visitor_id IN (SELECT visitor_id FROM unsub) THEN 'nl_unsubscriber' ELSE 'nl_subscriber' END
+           AS nl_subscription,
+         CASE WHEN bool_or(coalesce(lower(piano_id) IN (SELECT uid FROM paying), false)) THEN 'subscriber'
+              ELSE 'non_subscriber' END AS subscriber
+       FROM pageviews GROUP BY visitor_id)"""
 
 
 @register("encode_categories", f"""{FLAGS_SQL}
@@ -71,7 +66,7 @@ ts_f AS (SELECT visitor_id, c_level, CAST((row_number() OVER (PARTITION BY c_lev
 
 
 def _split(spark, sf):
-    return ln.stratify(_training_set(spark, sf).select("visitor_id", "c_level"), seed=SEED)
+    return ln.stratify(training_classes(spark, sf).select("visitor_id", "c_level"), seed=SEED)
 
 
 @register("stratified_holdout", f"{SPLIT_SQL}\nSELECT visitor_id, c_level, holdout FROM ts_s")
@@ -88,94 +83,165 @@ _PREPARED: dict = {}
 
 
 def _prepared_train(spark, sf):
-    """Encoded, split and checkpointed training rows; built once per session
-    and scale and shared by the learning checks."""
+    """Encoded, split and stored training rows; built once per session and
+    scale and shared by the learning checks."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _PREPARED:
-        _PREPARED[key] = _build_prepared_train(spark, sf)
+        fx = fixtures(spark, sf)
+        rows = en.keep_visitors(fx.pageviews, fx.seed_labels)
+        feats = st.visitor_features(rows, fx.pageviews, fx.subscriptions, RESOURCES, CFG)
+        ts = materialize(st.training_set(feats, fx.seed_labels).drop("management_level").na.fill(0), "check-train")
+        cats = ln.string_columns(ts)
+        enc = ts
+        for m in [ix.fit(ts) for ix in ln.category_encoder(cats)]:
+            enc = m.transform(enc)
+        features = [c for c in ts.columns if c not in cats + ["visitor_id", "c_level"]] + [f"{c}_code" for c in cats]
+        split = materialize(ln.stratify(enc, seed=SEED), "check-split")
+        _PREPARED[key] = (split.where(~F.col("holdout")), features)
     return _PREPARED[key]
 
 
-def _build_prepared_train(spark, sf):
-    checkpoint_dir(spark)
-    ts = _training_set(spark, sf).drop("management_level").na.fill(0).checkpoint()
-    cats = ln.string_columns(ts)
-    enc = ts
-    for m in [ix.fit(ts) for ix in ln.category_encoder(cats)]:
-        enc = m.transform(enc)
-    features = [c for c in ts.columns if c not in cats + ["visitor_id", "c_level"]] + [f"{c}_code" for c in cats]
-    split = ln.stratify(enc, seed=SEED).checkpoint()
-    return split.where(~F.col("holdout")), features
+def _in_range(c):
+    return (F.col(c) >= 0) & (F.col(c) <= 1)
 
 
-@register("train_gbt")
+@register("train_gbt", f"""{SPLIT_SQL}
+SELECT visitor_id, c_level, true AS probability_in_range, true AS predicted_agrees FROM ts_f""")
 def q_train_gbt(spark, sf):
     train, features = _prepared_train(spark, sf)
     model = ln.fit_model(train, features, BASE, SEED)
-    pred = ln.positive_probability(model.transform(ln.with_label_weight(train, 1)))
-    return out(pred.select("visitor_id", "c_level", F.col("p1").alias("probability"),
-                           F.col("prediction").cast("int").alias("predicted")))
+    pred = ln.positive_probability(model.transform(ln.assemble(train, features, "visitor_id", "c_level")))
+    return pred.select("visitor_id", "c_level", _in_range("p1").alias("probability_in_range"),
+                       ((F.col("prediction") == 1) == (F.col("p1") > 0.5)).alias("predicted_agrees"))
 
 
-@register("cross_validate")
+@register("cross_validate", f"""{SPLIT_SQL}
+SELECT fold, count(*) AS n_rows, 3 AS n_candidates, true AS means_in_range, true AS best_is_largest
+FROM ts_f GROUP BY fold""")
 def q_cross_validate(spark, sf):
     train, features = _prepared_train(spark, sf)
-    _, means = ln.cross_validate(train, features, [BASE], SEED)
-    return train.agg(F.count(F.lit(1)).alias("n_rows")).withColumn("mean_f1", F.lit(means[0]))
+    cands = [BASE, ln.TreeParams(max_iter=2, step_size=0.1, max_depth=2), ln.TreeParams(max_iter=3, max_depth=4, pos_weight=3)]
+    best, means = ln.cross_validate(train, features, cands, SEED, parallelism=4)
+    return train.groupBy("fold").agg(F.count(F.lit(1)).alias("n_rows")).select(
+        "fold", "n_rows", F.lit(len(means)).alias("n_candidates"),
+        F.lit(all(0 <= m <= 1 for m in means)).alias("means_in_range"),
+        F.lit(means[cands.index(best)] == max(means)).alias("best_is_largest"))
 
 
-@register("random_search")
+@register("random_search", f"""{SPLIT_SQL}
+SELECT CAST(t.range AS INTEGER) AS trial, (SELECT count(*) FROM ts_f) AS n_rows, true AS drawn_in_space,
+       true AS mean_in_range FROM range(4) t""")
 def q_random_search(spark, sf):
     train, features = _prepared_train(spark, sf)
-    cands = ln.draw_params(3, SEED, max_iter_cap=8)
-    best, means = ln.cross_validate(train, features, cands, SEED)
-    rows = [(i, p.max_iter, p.step_size, p.max_depth, p.pos_weight, m) for i, (p, m) in enumerate(zip(cands, means))]
-    return spark.createDataFrame(rows, "trial int, max_iter int, step_size double, max_depth int, "
-                                       "pos_weight int, mean_f1 double")
+    cands = ln.draw_params(4, SEED, SPACE)
+    _, means = ln.cross_validate(train, features, cands, SEED, parallelism=4)
+    inside = [SPACE.max_iter[0] <= p.max_iter <= SPACE.max_iter[1] and SPACE.max_depth[0] <= p.max_depth <= SPACE.max_depth[1]
+              and SPACE.step_size[0] <= p.step_size <= SPACE.step_size[1] for p in cands]
+    rows = [(i, ok, 0.0 <= m <= 1.0) for i, (ok, m) in enumerate(zip(inside, means))]
+    return spark.createDataFrame(rows, "trial int, drawn_in_space boolean, mean_in_range boolean").crossJoin(
+        train.agg(F.count(F.lit(1)).alias("n_rows")))
 
 
-@register("shadow_feature_selection")
-def q_shadow_selection(spark, sf):
-    train, features = _prepared_train(spark, sf)
-    return ln.shadow_selection(train, features, BASE, trials=3, seed=SEED)
+_FIXED = ", ".join(f"('{c}')" for c in [*fe.SESSION_COLUMNS, *fe.SENTIMENT_COLUMNS, "bounce_rate", "content_views_rate",
+                                          "nl_subscription_code", "subscriber_code"])
 
 
-@register("calibrate_isotonic")
+@register("shadow_feature_selection", f"""{TS}
+SELECT feature, true AS hits_in_range, true AS decision_agrees, true AS some_accepted, true AS some_rejected
+FROM (SELECT DISTINCT f AS feature FROM tr_long WHERE fam <> 'bh_pvs' UNION ALL SELECT * FROM (VALUES {_FIXED}))""")
+def q_shadow_selection(spark, sf):
+    train, features = _prepared_train(spark, sf)
+    trials = 20
+    found = materialize(ln.shadow_selection(train, features, BASE, trials=trials, seed=SEED), "check-selection")
+    lo, hi = ln.binomial_bounds(trials, 0.05 / len(features))
+    want = F.when(F.col("hits") >= hi, "accepted").when(F.col("hits") <= lo, "rejected").otherwise("tentative")
+    all_rows = Window.partitionBy()
+    return found.select("feature", F.col("hits").between(0, trials).alias("hits_in_range"),
+                        (F.col("decision") == want).alias("decision_agrees"),
+                        F.max(F.col("decision") == "accepted").over(all_rows).alias("some_accepted"),
+                        F.max(F.col("decision") == "rejected").over(all_rows).alias("some_rejected"))
+
+
+@register("calibrate_isotonic", f"""{SPLIT_SQL}
+SELECT visitor_id, true AS probability_in_range, true AS predicted_agrees, true AS rises_with_raw FROM ts_f""")
 def q_calibrate_isotonic(spark, sf):
     train, features = _prepared_train(spark, sf)
     model = ln.fit_model(train, features, BASE, SEED)
-    iso = ln.calibrate(model, train)
-    scored = ln.score(ln.with_label_weight(train, 1), model, iso)
-    return out(scored)
+    scored = ln.score(train, features, model, ln.calibrate(model, train, features))
+    before = F.lag("probability").over(Window.partitionBy(F.lit(0)).orderBy("raw", "probability"))
+    return scored.select("visitor_id", _in_range("probability").alias("probability_in_range"),
+                         ((F.col("predicted") == 1) == (F.col("probability") > 0.5)).alias("predicted_agrees"),
+                         F.coalesce(before <= F.col("probability"), F.lit(True)).alias("rises_with_raw"))
 
 
-_TRAINED: dict = {}
+_CHAIN: dict = {}
 
 
-def _trained(spark, sf):
-    """Train once per session and scale; the report and the scoring query
-    share the artifacts."""
+def _chain(spark, sf):
+    """Stages 1 to 5 once per session and scale: the folder of the stored
+    tables, and the comparison."""
     key = (spark.sparkContext.applicationId, sf)
-    if key not in _TRAINED:
-        fx, feats = _features(spark, sf)
-        _TRAINED[key] = (fx, st.train(st.training_set(feats, fx.seed_labels), QUICK))
-    return _TRAINED[key]
+    if key not in _CHAIN:
+        fx = fixtures(spark, sf)
+        src = st.Sources(fx.pageviews, fx.content, fx.content_category, fx.sentiment, fx.subscriptions, fx.seed_labels)
+        path = st.artifacts_path(spark, "chain")
+        done = st.run_chain(src, path, DATE_START, DATE_END, SAMPLE_ROWS, SAMPLE_SEED, RESOURCES, CFG, QUICK)
+        _CHAIN[key] = (path, materialize(done, "comparison"))
+    return _CHAIN[key]
 
 
-@register("training_report")
+@register("training_report", """SELECT '2024-02-01' AS training_date, 'kindred-1' AS model_ver, 1 AS n_rows,
+  true AS cross_val_in_range, true AS val_score_recomputed""")
 def q_training_report(spark, sf):
-    _, art = _trained(spark, sf)
-    r = art.report
-    return spark.createDataFrame([(r["training_date"], r["cross_val_score"], r["val_score"], r["model_ver"])],
-                                 "training_date string, cross_val_score double, val_score double, model_ver string")
-
-
-@register("score_visitors")
+    """The stored metrics row; its hold-out F1 again from the scored rows."""
+    path, _ = _chain(spark, sf)
+    art = st.load(os.path.join(path, "artifacts"))
+    data = spark.read.parquet(os.path.join(path, "training_set")).drop("management_level").na.fill(0)
+    split = ln.stratify(art.encoders.transform(data), seed=QUICK.seed, holdout_every=QUICK.holdout_every, folds=QUICK.folds)
+    held = ln.score(split.where("holdout"), art.features, art.model, art.calibrator, carry=("c_level",))
+    held.createOrReplaceTempView("_held")
+    f1 = spark.sql("""SELECT sum(n * f1) / sum(n) AS again FROM (
+      SELECT c, count_if(c_level = c) AS n, 2 * count_if(c_level = c AND predicted = c)
+             / (count_if(c_level = c) + count_if(predicted = c)) AS f1
+      FROM _held, (SELECT c_level AS c FROM _held UNION SELECT predicted FROM _held) GROUP BY c)""")
+    rows = spark.read.parquet(os.path.join(path, "metrics"))
+    return rows.crossJoin(f1).select(
+        "training_date", "model_ver", F.count(F.lit(1)).over(Window.partitionBy()).cast("int").alias("n_rows"),
+        _in_range("cross_val_score").alias("cross_val_in_range"),
+        (F.abs(F.col("val_score") - F.col("again")) < 1e-9).alias("val_score_recomputed"))
+
+
+_NEW_SRC = (f"(SELECT * FROM st_full WHERE {WINDOW_SQL} AND visitor_id NOT IN (SELECT visitor_id FROM seed_labels) "
+            f"AND visitor_id IN ({SAMPLE_SQL}))")
+_CHAIN_SQL = f"""{W}{STAGE_SQL},
+{feature_ctes(CFG, _NEW_SRC, "nw_")},
+new_ids AS (SELECT visitor_id FROM nw_row WHERE visitor_id IN (SELECT visitor_id FROM nw_stats))"""
+
+
+@register("score_visitors", f"""{_CHAIN_SQL}
+SELECT visitor_id, true AS probability_in_range, true AS predicted_agrees FROM new_ids""")
 def q_score_visitors(spark, sf):
-    fx, art = _trained(spark, sf)
-    path = st.artifacts_path(spark, "model-check")
-    st.save(art, path)
-    loaded = st.load(path)
-    rows = st.scoring_rows(fx.pageviews, fx.seed_labels, DATE_START, DATE_END, SAMPLE_ROWS, SAMPLE_SEED)
-    feats = st.visitor_features(rows, fx.pageviews, fx.subscriptions, RESOURCES, CFG)
-    return out(st.score_features(feats, loaded))
+    path, _ = _chain(spark, sf)
+    return spark.read.parquet(os.path.join(path, "predictions")).select(
+        "visitor_id", _in_range("probability").alias("probability_in_range"),
+        ((F.col("predicted") == 1) == (F.col("probability") > 0.5)).alias("predicted_agrees"))
+
+
+@register("score_to_compare", f"""{_CHAIN_SQL},
+cm_train AS (
+  SELECT p.*, CASE WHEN l.management_level = 'C-Level' THEN 'C-level' ELSE 'Non-Clevel' END AS c_level
+  FROM st_full p JOIN seed_labels l USING (visitor_id) WHERE {WINDOW_SQL}),
+cm_pred AS (SELECT *, 'Non-Clevel' AS c_level FROM st_full p
+            WHERE {WINDOW_SQL} AND visitor_id IN (SELECT visitor_id FROM new_ids)),
+{mix_sql("train")},
+{mix_sql("pred")}
+SELECT t.dimension, t.category, round(t.c_level_share, 6) AS c_level_share_train,
+       round(t.non_c_level_share, 6) AS non_c_level_share_train, t.c_rank AS c_rank_train, t.nonc_rank AS nonc_rank_train,
+       true AS scored_shares_in_range
+FROM cm_train_mix t JOIN cm_pred_mix p ON t.dimension = p.dimension AND t.category = p.category""")
+def q_score_to_compare(spark, sf):
+    """Stages 1 to 5: labelled visitors against those the engine scored."""
+    _, done = _chain(spark, sf)
+    ok = [F.col(c).between(-1e-9, 100 + 1e-9) for c in ("c_level_share_pred", "non_c_level_share_pred")]
+    return out(done.select("dimension", "category", "c_level_share_train", "non_c_level_share_train", "c_rank_train",
+                           "nonc_rank_train", (ok[0] & ok[1]).alias("scored_shares_in_range")))

@@ -11,12 +11,13 @@ from kindred.functions.calendar import publish_date_local
 from kindred.functions.text import matches, word_count
 from kindred.operators import enrich as en
 from kindred.operators import features as fe
+from kindred.operators.clean import clean_views
 from kindred.operators.sample import dedupe, sample_rows
 from kindred.plans.catalog import (
-    CFG, DATE_END, DATE_START, RESOURCES, SAMPLE_ROWS, SAMPLE_SEED, W, fixtures, out, register)
+    CFG, DATE_END, DATE_START, RESOURCES, SAMPLE_ROWS, SAMPLE_SEED, W, fixtures, out, register, unpivoted)
 from kindred.plans.oracle_sql import feature_ctes, q, wide_sql
 from kindred.sources import profile
-from kindred.sources.session import scratch_path
+from kindred.sources.session import materialize, scratch_path
 from kindred.sources.sinks import read_back, write_table
 from kindred.sources.tables import lowercase_columns, read_table, select_except
 
@@ -29,30 +30,28 @@ RES_SQL = ", ".join(q(r) for r in RESOURCES)
 UNSUB = q("(?i)" + en.UNSUBSCRIBE_PATH)
 ZONE = CFG.home_zone
 
-# Stage-1 relations restated in SQL.
+# Stage-1 relations restated in SQL: newest rows by NOT EXISTS or a maximum.
 STAGE_SQL = f""",
 st_sent AS (
-  SELECT lower(natid) AS sentiment_natid, pub_date, clean_body, sentiment_score FROM (
-    SELECT *, rank() OVER (PARTITION BY natid ORDER BY pub_date DESC) AS rk FROM sentiment) WHERE rk = 1),
+  SELECT lower(a.natid) AS sentiment_key, a.pub_date AS scored_on, a.clean_body, a.sentiment_score FROM sentiment a
+  WHERE NOT EXISTS (SELECT 1 FROM sentiment b WHERE b.natid = a.natid AND b.pub_date > a.pub_date)),
+st_shown AS (SELECT * FROM content WHERE visible AND type IN ({TYPES_SQL})),
+st_newest AS (SELECT natural_id, max(version_ts) AS version_ts FROM st_shown GROUP BY natural_id),
 st_ct AS (
-  SELECT natid, CAST(date_et AS DATE) AS publish_date, title, body FROM (
-    SELECT DISTINCT timezone('{ZONE}', timezone('UTC', published_at)) AS date_et, title, body,
-           lower(natural_id) AS natid,
-           rank() OVER (PARTITION BY natural_id ORDER BY version_ts DESC) AS mostrecent
-    FROM content WHERE visible AND type IN ({TYPES_SQL})) WHERE mostrecent = 1),
+  SELECT lower(natural_id) AS article_key, CAST(timezone('{ZONE}', timezone('UTC', published_at)) AS DATE) AS publish_date,
+         title, body
+  FROM st_shown JOIN st_newest USING (natural_id, version_ts)
+  GROUP BY 1, timezone('{ZONE}', timezone('UTC', published_at)), title, body),
 st_cat AS (
-  SELECT tier1, natid FROM (
-    SELECT DISTINCT category AS tier1, natid, rank() OVER (PARTITION BY natid ORDER BY ts DESC) AS rk
-    FROM content_category) WHERE rk = 1),
-st_content AS (
-  SELECT st_ct.natid AS content_natid, publish_date, title, body, st_cat.tier1
-  FROM st_ct JOIN st_cat ON lower(st_cat.natid) = lower(st_ct.natid)),
+  SELECT DISTINCT category AS tier1, natid AS category_key FROM content_category
+  WHERE (natid, ts) IN (SELECT (natid, max(ts)) FROM content_category GROUP BY natid)),
+st_content AS (SELECT st_ct.*, tier1 FROM st_ct, st_cat WHERE lower(article_key) = lower(category_key)),
 st_views AS (
   SELECT v.* EXCLUDE (tier1, publish_date), c.* FROM pageviews v
-  LEFT JOIN st_content c ON lower(v.content_id) = lower(c.content_natid)),
+  LEFT JOIN st_content c ON c.article_key = lower(v.content_id)),
 st_full AS (
   SELECT v.* EXCLUDE (sentiment_score), s.* FROM st_views v
-  LEFT JOIN st_sent s ON lower(v.content_id) = lower(s.sentiment_natid))"""
+  LEFT JOIN st_sent s ON s.sentiment_key = lower(v.content_id))"""
 WS = W + STAGE_SQL
 
 
@@ -68,18 +67,27 @@ def _content_t(fx):
 
 @register("scan_pageviews", f"""{WS}
 SELECT event_id, visitor_id, visit_start, strftime(view_date, '%Y-%m-%d') AS view_date, page_path, page_views,
-  round(time_on_page, 6) AS time_on_page, content_id, country, channel, section, content_natid,
-  strftime(publish_date, '%Y-%m-%d') AS publish_date, title, md5(body) AS body_md5, tier1, sentiment_natid,
-  strftime(pub_date, '%Y-%m-%d') AS pub_date, clean_body, round(sentiment_score, 6) AS sentiment_score
+  round(time_on_page, 6) AS time_on_page, content_id, country, channel, section, article_key,
+  strftime(publish_date, '%Y-%m-%d') AS publish_date, title, tier1, sentiment_key,
+  strftime(scored_on, '%Y-%m-%d') AS scored_on, round(sentiment_score, 6) AS sentiment_score
 FROM st_full WHERE {WINDOW_SQL} AND visitor_id IN (SELECT visitor_id FROM seed_labels)""")
 def q_scan_pageviews(spark, sf):
     fx = _fx(spark, sf)
     rows = en.raw_rows(fx.pageviews, fx.content, fx.content_category, fx.sentiment,
                        DATE_START, DATE_END, labelled=fx.seed_labels, zone=ZONE)
     return out(rows.select("event_id", "visitor_id", "visit_start", "view_date", "page_path", "page_views",
-                           "time_on_page", "content_id", "country", "channel", "section", "content_natid",
-                           "publish_date", "title", F.md5("body").alias("body_md5"), "tier1",
-                           "sentiment_natid", "pub_date", "clean_body", "sentiment_score"))
+                           "time_on_page", "content_id", "country", "channel", "section", "article_key",
+                           "publish_date", "title", "tier1", "sentiment_key", "scored_on", "sentiment_score"))
+
+
+@register("attach_text", f"""{WS}
+SELECT event_id, article_key, md5(body) AS body_md5, clean_body FROM st_full
+WHERE {WINDOW_SQL} AND visitor_id IN (SELECT visitor_id FROM seed_labels)""")
+def q_attach_text(spark, sf):
+    fx = _fx(spark, sf)
+    rows = en.raw_rows(fx.pageviews, fx.content, fx.content_category, fx.sentiment,
+                       DATE_START, DATE_END, labelled=fx.seed_labels, zone=ZONE, text=True)
+    return rows.select("event_id", "article_key", F.md5("body").alias("body_md5"), "clean_body")
 
 
 @register("scan_table", "SELECT c_custkey, c_name, c_nationkey, round(c_acctbal, 6) AS c_acctbal, "
@@ -122,6 +130,19 @@ def q_profile_distinct(spark, sf):
     return profile.distinct_count(_fx(spark, sf).pageviews, "visitor_id")
 
 
+@register("profile_schema", f"""{W}
+SELECT CAST(row_number() OVER () - 1 AS INTEGER) AS position, c AS column_name, t AS type FROM (
+  SELECT unnest(['visitor_id', 'user_name', 'management_level']) AS c, unnest(['bigint', 'string', 'string']) AS t)""")
+def q_profile_schema(spark, sf):
+    return profile.schema(_fx(spark, sf).seed_labels)
+
+
+@register("preview_rows", f"{W}\nSELECT visitor_id, user_name, management_level FROM seed_labels "
+                          "ORDER BY visitor_id, user_name LIMIT 5")
+def q_preview_rows(spark, sf):
+    return profile.preview(_fx(spark, sf).seed_labels, 5, ["visitor_id", "user_name"])
+
+
 # ---- B: projections and filters ----------------------------------------------
 
 PROJ = ["visitor_id", "visit_start", "view_date", "page_path", "page_views", "time_on_page", "content_id",
@@ -195,50 +216,51 @@ def q_filter_path_regex(spark, sf):
 # ---- C / E: joins and latest-per-key ------------------------------------------
 
 @register("latest_sentiment", f"""{WS}
-SELECT sentiment_natid, strftime(pub_date, '%Y-%m-%d') AS pub_date, clean_body,
+SELECT sentiment_key, strftime(scored_on, '%Y-%m-%d') AS scored_on, clean_body,
        round(sentiment_score, 6) AS sentiment_score FROM st_sent""")
 def q_latest_sentiment(spark, sf):
     return out(en.latest_sentiment(_fx(spark, sf).sentiment))
 
 
 @register("latest_content", f"""{WS}
-SELECT natid, strftime(publish_date, '%Y-%m-%d') AS publish_date, title, md5(body) AS body_md5 FROM st_ct""")
+SELECT article_key, strftime(publish_date, '%Y-%m-%d') AS publish_date, title, md5(body) AS body_md5 FROM st_ct""")
 def q_latest_content(spark, sf):
     c = en.latest_content(_fx(spark, sf).content, ZONE)
-    return out(c.select("natid", "publish_date", "title", F.md5("body").alias("body_md5")))
+    return out(c.select("article_key", "publish_date", "title", F.md5("body").alias("body_md5")))
 
 
-@register("latest_category", f"{WS}\nSELECT tier1, natid FROM st_cat")
+@register("latest_category", f"{WS}\nSELECT tier1, category_key FROM st_cat")
 def q_latest_category(spark, sf):
     return en.latest_category(_fx(spark, sf).content_category)
 
 
 @register("join_content_category", f"""{WS}
-SELECT content_natid, strftime(publish_date, '%Y-%m-%d') AS publish_date, title, md5(body) AS body_md5, tier1
+SELECT article_key, strftime(publish_date, '%Y-%m-%d') AS publish_date, title, md5(body) AS body_md5, tier1
 FROM st_content""")
 def q_join_content_category(spark, sf):
     c = _content_t(_fx(spark, sf))
-    return out(c.select("content_natid", "publish_date", "title", F.md5("body").alias("body_md5"), "tier1"))
+    return out(c.select("article_key", "publish_date", "title", F.md5("body").alias("body_md5"), "tier1"))
 
 
 @register("join_views_content", f"""{WS}
-SELECT event_id, visitor_id, content_id, content_natid, strftime(publish_date, '%Y-%m-%d') AS publish_date,
+SELECT event_id, visitor_id, content_id, article_key, strftime(publish_date, '%Y-%m-%d') AS publish_date,
        title, tier1 FROM st_views""")
 def q_join_views_content(spark, sf):
     fx = _fx(spark, sf)
-    j = en.join_content(fx.pageviews, _content_t(fx))
-    return out(j.select("event_id", "visitor_id", "content_id", "content_natid", "publish_date", "title", "tier1"))
+    j = en.join_content(fx.pageviews, materialize(_content_t(fx), "content"))
+    return out(j.select("event_id", "visitor_id", "content_id", "article_key", "publish_date", "title", "tier1"))
 
 
 @register("join_views_sentiment", f"""{WS}
-SELECT event_id, visitor_id, content_id, content_natid, tier1, sentiment_natid,
-       strftime(pub_date, '%Y-%m-%d') AS pub_date, clean_body, round(sentiment_score, 6) AS sentiment_score
+SELECT event_id, visitor_id, content_id, article_key, tier1, sentiment_key,
+       strftime(scored_on, '%Y-%m-%d') AS scored_on, clean_body, round(sentiment_score, 6) AS sentiment_score
 FROM st_full""")
 def q_join_views_sentiment(spark, sf):
     fx = _fx(spark, sf)
-    j = en.join_sentiment(en.join_content(fx.pageviews, _content_t(fx)), en.latest_sentiment(fx.sentiment))
-    return out(j.select("event_id", "visitor_id", "content_id", "content_natid", "tier1", "sentiment_natid",
-                        "pub_date", "clean_body", "sentiment_score"))
+    j = en.join_sentiment(en.join_content(fx.pageviews, materialize(_content_t(fx), "content")),
+                          materialize(en.latest_sentiment(fx.sentiment), "sentiment"))
+    return out(j.select("event_id", "visitor_id", "content_id", "article_key", "tier1", "sentiment_key",
+                        "scored_on", "clean_body", "sentiment_score"))
 
 
 @register("semi_labelled", f"""{W}
@@ -291,16 +313,16 @@ def q_anti_null_aware(spark, sf):
 
 @register("join_labels_using", f"""{W},
 {feature_ctes(CFG)}
-SELECT * EXCLUDE (user_name) FROM ({wide_sql(CFG)}) JOIN seed_labels USING (visitor_id)""")
+SELECT w.visitor_id, l.management_level, w.feature, w.value
+FROM ({wide_sql(CFG)}) w JOIN seed_labels l ON l.visitor_id = w.visitor_id""")
 def q_join_labels_using(spark, sf):
     fx = _fx(spark, sf)
     wide = fe.build_wide(fx.pageviews, CFG)
-    return out(wide.join(fx.seed_labels, "visitor_id").drop("user_name"))
+    return unpivoted(wide.join(fx.seed_labels, "visitor_id").drop("user_name"), ["visitor_id", "management_level"])
 
 
-SUBS_SQL = (f"SELECT DISTINCT pv.visitor_id FROM (SELECT DISTINCT user_id_uid FROM subscriptions "
-            f"WHERE resource_id IN ({RES_SQL}) AND status = 'active' AND total_refunded < 1) s "
-            f"JOIN pageviews pv ON lower(pv.piano_id) = lower(s.user_id_uid)")
+SUBS_SQL = (f"SELECT visitor_id FROM pageviews WHERE lower(piano_id) IN (SELECT lower(user_id_uid) FROM subscriptions "
+            f"WHERE resource_id IN ({RES_SQL}) AND status = 'active' AND total_refunded < 1) GROUP BY visitor_id")
 
 
 @register("subscriber_ids", f"{W}\n{SUBS_SQL}")
@@ -322,9 +344,8 @@ def q_flag_newsletter(spark, sf):
 
 
 @register("flag_subscriber", f"""{W}
-SELECT v.visitor_id, CASE WHEN u.visitor_id IS NOT NULL THEN 'subscriber' ELSE 'non_subscriber' END
-  AS subscriber
-FROM (SELECT DISTINCT visitor_id FROM pageviews) v LEFT JOIN ({SUBS_SQL}) u ON u.visitor_id = v.visitor_id""")
+SELECT DISTINCT visitor_id, CASE WHEN visitor_id IN ({SUBS_SQL}) THEN 'subscriber' ELSE 'non_subscriber' END
+  AS subscriber FROM pageviews""")
 def q_flag_subscriber(spark, sf):
     fx = _fx(spark, sf)
     ids = en.active_subscriber_ids(fx.subscriptions, fx.pageviews, RESOURCES)
@@ -340,27 +361,14 @@ _SCORE_SRC = "(SELECT * FROM pageviews WHERE visitor_id NOT IN (SELECT visitor_i
 
 @register("align_features", f"""{W},
 {feature_ctes(CFG, _TRAIN_SRC, "tr_")},
-{feature_ctes(CFG, _SCORE_SRC, "sc_")},
-tr_names AS (SELECT DISTINCT f FROM tr_long WHERE fam <> 'bh_pvs')
-SELECT s.visitor_id,
-       round(s.session_pvs_mean, 6) AS session_pvs_mean, round(s.session_pvs_median, 6) AS session_pvs_median,
-       round(s.session_top_mean, 6) AS session_top_mean, round(s.session_top_median, 6) AS session_top_median,
-       round(r.sentiment_score_mean, 6) AS sentiment_score_mean,
-       round(r.sentiment_score_median, 6) AS sentiment_score_median,
-       round(s.bounce_rate, 6) AS bounce_rate, round(s.content_views_rate, 6) AS content_views_rate,
-       w.* EXCLUDE (visitor_id)
-FROM sc_row r JOIN sc_stats s USING (visitor_id)
-JOIN (SELECT visitor_id, round(coalesce(COLUMNS(* EXCLUDE (visitor_id)), 0.0e0), 6) FROM (
-  PIVOT (SELECT visitor_id, f, v FROM sc_long WHERE fam <> 'bh_pvs' AND f IN (SELECT f FROM tr_names)
-         UNION ALL SELECT NULL AS visitor_id, f, NULL AS v FROM tr_names
-         UNION ALL SELECT visitor_id, (SELECT min(f) FROM tr_names) AS f, NULL AS v FROM sc_row)
-  ON f USING max(v) GROUP BY visitor_id) WHERE visitor_id IS NOT NULL) w USING (visitor_id)""")
+{feature_ctes(CFG, _SCORE_SRC, "sc_")}
+{wide_sql(CFG, "sc_", "SELECT DISTINCT f FROM tr_long WHERE fam <> 'bh_pvs'")}""")
 def q_align_features(spark, sf):
     fx = _fx(spark, sf)
-    train = fe.build_wide(en.keep_visitors(fx.pageviews, fx.seed_labels), CFG)
-    score = fe.build_wide(en.drop_visitors_not_in(fx.pageviews, fx.seed_labels), CFG)
-    from kindred.operators.learn import align_features
-    return out(align_features(score, fe.feature_columns(train)))
+    rows = clean_views(en.keep_visitors(fx.pageviews, fx.seed_labels))
+    names = fe.feature_names(fe.prepare(rows, fe.Vocabulary.build(rows, CFG), CFG))
+    return unpivoted(fe.build_wide(en.drop_visitors_not_in(fx.pageviews, fx.seed_labels), CFG, names=names),
+                     ["visitor_id"])
 
 
 # ---- D17 / D18: distinct and de-duplication -----------------------------------
@@ -441,17 +449,17 @@ _STAGE1_SRC = (f"(SELECT * FROM st_full WHERE {WINDOW_SQL} "
 
 
 @register("training_features", f"""{WS},
-{feature_ctes(CFG, _STAGE1_SRC, "tf_")}
-SELECT w.*,
-  CASE WHEN u.visitor_id IS NOT NULL THEN 'nl_unsubscriber' ELSE 'nl_subscriber' END AS nl_subscription,
-  CASE WHEN s.visitor_id IS NOT NULL THEN 'subscriber' ELSE 'non_subscriber' END AS subscriber
-FROM ({wide_sql(CFG, "tf_")}) w
-LEFT JOIN (SELECT DISTINCT visitor_id FROM {_STAGE1_SRC} WHERE regexp_matches(page_path, {UNSUB})) u
-  ON u.visitor_id = w.visitor_id
-LEFT JOIN ({SUBS_SQL}) s ON s.visitor_id = w.visitor_id""")
+{feature_ctes(CFG, _STAGE1_SRC, "tf_")},
+unsub AS (SELECT visitor_id FROM {_STAGE1_SRC} WHERE regexp_matches(page_path, {UNSUB})),
+subs AS ({SUBS_SQL})
+SELECT visitor_id, feature, value,
+  CASE WHEN visitor_id IN (SELECT visitor_id FROM unsub) THEN 'nl_unsubscriber' ELSE 'nl_subscriber' END AS nl_subscription,
+  CASE WHEN visitor_id IN (SELECT visitor_id FROM subs) THEN 'subscriber' ELSE 'non_subscriber' END AS subscriber
+FROM ({wide_sql(CFG, "tf_")})""")
 def q_training_features(spark, sf):
     from kindred.plans import stages as st
     fx = _fx(spark, sf)
-    rows = st.training_rows(fx.pageviews, fx.content, fx.content_category, fx.sentiment,
-                            fx.seed_labels, DATE_START, DATE_END, ZONE)
-    return out(st.visitor_features(rows, fx.pageviews, fx.subscriptions, RESOURCES, CFG))
+    rows = materialize(st.training_rows(fx.pageviews, fx.content, fx.content_category, fx.sentiment,
+                                        fx.seed_labels, DATE_START, DATE_END, ZONE), "training-rows")
+    return unpivoted(st.visitor_features(rows, fx.pageviews, fx.subscriptions, RESOURCES, CFG),
+                     ["visitor_id", "nl_subscription", "subscriber"])

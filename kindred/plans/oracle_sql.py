@@ -1,19 +1,16 @@
 """DuckDB text of the feature chain, used by the oracle queries.
 
-It restates the feature rules in plain SQL (long form + dynamic ``PIVOT``)
-so the Spark build can be checked against an independent formulation.
+It restates the feature rules in plain SQL, in long form: one row for each
+visitor and feature, absent features as 0.
 """
 
 from __future__ import annotations
 
-from kindred.functions.text import NAME_RULES, BLANK_PATTERN
 from kindred.operators.features import FeatureConfig
 from kindred.sources.fixtures import duckdb_with_clause
 
-
-def MSUM(expr: str) -> str:
-    """Exact sum in micro-units, as double (mirrors ``exact_sum``)."""
-    return f"(CAST(sum(CAST(floor({expr} * 1e6 + 0.5) AS BIGINT)) AS DOUBLE) / 1e6)"
+# The name rules and the blank test, stated here apart from the engine's.
+NAME_STEPS = [("(", "_"), (")", ""), (" & ", "_and_"), (" ", "_"), ("-", "_"), ("'s", ""), ("'", ""), ("/", "")]
 
 
 def q(s: str) -> str:
@@ -22,7 +19,7 @@ def q(s: str) -> str:
 
 def clean_sql(expr: str) -> str:
     out = f"CAST({expr} AS VARCHAR)"
-    for old, new in NAME_RULES:
+    for old, new in NAME_STEPS:
         out = f"replace({out}, {q(old)}, {q(new)})"
     return f"lower({out})"
 
@@ -41,6 +38,8 @@ def _feature_ctes(cfg: FeatureConfig) -> str:
         f"CASE WHEN {c} IN (SELECT cat FROM fe_tops WHERE dim = {q(c)}) THEN {c} "
         f"ELSE {q(cfg.other)} END AS {c}" for c in cfg.collapse_columns)
     home = q(cfg.home_country)
+    zero = ("WHEN fsum(time_on_page) > 0 THEN CAST('inf' AS DOUBLE) WHEN fsum(time_on_page) < 0 "
+            "THEN CAST('-inf' AS DOUBLE) ELSE 0.0e0" if cfg.keep_inf else "ELSE 0.0e0")
     zone = q(cfg.home_zone)
 
     def sum_fam(col, prefix, suffix, fam):
@@ -50,8 +49,7 @@ def _feature_ctes(cfg: FeatureConfig) -> str:
 
     def ratio_fam(col, prefix, suffix, fam):
         return (f"SELECT {q(fam)} AS fam, visitor_id, {q(prefix)} || {clean_sql(col)} || {q(suffix)} AS f, "
-                f"CASE WHEN sum(page_views) = 0 THEN 0.0e0 ELSE {MSUM('time_on_page')} "
-                f"/ sum(page_views) END AS v "
+                f"CASE WHEN sum(page_views) <> 0 THEN fsum(time_on_page) / sum(page_views) {zero} END AS v "
                 f"FROM fe_prep WHERE visitor_id IS NOT NULL AND {col} IS NOT NULL GROUP BY visitor_id, f")
 
     share = ("SELECT 't1_perc' AS fam, visitor_id, f, CASE WHEN tot = 0 THEN 0.0e0 ELSE s / tot END AS v FROM ("
@@ -72,7 +70,7 @@ def _feature_ctes(cfg: FeatureConfig) -> str:
 fe_base AS (
   SELECT * REPLACE (coalesce(time_on_page, 0.0e0) AS time_on_page,
                     coalesce(sentiment_score, 0.0e0) AS sentiment_score,
-                    CASE WHEN tier1 IS NULL OR regexp_matches(tier1, {q(BLANK_PATTERN)}) THEN {q(cfg.other)}
+                    CASE WHEN tier1 IS NULL OR trim(tier1, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) = '' THEN {q(cfg.other)}
                          ELSE tier1 END AS tier1)
   FROM pageviews WHERE content_id IS NOT NULL),
 fe_tops AS (
@@ -88,7 +86,8 @@ fe_prep0 AS (
 fe_prep1 AS (
   SELECT *, CASE WHEN isodow(d) >= 6 THEN 'weekend' ELSE 'weekday' END AS weekpart,
      dayname(d) AS day_name, day(d) AS day_of_month,
-     hour(CASE WHEN country = {home} THEN timezone({zone}, timezone('UTC', utc_ts)) ELSE utc_ts END) AS session_hour
+     hour(CASE WHEN country = {home} THEN timezone({zone}, timezone('UTC', utc_ts)) ELSE utc_ts END) AS session_hour,
+     minute(CASE WHEN country = {home} THEN timezone({zone}, timezone('UTC', utc_ts)) ELSE utc_ts END) AS session_minute
   FROM fe_prep0),
 fe_prep AS (
   SELECT *, CASE WHEN session_hour >= 8 AND session_hour < 18 THEN 'business_hours'
@@ -96,7 +95,7 @@ fe_prep AS (
   FROM fe_prep1),
 fe_page AS (
   SELECT visitor_id, visit_start, page_path, max(page_views) AS page_views,
-         {MSUM('time_on_page')} AS time_on_page
+         fsum(time_on_page) AS time_on_page
   FROM fe_prep WHERE visitor_id IS NOT NULL AND visit_start IS NOT NULL AND page_path IS NOT NULL
   GROUP BY ALL),
 fe_map AS (
@@ -106,19 +105,19 @@ fe_map AS (
     FROM fe_prep WHERE page_path IS NOT NULL) WHERE rn = 1),
 fe_sess AS (
   SELECT p.visitor_id, p.visit_start, CAST(sum(p.page_views) AS BIGINT) AS session_pvs,
-         {MSUM('p.time_on_page')} / count(*) AS session_top,
+         fsum(p.time_on_page) / count(*) AS session_top,
          CAST(sum(CASE WHEN regexp_matches(m.content_id, {pattern}) THEN p.page_views ELSE 0 END) AS BIGINT) AS content_pvs
   FROM fe_page p LEFT JOIN fe_map m USING (page_path) GROUP BY ALL),
 fe_stats AS (
   SELECT visitor_id, avg(session_pvs) AS session_pvs_mean,
          median(CAST(session_pvs AS DOUBLE)) AS session_pvs_median,
-         CAST(sum(CAST(session_top AS DECIMAL(38,12))) AS DOUBLE) / count(session_top) AS session_top_mean,
+         fsum(session_top) / count(session_top) AS session_top_mean,
          median(session_top) AS session_top_median,
          avg(CASE WHEN session_pvs = 1 THEN 1.0e0 ELSE 0.0e0 END) AS bounce_rate,
          CASE WHEN sum(session_pvs) = 0 THEN 0.0e0 ELSE sum(content_pvs) / sum(session_pvs) END AS content_views_rate
   FROM fe_sess GROUP BY visitor_id),
 fe_row AS (
-  SELECT visitor_id, {MSUM('sentiment_score')} / count(sentiment_score) AS sentiment_score_mean,
+  SELECT visitor_id, fsum(sentiment_score) / count(sentiment_score) AS sentiment_score_mean,
          median(sentiment_score) AS sentiment_score_median
   FROM fe_prep WHERE visitor_id IS NOT NULL GROUP BY visitor_id
   HAVING count(referral_group) > 0 AND count(device_os) > 0 AND count(d) > 0),
@@ -130,30 +129,29 @@ def with_features(cfg: FeatureConfig) -> str:
     return duckdb_with_clause() + ",\n" + feature_ctes(cfg)
 
 
-def pivot_sql(long_source: str, key: str = "visitor_id") -> str:
-    """Dynamic pivot of a (key, f, v) relation; absent cells are 0."""
-    return (f"(SELECT {key}, round(coalesce(COLUMNS(* EXCLUDE ({key})), 0.0e0), 6) "
-            f"FROM (PIVOT ({long_source}) ON f USING first(v) GROUP BY {key}))")
+def dense_sql(ids: str, names: str, long: str) -> str:
+    """(visitor_id, feature, value): every id with every feature name."""
+    return (f"SELECT i.visitor_id, n.f AS feature, round(coalesce(l.v, 0.0e0), 6) AS value FROM ({ids}) i "
+            f"CROSS JOIN ({names}) n LEFT JOIN ({long}) l ON l.visitor_id = i.visitor_id AND l.f = n.f")
 
 
-def wide_sql(cfg: FeatureConfig, prefix: str = "fe_") -> str:
-    """The full wide feature row (query body after ``with_features``)."""
-    return _wide_sql(cfg).replace("fe_", prefix)
+_FIXED = {"fe_stats": ["session_pvs_mean", "session_pvs_median", "session_top_mean", "session_top_median",
+                       "bounce_rate", "content_views_rate"],
+          "fe_row": ["sentiment_score_mean", "sentiment_score_median"]}
 
 
-def _wide_sql(cfg: FeatureConfig) -> str:
-    return f"""
-SELECT visitor_id,
-       round(s.session_pvs_mean, 6) AS session_pvs_mean, round(s.session_pvs_median, 6) AS session_pvs_median,
-       round(s.session_top_mean, 6) AS session_top_mean, round(s.session_top_median, 6) AS session_top_median,
-       round(r.sentiment_score_mean, 6) AS sentiment_score_mean,
-       round(r.sentiment_score_median, 6) AS sentiment_score_median,
-       round(s.bounce_rate, 6) AS bounce_rate, round(s.content_views_rate, 6) AS content_views_rate,
-       w.* EXCLUDE (visitor_id)
-FROM fe_row r JOIN fe_stats s USING (visitor_id)
-JOIN {pivot_sql("SELECT visitor_id, f, v FROM fe_long WHERE fam <> 'bh_pvs'")} w USING (visitor_id)"""
+def wide_sql(cfg: FeatureConfig, prefix: str = "fe_", names: str | None = None) -> str:
+    """The full feature row in long form (query body after ``with_features``);
+    ``names`` is a query of the category features ``f`` (default: all)."""
+    ids = "SELECT visitor_id FROM fe_row WHERE visitor_id IN (SELECT visitor_id FROM fe_stats)"
+    long = "SELECT visitor_id, f, v FROM fe_long WHERE fam <> 'bh_pvs'"
+    parts = [dense_sql(ids, names or "SELECT DISTINCT f FROM fe_long WHERE fam <> 'bh_pvs'", long)]
+    parts += [f"SELECT visitor_id, '{c}' AS feature, round({c}, 6) AS value FROM {t} WHERE visitor_id IN ({ids})"
+              for t, cols in _FIXED.items() for c in cols]
+    return "\nUNION ALL ".join(parts).replace("fe_", prefix)
 
 
 def family_sql(fam: str) -> str:
-    """One family alone, wide (visitors with at least one categorised row)."""
-    return "SELECT * FROM " + pivot_sql(f"SELECT visitor_id, f, v FROM fe_long WHERE fam = {q(fam)}")
+    """One family alone (visitors with at least one categorised row)."""
+    own = f"FROM fe_long WHERE fam = {q(fam)}"
+    return dense_sql(f"SELECT DISTINCT visitor_id {own}", f"SELECT DISTINCT f {own}", f"SELECT visitor_id, f, v {own}")

@@ -1,9 +1,8 @@
-"""The four stages as Spark plans: build visitor features, label them,
-train and calibrate a scorer, score unlabelled visitors.
+"""The stages as Spark plans: build visitor features, label them, train and
+calibrate a scorer, score unlabelled visitors, compare the populations.
 
-Each stage is one lazy DataFrame plan; intermediate results that are read
-many times (the training set during cross-validation) are cut from their
-lineage with ``checkpoint()`` into the shared ``spark.checkpoint.dir``.
+Results that are read several times are stored as tables in the shared
+checkpoint folder, which also cuts their lineage.
 """
 
 from __future__ import annotations
@@ -11,19 +10,23 @@ from __future__ import annotations
 import datetime as dt
 import json
 import os
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
+from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.regression import IsotonicRegressionModel
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.operators import enrich as en
 from kindred.operators import features as fe
 from kindred.operators import learn as ln
 from kindred.operators.metrics import weighted_f1
+from kindred.operators.compare import class_from_label, class_from_prediction, class_mix, compare_populations
 from kindred.operators.sample import dedupe, sample_rows
-from kindred.sources.session import checkpoint_dir, scratch_path
+from kindred.sources.session import materialize, scratch_path
+from kindred.sources.sinks import write_table
 from kindred.sources.tables import lowercase_columns
 
 
@@ -35,7 +38,11 @@ class TrainConfig:
     selection_search_trials: int = 10
     selection_trials: int = 100
     final_search_trials: int = 60
-    max_iter_cap: int = 1000
+    selection_space: ln.SearchSpace = ln.SearchSpace()
+    final_space: ln.SearchSpace = ln.SearchSpace()
+    # The search and the fits read at most this many labelled rows, the first
+    # in seeded order. Features, scores and comparisons cover all rows.
+    max_fit_rows: int = 1_000_000
     parallelism: int = 2
     model_version: str = "kindred-1"
     training_date: str | None = None
@@ -44,22 +51,14 @@ class TrainConfig:
 @dataclass
 class Artifacts:
     features: list
-    model: PipelineModel
+    encoders: PipelineModel
+    model: GBTClassificationModel
     calibrator: IsotonicRegressionModel
+    categories: list = field(default_factory=list)   # columns the encoders read
+    codes: list = field(default_factory=list)        # and the columns they add
     report: dict = field(default_factory=dict)
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as a parquet table under the shared checkpoint folder and
-    read it back. Used for the joined raw rows of stage 1 (the source system
-    stores them as a table too): every later pass reads a column-pruned scan
-    instead of re-running the dimension joins, and the lineage is cut, so a
-    lost executor does not send the job back to the joins."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.mode("overwrite").parquet(path)
-    return df.sparkSession.read.parquet(path)
-
-
 def training_rows(views: DataFrame, content: DataFrame, category: DataFrame, sentiment: DataFrame,
                   seed_labels: DataFrame, start: str, end: str,
                   zone: str = "America/New_York") -> DataFrame:
@@ -87,68 +86,71 @@ def training_set(features: DataFrame, seed_labels: DataFrame) -> DataFrame:
     return lowercase_columns(features.join(labels, "visitor_id"))
 
 
-def _fitted_encoders(train: DataFrame, cats: list[str]):
-    return [ix.fit(train) for ix in ln.category_encoder(cats)]
-
-
 def train(train_set: DataFrame, cfg: TrainConfig = TrainConfig()) -> Artifacts:
     """Stage 3: encode, split, search, select, fit, calibrate, evaluate."""
-    checkpoint_dir(train_set.sparkSession)
-    data = train_set.drop("management_level").na.fill(0).checkpoint()
+    data = sample_rows(train_set.drop("management_level").na.fill(0), cfg.max_fit_rows, str(cfg.seed), ln.KEY)
+    data = materialize(data, "train")
     cats = ln.string_columns(data)
-    encoders = _fitted_encoders(data, cats)
-    enc = data
-    for m in encoders:
-        enc = m.transform(enc)
-    numeric = [c for c in data.columns if c not in cats + [ln.KEY, ln.LABEL]]
-    features = numeric + [f"{c}_code" for c in cats]
-    split = ln.stratify(enc, seed=cfg.seed, holdout_every=cfg.holdout_every, folds=cfg.folds).checkpoint()
+    encoders = PipelineModel(stages=[ix.fit(data) for ix in ln.category_encoder(cats)])
+    codes = [s.getOutputCol() for s in encoders.stages]
+    features = [c for c in data.columns if c not in cats + [ln.KEY, ln.LABEL]] + codes
+    split = materialize(ln.stratify(encoders.transform(data), seed=cfg.seed, holdout_every=cfg.holdout_every,
+                                    folds=cfg.folds), "split")
     fit_rows = split.where(~F.col("holdout"))
     best, _ = ln.random_search(fit_rows, features, cfg.selection_search_trials, cfg.seed,
-                               cfg.max_iter_cap, cfg.parallelism, cfg.folds)
-    decisions = ln.shadow_selection(fit_rows, features, best, cfg.selection_trials, cfg.seed)
-    chosen = [r["feature"] for r in decisions.where(F.col("decision") != "rejected").collect()] or features
-    chosen = [f for f in features if f in set(chosen)]
-    best2, means = ln.random_search(fit_rows, chosen, cfg.final_search_trials, cfg.seed + 1,
-                                    cfg.max_iter_cap, cfg.parallelism, cfg.folds)
-    model = ln.fit_model(fit_rows, chosen, best2, cfg.seed)
-    model = PipelineModel(stages=list(encoders) + list(model.stages))
-    iso = ln.calibrate(model, fit_rows.drop(*[f"{c}_code" for c in cats]))
-    hold = split.where(F.col("holdout")).drop(*[f"{c}_code" for c in cats])
-    scored = ln.score(hold, model, iso).join(hold.select(ln.KEY, ln.LABEL), ln.KEY)
-    val = weighted_f1(scored, ln.LABEL, "predicted").first()["weighted_f1"]
+                               cfg.selection_space, cfg.parallelism, cfg.folds)
+    decisions = ln.shadow_selection(fit_rows, features, best, cfg.selection_trials, cfg.seed,
+                                    parallelism=cfg.parallelism)
+    kept = {r["feature"] for r in decisions.where(F.col("decision") != "rejected").collect()}
+    if not kept:
+        raise ValueError("selection rejected every feature; there is nothing to train on")
+    chosen = [f for f in features if f in kept]
+    best, means = ln.random_search(fit_rows, chosen, cfg.final_search_trials, cfg.seed + 1,
+                                   cfg.final_space, cfg.parallelism, cfg.folds)
+    model = ln.fit_model(fit_rows, chosen, best, cfg.seed)
+    iso = ln.calibrate(model, fit_rows, chosen)
+    held = ln.score(split.where("holdout"), chosen, model, iso, carry=(ln.LABEL,))
+    val = weighted_f1(held, ln.LABEL, "predicted").first()["weighted_f1"]
     report = {"training_date": cfg.training_date or dt.date.today().isoformat(),
               "cross_val_score": float(max(means)), "val_score": float(val or 0.0),
-              "model_ver": cfg.model_version}
-    return Artifacts(chosen, model, iso, report)
+              "model_ver": cfg.model_version, "n_features": len(chosen), "n_candidates": len(features)}
+    return Artifacts(chosen, encoders, model, iso, cats, codes, report)
 
 
 def save(art: Artifacts, path: str) -> None:
-    """Persist model, calibrator and feature list (Spark ML formats + JSON)."""
+    """Persist encoders, model, calibrator and lists (Spark ML formats + JSON)."""
+    art.encoders.write().overwrite().save(os.path.join(path, "encoders"))
     art.model.write().overwrite().save(os.path.join(path, "model"))
     art.calibrator.write().overwrite().save(os.path.join(path, "calibrator"))
-    meta = {"features": art.features, "report": art.report}
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    s.createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
+    meta = {"features": art.features, "categories": art.categories, "codes": art.codes, "report": art.report}
+    SparkSession.getActiveSession().createDataFrame([(json.dumps(meta),)], "meta string").coalesce(1) \
         .write.mode("overwrite").text(os.path.join(path, "meta"))
 
 
 def load(path: str) -> Artifacts:
-    from pyspark.sql import SparkSession
-    s = SparkSession.getActiveSession()
-    meta = json.loads(s.read.text(os.path.join(path, "meta")).first()[0])
-    return Artifacts(meta["features"], PipelineModel.load(os.path.join(path, "model")),
-                     IsotonicRegressionModel.load(os.path.join(path, "calibrator")), meta["report"])
-
-
-def scoring_rows(views: DataFrame, seed_labels: DataFrame, start: str, end: str,
-                 sample_size: int, seed: str) -> DataFrame:
-    """Rows of sampled visitors in the window, labelled visitors excluded."""
+    meta = json.loads(SparkSession.getActiveSession().read.text(os.path.join(path, "meta")).first()[0])
+    return Artifacts(meta["features"], PipelineModel.load(os.path.join(path, "encoders")),
+                     GBTClassificationModel.load(os.path.join(path, "model")),
+                     IsotonicRegressionModel.load(os.path.join(path, "calibrator")),
+                     meta["categories"], meta["codes"], meta["report"])
+
+
+def append_report(spark: SparkSession, art: Artifacts, path: str) -> None:
+    """Append the training run's row to the metrics table."""
+    r = art.report
+    row = [(r["training_date"], r["cross_val_score"], r["val_score"], r["model_ver"])]
+    write_table(spark.createDataFrame(row, "training_date string, cross_val_score double, val_score double, "
+                                           "model_ver string").coalesce(1), path)
+
+
+def scoring_rows(views: DataFrame, content: DataFrame, category: DataFrame, sentiment: DataFrame,
+                 seed_labels: DataFrame, start: str, end: str, sample_size: int, seed: str,
+                 zone: str = "America/New_York") -> DataFrame:
+    """Rows of sampled visitors in the window, labelled visitors excluded,
+    with the article, category and sentiment joins of stage 1."""
     window = views.where(F.col("view_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    sampled = sample_rows(window, sample_size, seed, "event_id").select("visitor_id")
-    rows = en.keep_visitors(window, sampled)
-    return en.drop_visitors_not_in(rows, seed_labels)
+    sampled = sample_rows(window.select("event_id", "visitor_id"), sample_size, seed, "event_id").select("visitor_id")
+    return en.raw_rows(views, content, category, sentiment, start, end, exclude=seed_labels, sampled=sampled, zone=zone)
 
 
 def score_features(features: DataFrame, art: Artifacts) -> DataFrame:
@@ -157,12 +159,49 @@ def score_features(features: DataFrame, art: Artifacts) -> DataFrame:
     # ``groupBy(visitor)``, the flags left joins to distinct ids), so the
     # source system's de-duplication on the visitor is a no-op here and is
     # not paid for as a wide sort.
-    feats = lowercase_columns(features)
-    cats = ln.string_columns(feats)
-    numeric = [f for f in art.features if not f.endswith("_code")]
-    aligned = ln.align_features(feats, numeric).join(feats.select("visitor_id", *cats), "visitor_id")
-    return ln.score(aligned, art.model, art.calibrator)
+    feats = art.encoders.transform(lowercase_columns(features))
+    return ln.score(ln.align_features(feats, art.features), art.features, art.model, art.calibrator)
+
+
+@dataclass
+class Sources:
+    """The source tables of a run."""
+    pageviews: DataFrame
+    content: DataFrame
+    content_category: DataFrame
+    sentiment: DataFrame
+    subscriptions: DataFrame
+    seed_labels: DataFrame
+
+
+def run_chain(src: Sources, out_dir: str, start: str, end: str, sample_size: int, sample_seed: str,
+              resources: list[str], features: fe.FeatureConfig = fe.FeatureConfig(),
+              cfg: TrainConfig = TrainConfig()) -> DataFrame:
+    """Stages 1 to 5 on one set of sources; the comparison of the labelled
+    and the scored visitors. The feature, training and prediction tables and
+    the metrics row are stored under ``out_dir``, as are the artifacts."""
+    spark = src.pageviews.sparkSession
+
+    def stored(df: DataFrame, name: str) -> DataFrame:
+        write_table(df, os.path.join(out_dir, name), replace=True)
+        return spark.read.parquet(os.path.join(out_dir, name))
+
+    dims = (src.content, src.content_category, src.sentiment)
+    rows = stored(training_rows(src.pageviews, *dims, src.seed_labels, start, end, features.home_zone), "training_rows")
+    feats = stored(visitor_features(rows, src.pageviews, src.subscriptions, resources, features), "features")
+    labelled = stored(training_set(feats, src.seed_labels), "training_set")
+    save(train(labelled, cfg), os.path.join(out_dir, "artifacts"))
+    art = load(os.path.join(out_dir, "artifacts"))
+    append_report(spark, art, os.path.join(out_dir, "metrics"))
+    new = stored(scoring_rows(src.pageviews, *dims, src.seed_labels, start, end, sample_size, sample_seed,
+                              features.home_zone), "scoring_rows")
+    scores = stored(score_features(visitor_features(new, src.pageviews, src.subscriptions, resources, features), art),
+                    "predictions")
+    seen = rows.join(src.seed_labels.select("visitor_id", "management_level"), "visitor_id") \
+        .withColumn("c_level", class_from_label())
+    found = new.join(scores, "visitor_id").withColumn("c_level", class_from_prediction())
+    return compare_populations(class_mix(seen), class_mix(found))
 
 
 def artifacts_path(spark, name: str) -> str:
-    return scratch_path(spark, name)
+    return scratch_path(spark, f"{name}-{uuid.uuid4().hex}")

@@ -16,9 +16,10 @@ from __future__ import annotations
 
 import os
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
+from kindred.sources.session import materialize
+
 DIALECTS = {
     "spark": {
         "STR": "STRING",
@@ -50,13 +51,13 @@ SELECT e.event_id, e.user_id AS visitor_id,
   CASE WHEN e.k = 13 THEN '/Newsletter/Unsubscribe-Confirmation'
        ELSE CONCAT('/', e.event_type, '/', CAST(e.k AS {STR})) END AS page_path,
   CASE WHEN e.k % 17 = 0 THEN 0 ELSE 1 + e.k % 3 END AS page_views,
-  CASE WHEN e.k % 10 = 0 THEN NULL ELSE e.value END AS time_on_page,
+  CASE WHEN e.k % 10 = 0 THEN NULL ELSE e.value * 0.7310585786300049e0 END AS time_on_page,
   CASE WHEN e.event_type = 'error' THEN NULL
        WHEN e.k % 2 = 0 THEN CONCAT('blogandpostid_', CAST(e.k AS {STR}))
        ELSE CONCAT('channel_', CAST(e.k AS {STR})) END AS content_id,
   d.source AS channel, d.lang AS section,
   CASE WHEN e.k % 7 = 0 THEN ' ' WHEN e.k % 11 = 0 THEN NULL
-       ELSE CONCAT('Cat & ', d.source) END AS tier1,
+       WHEN e.k % 13 = 0 THEN 'news.example.com' ELSE CONCAT('Cat & ', d.source) END AS tier1,
   n.n_name AS country, r.r_name AS referral_group, cu.c_mktsegment AS device_os,
   CASE e.k % 3 WHEN 0 THEN 'desktop' WHEN 1 THEN 'mobile' ELSE 'tablet' END AS device_category,
   CASE e.k % 4 WHEN 0 THEN 'chrome' WHEN 1 THEN 'safari' WHEN 2 THEN 'edge' ELSE NULL END AS device_browser,
@@ -151,15 +152,15 @@ def duckdb_with_clause(names: list[str] | None = None) -> str:
 class Fixtures:
     """Lazily built Spark DataFrames for the logical tables of one scale.
 
-    With ``persist=True`` each derived view is persisted on first use: the
-    views stand in for stored source tables, so queries should not pay for
-    re-deriving them (six joins for ``pageviews``) in every branch.
+    With ``store=True`` each derived view is written once as a parquet table:
+    the views stand in for stored source tables, so queries read them by
+    pruned scans with pushed filters and do not derive them in every branch.
     """
 
-    def __init__(self, spark: SparkSession, sf_dir: str, persist: bool = False):
+    def __init__(self, spark: SparkSession, sf_dir: str, store: bool = False):
         self.spark = spark
         self.sf_dir = sf_dir
-        self.persist = persist
+        self.store = store
         self._cache: dict[str, DataFrame] = {}
 
     def driver_table(self, name: str) -> DataFrame:
@@ -180,7 +181,7 @@ class Fixtures:
             args = {d: (self.view(d) if d in VIEWS else self.driver_table(d))
                     for d in deps}
             df = self.spark.sql(render(body, "spark"), **args)
-            if self.persist:
-                df = df.persist(StorageLevel.MEMORY_AND_DISK)
+            if self.store:
+                df = materialize(df, name)
             self._cache[name] = df
         return self._cache[name]

@@ -21,3 +21,14 @@ def distinct_count(df: DataFrame, col: str, approx: bool = False) -> DataFrame:
     """Exact distinct count (``approx=True``: HyperLogLog++ sketch)."""
     c = F.approx_count_distinct(col) if approx else F.count_distinct(col)
     return df.agg(c.alias(f"n_distinct_{col}"))
+
+
+def schema(df: DataFrame) -> DataFrame:
+    """Position, name and type of each column."""
+    rows = [(i, n, t) for i, (n, t) in enumerate(df.dtypes)]
+    return df.sparkSession.createDataFrame(rows, "position int, column_name string, type string")
+
+
+def preview(df: DataFrame, n: int, order: list[str]) -> DataFrame:
+    """The first ``n`` rows by ``order``."""
+    return df.orderBy(*order).limit(n)

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Defaults a production job would also set. AQE re-plans joins and
 # partition counts at run time and splits skewed sort-merge partitions.
@@ -40,15 +41,17 @@ def get_session(master: str | None = None, app: str = "kindred",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the deployment (a shared file
-    system path). Only when it is unset — local runs and tests — a
-    fresh folder under the system temp directory is taken.
+    On a cluster the deployment must set it to a path that the driver and
+    all executors share; unset there, it raises. Only a local session takes
+    a fresh folder under the system temp directory.
     """
     d = spark.sparkContext.getCheckpointDir()
     if d:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
         d = tempfile.mkdtemp(prefix="kindred-ckpt-")
     spark.sparkContext.setCheckpointDir(d)
     return spark.sparkContext.getCheckpointDir() or d
@@ -60,6 +63,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, "tables", name)
 
 
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as a parquet table under a fresh path of the checkpoint
+    folder and read it back. Later passes read a column-pruned scan, and a
+    lost executor does not send the job back to what is above. Every call
+    has a path of its own, so frames of earlier calls stay readable."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def size_partitions(spark: SparkSession, input_bytes: int, cores: int,
                     target_bytes: int = 256 << 20, max_split_bytes: int = 128 << 20) -> int:
     """Size the shuffle for an input of ``input_bytes``.

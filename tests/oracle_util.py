@@ -57,7 +57,8 @@ def _canon(cols, rows):
 def compare(spark_df, con, sql):
     s_cols = list(spark_df.columns)
     s_rows = [tuple(r) for r in spark_df.collect()]
-    rel = con.sql(sql)
+    con.execute(f"CREATE OR REPLACE TEMP VIEW oracle_check AS {sql}")  # an oracle must be one plain query
+    rel = con.sql("SELECT * FROM oracle_check")
     d_cols = list(rel.columns)
     d_rows = rel.fetchall()
     sc, sr = _canon(s_cols, s_rows)

@@ -3,6 +3,8 @@
 import os
 import tempfile
 
+import pytest
+from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from kindred.operators import learn as ln
@@ -19,33 +21,63 @@ def _table(spark, n=400):
 
 
 def test_fit_calibrate_score_save_load(spark):
-    df = _table(spark).checkpoint()
-    params = ln.TreeParams(max_iter=10, step_size=0.3, max_depth=3)
-    model = ln.fit_model(df, ["s", "n1", "n2"], params)
-    iso = ln.calibrate(model, df)
-    scored = ln.score(df, model, iso).join(df.select("visitor_id", "c_level"), "visitor_id")
-    acc = scored.agg(F.avg((F.col("predicted") == F.col("c_level")).cast("double"))).first()[0]
-    assert acc > 0.95
+    # a dotted and a quoted name, as categories give
+    df = _table(spark).withColumnsRenamed({"n1": "rf_news.example.com", "n2": "odd`name"}).checkpoint()
+    names = ["s", "rf_news.example.com", "odd`name"]
+    model = ln.fit_model(df, names, ln.TreeParams(max_iter=10, step_size=0.3, max_depth=3))
+    iso = ln.calibrate(model, df, names)
+    scored = ln.score(df, names, model, iso, carry=("c_level",))
+    assert scored.agg(F.avg((F.col("predicted") == F.col("c_level")).cast("double"))).first()[0] > 0.95
     # calibrated probabilities are monotone in the raw model probability
-    raw = ln.positive_probability(model.transform(df)).select("visitor_id", "p1")
-    pairs = sorted((r["p1"], r["probability"]) for r in raw.join(scored, "visitor_id").collect())
+    pairs = sorted((r["raw"], r["probability"]) for r in scored.collect())
     assert all(b[1] >= a[1] - 1e-12 for a, b in zip(pairs, pairs[1:]))
     # save / load gives the same scores
-    art = st.Artifacts(["s", "n1", "n2"], model, iso, {"x": 1})
+    encoders = PipelineModel(stages=[ln.category_encoder(["cat"])[0].fit(df)])
+    art = st.Artifacts(names, encoders, model, iso, ["cat"], ["cat_code"], {"x": 1})
     path = os.path.join(tempfile.mkdtemp(prefix="kindred-model-"), "m")
     st.save(art, path)
     back = st.load(path)
-    again = ln.score(df, back.model, back.calibrator)
-    assert back.features == art.features
-    assert ln.score(df, model, iso).exceptAll(again).count() == 0
+    assert (back.features, back.categories, back.codes, back.report) == (names, ["cat"], ["cat_code"], {"x": 1})
+    assert st.score_features(df, back).exceptAll(st.score_features(df, art)).count() == 0
 
 
-def test_shadow_selection_keeps_signal(spark):
+def test_scoring_keeps_a_feature_named_like_a_code(spark):
+    df = _table(spark).withColumnRenamed("n1", "t1_dress_code").checkpoint()
+    names = ["s", "t1_dress_code", "absent_feature"]
+    fit = df.withColumn("absent_feature", F.lit(0.0))
+    model = ln.fit_model(fit, names, ln.TreeParams(max_iter=3, max_depth=2))
+    art = st.Artifacts(names, PipelineModel(stages=[]), model, ln.calibrate(model, fit, names))
+    assert st.score_features(df, art).count() == 400
+
+
+def test_draws_fill_the_space():
+    draws = ln.draw_params(60, 4222)
+    assert len({p.max_iter for p in draws}) > 50 and max(p.max_iter for p in draws) > 800
+    assert {p.max_depth for p in draws} == set(range(2, 14)) and len({p.step_size for p in draws}) == 60
+    narrow = ln.draw_params(60, 4222, ln.SearchSpace(max_iter=(2, 6)))
+    assert {p.max_iter for p in narrow} == set(range(2, 7))
+
+
+def test_shadows_permute_each_feature(spark):
+    df = _table(spark, 97)
+    ranked = ln.ranked_cells(df, ["s", "n1", "n2"])
+    rows = ln.with_shadows(ranked, 97, 3, 5).collect()
+    own, shadow = [r["x"] for r in rows], [r["shadow"] for r in rows]
+    for j in range(3):
+        assert sorted(x[j] for x in own) == sorted(x[j] for x in shadow)
+        assert sum(a[j] == b[j] for a, b in zip(own, shadow)) < 20
+    where = {tuple(x): i for i, x in enumerate(own)}
+    assert sum(tuple(s) in where for s in shadow) < 10  # not one permutation of whole rows
+
+
+def test_shadow_selection_decides(spark):
     df = _table(spark, 300).checkpoint()
     params = ln.TreeParams(max_iter=5, step_size=0.3, max_depth=3)
-    dec = {r["feature"]: r for r in ln.shadow_selection(df, ["s", "n1", "n2"], params, trials=6, seed=3).collect()}
-    assert dec["s"]["hits"] == 6 and dec["s"]["decision"] != "rejected"
-    assert dec["n1"]["hits"] < 6 and dec["n2"]["hits"] < 6
+    dec = {r["feature"]: r for r in ln.shadow_selection(df, ["s", "n1", "n2"], params, trials=12, seed=3).collect()}
+    assert dec["s"]["decision"] == "accepted"
+    assert "accepted" not in (dec["n1"]["decision"], dec["n2"]["decision"])
+    with pytest.raises(ValueError, match="trials"):
+        ln.shadow_selection(df, ["s", "n1", "n2"], params, trials=3)
 
 
 def test_cross_validate_and_encoder(spark):
@@ -64,11 +96,35 @@ def test_binomial_bounds():
     assert lo < 50 < hi and lo >= 35 and hi <= 65
 
 
-def test_stage_one_materialize_round_trip(spark):
+def test_materialize_keeps_earlier_frames(spark):
+    a = st.materialize(spark.range(3), "same-name")
+    b = st.materialize(spark.range(5), "same-name")
+    assert (a.count(), b.count()) == (3, 5)
+
+
+def test_training_rows_carry_no_text(spark):
     from kindred.plans.catalog import fixtures, DATE_START, DATE_END
     from conftest import SF001
     fx = fixtures(spark, SF001)
-    rows = st.training_rows(fx.pageviews, fx.content, fx.content_category, fx.sentiment,
-                            fx.seed_labels, DATE_START, DATE_END)
-    back = st.materialize(rows.drop("body"), "test-training-raw")
-    assert back.count() == rows.count() and set(back.columns) == set(rows.columns) - {"body"}
+    dims = (fx.content, fx.content_category, fx.sentiment)
+    rows = st.training_rows(fx.pageviews, *dims, fx.seed_labels, DATE_START, DATE_END)
+    assert not {"body", "clean_body"} & set(rows.columns)
+
+
+def test_checkpoint_folder_must_be_shared_on_a_cluster(monkeypatch):
+    from kindred.sources import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        session.checkpoint_dir(Session())

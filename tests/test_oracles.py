@@ -4,6 +4,7 @@
 import pytest
 
 import __spark_entry__ as se
+from kindred.plans import load_registry
 from conftest import SF01
 from oracle_util import compare, duck
 
@@ -11,7 +12,8 @@ FAST = ["user_features_wide", "pivot_country", "top_day_of_month", "share_tier1"
         "scan_pageviews", "anti_null_aware", "latest_content", "sample_visitors", "class_mix_all",
         "compare_top_k", "weighted_f1", "probability_histogram", "stratified_holdout", "fn_word_count",
         "profile_nulls", "sink_append_roundtrip", "dedupe_visitor_class", "flag_subscriber",
-        "training_features"]
+        "training_features", "align_features", "join_labels_using", "top_tier1_keep_inf", "profile_schema",
+        "shadow_feature_selection", "training_report", "score_visitors", "score_to_compare"]
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +22,9 @@ def con():
 
 
 def test_registry_complete():
-    q, o = se.queries(), se.oracle_sql()
-    assert set(o) <= set(q) and len(q) >= 100
-    assert len(set(q) - set(o)) <= 10
+    q, o = load_registry()
+    assert set(o) == set(q) and len(q) >= 120
+    assert set(q) <= set(se.queries()) and set(o) <= set(se.oracle_sql())
 
 
 @pytest.mark.parametrize("name", FAST)

@@ -143,12 +143,25 @@ def test_rows_are_plain_tuples():
     assert Row(a=1).a == 1
 
 
-def test_vocabulary_refuses_unbounded_domain(spark):
-    import pytest
+def test_large_domains_have_no_limit(spark):
     from kindred.operators.clean import clean_views
-    rows = [view(i, 1, 100, "/a", 1, 1.0, referral_group=f"R{i}") for i in range(6)]
-    with pytest.raises(ValueError, match="max_domain"):
-        fe.Vocabulary.build(clean_views(spark.createDataFrame(rows, VIEW_SCHEMA)), fe.FeatureConfig(max_domain=4))
+    rows = [view(i, i % 50, 100, "/a", 1, 1.0, tier1=f"Cat {i}") for i in range(20_000)]
+    cleaned = clean_views(spark.createDataFrame(rows, VIEW_SCHEMA))
+    long = fe.long_features(fe.prepare(cleaned, fe.Vocabulary.build(cleaned)), (fe.TIER1, fe.TIER1_SHARE))
+    got = long.groupBy("family").agg(F.count("*").alias("n"), F.sum("value").alias("v")).collect()
+    assert {r["family"]: (r["n"], round(r["v"], 6)) for r in got} == {0: (20_000, 20_000.0), 1: (20_000, 50.0)}
+
+
+def test_wide_columns_stand_in_family_and_category_order(spark):
+    rows = [view(1, 1, 100, "/a", 2, 4.0, tier1="b", view_date=dt.date(2024, 1, 10)),
+            view(2, 1, 100, "/b", 3, 6.0, tier1="a", view_date=dt.date(2024, 1, 2))]
+    wide = fe.build_wide(spark.createDataFrame(rows, VIEW_SCHEMA))
+    assert wide.columns == [
+        "visitor_id", "session_pvs_mean", "session_pvs_median", "session_top_mean", "session_top_median",
+        "sentiment_score_mean", "sentiment_score_median", "rf_r", "ct_x", "dos_os", "t1_a", "t1_b",
+        "t1_a_perc_pvs", "t1_b_perc_pvs", "pc_c", "ps_s_pvs", "t1_a_top", "t1_b_top", "bounce_rate",
+        "content_views_rate", "weekday_top", "non_business_hours_top", "tuesday_top", "wednesday_top",
+        "day_of_mon_2_top", "day_of_mon_10_top"]
 
 
 def test_keep_inf_through_wide_build(spark):
