@@ -23,7 +23,6 @@ import pyarrow as pa
 import regex
 import tiktoken
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from kindred.llm import pii
 
@@ -215,6 +214,13 @@ def apply_edits(tree: TokenTree, text: str, edits: list[tuple[int, int, str]], t
     return new, recoded
 
 
+def slices(batches, rows: int = 128):
+    """Record batches cut to a few rows, as a tree is larger than its text."""
+    for b in batches:
+        for k in range(0, b.num_rows, rows):
+            yield b.slice(k, rows)
+
+
 def build(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
     """``doc_id, text, tree, n_pretokens, n_tokens`` for each row of ``docs``:
     the stored form of the tree, and its sums. A null text counts as empty
@@ -224,7 +230,7 @@ def build(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
     def run(batches):
         tok = tokenizer(path)
-        for b in batches:
+        for b in slices(batches):
             trees = [build_tree(t.as_py(), tok) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays(
                 [b.column("doc_id"), b.column("text"), pa.array([t.to_bytes() for t in trees], pa.binary()),
@@ -247,7 +253,7 @@ def apply(trees: DataFrame, path: str = TOKENIZER) -> DataFrame:
 
     def run(batches):
         tok = tokenizer(path)
-        for b in batches:
+        for b in slices(batches):
             rows = []
             for text, data, edits in zip(b.column("text"), b.column("tree"), b.column("edits").to_pylist()):
                 t, tree = text.as_py(), TokenTree.from_bytes(data.as_py())
@@ -277,22 +283,25 @@ def cleaning_edits(text: str | None) -> list[tuple[int, int, str]]:
     return checked(found + [(*m.span(), " ") for m in BLANKS.finditer(text or "")], len(text or ""))
 
 
-def with_edits(trees: DataFrame, edits=cleaning_edits) -> DataFrame:
-    """``trees`` and a column ``edits``, by a function of the text."""
-    base = trees.schema
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in base)
-    shape = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("replacement", pa.string())]))
+def edited_counts(docs: DataFrame, path: str = TOKENIZER, edits=cleaning_edits) -> DataFrame:
+    """Counts of every document before and after the edits that a function of
+    its text gives: ``doc_id, n_tokens, n_edits, n_tokens_after, n_pretokens``
+    (after) and ``n_recoded``. One tree is held at a time."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    names = ["n_tokens", "n_edits", "n_tokens_after", "n_pretokens", "n_recoded"]
 
     def run(batches):
+        tok = tokenizer(path)
         for b in batches:
-            rows = [[dict(zip(("start", "end", "replacement"), e)) for e in edits(t.as_py())] for t in b.column("text")]
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, shape)], [*b.schema.names, "edits"])
-
-    return trees.mapInArrow(run, f"{kinds}, edits array<struct<start:long,end:long,replacement:string>>")
-
-
-def edited_counts(docs: DataFrame, path: str = TOKENIZER) -> DataFrame:
-    """Counts of every document before and after ``cleaning_edits``."""
-    done = apply(with_edits(build(docs, path).select("doc_id", "text", "tree")), path)
-    return done.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), "n_edits",
-                       F.col("n_tokens").alias("n_tokens_after"), "n_pretokens", "n_recoded")
+            rows = []
+            for t in b.column("text"):
+                text = t.as_py()
+                tree, todo, recoded = build_tree(text, tok), edits(text), 0
+                before = tree.total()
+                if todo:
+                    _, recoded = apply_edits(tree, text, todo, tok)
+                rows.append((before, len(todo), tree.total(), sum(len(x[0]) for x in tree.blocks), recoded))
+            cols = list(zip(*rows)) or [()] * 5
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), *(pa.array(c, pa.int64()) for c in cols)], ["doc_id", *names])
+
+    return docs.select("doc_id", "text").mapInArrow(run, f"doc_id {kind}, " + ", ".join(f"{n} long" for n in names))
