@@ -1,27 +1,32 @@
-"""Helpers shared by the operators: staged tables and connected components."""
+"""Helpers shared by the operators: tables and connected components.
+
+``staged`` writes a frame under a fresh path of the shared checkpoint folder
+and reads it back; a lost executor then costs a re-read of one file."""
 
 from __future__ import annotations
 
-import uuid
+import os
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.sources.session import scratch_path
+from kindred.sources.session import materialize as staged  # noqa: F401
 
+ROOT = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it,
+    whatever folder the session was started in. Where executors have no such
+    path, ship the package with ``--py-files``."""
+    env = spark.sparkContext.environment
+    paths = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if ROOT not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([ROOT, *paths])
 
-def staged(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` under a fresh path of the shared checkpoint folder and
-    read it back: the lineage ends there, so a lost executor costs a
-    re-read of one file and never the work above."""
-    spark = df.sparkSession
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
 def sha_list(values, sep: str = ",") -> "F.Column":

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import ann, decontaminate, langid, licenses, lines, mixing, pii, simhash, tokencount
-from kindred.llm.common import sha_list, table
+from kindred.llm.common import on_workers, sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -16,7 +16,11 @@ ORACLES: dict[str, str] = {}
 
 def register(name: str, sql: str | None = None):
     def deco(fn):
-        QUERIES[name] = fn
+        def query(spark, sf_dir):
+            on_workers(spark)
+            return fn(spark, sf_dir)
+
+        QUERIES[name] = query
         if sql is not None:
             ORACLES[name] = sql
         return fn
