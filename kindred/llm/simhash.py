@@ -138,7 +138,7 @@ def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks: int
     keyed = docs.select(d.alias("doc_id"), F.xxhash64("text").alias("h"), "text")
     found = near_duplicates(keyed, words, max_bits, blocks, ("doc_id", "h"))
     keep = staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("h").alias("h"))
-                  .select(F.col("doc_id").alias("_d"), F.col("h").alias("_h")), "simhash-keep")
-    met = docs.withColumn("_d", d).withColumn("_h", F.xxhash64("text")).join(keep, ["_d", "_h"], "left_semi")
-    first = Window.partitionBy("_d", "_h").orderBy("_d")
-    return met.withColumn("_n", F.row_number().over(first)).where("_n = 1").drop("_d", "_h", "_n")
+                  .select(F.col("doc_id").alias("_simhash_d"), F.col("h").alias("_simhash_h")), "simhash-keep")
+    met = docs.withColumn("_simhash_d", d).withColumn("_simhash_h", F.xxhash64("text")).join(keep, ["_simhash_d", "_simhash_h"], "left_semi")
+    first = Window.partitionBy("_simhash_d", "_simhash_h").orderBy("_simhash_d")
+    return met.withColumn("_simhash_n", F.row_number().over(first)).where("_simhash_n = 1").drop("_simhash_d", "_simhash_h", "_simhash_n")
