@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from kindred.functions.calendar import (
     business_hours, day_name, parse_date, session_start, weekpart)
-from kindred.functions.text import clean_name, matches
+from kindred.functions.text import clean_name, clean_name_str, matches
 from kindred.operators.clean import clean_views, collapse, top_categories
 from kindred.sources.session import materialize
 
@@ -124,28 +124,36 @@ def quoted(name: str) -> str:
     return "`" + name.replace("`", "``") + "`"
 
 
-def _entries(families) -> Column:
-    """The ``family, feature, place`` of a row in each family: ``family`` is
-    the position in ``families``, ``place`` orders features by category."""
-    def entry(k: int, f: Family) -> Column:
-        raw = F.col(f.column).cast("string")
-        name = F.concat(F.lit(f.prefix), clean_name(raw), F.lit(f.suffix))
-        place = F.lpad(raw, 12, "0") if f.column in INT_COLUMNS else raw
-        return F.struct(F.lit(k).alias("family"), name.alias("feature"), place.alias("place"))
-
-    return F.explode(F.array(*[entry(k, f) for k, f in enumerate(families)])).alias("_e")
+def _by_category(rows: DataFrame, columns: list[str], *keep: str) -> DataFrame:
+    """``keep, column, raw``: a row for each non-null category of ``rows``;
+    ``column`` is the position in ``columns``."""
+    each = F.explode(F.array(*[F.struct(F.lit(i).alias("column"), F.col(c).cast("string").alias("raw"))
+                               for i, c in enumerate(columns)])).alias("_e")
+    return rows.select(*keep, each).where("_e.raw IS NOT NULL").select(*keep, "_e.column", "_e.raw")
 
 
 def long_features(prepared: DataFrame, families=FAMILIES, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
     """``visitor_id, family, feature, value``: one row for each feature a
-    visitor has (absent ones are 0). Categories whose cleaned names are equal
-    are one feature."""
+    visitor has (absent ones are 0); ``family`` is the position in
+    ``families``. Categories whose cleaned names are equal are one feature.
+
+    Sums go by (visitor, category columns), then by (visitor, column,
+    category); only what is left is given its features' names.
+    """
     cats = sorted({f.column for f in families})
+    measures = [F.sum("_pv").alias("_pv"), F.sum("_t").alias("_t")]
     rows = (prepared.where(F.col(V).isNotNull()).groupBy(V, *cats)
             .agg(F.sum(PV).alias("_pv"), F.sum(F.col(TIME).cast("decimal(38,12)")).alias("_t")))
-    sums = (rows.select(V, "_pv", "_t", _entries(families)).where(F.col("_e.feature").isNotNull())
-            .groupBy(V, F.col("_e.family").alias("family"), F.col("_e.feature").alias("feature"))
-            .agg(F.sum("_pv").alias("_pv"), F.sum("_t").cast("double").alias("_t")))
+    by_cat = _by_category(rows, cats, V, "_pv", "_t").groupBy(V, "column", "raw").agg(*measures)
+
+    def named(column: str) -> Column:
+        return F.array(*[F.struct(F.lit(k).alias("family"),
+                                  F.concat(F.lit(f.prefix), clean_name("raw"), F.lit(f.suffix)).alias("feature"))
+                         for k, f in enumerate(families) if f.column == column])
+
+    entries = F.coalesce(*[F.when(F.col("column") == i, named(c)) for i, c in enumerate(cats)])
+    sums = (by_cat.select(V, "_pv", "_t", F.explode(entries).alias("_e")).select(V, "_pv", "_t", "_e.*")
+            .groupBy(V, "family", "feature").agg(F.sum("_pv").alias("_pv"), F.sum("_t").cast("double").alias("_t")))
     of = {k: [i for i, f in enumerate(families) if f.kind == k] for k in ("share", "ratio")}
     value = F.col("_pv").cast("double")
     if of["ratio"]:
@@ -157,16 +165,17 @@ def long_features(prepared: DataFrame, families=FAMILIES, cfg: FeatureConfig = F
 
 
 def feature_names(prepared: DataFrame, families=FAMILIES) -> list[tuple[int, str]]:
-    """``(family, feature)`` in the order of a wide row. One entry a category:
-    as many as the wide row they are asked for has columns."""
+    """``(family, feature)`` in the order of a wide row: by family, then by
+    category (numbers in numeric order). One entry a category: as many as
+    the wide row they are asked for has columns."""
     cats = sorted({f.column for f in families})
-    found = prepared.where(F.col(V).isNotNull()).select(*cats).distinct().select(_entries(families)) \
-        .where(F.col("_e.feature").isNotNull()).select("_e.*").distinct().collect()
-    first: dict = {}
-    for r in found:
-        key = (r["family"], r["feature"])
-        first[key] = min(first.get(key, r["place"]), r["place"])
-    return sorted(first, key=lambda k: (k[0], first[k], k[1]))
+    found = _by_category(prepared.where(F.col(V).isNotNull()), cats).distinct().collect()
+    out: list[tuple[int, str]] = []
+    for k, f in enumerate(families):
+        raws = [r["raw"] for r in found if cats[r["column"]] == f.column]
+        raws.sort(key=int if f.column in INT_COLUMNS else None)
+        out += dict.fromkeys((k, f.prefix + clean_name_str(r) + f.suffix) for r in raws)
+    return out
 
 
 def pivot_long(long: DataFrame, names: list[tuple[int, str]]) -> DataFrame:

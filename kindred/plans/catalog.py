@@ -74,9 +74,10 @@ def out(df: DataFrame) -> DataFrame:
 def unpivoted(df: DataFrame, ids: list[str]) -> DataFrame:
     """A wide frame as ``ids, feature, value``, rounded as ``out``."""
     names = [c for c in df.columns if c not in ids]
-    cells = F.explode(F.array(*[F.struct(F.lit(n).alias("feature"), F.col(_q(n)).cast("double").alias("value"))
-                                for n in names]))
-    return out(df.select(*ids, cells.alias("_c")).select(*ids, "_c.feature", "_c.value"))
+    values = F.array(*[F.col(_q(n)).cast("double") for n in names])
+    rows = df.select(*ids, F.posexplode(values).alias("_at", "value"))
+    labels = F.array(*[F.lit(n) for n in names])
+    return out(rows.select(*ids, F.element_at(labels, F.col("_at") + 1).alias("feature"), "value"))
 
 
 _SHARED: dict = {}

@@ -6,6 +6,7 @@ from __future__ import annotations
 
 import os
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
@@ -101,6 +102,29 @@ def _prepared_train(spark, sf):
     return _PREPARED[key]
 
 
+_STRINGS = ["piano_id", "page_path", "content_id", "channel", "section", "tier1", "country", "referral_group",
+            "device_os", "device_category", "device_browser"]
+
+
+@register("columns_by_type", W + "\n" + " UNION ALL ".join(
+    f"SELECT '{c}' AS column_name, count(DISTINCT {c}) AS n_distinct FROM pageviews" for c in _STRINGS))
+def q_columns_by_type(spark, sf):
+    """The string columns of the page views, with their distinct values."""
+    views = fixtures(spark, sf).pageviews
+    names = ln.string_columns(views)
+    return views.agg(*[F.count_distinct(c).alias(c) for c in names]).unpivot([], names, "column_name", "n_distinct")
+
+
+@register("split_predictors_target", f"""{SPLIT_SQL}
+SELECT visitor_id, c_level AS target, (SELECT count(DISTINCT f) FROM tr_long WHERE fam <> 'bh_pvs') + 10 AS n_predictors
+FROM ts_f""")
+def q_split_predictors_target(spark, sf):
+    """Label and number of assembled predictors of each training row."""
+    train, features = _prepared_train(spark, sf)
+    rows = ln.assemble(train, features, "visitor_id", F.col("c_level").alias("target"))
+    return rows.select("visitor_id", "target", F.size(vector_to_array("features")).cast("long").alias("n_predictors"))
+
+
 def _in_range(c):
     return (F.col(c) >= 0) & (F.col(c) <= 1)
 
