@@ -10,8 +10,8 @@ long form needs no list of categories, so no domain is bounded or collected;
 only a wide row does, as its columns are the categories.
 
 Session statistics come from the page grain ``(visitor, session, path)`` ->
-session grain ``(visitor, session)`` -> visitor. The sentiment median comes
-from ``(visitor, value, count)``. The visitor-grain results are joined once,
+session grain ``(visitor, session)`` -> visitor. Medians come from counts
+``(visitor, value, count)`` in value order. The visitor-grain results are joined once,
 on a key that is unique on both sides.
 """
 
@@ -57,7 +57,7 @@ class FeatureConfig:
     keep_inf: bool = False
     other: str = "other"
     # Opt-in: approximate medians (fixed-size sketch per visitor) instead of
-    # exact ones (buffer of distinct values per visitor).
+    # exact ones (a visitor's distinct values sorted in one task).
     approx_median: bool = False
 
 
@@ -236,20 +236,53 @@ def session_grain(pages: DataFrame, content_map: DataFrame | None = None,
     return src.groupBy(V, VS).agg(*aggs)
 
 
+def _cumulated(counts: DataFrame, *keys: str) -> DataFrame:
+    """``_upto`` and ``_all`` of value counts ``_v, _c`` by ``keys``: running
+    and whole sums in value order. Rows are sorted and may spill; a key with
+    very many values never has to fit into memory."""
+    by = Window.partitionBy(*keys)
+    upto = by.orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    return counts.withColumn("_upto", F.sum("_c").over(upto)).withColumn("_all", F.sum("_c").over(by))
+
+
+def _median(of: Column) -> Column:
+    """Exact median from cumulated counts: the mean of the two middle values."""
+    low = F.min(F.when(of & (2 * F.col("_upto") >= F.col("_all")), F.col("_v")))
+    high = F.min(F.when(of & (2 * F.col("_upto") > F.col("_all")), F.col("_v")))
+    return (low + high) / 2
+
+
 def session_stats(sessions: DataFrame, approx: bool = False) -> DataFrame:
     """Visitor statistics over sessions: mean/median views and time, bounce
-    rate and (if present) content view rate. ``approx`` uses quantile
-    sketches for the medians."""
-    med = (lambda c: F.percentile_approx(c, 0.5).cast("double")) if approx else F.median
-    aggs = [F.avg("session_pvs").alias("session_pvs_mean"),
-            med("session_pvs").alias("session_pvs_median"),
-            exact_avg("session_top").alias("session_top_mean"),
-            med("session_top").alias("session_top_median"),
-            F.avg(F.when(F.col("session_pvs") == 1, F.lit(1.0)).otherwise(F.lit(0.0))).alias("bounce_rate")]
-    if "content_pvs" in sessions.columns:
-        aggs.append(F.coalesce(F.try_divide(F.sum("content_pvs"), F.sum("session_pvs")),
-                               F.lit(0.0)).alias("content_views_rate"))
-    return sessions.groupBy(V).agg(*aggs)
+    rate and (if present) content view rate, all from one aggregate of value
+    counts. ``approx`` uses quantile sketches for the medians instead."""
+    content = "content_pvs" in sessions.columns
+    if approx:
+        med = lambda c: F.percentile_approx(c, 0.5).cast("double")
+        aggs = [F.avg("session_pvs").alias("session_pvs_mean"), med("session_pvs").alias("session_pvs_median"),
+                exact_avg("session_top").alias("session_top_mean"), med("session_top").alias("session_top_median"),
+                F.avg((F.col("session_pvs") == 1).cast("double")).alias("bounce_rate"),
+                F.sum("session_pvs").alias("_pvs")] + [F.sum("content_pvs").alias("_content")] * content
+        out = sessions.groupBy(V).agg(*aggs)
+    else:
+        names = ["session_pvs", "session_top"] + ["content_pvs"] * content
+        cells = F.explode(F.array(*[F.struct(F.lit(n).alias("k"), F.col(n).cast("double").alias("v")) for n in names]))
+        counts = (sessions.select(V, cells.alias("_e")).groupBy(V, F.col("_e.k").alias("_k"), F.col("_e.v").alias("_v"))
+                  .agg(F.count("_e.v").alias("_c"), F.count(F.lit(1)).alias("_rows")))
+        is_ = {n: F.col("_k") == n for n in names}
+        exact = F.col("_v").cast("decimal(24,12)") * F.col("_c").cast("decimal(12,0)")
+        total = {n: F.sum(F.when(is_[n], exact)).cast("double") for n in names}
+        n_of = {n: F.sum(F.when(is_[n], F.col("_c"))) for n in names}
+        aggs = []
+        for n in names[:2]:
+            aggs += [(total[n] / n_of[n]).alias(n + "_mean"), _median(is_[n]).alias(n + "_median")]
+        single = F.sum(F.when(is_["session_pvs"] & (F.col("_v") == 1), F.col("_c")).otherwise(0))
+        aggs += [(single / F.sum(F.when(is_["session_pvs"], F.col("_rows")))).alias("bounce_rate"),
+                 total["session_pvs"].alias("_pvs")] + [total[n].alias("_content") for n in names[2:]]
+        out = _cumulated(counts, V, "_k").groupBy(V).agg(*aggs)
+    if content:
+        out = out.withColumn("content_views_rate", F.coalesce(F.try_divide("_content", "_pvs"), F.lit(0.0))).drop("_content")
+    return out.drop("_pvs")
 
 
 # ---- the wide feature row ----------------------------------------------------
@@ -269,15 +302,13 @@ def eligible_visitors(cleaned: DataFrame) -> DataFrame:
 
 
 def sentiment_median(rows: DataFrame, approx: bool = False) -> DataFrame:
-    """Exact median per visitor from (visitor, value, count): the percentile
-    buffer holds distinct values only, and the counting is partial-aggregated.
-    ``approx`` uses a fixed-size quantile sketch instead."""
+    """Exact median per visitor from (visitor, value, count); ``approx`` uses
+    a fixed-size quantile sketch instead."""
+    own = rows.where(F.col(V).isNotNull())
     if approx:
-        return (rows.where(F.col(V).isNotNull()).groupBy(V)
-                .agg(F.percentile_approx(SENT, 0.5).cast("double").alias("sentiment_score_median")))
-    counts = rows.where(F.col(V).isNotNull()).groupBy(V, SENT).agg(F.count(F.lit(1)).alias("_c"))
-    return counts.groupBy(V).agg(F.percentile(F.col(SENT), F.lit(0.5), F.col("_c"))
-                                 .alias("sentiment_score_median"))
+        return own.groupBy(V).agg(F.percentile_approx(SENT, 0.5).cast("double").alias("sentiment_score_median"))
+    counts = own.groupBy(V, F.col(SENT).cast("double").alias("_v")).agg(F.count(SENT).alias("_c"))
+    return _cumulated(counts, V).groupBy(V).agg(_median(F.lit(True)).alias("sentiment_score_median"))
 
 
 def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(), voc: Vocabulary | None = None,

@@ -19,10 +19,5 @@ def write_table(df: DataFrame, path: str, replace: bool = False,
     w.parquet(path)
 
 
-def save_table(df: DataFrame, name: str, replace: bool = False) -> None:
-    """Same for a catalog table."""
-    df.write.mode("overwrite" if replace else "append").saveAsTable(name)
-
-
 def read_back(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)

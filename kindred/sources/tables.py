@@ -5,7 +5,6 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def read_table(spark: SparkSession, name: str, base: str | None = None) -> DataFrame:
@@ -29,7 +28,3 @@ def lowercase_columns(df: DataFrame) -> DataFrame:
 def select_except(df: DataFrame, *names: str) -> DataFrame:
     """``SELECT * EXCEPT (names)``."""
     return df.drop(*names)
-
-
-def project(df: DataFrame, columns: list[str]) -> DataFrame:
-    return df.select(*[F.col(c) for c in columns])
