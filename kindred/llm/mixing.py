@@ -65,7 +65,7 @@ def _share(nodes: DataFrame, parent: list[str], level: str, mix: Mix) -> DataFra
     ``cap``: everyone gets weight x the level at which the budget is used
     up, at most its capacity. Children are scanned by capacity per weight;
     the level is the largest of the running candidates."""
-    w = nodes.withColumn("w", _weight(mix, level)).where("w > 0")
+    w = nodes.withColumn("w", _weight(mix, level))
     by = Window.partitionBy(*parent) if parent else Window.partitionBy(F.lit(0))
     before = by.orderBy(F.col("cap") / F.col("w"), level).rowsBetween(Window.unboundedPreceding, -1)
     zero = F.lit(0.0)
@@ -77,11 +77,14 @@ def _share(nodes: DataFrame, parent: list[str], level: str, mix: Mix) -> DataFra
 
 def source_budgets(rows: DataFrame, mix: Mix) -> DataFrame:
     """``domain, lang, source, have, budget`` (tokens) of each source that
-    has tokens; ``rows`` has the columns of ``tree_columns``."""
+    has tokens and no weight of 0 above it; ``rows`` has the columns of
+    ``tree_columns``. The whole budget is a share of all tokens."""
     leaf = staged(rows.where("tokens > 0").groupBy(*TREE).agg(F.sum("tokens").alias("have")), "mix-leaves") \
         .withColumn("cap", F.col("have") * mix.max_epochs)
     total = leaf.agg(F.coalesce(F.sum("have"), F.lit(0)).alias("t")).select(
         F.floor(F.col("t") * mix.budget_share).cast("double").alias("budget"))
+    for level in TREE:  # what a weight of 0 leaves out is no capacity of the nodes above
+        leaf = leaf.where(_weight(mix, level) > 0)
     given = leaf.groupBy("domain").agg(F.sum("cap").alias("cap")) \
         .withColumn("_", F.lit(0)).join(total.withColumn("_", F.lit(0)), "_").drop("_")
     given = _share(given, [], "domain", mix)

@@ -54,6 +54,15 @@ def test_budgets(spark):
     assert sum(v[1] for v in got.values()) >= int(0.8 * sum(have.values())) - len(got)
 
 
+def test_weight_of_zero_hands_its_share_on(spark):
+    docs = rows_of(spark, SPEC)
+    mix = mx.Mix(0.5, 3, "t", {"lang": {"en": 0}, "domain": {"domain0": 9}})
+    got = mx.source_budgets(docs.select("doc_id", *mx.tree_columns(docs, mix)), mix).collect()
+    total, room = sum(n for *_, n in SPEC), sum(3 * r.have for r in got)
+    assert {r.lang for r in got} == {"de", "fr", "es"}
+    assert abs(sum(r.budget for r in got) - min(total // 2, room)) <= len(got)
+
+
 def test_prefixes(spark):
     docs = rows_of(spark, SPEC)
     budget = {(r.domain, r.lang, r.source): r.budget for r in
