@@ -96,25 +96,38 @@ def source_budgets(rows: DataFrame, mix: Mix) -> DataFrame:
 
 def plan(rows: DataFrame, mix: Mix) -> DataFrame:
     """``domain, lang, source, epochs, cut`` of each source: whole epochs,
-    and the last place taken in one more. ``rows`` is stored. The prefix of
-    a source is found by sums over 4096 ranges of places, then by order
-    inside the one range in which the budget ends."""
+    and the last place taken in one more. ``rows`` is stored. Where the
+    budget of a source ends is found by sums over 256 ranges of places, by
+    256 parts of the one range it ends in, then by order inside that part."""
     goal = staged(source_budgets(rows, mix).withColumn("epochs", F.expr("budget div have"))
                   .withColumn("rest", F.expr("budget % have")), "mix-goal")
     placed = rows.where("tokens > 0").join(hinted(goal.select(*TREE, "epochs", "rest")), TREE) \
-        .withColumn("place", _place(mix, F.col("epochs"))).withColumn("range", F.substring("place", 1, 3))
-    sums = placed.groupBy(*TREE, "rest", "range").agg(F.sum("tokens").alias("n"))
-    upto = Window.partitionBy(*TREE).orderBy("range").rowsBetween(Window.unboundedPreceding, 0)
-    ends = staged(sums.withColumn("upto", F.sum("n").over(upto)).where("upto > rest AND upto - n <= rest")
-                  .select(*TREE, "range", (F.col("upto") - F.col("n")).alias("before")), "mix-ends")
+        .withColumn("place", _place(mix, F.col("epochs")))
+    ends = goal.select(*TREE, F.lit("").alias("range"), F.lit(0).cast("long").alias("before"))
+    for digits in (2, 4):
+        ends = staged(_range_ends(_inside(placed, ends, digits - 2), digits), "mix-ends")
     inside = Window.partitionBy(*TREE).orderBy("place").rangeBetween(Window.unboundedPreceding, 0)
-    last = placed.join(hinted(ends), [*TREE, "range"]) \
-        .withColumn("upto", F.col("before") + F.sum("tokens").over(inside)) \
+    last = _inside(placed, ends, 4).withColumn("upto", F.col("before") + F.sum("tokens").over(inside)) \
         .where("upto <= rest").groupBy(*TREE).agg(F.max("place").alias("last"))
     return staged(goal.join(ends, TREE).join(last, TREE, "left")
                   .select(*TREE, "epochs", F.coalesce("last", "range").alias("cut")), "mix-plan")
 
 
+def _inside(placed: DataFrame, ends: DataFrame, digits: int) -> DataFrame:
+    """The rows of each source whose place starts with its ``range``."""
+    return placed.withColumn("range", F.substring("place", 1, digits)).join(hinted(ends), [*TREE, "range"])
+
+
+def _range_ends(rows: DataFrame, digits: int) -> DataFrame:
+    """``range, before`` of each source: the range of places (by leading hex
+    digits) in which its rest ends, and the tokens before that range."""
+    sums = rows.groupBy(*TREE, "rest", "before", F.substring("place", 1, digits).alias("part")).agg(F.sum("tokens").alias("n"))
+    upto = Window.partitionBy(*TREE).orderBy("part").rowsBetween(Window.unboundedPreceding, 0)
+    return sums.withColumn("upto", F.col("before") + F.sum("n").over(upto)) \
+        .where("upto > rest AND upto - n <= rest") \
+        .select(*TREE, F.col("part").alias("range"), (F.col("upto") - F.col("n")).alias("before"))
+
+
 def hinted(df: DataFrame) -> DataFrame:
     """Broadcast hint for a stored table of sources, if its count allows it."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
