@@ -12,6 +12,7 @@ order, that fits the rest of its budget.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, Window
@@ -81,12 +82,10 @@ def source_budgets(rows: DataFrame, mix: Mix) -> DataFrame:
     ``tree_columns``. The whole budget is a share of all tokens."""
     leaf = staged(rows.where("tokens > 0").groupBy(*TREE).agg(F.sum("tokens").alias("have")), "mix-leaves") \
         .withColumn("cap", F.col("have") * mix.max_epochs)
-    total = leaf.agg(F.coalesce(F.sum("have"), F.lit(0)).alias("t")).select(
-        F.floor(F.col("t") * mix.budget_share).cast("double").alias("budget"))
+    budget = float(math.floor((leaf.agg(F.sum("have")).first()[0] or 0) * mix.budget_share))
     for level in TREE:  # what a weight of 0 leaves out is no capacity of the nodes above
         leaf = leaf.where(_weight(mix, level) > 0)
-    given = leaf.groupBy("domain").agg(F.sum("cap").alias("cap")) \
-        .withColumn("_", F.lit(0)).join(total.withColumn("_", F.lit(0)), "_").drop("_")
+    given = leaf.groupBy("domain").agg(F.sum("cap").alias("cap")).withColumn("budget", F.lit(budget))
     given = _share(given, [], "domain", mix)
     given = leaf.groupBy("domain", "lang").agg(F.sum("cap").alias("cap")).join(given, "domain")
     given = _share(given, ["domain"], "lang", mix)
