@@ -162,8 +162,8 @@ def q_random_search(spark, sf):
     inside = [SPACE.max_iter[0] <= p.max_iter <= SPACE.max_iter[1] and SPACE.max_depth[0] <= p.max_depth <= SPACE.max_depth[1]
               and SPACE.step_size[0] <= p.step_size <= SPACE.step_size[1] for p in cands]
     rows = [(i, ok, 0.0 <= m <= 1.0) for i, (ok, m) in enumerate(zip(inside, means))]
-    return spark.createDataFrame(rows, "trial int, drawn_in_space boolean, mean_in_range boolean").crossJoin(
-        train.agg(F.count(F.lit(1)).alias("n_rows")))
+    return spark.createDataFrame(rows, "trial int, drawn_in_space boolean, mean_in_range boolean").withColumn(
+        "n_rows", F.lit(train.count()).cast("long"))
 
 
 _FIXED = ", ".join(f"('{c}')" for c in [*fe.SESSION_COLUMNS, *fe.SENTIMENT_COLUMNS, "bounce_rate", "content_views_rate",
@@ -227,9 +227,9 @@ def q_training_report(spark, sf):
     f1 = spark.sql("""SELECT sum(n * f1) / sum(n) AS again FROM (
       SELECT c, count_if(c_level = c) AS n, 2 * count_if(c_level = c AND predicted = c)
              / (count_if(c_level = c) + count_if(predicted = c)) AS f1
-      FROM _held, (SELECT c_level AS c FROM _held UNION SELECT predicted FROM _held) GROUP BY c)""")
+      FROM _held, (SELECT c_level AS c FROM _held UNION SELECT predicted FROM _held) GROUP BY c)""").first()["again"]
     rows = spark.read.parquet(os.path.join(path, "metrics"))
-    return rows.crossJoin(f1).select(
+    return rows.withColumn("again", F.lit(f1)).select(
         "training_date", "model_ver", F.count(F.lit(1)).over(Window.partitionBy()).cast("int").alias("n_rows"),
         _in_range("cross_val_score").alias("cross_val_in_range"),
         (F.abs(F.col("val_score") - F.col("again")) < 1e-9).alias("val_score_recomputed"))
