@@ -71,13 +71,13 @@ def block_masks(blocks: int, max_bits: int) -> list[int]:
 def stars(fps: np.ndarray, max_bits: int) -> list[tuple[int, int]]:
     """Links that span each group of ``fps`` connected by steps of at most
     ``max_bits`` bits: every member with the group's smallest value."""
-    left = np.unique(fps)
+    left = np.unique(np.asarray(fps, dtype=np.int64))
     out = []
     while len(left) > 1:
         root, left = left[0], left[1:]
         stack = [root]
         while stack and len(left):
-            near = np.bitwise_count(left ^ stack.pop()) <= max_bits
+            near = np.bitwise_count((left ^ stack.pop()).view(np.uint64)) <= max_bits  # signed: would count the absolute value
             found, left = left[near], left[~near]
             stack.extend(found)
             out.extend((int(root), int(x)) for x in found)

@@ -93,6 +93,17 @@ def groups(fps):
     return out
 
 
+def test_every_bit_counts_once():
+    for x in (0, 5, -1, -2**63, 0x61F693C8F18DE383):
+        for k in range(64):
+            for other in (1, 1 << (k + 1) % 64, 1 << (k + 1) % 64 | 1 << (k + 7) % 64):
+                pair = np.array([x & (1 << 64) - 1, (x ^ (1 << k) ^ other) & (1 << 64) - 1], dtype=np.uint64).view(np.int64)
+                want = [] if pair[0] == pair[1] else [(int(pair.min()), int(pair.max()))]
+                assert sh.stars(pair, 3) == want
+    assert sh.stars(np.array([0, -1], dtype=np.int64), 3) == []
+    assert sh.stars(np.array([0, -2**63 + 7], dtype=np.int64), 3) == []
+
+
 @pytest.mark.parametrize("blocks", [4, 5, 6])
 def test_masks_cover(blocks):
     masks = [m & (1 << 64) - 1 for m in sh.block_masks(blocks, 3)]
