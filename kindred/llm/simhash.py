@@ -111,6 +111,20 @@ def links(fps: DataFrame, max_bits: int = 3, blocks: int = 5, bucket_rows: int =
     return met.select("fps").mapInArrow(run, "a long, b long").distinct()
 
 
+def classes(docs: DataFrame, words: int, max_bits: int, blocks: int, carry: tuple[str, ...]) -> DataFrame:
+    """``near_duplicates`` with the component's smallest fingerprint, ``root``,
+    which tells components apart where ids are null or repeated."""
+    rows = staged(fingerprints(docs, words, carry), "simhash")
+    groups = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-groups")
+    roots = components(links(groups.select("fp"), max_bits, blocks))
+    member = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
+        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
+    member = staged(member, "simhash-members")
+    least = staged(member.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-components")
+    names = staged(member.join(least, "root").select("fp", "root", "component_id"), "simhash-names")
+    return rows.join(names, "fp").select(*carry, "fp", "root", "component_id")
+
+
 def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks: int = 5,
                     carry: tuple[str, ...] = ("doc_id",)) -> DataFrame:
     """Columns ``carry``, ``fp`` and ``component_id`` for each row of
@@ -119,15 +133,7 @@ def near_duplicates(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks:
     the whole component has none. Empty input gives an empty result; other
     columns of ``docs`` are ignored.
     """
-    rows = staged(fingerprints(docs, words, carry), "simhash")
-    groups = staged(rows.groupBy("fp").agg(F.min("doc_id").alias("first")), "simhash-groups")
-    roots = components(links(groups.select("fp"), max_bits, blocks))
-    member = groups.join(roots.withColumnRenamed("node", "fp"), "fp", "left") \
-        .select("fp", "first", F.coalesce("root", "fp").alias("root"))
-    member = staged(member, "simhash-members")
-    least = staged(member.groupBy("root").agg(F.min("first").alias("component_id")), "simhash-components")
-    names = staged(member.join(least, "root").select("fp", "component_id"), "simhash-names")
-    return rows.join(names, "fp").select(*carry, "fp", "component_id")
+    return classes(docs, words, max_bits, blocks, carry).select(*carry, "fp", "component_id")
 
 
 def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks: int = 5) -> DataFrame:
@@ -136,8 +142,8 @@ def one_of_each(docs: DataFrame, words: int = 3, max_bits: int = 3, blocks: int
     id the one whose text has the smallest hash, repeated rows once."""
     d = F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long")
     keyed = docs.select(d.alias("doc_id"), F.xxhash64("text").alias("h"), "text")
-    found = near_duplicates(keyed, words, max_bits, blocks, ("doc_id", "h"))
-    keep = staged(found.where("doc_id = component_id").groupBy("doc_id").agg(F.min("h").alias("h"))
+    found = classes(keyed, words, max_bits, blocks, ("doc_id", "h"))
+    keep = staged(found.where("doc_id = component_id").groupBy("root", "doc_id").agg(F.min("h").alias("h"))
                   .select(F.col("doc_id").alias("_simhash_d"), F.col("h").alias("_simhash_h")), "simhash-keep")
     met = docs.withColumn("_simhash_d", d).withColumn("_simhash_h", F.xxhash64("text")).join(keep, ["_simhash_d", "_simhash_h"], "left_semi")
     first = Window.partitionBy("_simhash_d", "_simhash_h").orderBy("_simhash_d")

@@ -104,6 +104,15 @@ def test_every_bit_counts_once():
     assert sh.stars(np.array([0, -2**63 + 7], dtype=np.int64), 3) == []
 
 
+def test_one_row_of_each_component_with_null_and_repeated_ids(spark):
+    a, b, c, d = ("the cat sat on the mat", "le chat dort sur le lit", "der Hund ist im Haus heute", "el perro come pan cada dia")
+    rows = [(None, a), (None, b), (None, b), (3, c), (3, d), (3, d), (4, c), (None, d)]
+    assert len({brute_fp(t) for t in (a, b, c, d)}) == 4 and len({x[2] for x in brute([(i, t) for i, t in enumerate((a, b, c, d))])}) == 4
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    got = sorted((str(r.doc_id), r.text) for r in sh.one_of_each(df).collect())
+    assert got == sorted([("None", a), ("None", b), ("3", c), ("3", d)])
+
+
 @pytest.mark.parametrize("blocks", [4, 5, 6])
 def test_masks_cover(blocks):
     masks = [m & (1 << 64) - 1 for m in sh.block_masks(blocks, 3)]
