@@ -66,10 +66,14 @@ class Encoder:
 
     def encode(self, text: str | None) -> np.ndarray | None:
         """Sum of the text's trigram vectors; None if it has no letter."""
+        return self.counted(text)[0]
+
+    def counted(self, text: str | None) -> tuple[np.ndarray | None, int]:
+        """``encode`` and the number of trigrams."""
         if not text:
-            return None
+            return None, 0
         table, total, tail = letter_table(), np.zeros(self.dim), np.array([GAP], dtype=np.uint64)
-        found = False
+        found, size = False, 0
         low = text.lower()
         for at in range(0, len(low), 1 << 20):
             points = np.frombuffer(low[at:at + (1 << 20)].encode("utf-32-le", "surrogatepass"), dtype="<u4")
@@ -79,11 +83,12 @@ class Encoder:
             c = c[np.concatenate([[True], (c[1:] != GAP) | (c[:-1] != GAP)])]
             found = found or bool(c.any())
             if len(c) > 2:
+                size += len(c) - 2
                 codes, n = np.unique(c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:], return_counts=True)
                 for k in range(0, len(codes), 8192):
                     total += np.einsum("i,ij->j", n[k:k + 8192].astype(np.float32), self.vectors(codes[k:k + 8192]))
             tail = c[-2:]
-        return total if found else None
+        return (total, size) if found else (None, 0)
 
 
 @lru_cache(maxsize=2)
@@ -91,6 +96,18 @@ def encoder(dim: int, seed: int) -> Encoder:
     return Encoder(dim, seed)
 
 
+def training_rows(docs: DataFrame, rows_per_label: int) -> tuple[list[str], DataFrame]:
+    """The labels, and ``lang, text`` of the rows that ``fit`` reads."""
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
+    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
+    labels = sorted(counts)
+    if not labels:
+        return labels, known.select("lang", "text")
+    share = F.create_map(*[F.lit(x) for k in labels for x in (k, min(1.0, rows_per_label / counts[k]))])
+    draw = F.expr("pmod(xxhash64(doc_id, length(text)), 1000003) / 1000003D")
+    return labels, known.where(draw < share[F.col("lang")]).select("lang", "text")
+
+
 def fit(docs: DataFrame, dim: int = 512, seed: int = 7, rows_per_label: int = 2000) -> tuple[list[str], np.ndarray]:
     """Labels and their prototypes, from text and non-null ``lang``.
 
@@ -99,14 +116,9 @@ def fit(docs: DataFrame, dim: int = 512, seed: int = 7, rows_per_label: int = 20
     ``doc_id`` and text. The label set is the classifier's class list and
     small. Prototypes are sums per task and label, added up by Spark.
     """
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    if not counts:
+    labels, sample = training_rows(docs, rows_per_label)
+    if not labels:
         return [], np.zeros((0, dim))
-    labels = sorted(counts)
-    share = F.create_map(*[F.lit(x) for k in labels for x in (k, min(1.0, rows_per_label / counts[k]))])
-    draw = F.expr("pmod(xxhash64(doc_id, length(text)), 1000003) / 1000003D")
-    sample = known.where(draw < share[F.col("lang")]).select("lang", "text")
 
     def bundle(batches):
         sums: dict[str, np.ndarray] = {}
@@ -141,18 +153,72 @@ def classify(v: np.ndarray | None, labels: list[str], proto: np.ndarray) -> tupl
     return (labels[best], float(min(1.0, max(0.0, cos[best])))) if cos[best] > -2 else (UNDETERMINED, 0.0)
 
 
-def predict(docs: DataFrame, labels: list[str], proto: np.ndarray, seed: int = 7) -> DataFrame:
+def typical(docs: DataFrame, labels: list[str], proto: np.ndarray, seed: int = 7, rows_per_label: int = 2000) -> np.ndarray:
+    """For each label, the median over its training rows of the dot product
+    with the label's prototype for each trigram of the text, the row itself
+    taken out of the prototype. -inf for a label of fewer than two rows.
+
+    A trigram's vector has +-1 entries and a prototype length 1, so one that
+    the label does not have adds 0 on average, with standard deviation 1; this
+    mean does not depend on the text's length. Only three numbers a sampled
+    row go to the driver.
+    """
+    _, sample = training_rows(docs, rows_per_label)
+    dim = proto.shape[1]
+
+    def score(batches):
+        enc = encoder(dim, seed)
+        for b in batches:
+            out = []
+            for lang, text in zip(b.column("lang").to_pylist(), b.column("text")):
+                v, n = enc.counted(text.as_py())
+                if v is not None and (size := np.linalg.norm(v)) > 0:
+                    out.append((lang, float(v @ proto[labels.index(lang)] / size), float(size / n)))
+            yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), *(
+                pa.array([x[k] for x in out], pa.float64()) for k in (1, 2))], ["lang", "cos", "size"])
+
+    found: dict[str, list] = {k: [] for k in labels}
+    if labels:
+        for r in sample.mapInArrow(score, "lang string, cos double, size double").collect():
+            found[r["lang"]].append((r["cos"], r["size"]))
+    out = np.full(len(labels), -np.inf)
+    for k, lang in enumerate(labels):
+        if len(found[lang]) > 1:
+            cos, size = np.array(found[lang]).T
+            whole = cos.sum()  # length of the sum of unit vectors, as the prototype is its direction
+            rest = np.sqrt(np.maximum(whole * whole - 2 * whole * cos + 1, 1e-12))
+            out[k] = np.median(size * (whole * cos - 1) / rest)
+    return out
+
+
+def alike(v: np.ndarray, n: int, proto: np.ndarray, usual: float) -> bool:
+    """Whether a text of ``n`` trigrams may be in a prototype's language: its
+    mean dot product is at least half the label's usual one, less three
+    standard deviations of a text of unknown trigrams (short texts, or ones
+    that repeat a few trigrams, tell little and stay)."""
+    return bool(v @ proto / n >= usual / 2 - 3 * np.linalg.norm(v) / (n * np.sqrt(len(proto))))
+
+
+def predict(docs: DataFrame, labels: list[str], proto: np.ndarray, seed: int = 7,
+            usual: np.ndarray | None = None) -> DataFrame:
     """``docs`` and, for each row, ``lang_pred`` and ``score`` from its text
-    alone: ``und`` and 0 for a null text or one without a letter. Own
+    alone: ``und`` and 0 for a null text or one without a letter and, given
+    ``usual`` (see ``typical``), for one not ``alike`` its best label. Own
     columns of these names are replaced, others stay."""
     own = [c for c in docs.columns if c not in ("lang_pred", "score")]
     rows = docs.select(F.struct(*[F.col(f"`{c}`").alias(f"c{i}") for i, c in enumerate(own)]).alias("row"), "text")
     dim = proto.shape[1]
 
+    def label(v, n):
+        best = classify(v, labels, proto)
+        if usual is None or best[0] == UNDETERMINED or alike(v, n, proto[k := labels.index(best[0])], usual[k]):
+            return best
+        return UNDETERMINED, 0.0
+
     def run(batches):
         enc = encoder(dim, seed)
         for b in batches:
-            out = [classify(enc.encode(t.as_py()), labels, proto) for t in b.column("text")]
+            out = [label(*enc.counted(t.as_py())) for t in b.column("text")]
             yield pa.RecordBatch.from_arrays([b.column("row"), pa.array([x[0] for x in out], pa.string()),
                                               pa.array([x[1] for x in out], pa.float64())], ["row", "lang_pred", "score"])
 

@@ -1,5 +1,7 @@
 """The pipeline stage by stage against brute force."""
 
+import random
+import string
 from collections import Counter
 
 import pytest
@@ -88,3 +90,17 @@ def test_edge_tables(spark):
         ids = [r.doc_id for r in docs.collect()]
         assert sorted(map(str, ids)) == (["3", "6", "None"] if data else [])
         assert cp.STAGES[-1][1](spark, docs, SF).count() >= 0
+
+
+def test_language_stage_rejects_noise_and_keeps_short_texts(spark):
+    rng = random.Random(3)
+    docs = table(spark, "/root/testdata/sf0.01", "documents").select(*cp.COLUMNS)
+    texts = [r.text for r in docs.select("text").collect()]
+    noise = [" ".join("".join(rng.choices(string.ascii_lowercase, k=rng.randint(2, 9))) for _ in range(n)) for n in (40, 100, 400) * 10]
+    clean = [t for t in (" ".join(rng.choice(texts).split()[:n]) for n in (1, 2, 5, 10, 40) * 20) if any(map(str.isalpha, t))]
+    extra = [(10**9 + i, t, None, "s", len(t)) for i, t in enumerate(noise + clean)]
+    out = cp.language_stage(spark, docs.union(spark.createDataFrame(extra, docs.schema)), SF)
+    ids = {r.doc_id for r in out.select("doc_id").collect()}
+    assert not ids & {10**9 + i for i in range(len(noise))}
+    assert ids >= {10**9 + len(noise) + i for i in range(len(clean))}
+    assert ids >= {r.doc_id for r in docs.collect()}
