@@ -1,7 +1,8 @@
 """License scan: Dice coefficient over word bigrams against templates.
 
-Units of a text are its lines, its paragraphs (between blank lines) and the
-whole. Unit and template are normalised to lower-case words; with a and b
+Units of a text are its lines, its paragraphs (between blank lines), the
+whole, and the runs of consecutive lines in which a template stands inside a
+longer text (``Scanner.runs``). Unit and template are normalised to lower-case words; with a and b
 bigrams (repeats counted) and c in common, Dice is 2c / (a + b). As c is at
 most the smaller count, a score of t needs b between a t / (2 - t) and
 a (2 - t) / t: only templates in that range are compared.
@@ -12,6 +13,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_left, bisect_right
 from collections import Counter
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -79,21 +81,29 @@ def bigrams(text: str) -> Counter:
     return Counter(zip(w, w[1:]))
 
 
-def units(text: str):
+def units(text: str, scanner: Scanner | None = None):
+    """``(start, end)`` in code points of the ``blocks``, then of the runs of
+    lines that ``scanner`` (default: ``TEMPLATES`` at 0.8) finds."""
+    seen = list(blocks(text))
+    yield from seen
+    yield from (scanner or standard()).runs(text, seen)
+
+
+def blocks(text: str):
     """``(start, end)`` in code points of lines, of paragraphs that have
     several lines, and of the whole text if it has several paragraphs."""
-    at, head, n, blocks = 0, 0, 0, 0
+    at, head, n, met = 0, 0, 0, 0
     for line in [*text.split("\n"), ""]:
         if line.strip():
             yield at, at + len(line)
             head, n = (head, n + 1) if n else (at, 1)
         elif n:
-            blocks += 1
+            met += 1
             if n > 1:
                 yield head, at - 1
             n = 0
         at += len(line) + 1
-    if blocks > 1:
+    if met > 1:
         yield 0, len(text)
 
 
@@ -123,15 +133,84 @@ class Scanner:
                 top = ((-score, i), name)
         return (top[1], -top[0][0]) if top else None
 
+    def runs(self, text: str, seen: list[tuple[int, int]]) -> list[tuple[int, int]]:
+        """``(start, end)`` of runs of consecutive lines, blank ones between
+        included, that have ``threshold`` or more with some template. Of
+        single lines and runs that overlap only the best counts (then the
+        longer, then the earlier); one that has the words of a place in
+        ``seen``, or is a single line, is not returned.
+
+        A matching run of a template of b bigrams shares at least
+        b t / (2 - t) with it, so texts that share fewer are left at once.
+        Runs begin and end at lines that share a bigram and grow up to the
+        size bound; what a run shares is counted up word by word.
+        """
+        words = [(m.group().lower(), m.start(), m.end()) for m in WORD.finditer(text)] if text else []
+        pairs = [(a[0], b[0]) for a, b in zip(words, words[1:])]
+        common = Counter(g for g in pairs if g in self.known)
+        near = [r for r in self.rows if sum(min(c, common[g]) for g, c in r[3].items() if g in common) >= r[0] * self.low - 1e-9]
+        if not near:
+            return []
+        first, at = [], 0  # first word of each line that has words
+        for k, (_, a, _) in enumerate(words):
+            if k == 0 or text.find("\n", at, a) >= 0:
+                first.append(k)
+            at = a
+        first.append(len(words))
+        found = []
+        for size, i, _, grams in near:
+            hits = [0]
+            for g in pairs:
+                hits.append(hits[-1] + (g in grams))
+            heads = [x for x in range(len(first) - 1) if hits[min(first[x + 1], len(pairs))] > hits[min(first[x], len(pairs))]]
+            for x in heads:
+                own, c, p = Counter(), 0, first[x]
+                for y in range(x, len(first) - 1):
+                    stop = first[y + 1] - 1
+                    if stop - first[x] > size * self.high + 1e-9:
+                        break
+                    was = c
+                    while p < stop:
+                        g = pairs[p]
+                        if g in grams:
+                            own[g] += 1
+                            c += own[g] <= grams[g]
+                        p += 1
+                    dice = 2 * c / (size + stop - first[x]) if stop > first[x] else 0
+                    if c > was and dice >= self.threshold:
+                        found.append((-dice, first[x] - stop, first[x], stop, x == y))
+        taken, out = [], []
+        have = {self.span(words, a, b) for a, b in seen} if found else set()
+        for _, _, a, b, single in sorted(set(found)):
+            k = bisect_right(taken, (a, b))
+            if (k and taken[k - 1][1] >= a) or (k < len(taken) and taken[k][0] <= b):
+                continue
+            taken.insert(k, (a, b))
+            if not single and (a, b) not in have:
+                start = text.rfind("\n", 0, words[a][1]) + 1
+                end = text.find("\n", words[b][2])
+                out.append((start, end if end >= 0 else len(text)))
+        return out
+
+    @staticmethod
+    def span(words: list[tuple], a: int, b: int) -> tuple[int, int]:
+        """First and last word between two places of the text."""
+        return bisect_left(words, a, key=lambda w: w[1]), bisect_left(words, b, key=lambda w: w[1]) - 1
+
     def scan(self, text: str | None) -> list[tuple]:
         """``(start, end, license, dice)`` of the units that match."""
         out = []
-        for a, b in units(text) if text else ():
+        for a, b in units(text, self) if text else ():
             if hit := self.best(WORD.findall(text[a:b].lower())):
                 out.append((a, b, *hit))
         return sorted(out)
 
 
+@lru_cache(maxsize=1)
+def standard() -> Scanner:
+    return Scanner(TEMPLATES, 0.8)
+
+
 def scan(docs: DataFrame, templates: list[tuple[str, str]] = TEMPLATES, threshold: float = 0.8) -> DataFrame:
     """``doc_id, matches`` for each row of ``docs(doc_id, text)``: an array of
     ``start, end, license, dice`` sorted by place, each a unit whose best

@@ -45,3 +45,34 @@ def test_edge_rows(spark):
     assert got == sorted((str(i), brute(t)) for i, t in rows)
     assert [m[1] for m in got if m[0] == "None"][0][0][2] == "MIT"
     assert lic.scan(df.limit(0)).collect() == [] and not any(r.matches for r in lic.scan(df, []).collect())
+
+
+def brute_runs(text, t=0.8):
+    """Best run of whole lines, over all runs and templates."""
+    lines, best, all_grams = text.split("\n"), None, [(n, lic.bigrams(b)) for n, b in lic.TEMPLATES]
+    for i in range(len(lines)):
+        for j in range(i, len(lines)):
+            own = lic.bigrams("\n".join(lines[i:j + 1]))
+            for name, grams in all_grams:
+                score = 2 * sum((own & grams).values()) / max(1, sum(own.values()) + sum(grams.values()))
+                if score >= t and (best is None or score > best[0]):
+                    best = (score, name, " ".join(lic.WORD.findall("\n".join(lines[i:j + 1]))))
+    return best
+
+
+def test_texts_inside_longer_documents():
+    by = dict(reversed(lic.TEMPLATES))
+    mit = by["MIT"].replace("conditions: The", "conditions:\n\nThe").replace("Software. THE", "Software.\n\nTHE")
+    assert mit.count("\n\n") == 2
+    prose = "\n".join(" ".join(f"w{k}x{i}" for i in range(16)) for k in range(10))
+    scan = lic.Scanner(lic.TEMPLATES, 0.8).scan
+    for name, body in (("MIT", mit), ("Apache-2.0", by["Apache-2.0"]), ("GPL-3.0", by["GPL-3.0"]), ("BSD-2-Clause", by["BSD-2-Clause"])):
+        for gap in ("\n", "\n\n"):
+            for text in (prose + gap + body + gap + prose, body + gap + prose, prose + gap + body):
+                score, want, words = brute_runs(text)
+                a, b, got, dice = max(scan(text), key=lambda m: m[3])
+                assert want == name == got and abs(dice - score) < 1e-9
+                assert " ".join(lic.WORD.findall(text[a:b])) == words
+    twice = prose.join([mit + "\n", "\n" + mit])
+    assert [(m[2], m[3]) for m in scan(twice)] == [("MIT", 1.0)] * 2
+    assert scan(prose) == [] and [m[:2] for m in scan(mit)] == [(0, len(mit))]
