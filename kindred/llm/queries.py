@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, decontaminate, langid, licenses, lines, mixing, pii, simhash, tokencount
+from kindred.llm import ann, decontaminate, langid, licenses, lines, minhash, mixing, pii, simhash, tokencount
 from kindred.llm.common import on_workers, sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -210,3 +210,10 @@ def q_pii(spark, sf_dir):
 def q_token_counts(spark, sf_dir):
     """Tokens of every document before and after its cleaning edits."""
     return tokencount.edited_counts(table(spark, sf_dir, "documents"))
+
+
+@register("op13_minhash_near_dedup")
+def q_minhash(spark, sf_dir):
+    """Size of every document's set of 2-word shingles, its class at a Jaccard
+    similarity of 0.8, and whether it is the one that stays."""
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=80)
