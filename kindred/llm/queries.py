@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, decontaminate, langid, licenses, lines, minhash, mixing, pii, simhash, tokencount
+from kindred.llm import ann, decontaminate, langid, licenses, lines, minhash, mixing, negatives, pii, simhash, tokencount
 from kindred.llm.common import on_workers, sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -217,3 +217,28 @@ def q_minhash(spark, sf_dir):
     """Size of every document's set of 2-word shingles, its class at a Jaccard
     similarity of 0.8, and whether it is the one that stays."""
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), words=2, threshold=80)
+
+
+OP11_SQL = """
+WITH r AS (SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [CAST(floor(256 * CAST(x AS DOUBLE)) AS DOUBLE) FOR x IN embedding] AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.id AS anchor_id, r.id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+      FROM r a JOIN r ON a.id <> r.id WHERE a.id % 100 = 0),
+p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+      QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (SELECT p.anchor_id, positive_id, positive_score, s.id AS negative_id, s.score AS negative_score,
+             row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY s.score DESC, s.id) AS rank
+      FROM p JOIN s ON p.anchor_id = s.anchor_id
+      WHERE NOT same AND 80 * positive_score <= 100 * s.score AND 100 * s.score <= 100 * positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
+
+
+@register("op11_hard_negatives", OP11_SQL)
+def q_negatives(spark, sf_dir):
+    """Hard negatives of every hundredth vector: other labels, 80 to 100 % of a positive's score."""
+    return negatives.mine(table(spark, sf_dir, "embeddings"), anchor="id % 100 = 0",
+                          relabel="CASE WHEN id % 7 = 0 THEN (label + 1) % 10 ELSE label END",
+                          positives=5, negatives=5, scale=256, window=(80, 100))
