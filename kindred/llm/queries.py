@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from kindred.llm import ann, decontaminate, langid, licenses, lines, minhash, mixing, negatives, pii, simhash, tokencount
+from kindred.llm import alignment, ann, decontaminate, langid, licenses, lines, minhash, mixing, negatives, pii, simhash, tokencount
 from kindred.llm.common import on_workers, sha_list, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -242,3 +242,10 @@ def q_negatives(spark, sf_dir):
     return negatives.mine(table(spark, sf_dir, "embeddings"), anchor="id % 100 = 0",
                           relabel="CASE WHEN id % 7 = 0 THEN (label + 1) % 10 ELSE label END",
                           positives=5, negatives=5, scale=256, window=(80, 100))
+
+
+@register("op12_tokenizer_alignment")
+def q_alignment(spark, sf_dir):
+    """Groups and links of every document's tokens by two tokenizers, scored by
+    the number of documents that hold the linked pairs."""
+    return alignment.align(table(spark, sf_dir, "documents"))
