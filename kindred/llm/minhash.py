@@ -30,6 +30,7 @@ LOW32 = np.uint64(0xFFFFFFFF)
 S32 = np.uint64(32)
 EMPTY = np.iinfo(np.uint64).max
 CELLS = 1 << 22          # permutation entries held at a time
+SLOTS = 1 << 20          # hash slots of the filter before a join
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
@@ -163,6 +164,15 @@ def chunked(members: DataFrame, group: list[str], parts: DataFrame) -> DataFrame
         .select(*group, "g", F.least("c", "o").alias("i"), F.greatest("c", "o").alias("j"))
 
 
+def likely(rows: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """``rows`` whose ``key`` may be one of ``wanted``: those whose hash slot
+    is taken. The set of slots is bounded and broadcast; it keeps rows that
+    meet nothing out of a shuffle, and the join that follows is exact."""
+    slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
+    taken = staged(wanted.select(slot.alias("_slot")).distinct(), "minhash-slots")
+    return rows.join(F.broadcast(taken), slot == F.col("_slot"), "left_semi")
+
+
 def explore(ids: np.ndarray, near) -> list[tuple[int, int]]:
     """Stars that span what steps of ``near(one, others) -> mask`` connect;
     the arguments are places in ``ids``."""
@@ -194,7 +204,7 @@ def coarse_links(sigs: DataFrame, share: float, bucket_rows: int) -> DataFrame:
         .where("n > 1").groupBy("n", "s", "x").agg(F.min("key").alias("key")) \
         .select("key", F.ceil(F.col("n") / bucket_rows).cast("int").alias("q"))
     full = staged(full, "minhash-buckets")
-    met = staged(chunked(keys, ["key"], full), "minhash-met")
+    met = staged(chunked(likely(keys, "key", full), ["key"], full), "minhash-met")
     lists = met.join(sigs.select("g", "sig"), "g").groupBy("key", "i", "j") \
         .agg(F.collect_list(F.struct("g", "sig")).alias("rows"))
 
@@ -281,13 +291,12 @@ def near_duplicates(docs: DataFrame, words: int = 2, threshold: int = 80, m: int
     are ignored; empty input gives no row.
     """
     rows = staged(sketch(docs, words, m, band_rows), "minhash-sketch")
-    sets = rows.where("g IS NOT NULL").groupBy("g").agg(F.min("doc_id").alias("first"), F.min("sig").alias("sig"),
-                                                        F.min("keys").alias("keys"))
+    sets = rows.where("g IS NOT NULL").groupBy("g").agg(
+        F.min("doc_id").alias("first"), F.min("sig").alias("sig"), F.min("keys").alias("keys"), F.min(F.struct("doc_id", "th")).alias("at"))
     sets = staged(sets, "minhash-sets")
     coarse = components(coarse_links(sets, coarse_share, bucket_rows))
     # The texts of coarse groups are read again: one row of each digest.
-    picked = rows.join(staged(coarse.withColumnRenamed("node", "g"), "minhash-coarse"), "g") \
-        .groupBy("g", "root").agg(F.min(F.struct("doc_id", "th")).alias("at")) \
+    picked = sets.join(coarse.withColumnRenamed("node", "g"), "g") \
         .select("g", "root", F.col("at.doc_id").alias("d"), F.col("at.th").alias("th"))
     full = staged(whole_sets(docs, staged(picked, "minhash-picked"), words), "minhash-full")
     roots = components(confirmed_links(full, threshold, chunk_bytes)).withColumnRenamed("node", "g")
@@ -304,8 +313,8 @@ def near_duplicates(docs: DataFrame, words: int = 2, threshold: int = 80, m: int
 def whole_sets(docs: DataFrame, picked: DataFrame, words: int) -> DataFrame:
     """``g, root, s``: the full sets of the digests in ``picked(g, root, d, th)``."""
     p = picked.select(F.col("g"), F.col("root"), F.col("d").alias("_d"), F.col("th").alias("_th"))
-    source = docs.select(F.col("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("b")).join(
-        p, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_th"))).select("g", "root", "b")
+    texts = docs.select(F.col("doc_id"), F.xxhash64("text").alias("th"), F.col("text").cast("binary").alias("b"))
+    source = likely(texts, "th", picked).join(p, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("th") == F.col("_th"))).select("g", "root", "b")
 
     def run(batches):
         known: dict[bytes, int] = {}
