@@ -140,11 +140,22 @@ def long_features(prepared: DataFrame, families=FAMILIES, cfg: FeatureConfig = F
     Sums go by (visitor, category columns), then by (visitor, column,
     category); only what is left is given its features' names.
     """
+    return features_of_sums(category_sums(prepared, families), families, cfg)
+
+
+def category_sums(prepared: DataFrame, families=FAMILIES) -> DataFrame:
+    """``visitor_id, column, raw, _pv, _t``: views and time by visitor and
+    category; ``column`` is the position among the sorted category columns."""
     cats = sorted({f.column for f in families})
     measures = [F.sum("_pv").alias("_pv"), F.sum("_t").alias("_t")]
     rows = (prepared.where(F.col(V).isNotNull()).groupBy(V, *cats)
             .agg(F.sum(PV).alias("_pv"), F.sum(F.col(TIME).cast("decimal(38,12)")).alias("_t")))
-    by_cat = _by_category(rows, cats, V, "_pv", "_t").groupBy(V, "column", "raw").agg(*measures)
+    return _by_category(rows, cats, V, "_pv", "_t").groupBy(V, "column", "raw").agg(*measures)
+
+
+def features_of_sums(by_cat: DataFrame, families=FAMILIES, cfg: FeatureConfig = FeatureConfig()) -> DataFrame:
+    """The long form from ``category_sums``."""
+    cats = sorted({f.column for f in families})
 
     def named(column: str) -> Column:
         return F.array(*[F.struct(F.lit(k).alias("family"),
@@ -169,7 +180,13 @@ def feature_names(prepared: DataFrame, families=FAMILIES) -> list[tuple[int, str
     category (numbers in numeric order). One entry a category: as many as
     the wide row they are asked for has columns."""
     cats = sorted({f.column for f in families})
-    found = _by_category(prepared.where(F.col(V).isNotNull()), cats).distinct().collect()
+    return names_of(_by_category(prepared.where(F.col(V).isNotNull()), cats).distinct(), families)
+
+
+def names_of(categories: DataFrame, families=FAMILIES) -> list[tuple[int, str]]:
+    """``feature_names`` from the distinct ``column, raw``."""
+    cats = sorted({f.column for f in families})
+    found = categories.collect()
     out: list[tuple[int, str]] = []
     for k, f in enumerate(families):
         raws = [r["raw"] for r in found if cats[r["column"]] == f.column]
@@ -307,7 +324,11 @@ def sentiment_median(rows: DataFrame, approx: bool = False) -> DataFrame:
     own = rows.where(F.col(V).isNotNull())
     if approx:
         return own.groupBy(V).agg(F.percentile_approx(SENT, 0.5).cast("double").alias("sentiment_score_median"))
-    counts = own.groupBy(V, F.col(SENT).cast("double").alias("_v")).agg(F.count(SENT).alias("_c"))
+    return median_of_counts(own.groupBy(V, F.col(SENT).cast("double").alias("_v")).agg(F.count(SENT).alias("_c")))
+
+
+def median_of_counts(counts: DataFrame) -> DataFrame:
+    """Exact sentiment median per visitor from value counts ``_v, _c``."""
     return _cumulated(counts, V).groupBy(V).agg(_median(F.lit(True)).alias("sentiment_score_median"))
 
 
@@ -327,8 +348,13 @@ def build_wide(views: DataFrame, cfg: FeatureConfig = FeatureConfig(), voc: Voca
     # sides and a path with very many pages can be split at run time
     content = materialize(page_content_map(prepared), "paths")
     sess = session_stats(session_grain(page_grain(prepared), content, cfg), cfg.approx_median)
-    joined = (pivot_long(long, names).join(eligible_visitors(cleaned), V, "left_semi").join(means, V)
-              .join(sess, V).join(sentiment_median(prepared, cfg.approx_median), V))
+    return wide_row(long, names, eligible_visitors(cleaned), means, sess, sentiment_median(prepared, cfg.approx_median))
+
+
+def wide_row(long: DataFrame, names: list[tuple[int, str]], eligible: DataFrame, means: DataFrame, sess: DataFrame,
+             medians: DataFrame) -> DataFrame:
+    """The wide row from its parts, each by visitor."""
+    joined = pivot_long(long, names).join(eligible, V, "left_semi").join(means, V).join(sess, V).join(medians, V)
     cats = [(k, F.col(quoted(f"{k}:{n}")).alias(n)) for k, n in names]
     n_head = len(HEAD_FAMILIES)
     return joined.select(
