@@ -1,13 +1,15 @@
-"""Repeated units across a corpus: single lines, and windows of three lines.
+"""Repeated units across a corpus: lines joined to a least number of words,
+and windows of three lines.
 
 Both operators reduce a document to digests of its units, find the earliest
 occurrence of each digest by a partially aggregated minimum, join that back
 to the stored occurrences and cut the later ones out of the texts. Only
 digests and positions are grouped; a text is moved once, to be cut.
 
-Occurrences are ranked by ``(doc_id, line)``, a null ``doc_id`` last. Rows
-that share ``doc_id`` and text are one document and are cut alike; of rows
-that share only ``doc_id``, equal units on the same line tie and all stay.
+Occurrences are ranked by ``(doc_id, text hash, line)``, a null ``doc_id``
+last; ids may be of any type that has an order. Rows that share ``doc_id`` and
+text are one document given several times and are cut alike; rows that share
+only ``doc_id``, null ids included, are documents of their own.
 """
 
 from __future__ import annotations
@@ -17,15 +19,12 @@ import hashlib
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from kindred.llm.common import staged
 
-OCCURRENCE = "d long, h long, line int, digest binary, size int"
-
-
 def keys() -> list:
-    return [F.coalesce("doc_id", F.lit((1 << 63) - 1)).cast("long").alias("d"),
-            F.xxhash64(F.col("doc_id").isNull(), "text").alias("h")]
+    return [F.col("doc_id").alias("d"), F.xxhash64(F.col("doc_id").isNull(), "text").alias("h")]
 
 
 def digest(data: str) -> bytes:
@@ -33,17 +32,31 @@ def digest(data: str) -> bytes:
 
 
 def normal_line(line: str) -> str:
-    """Lower case, words joined by one space."""
-    return " ".join(line.lower().split())
+    """A-Z in lower case, words (cut at ASCII white space) joined by one space."""
+    return b" ".join(line.encode("utf-8", "surrogatepass").lower().split()).decode("utf-8", "surrogatepass")
 
 
-def line_units(text: str, min_words: int) -> list[tuple[int, bytes, int]]:
-    """``(line, digest, 1)`` of each line with at least ``min_words`` words."""
+def line_units(text: str, least_words: int) -> list[tuple[int, bytes, int]]:
+    """``(line, digest, lines)`` of the unit that starts at each line with a
+    word: that line and those after it until there are ``least_words`` words.
+    Where the text ends before that, the last unit reaches back instead."""
+    lines = [normal_line(x) for x in text.split("\n")]
+    words = [x.count(" ") + 1 if x else 0 for x in lines]
     out = []
-    for n, raw in enumerate(text.split("\n")):
-        w = raw.lower().split()
-        if len(w) >= max(1, min_words):
-            out.append((n, digest(" ".join(w)), 1))
+    end, held = 0, 0
+    for start, own in enumerate(words):
+        while end < len(lines) and held < least_words:
+            held += words[end]
+            end += 1
+        if own:
+            if held < least_words:
+                while start and held < least_words:
+                    start -= 1
+                    held += words[start]
+                out.append((start, digest("\n".join(filter(None, lines[start:end]))), end - start))
+                break
+            out.append((start, digest("\n".join(filter(None, lines[start:end]))), end - start))
+        held -= own
     return out
 
 
@@ -66,15 +79,17 @@ def occurrences(docs: DataFrame, units) -> DataFrame:
                     for c, v in zip(cols, (d, h, *unit)):
                         c.append(v)
                 if len(cols[0]) >= 50_000:
-                    yield _batch(cols)
+                    yield _batch(cols, id_type)
                     cols = ([], [], [], [], [])
-            yield _batch(cols)
+            yield _batch(cols, id_type)
 
-    return docs.select(*keys(), "text").mapInArrow(run, OCCURRENCE)
+    kind = docs.schema["doc_id"].dataType
+    id_type = to_arrow_type(kind)
+    return docs.select(*keys(), "text").mapInArrow(run, f"d {kind.simpleString()}, h long, line int, digest binary, size int")
 
 
-def _batch(cols):
-    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.int32())
+def _batch(cols, id_type):
+    kinds = (id_type, pa.int64(), pa.int32(), pa.binary(), pa.int32())
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
                                       ["d", "h", "line", "digest", "size"])
 
@@ -83,11 +98,10 @@ def later_lines(occ: DataFrame) -> DataFrame:
     """``(d, h, lines)``: sorted line numbers covered by an occurrence that is
     later than, and does not overlap, the first one of its digest."""
     occ = staged(occ, "unit-occurrences")
-    at = F.expr("CAST(d AS DECIMAL(38,0)) * 4294967296 + line")
-    first = staged(occ.groupBy("digest").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo < hi")
-                   .select("digest", F.expr("CAST(floor(lo / 4294967296) AS LONG)").alias("fd"),
-                           F.expr("CAST(lo % 4294967296 AS INT)").alias("fl")), "unit-firsts")
-    return occ.join(first, "digest").where("d <> fd OR line >= fl + size") \
+    at = F.struct(F.col("d").isNull().alias("z"), "d", "h", "line")
+    first = occ.groupBy("digest").agg(F.min(at).alias("lo"), F.max(at).alias("hi")).where("lo <> hi") \
+        .select("digest", F.col("lo.d").alias("fd"), F.col("lo.h").alias("fh"), F.col("lo.line").alias("fl"))
+    return occ.join(staged(first, "unit-firsts"), "digest").where("NOT d <=> fd OR h <> fh OR line >= fl + size") \
         .select("d", "h", F.explode(F.expr("sequence(line, line + size - 1)")).alias("line")) \
         .groupBy("d", "h").agg(F.array_sort(F.collect_set("line")).alias("lines"))
 
@@ -132,7 +146,8 @@ def cut(docs: DataFrame, removed: DataFrame) -> DataFrame:
     base = docs.schema
     own = [f"_c{i}" for i in range(len(base))]
     rows = docs.select(*keys(), F.struct(*[F.col(f"`{f.name}`").alias(o) for f, o in zip(base, own)]).alias("row"),
-                       "text").join(removed, ["d", "h"], "left").select("row", "text", "lines")
+                       "text").join(removed.select(F.col("d").alias("rd"), F.col("h").alias("rh"), "lines"),
+                                    F.col("d").eqNullSafe(F.col("rd")) & (F.col("h") == F.col("rh")), "left").select("row", "text", "lines")
     schema = f"row {rows.schema['row'].dataType.simpleString()}, {CUT}"
 
     def run(batches):
@@ -164,14 +179,18 @@ def window_dedup(docs: DataFrame, size: int = 3) -> DataFrame:
     return cut(docs, later_lines(occurrences(docs, lambda t: window_units(t, size))))
 
 
-def unit_dedup(docs: DataFrame, min_words: int = 5) -> DataFrame:
+def unit_dedup(docs: DataFrame, least_words: int = 15) -> DataFrame:
     """Substring dedup by line hashing.
 
-    A unit is a line with at least ``min_words`` words, compared in lower
-    case with runs of white space as one space. The earliest occurrence of
-    a unit stays, all others go; offsets of kept and removed runs refer to
-    the original text. Shorter lines are not units: they stay where they
-    are. Empty and null texts stay as they are. Input columns stay, but for
-    those named as in ``CUT``.
+    Every line with a word starts a unit: itself if it has ``least_words``
+    words, else with the lines after it until they have as many together (at
+    the end of a text, with those before it). So every line stands in a unit,
+    and a short stock line is none alone. Units are compared in lower case
+    (A-Z) with ASCII white space as one space, blank lines left out. The
+    earliest occurrence of a unit stays, lines covered by others go; offsets
+    of kept and removed runs refer to the original text. An occurrence that
+    overlaps the first one in the same document stays. Empty, blank and null
+    texts stay as they are. Input columns stay, but for those named as in
+    ``CUT``.
     """
-    return cut(docs, later_lines(occurrences(docs, lambda t: line_units(t, min_words))))
+    return cut(docs, later_lines(occurrences(docs, lambda t: line_units(t, least_words))))

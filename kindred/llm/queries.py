@@ -63,20 +63,18 @@ def q_decontaminate(spark, sf_dir):
                         "contaminated")
 
 
-def _cut_sql(size: int, unit: str, keep: str) -> str:
-    """Oracle of the line operators: ``unit`` normalises a line ``x``,
-    ``keep`` says which units ``u`` are compared."""
+def _cut_sql(units: str) -> str:
+    """Oracle of the line operators. ``units`` are CTEs over ``line(doc_id, n,
+    raw)`` that end in ``unit(doc_id, n, size, u)``: what is compared."""
     return f"""
-WITH line AS (SELECT doc_id, i - 1 AS n, parts[i] AS raw, {unit.format(x='parts[i]')} AS x
+WITH line AS (SELECT doc_id, i - 1 AS n, parts[i] AS raw
               FROM (SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i
                     FROM (SELECT doc_id, string_split(text, chr(10)) AS parts FROM documents WHERE text <> ''))),
-unit AS (SELECT * FROM (SELECT doc_id, n, list(x) OVER w AS u, count(*) OVER w AS k FROM line
-                        WINDOW w AS (PARTITION BY doc_id ORDER BY n ROWS BETWEEN CURRENT ROW AND {size - 1} FOLLOWING))
-         WHERE k = {size} AND {keep}),
-ranked AS (SELECT doc_id, n, first(doc_id) OVER w AS fd, first(n) OVER w AS fn FROM unit
+{units},
+ranked AS (SELECT doc_id, n, size, first(doc_id) OVER w AS fd, first(n) OVER w AS fn FROM unit
            WINDOW w AS (PARTITION BY u ORDER BY doc_id, n)),
-gone AS (SELECT DISTINCT doc_id, unnest(range(n, n + {size})) AS n FROM ranked
-         WHERE doc_id <> fd OR n >= fn + {size}),
+gone AS (SELECT DISTINCT doc_id, unnest(range(n, n + size)) AS n FROM ranked
+         WHERE doc_id <> fd OR n >= fn + size),
 cut AS (SELECT line.doc_id, count(*) AS n_lines, count(gone.n) AS n_removed,
                coalesce(string_agg(raw, chr(10) ORDER BY line.n) FILTER (WHERE gone.n IS NULL), '') AS text
         FROM line LEFT JOIN gone ON line.doc_id = gone.doc_id AND line.n = gone.n GROUP BY line.doc_id)
@@ -87,15 +85,36 @@ FROM documents d LEFT JOIN cut ON d.doc_id = cut.doc_id
 """
 
 
-@register("op4_line_hash_dedup",
-          _cut_sql(1, "trim(regexp_replace(lower({x}), '[ \\t\\r]+', ' ', 'g'))", "len(string_split(u[1], ' ')) >= 5"))
+# From each line with a word on, the fewest lines with 15 words together; the
+# first start that has fewer left reaches back to the last line with enough.
+_JOINED_SQL = r"""
+w AS (SELECT doc_id, n, coalesce(regexp_extract_all(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                    '[^\x20\x09-\x0D]+'), []) AS w FROM line),
+d AS (SELECT doc_id, list(array_to_string(w, ' ') ORDER BY n) AS x, list(len(w) ORDER BY n) AS k FROM w GROUP BY doc_id),
+c AS (SELECT *, [CAST(coalesce(list_sum(k[1:i]), 0) AS BIGINT) FOR i IN range(0, len(k))] AS before,
+             CAST(list_sum(k) AS BIGINT) AS total FROM d),
+s AS (SELECT *, unnest(range(1, len(k) + 1)) AS i FROM c),
+e AS (SELECT doc_id, x, total - before[i] >= 15 AS whole, i, before, total,
+             len([b FOR b IN before IF b < before[i] + 15]) AS last FROM s WHERE k[i] > 0),
+f AS (SELECT doc_id, x, i, last FROM e WHERE whole
+      UNION ALL SELECT doc_id, any_value(x), greatest(1, len([b FOR b IN any_value(before) IF b <= any_value(total) - 15])), len(any_value(x))
+      FROM e WHERE NOT whole GROUP BY doc_id),
+unit AS (SELECT DISTINCT doc_id, i - 1 AS n, last - i + 1 AS size, array_to_string([y FOR y IN x[i:last] IF y <> ''], chr(10)) AS u FROM f)"""
+
+_WINDOW_SQL = """
+unit AS (SELECT * FROM (SELECT doc_id, n, 3 AS size, list(trim(raw, ' ' || chr(9) || chr(13))) OVER w AS u, count(*) OVER w AS k FROM line
+                        WINDOW w AS (PARTITION BY doc_id ORDER BY n ROWS BETWEEN CURRENT ROW AND 2 FOLLOWING))
+         WHERE k = 3 AND u <> ['', '', ''])"""
+
+
+@register("op4_line_hash_dedup", _cut_sql(_JOINED_SQL))
 def q_unit_dedup(spark, sf_dir):
-    """Every document without the lines (5 words or more) that an earlier one holds."""
-    out = lines.unit_dedup(table(spark, sf_dir, "documents"), min_words=5)
+    """Every document without the lines (joined to 15 words or more) that an earlier one holds."""
+    out = lines.unit_dedup(table(spark, sf_dir, "documents"), least_words=15)
     return out.select("doc_id", F.col("kept").alias("text"), "n_lines", "n_removed")
 
 
-@register("op5_line_window_dedup", _cut_sql(3, "trim({x}, ' ' || chr(9) || chr(13))", "u <> ['', '', '']"))
+@register("op5_line_window_dedup", _cut_sql(_WINDOW_SQL))
 def q_window_dedup(spark, sf_dir):
     """Every document without later occurrences of repeated three-line windows."""
     out = lines.window_dedup(table(spark, sf_dir, "documents"), size=3)
