@@ -52,10 +52,15 @@ def lowered(word) -> F.Column:
         .otherwise(F.translate(word, UPPER, LOWER))
 
 
+def id_key() -> F.Column:
+    """The id as a number; a hash of ids that are none, or null."""
+    return F.coalesce(F.expr("try_cast(doc_id AS LONG)"), F.xxhash64("doc_id"))
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """Adds the document key ``(d, h)``. Rows equal in ``doc_id`` and text
-    share it and so have equal results; null ids are told from id 0."""
-    return docs.select(F.col("doc_id"), F.col("text"), F.coalesce("doc_id", F.lit(0)).cast("long").alias("d"),
+    share it and so have equal results. Ids may be of any type."""
+    return docs.select(F.col("doc_id"), F.col("text"), id_key().alias("d"),
                        F.xxhash64(F.col("doc_id").isNull(), "text").alias("h"))
 
 
@@ -166,8 +171,9 @@ def report(docs: DataFrame, ix: Index, matches: DataFrame) -> DataFrame:
 
 def scan(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``report`` of ``docs`` against ``items``. Null text has no words.
-    Empty ``items`` or ``docs`` give rows without hits, or none. Extra
-    columns of either table are ignored."""
+    Empty ``items`` or ``docs`` give rows without hits, or none. Items are
+    counted by distinct non-null ``item_id``: a hit of an item without id
+    counts words only. Extra columns of either table are ignored."""
     ix = build_index(docs, items)
     return report(docs, ix, exact_matches(ix, window))
 
@@ -176,6 +182,6 @@ def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
     """``docs`` without the rows that hold a window of an item."""
     ix = build_index(docs, items)
     hit = staged(exact_matches(ix, window).select("d", "h").distinct(), "dec-hit")
-    key = [F.coalesce("doc_id", F.lit(0)).cast("long") == hit["d"],
+    key = [id_key() == hit["d"],
            F.xxhash64(F.col("doc_id").isNull(), "text") == hit["h"]]
     return docs.join(hit, key, "left_anti")

@@ -3,6 +3,7 @@
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as se
 from kindred.llm import decontaminate as dec
@@ -71,3 +72,12 @@ def test_oracle(spark):
     d = "/root/testdata/sf0.001"
     name = "op2_benchmark_decontamination"
     assert compare(se.queries()[name](spark, d), duck(d), se.oracle_sql()[name])[0] == []
+
+
+def test_ids_of_any_type(spark):
+    docs = spark.createDataFrame([("b", "the blue fox ran"), (None, "the blue fox ran"), ("a", "no hit"), ("7", "blue fox")], "doc_id string, text string") \
+        .withColumn("d", F.lit("x")).withColumn("h", F.lit("y"))
+    items = spark.createDataFrame([(1, "blue fox"), (None, "ran")], "item_id long, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items) for r in dec.scan(docs, items).collect()}
+    assert got == {"b": (3, 1), None: (3, 1), "a": (0, 0), "7": (2, 1)}
+    assert {r.doc_id for r in dec.clean(docs, items).collect()} == {"a"}
