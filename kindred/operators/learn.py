@@ -13,6 +13,7 @@ import random
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.ml.classification import GBTClassificationModel, GBTClassifier
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import StringIndexer
@@ -25,6 +26,7 @@ from pyspark.sql import types as T
 
 from kindred.operators.features import quoted
 from kindred.operators.sample import row_hash
+from kindred.operators.trees import shapley_importance
 from kindred.sources.session import materialize
 
 KEY, LABEL = "visitor_id", "c_level"
@@ -126,7 +128,7 @@ class TreeParams:
 
 def gbt(params: TreeParams, features_col: str = "features", label_col: str = "label",
         weight_col: str | None = "weight", seed: int = 4222) -> GBTClassifier:
-    kw = dict(featuresCol=features_col, labelCol=label_col, maxIter=max(1, params.max_iter),
+    kw = dict(featuresCol=features_col, labelCol=label_col, maxIter=params.max_iter,
               stepSize=params.step_size, maxDepth=params.max_depth,
               subsamplingRate=params.subsampling_rate, minInfoGain=params.min_info_gain,
               featureSubsetStrategy=("all" if params.feature_subset >= 1.0
@@ -145,7 +147,8 @@ def with_label_weight(df: DataFrame, pos_weight: float, label: str = LABEL) -> D
 @dataclass(frozen=True)
 class SearchSpace:
     """Ranges that parameters are drawn from, ends included; the defaults are
-    those of the source system. Narrow a range to search less of it."""
+    those of the source system. Narrow a range to search less of it. Ranges
+    that trees cannot be grown with are refused."""
     pos_weight: tuple[int, int] = (1, 5)
     step_size: tuple[float, float] = (1e-9, 1.0)      # log-uniform
     max_iter: tuple[int, int] = (1, 1000)
@@ -154,6 +157,11 @@ class SearchSpace:
     feature_tenths: tuple[int, int] = (1, 10)
     min_info_gain: tuple[int, int] = (0, 5)
 
+    def __post_init__(self):
+        if not (self.max_iter[0] >= 1 and self.max_depth[0] >= 1 and self.pos_weight[0] >= 1 and self.step_size[0] > 0
+                and self.row_tenths[0] >= 1 and self.feature_tenths[0] >= 1 and self.min_info_gain[0] >= 0):
+            raise ValueError("a search range starts below what a tree can be grown with")
+
 
 def draw_params(n: int, seed: int, space: SearchSpace = SearchSpace()) -> list[TreeParams]:
     """Seeded random draws from ``space``."""
@@ -254,11 +262,12 @@ def with_shadows(ranked: DataFrame, n_rows: int, n_features: int, seed: int) ->
 
 
 def shadow_selection(train: DataFrame, features: list[str], params: TreeParams, trials: int = 100,
-                     seed: int = 4222, alpha: float = 0.05, parallelism: int = 4) -> DataFrame:
+                     seed: int = 4222, alpha: float = 0.05, parallelism: int = 4, importance: str = "gain") -> DataFrame:
     """Per feature: hits (trials where its importance beats the best shadow)
     and the decision accepted / tentative / rejected. ``alpha`` is shared
     out among the features. At least six trials are needed for a decision to
-    be possible; fewer raise."""
+    be possible; fewer raise. Importance is the trees' gain, or with
+    ``importance="shapley"`` the mean absolute Shapley contribution."""
     lo, hi = binomial_bounds(trials, alpha / max(1, len(features)))
     if lo < 0 or hi > trials:
         raise ValueError(f"{trials} trials cannot accept or reject any of {len(features)} features")
@@ -270,7 +279,12 @@ def shadow_selection(train: DataFrame, features: list[str], params: TreeParams,
         data = with_shadows(ranked, n_rows, n, seed + t)
         both = with_label_weight(data, params.pos_weight).select(
             "label", "weight", array_to_vector(F.concat("x", "shadow")).alias("features"))
-        imp = gbt(params, seed=seed + t).fit(both).featureImportances.toArray()
+        model = gbt(params, seed=seed + t).fit(both)
+        if importance == "shapley":
+            named = data.select("_rn", array_to_vector(F.concat("x", "shadow")).alias("features"))
+            imp = np.array(shapley_importance(named, model, 2 * n, key="_rn"))
+        else:
+            imp = model.featureImportances.toArray()
         return [int(v > imp[n:].max()) for v in imp[:n]]
 
     with ThreadPoolExecutor(parallelism) as pool:
@@ -288,8 +302,15 @@ def positive_probability(pred: DataFrame) -> DataFrame:
 def calibrate(model: GBTClassificationModel, train: DataFrame, features: list[str]) -> IsotonicRegressionModel:
     """Isotonic map from the model's P(1) to the label, fitted on ``train``."""
     p = positive_probability(model.transform(assemble(with_label_weight(train, 1), features, "label")))
-    return IsotonicRegression(featuresCol="p1", labelCol="label", predictionCol="p_cal",
-                              isotonic=True).fit(p.select("p1", "label"))
+    return IsotonicRegression(featuresCol="p1", labelCol="label", weightCol="weight", predictionCol="p_cal",
+                              isotonic=True).fit(score_groups(p))
+
+
+def score_groups(scored: DataFrame) -> DataFrame:
+    """``p1, label, weight``: one row for each distinct score with its share
+    of positives and its rows. The fit pools the same sums as over the rows,
+    and gets as many rows as the model has distinct scores."""
+    return scored.groupBy("p1").agg(F.avg("label").alias("label"), F.count(F.lit(1)).cast("double").alias("weight"))
 
 
 def score(df: DataFrame, features: list[str], model: GBTClassificationModel, iso: IsotonicRegressionModel,

@@ -7,12 +7,15 @@ from __future__ import annotations
 import os
 
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.regression import IsotonicRegression
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from kindred.operators import enrich as en
 from kindred.operators import features as fe
 from kindred.operators import learn as ln
+from kindred.operators import trees as tr
+from kindred.operators.search import propose, sequential_search, stored_trials, to_params
 from kindred.plans import stages as st
 from kindred.plans.catalog import (
     CFG, DATE_END, DATE_START, RESOURCES, SAMPLE_ROWS, SAMPLE_SEED, W, fixtures, out, register)
@@ -27,7 +30,7 @@ SEED = 4222
 # source system's 10 / 100 / 60 trials over its full ranges.
 SPACE = ln.SearchSpace(max_iter=(2, 6), max_depth=(2, 4), step_size=(0.05, 1.0))
 QUICK = st.TrainConfig(seed=SEED, selection_search_trials=3, selection_trials=20, final_search_trials=3,
-                       selection_space=SPACE, final_space=SPACE, parallelism=4, training_date="2024-02-01")
+                       selection_space=SPACE, final_space=SPACE, parallelism=4, selection_importance="gain", training_date="2024-02-01")
 BASE = ln.TreeParams(max_iter=4, step_size=0.3, max_depth=3)
 
 
@@ -192,10 +195,106 @@ def q_calibrate_isotonic(spark, sf):
     train, features = _prepared_train(spark, sf)
     model = ln.fit_model(train, features, BASE, SEED)
     scored = ln.score(train, features, model, ln.calibrate(model, train, features))
-    before = F.lag("probability").over(Window.partitionBy(F.lit(0)).orderBy("raw", "probability"))
-    return scored.select("visitor_id", _in_range("probability").alias("probability_in_range"),
+    return scored.join(rises(scored), "raw").select("visitor_id", _in_range("probability").alias("probability_in_range"),
                          ((F.col("predicted") == 1) == (F.col("probability") > 0.5)).alias("predicted_agrees"),
-                         F.coalesce(before <= F.col("probability"), F.lit(True)).alias("rises_with_raw"))
+                         "rises_with_raw")
+
+
+def rises(scored, ranges: int = 1024):
+    """``raw, rises_with_raw``: whether a distinct score has one probability,
+    and none before it a larger one. Scores are compared inside ``ranges``
+    ranges, and each with the largest of the ranges before it."""
+    groups = materialize(scored.groupBy("raw").agg(F.min("probability").alias("low"), F.max("probability").alias("high"))
+                         .withColumn("at", F.floor(F.col("raw") * ranges)), "check-scores")
+    inside = F.lag("high").over(Window.partitionBy("at").orderBy("raw"))
+    whole = groups.groupBy("at").agg(F.max("high").alias("top"))  # at most ``ranges`` + 1 rows
+    before = whole.select("at", F.max("top").over(Window.orderBy("at").rowsBetween(Window.unboundedPreceding, -1)).alias("before"))
+    return groups.withColumn("inside", inside).join(F.broadcast(before), "at").select(
+        "raw", ((F.col("low") == F.col("high")) & (F.col("low") >= F.coalesce(F.greatest("inside", "before"), F.lit(0.0)))).alias("rises_with_raw"))
+
+
+@register("calibrate_score_groups", f"""{SPLIT_SQL}
+SELECT c_level, count(*) AS n, true AS fewer_groups_than_rows, true AS same_as_on_rows FROM ts_f GROUP BY c_level""")
+def q_score_groups(spark, sf):
+    """The calibrator fitted on distinct scores against the one fitted on rows."""
+    train, features = _prepared_train(spark, sf)
+    p = materialize(ln.positive_probability(fitted(spark, sf).transform(
+        ln.assemble(ln.with_label_weight(train, 1), features, "label", "c_level"))).select("p1", "label", "c_level"), "check-scored")
+    rows = IsotonicRegression(featuresCol="p1", labelCol="label", predictionCol="on_rows").fit(p.select("p1", "label"))
+    groups = ln.score_groups(p)
+    iso = IsotonicRegression(featuresCol="p1", labelCol="label", weightCol="weight", predictionCol="on_groups").fit(groups)
+    fewer = groups.count() < p.count()
+    return iso.transform(rows.transform(p)).groupBy("c_level").agg(
+        F.count(F.lit(1)).alias("n"), F.lit(fewer).alias("fewer_groups_than_rows"),
+        (F.max(F.abs(F.col("on_rows") - F.col("on_groups"))) < 1e-9).alias("same_as_on_rows"))
+
+
+_FITTED: dict = {}
+
+
+def fitted(spark, sf):
+    """One small model for the checks that only read it."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _FITTED:
+        train, features = _prepared_train(spark, sf)
+        _FITTED[key] = ln.fit_model(train, features, BASE, SEED)
+    return _FITTED[key]
+
+
+@register("shapley_contributions", f"""{SPLIT_SQL}
+SELECT visitor_id, true AS adds_up_to_margin FROM ts_f""")
+def q_shapley(spark, sf):
+    """Every training row: its features' Shapley values and the base make its margin."""
+    train, features = _prepared_train(spark, sf)
+    model = fitted(spark, sf)
+    data = ln.assemble(train, features, "visitor_id")
+    phi = tr.contributions(data, model).groupBy("visitor_id").agg(F.sum("phi").alias("phi"))
+    raw = model.transform(data).select("visitor_id", vector_to_array("rawPrediction")[1].alias("raw"))
+    base = tr.base_value(model)
+    return raw.join(phi, "visitor_id", "left").select("visitor_id", (F.abs(
+        F.coalesce("phi", F.lit(0.0)) + F.lit(base) - F.col("raw")) < 1e-9).alias("adds_up_to_margin"))
+
+
+@register("leaf_regularisation", f"""{SPLIT_SQL}
+SELECT CAST(t.range AS INTEGER) AS tree, (SELECT count(*) FROM ts_f) AS n_rows,
+       (SELECT CAST(sum(CASE WHEN c_level = 1 THEN {BASE.pos_weight} ELSE 1 END) AS DOUBLE) FROM ts_f) AS weight,
+       true AS unregularised_at_zero, true AS shrunk FROM range({BASE.max_iter}) t""")
+def q_leaf_regularisation(spark, sf):
+    """Leaf sums of every tree; values at 0 / 0 and with L1 and L2."""
+    train, features = _prepared_train(spark, sf)
+    model = fitted(spark, sf)
+    data = ln.assemble(ln.with_label_weight(train, BASE.pos_weight), features, "label", "weight")
+    paths = tr.leaves(model)
+    sums = materialize(tr.leaf_sums(data, model, paths=paths), "check-leaves")
+    own = spark.createDataFrame([(p.tree, p.leaf, p.value) for p in paths], "tree int, leaf int, own double")
+    both = tr.regularised(sums).select("tree", "leaf", "n", "weight", F.col("value").alias("zero")) \
+        .join(tr.regularised(sums, l2=1.0, l1=0.5).select("tree", "leaf", F.col("value").alias("some")), ["tree", "leaf"]) \
+        .join(own, ["tree", "leaf"])
+    return both.groupBy("tree").agg(
+        F.sum("n").alias("n_rows"), F.sum("weight").alias("weight"),
+        (F.max(F.abs(F.col("zero") - F.col("own"))) < 1e-9).alias("unregularised_at_zero"),
+        F.bool_and((F.abs("some") < F.abs("zero")) | (F.col("zero") == 0)).alias("shrunk"))
+
+
+@register("sequential_search", f"""{SPLIT_SQL}
+SELECT CAST(t.range AS INTEGER) AS trial, (SELECT count(*) FROM ts_f) AS n_rows, true AS drawn_in_space,
+       true AS mean_in_range, true AS resumes FROM range(4) t""")
+def q_sequential_search(spark, sf):
+    """A search stopped after two trials and taken up again from its history."""
+    train, features = _prepared_train(spark, sf)
+    path = st.artifacts_path(spark, "trials")
+    sequential_search(train, features, 2, SEED, SPACE, parallelism=2, path=path)
+    first = {t.number: t for t in stored_trials(spark, path)}
+    _, means = sequential_search(train, features, 4, SEED, SPACE, parallelism=2, path=path)
+    rows = []
+    for t in stored_trials(spark, path):
+        p = to_params(t.point, SPACE)
+        inside = (SPACE.max_iter[0] <= p.max_iter <= SPACE.max_iter[1] and SPACE.max_depth[0] <= p.max_depth <= SPACE.max_depth[1]
+                  and SPACE.step_size[0] <= p.step_size <= SPACE.step_size[1])
+        again = propose([x for x in stored_trials(spark, path) if x.number < t.number // 2 * 2], t.number, SEED) == t.point
+        rows.append((t.number, inside, 0.0 <= means[t.number] <= 1.0, again and first.get(t.number, t) == t))
+    return spark.createDataFrame(rows, "trial int, drawn_in_space boolean, mean_in_range boolean, resumes boolean").withColumn(
+        "n_rows", F.lit(train.count()).cast("long"))
 
 
 _CHAIN: dict = {}

@@ -25,6 +25,7 @@ from kindred.operators import learn as ln
 from kindred.operators.metrics import weighted_f1
 from kindred.operators.compare import class_from_label, class_from_prediction, class_mix, compare_populations
 from kindred.operators.sample import dedupe, sample_rows
+from kindred.operators.search import sequential_search
 from kindred.sources.session import materialize, scratch_path
 from kindred.sources.sinks import write_table
 from kindred.sources.tables import lowercase_columns
@@ -44,6 +45,9 @@ class TrainConfig:
     # in seeded order. Features, scores and comparisons cover all rows.
     max_fit_rows: int = 1_000_000
     parallelism: int = 2
+    selection_importance: str = "shapley"   # or "gain"
+    # Where the searches keep their trials, to go on after a stop (optional).
+    history: str | None = None
     model_version: str = "kindred-1"
     training_date: str | None = None
 
@@ -97,16 +101,17 @@ def train(train_set: DataFrame, cfg: TrainConfig = TrainConfig()) -> Artifacts:
     split = materialize(ln.stratify(encoders.transform(data), seed=cfg.seed, holdout_every=cfg.holdout_every,
                                     folds=cfg.folds), "split")
     fit_rows = split.where(~F.col("holdout"))
-    best, _ = ln.random_search(fit_rows, features, cfg.selection_search_trials, cfg.seed,
-                               cfg.selection_space, cfg.parallelism, cfg.folds)
+    trials = {k: os.path.join(cfg.history, k) if cfg.history else None for k in ("selection", "final")}
+    best, _ = sequential_search(fit_rows, features, cfg.selection_search_trials, cfg.seed,
+                                cfg.selection_space, cfg.parallelism, cfg.folds, trials["selection"])
     decisions = ln.shadow_selection(fit_rows, features, best, cfg.selection_trials, cfg.seed,
-                                    parallelism=cfg.parallelism)
+                                    parallelism=cfg.parallelism, importance=cfg.selection_importance)
     kept = {r["feature"] for r in decisions.where(F.col("decision") != "rejected").collect()}
     if not kept:
         raise ValueError("selection rejected every feature; there is nothing to train on")
     chosen = [f for f in features if f in kept]
-    best, means = ln.random_search(fit_rows, chosen, cfg.final_search_trials, cfg.seed + 1,
-                                   cfg.final_space, cfg.parallelism, cfg.folds)
+    best, means = sequential_search(fit_rows, chosen, cfg.final_search_trials, cfg.seed + 1,
+                                    cfg.final_space, cfg.parallelism, cfg.folds, trials["final"])
     model = ln.fit_model(fit_rows, chosen, best, cfg.seed)
     iso = ln.calibrate(model, fit_rows, chosen)
     held = ln.score(split.where("holdout"), chosen, model, iso, carry=(ln.LABEL,))
