@@ -51,7 +51,7 @@ HASHES = {}
 
 
 def text_hash(row):
-    return HASHES[row]
+    return HASHES.get(row, 0)  # tells rows of one id apart; without such rows it may be missing
 
 
 A, B, C, D = "one two three four five six", "b b b b b b", "Cee  c c c c c", "dee d d d d d"

@@ -10,7 +10,7 @@ import corpus_pipeline as cp
 from kindred.llm import langid, mixing
 from kindred.llm.common import staged, table
 from test_decontaminate import brute as brute_hits
-from test_lines import brute as brute_lines
+from test_lines import brute as brute_lines, pieces
 from test_simhash import brute as brute_groups
 
 SF = "/root/testdata/sf0.001"
@@ -46,7 +46,7 @@ def test_language(steps):
 
 def test_lines(steps):
     before, after = steps[1]
-    want = {i: t for i, t, k in brute_lines(pairs(before), 3, lambda x: x.strip(" \t\r"), 0)
+    want = {i: t for i, t, k in brute_lines(pairs(before), lambda t: pieces(t, 3))
             for t in [k] if k.strip() or k == t}
     assert {str(i): t for i, t in pairs(after)} == {i: t for i, t in want.items() if t.strip()}
     assert all(r.n_chars == len(r.text) for r in after.collect())
