@@ -1,7 +1,8 @@
 """Personal data by candidate generation and gradient boosting.
 
-Generators propose overlapping spans: the exact base patterns and loose
-forms of them (spelled-out e-mails, other separators, missing prefixes).
+Generators propose overlapping spans: the exact base patterns, loose forms
+of them (spelled-out e-mails, other separators, missing prefixes), and
+secrets: runs of 16 or more characters that mix letters and digits.
 Boosted trees score a candidate from its format and its context, a held-out
 part of the sample calibrates the scores and sets one threshold for each
 kind, and the loose candidates that reach it are added to the base spans.
@@ -9,8 +10,10 @@ kind, and the loose candidates that reach it are added to the base spans.
 The trees are fitted on the candidates of a bounded sample of documents
 (``fit_docs`` expected, 50 candidates of a document at most). Labels are
 weak: a base span is personal data, and so is the same value rewritten in a
-loose form at the same place; candidates that no base pattern takes, and
-dates, amounts, versions and plain numbers set at random places, are not.
+loose form at the same place; a run that a name such as ``token`` or
+``password`` is set to in quotes is a secret. Candidates that none of these
+take are not, nor are dates, amounts, versions, plain numbers, paths and bare
+digests set at random places.
 """
 
 from __future__ import annotations
@@ -27,7 +30,8 @@ from pyspark.sql import functions as F
 from kindred.llm import boosting
 from kindred.llm.common import staged
 
-KINDS = ["email", "ip", "card", "phone"]
+KINDS = ["email", "ip", "card", "phone"]  # with base patterns
+ALL_KINDS = [*KINDS, "secret"]
 DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 DIGIT = re.compile(r"[0-9]")
 CHAIN = re.compile(r"[0-9]+(?:\.[0-9]+)*")
@@ -37,9 +41,12 @@ SAID_AT = re.compile(r"\[at\]|\(at\)| at ", re.I)
 SAID_DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:(?:\[dot\]|\(dot\)| dot |\.)[A-Za-z0-9-]+)+", re.I)
 LOOSE_IP = re.compile(r"(?<![0-9.])[0-9]{1,3}(?: ?\[?\.\]? ?[0-9]{1,3}){3}(?![0-9])")
 LOOSE_DIGITS = re.compile(r"\+?\(?[0-9](?:[ ()./-]{0,2}[0-9])+")
+RUN = re.compile(r"[A-Za-z0-9_+/-]{16,}={0,2}")
+NAMED = re.compile(r"(?:token|key|secret|passw(?:or)?d|pwd)[\"']?[ \t]{0,3}[:=][ \t]{0,3}[\"']$", re.I)
 WORDS = {  # words near a span that speak for a kind, or for something else
     "email": ("mail", "contact", "write"), "ip": ("ip", "server", "host", "address"),
     "card": ("card", "visa", "credit", "payment", "account"), "phone": ("phone", "tel", "call", "mobile", "fax"),
+    "secret": ("token", "key", "secret", "password", "passwd", "pwd", "api", "auth", "credential"),
     "other": ("id", "order", "token", "key", "version", "page", "isbn", "year")}
 
 
@@ -104,6 +111,17 @@ def base_spans(text: str | None) -> list[tuple[str, int, int]]:
     return out
 
 
+def secret_runs(text: str) -> list[tuple[str, int, int]]:
+    """Long runs with a letter and a digit."""
+    return [("secret", m.start(), m.end()) for m in RUN.finditer(text)
+            if DIGIT.search(m.group()) and any(c.isalpha() for c in m.group())]
+
+
+def named_secrets(text: str) -> list[tuple[str, int, int]]:
+    """Those runs that stand in quotes after a name that speaks for a secret."""
+    return [s for s in secret_runs(text) if text[s[2]:s[2] + 1] in ("'", '"') and NAMED.search(text[max(0, s[1] - 24):s[1]])]
+
+
 def candidates(text: str | None) -> list[tuple[str, int, int]]:
     """Loose spans of all generators; they may overlap."""
     if not text:
@@ -119,11 +137,14 @@ def candidates(text: str | None) -> list[tuple[str, int, int]]:
         for m in LOOSE_DIGITS.finditer(text):
             n = len(_digits(m.group()))
             out += [("card", m.start(), m.end())] * (13 <= n <= 19) + [("phone", m.start(), m.end())] * (7 <= n <= 15)
+        out += secret_runs(text)
     return out
 
 
 def features(kind: str, before: str, span: str, after: str) -> list[float]:
-    """Format of the span, and the characters and words around it."""
+    """Format of the span, and the characters and words around it. Of a long
+    span the format is that of its first 4096 characters."""
+    size_all, span = len(span), span[:4096]
     digits = _digits(span)
     groups = re.findall(r"[0-9]+", span)
     seps = re.findall(r"[^A-Za-z0-9]+", span.strip("+("))
@@ -131,12 +152,15 @@ def features(kind: str, before: str, span: str, after: str) -> list[float]:
     prev, nxt = before[-1:], after[:1]
     size = [len(g) for g in groups[:32]] or [0]
     return [
-        *(float(kind == k) for k in KINDS), len(span), len(digits), len(groups), max(size), min(size), size[0], size[-1],
+        *(float(kind == k) for k in ALL_KINDS), size_all, len(digits), len(groups), max(size), min(size), size[0], size[-1],
         float(len(set(seps))), float(len(seps)), float("+" in span), float("(" in span), float("-" in span), float("." in span),
         float(" " in span), float("/" in span), float("@" in span or bool(SAID_AT.search(span))),
         float("dot" in span.lower()), float(len(re.split(r"dot|[\].) ]", span)[-1])) if kind == "email" else 0.0,
         float(len(digits) <= 19 and bool(digits) and luhn(digits)), float(all(len(g) < 4 and int(g) < 256 for g in groups)),
         float(digits.startswith("00")), float(digits[:1] in ("3", "4", "5", "6")),
+        float(len(set(span))), float(all(c in "0123456789abcdefABCDEF" for c in span)),
+        float(len(re.findall(r"[0-9][A-Za-z]|[A-Za-z][0-9]", span))), max(map(len, re.findall(r"[A-Za-z]+", span)), default=0),
+        float(bool(re.search(r"[:=][ \t]{0,3}[\"']?$", before))),
         float(prev.isalnum()), float(nxt.isalnum()), float(prev in "\"'=#$€"), float(nxt in "%€$\"'"),
         *(float(any(w.startswith(x) for w in near for x in WORDS[k])) for k in WORDS)]
 
@@ -151,6 +175,10 @@ def _loose_forms(kind: str, s: str, rng: random.Random) -> str:
         local, _, host = s.partition("@")
         at, dot = rng.choice([(" at ", " dot "), ("[at]", "[dot]"), ("(at)", "(dot)"), (" at ", ".")])
         return local + at + host.replace(".", dot)
+    if kind == "secret":
+        alphabet = rng.choice(["0123456789abcdef", "0123456789ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz"])
+        value = "".join(rng.choice(alphabet) for _ in range(rng.randint(20, 64)))
+        return rng.choice(["", "", "sk-", "pk_"]) + "a1" + value
     if kind == "ip":
         return s.replace(".", rng.choice(["[.]", " . ", ". "]))
     if kind == "card":
@@ -161,6 +189,11 @@ def _loose_forms(kind: str, s: str, rng: random.Random) -> str:
     return rng.choice([f"({area}) {rest[:3]}-{rest[3:]}", f"00{d}", f"{area}-{rest[:3]}-{rest[3:]}", f"{area}.{rest[:3]}.{rest[3:]}"])
 
 
+def _loose_setting(left: str, rng: random.Random) -> str:
+    """The characters before a named secret, the name set to it in another way."""
+    return left.rstrip(" \t:=\"'") + rng.choice([": ", "=", " = ", ": '", '="'])
+
+
 def _not_personal(rng: random.Random) -> tuple[str, str]:
     """A kind and a value that the kind's generator proposes wrongly."""
     n = lambda k: "".join(rng.choice("0123456789") for _ in range(k))
@@ -168,20 +201,25 @@ def _not_personal(rng: random.Random) -> tuple[str, str]:
         ("phone", n(rng.randint(7, 12))), ("phone", f"20{n(2)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)}"),
         ("phone", f"{n(3)} {n(3)} {n(3)}"), ("phone", f"{n(4)}-{n(4)}"), ("card", n(rng.randint(13, 15))), ("phone", f"{n(2)}.{n(6)}"),
         ("ip", f"{rng.randint(256, 999)}.{n(3)}.{n(1)}.{n(2)}"), ("ip", f"{n(1)}. {n(1)}. {n(1)}. {n(1)}"),
+        ("secret", f"{rng.choice(['section', 'release', 'chapter'])}-{n(2)}/{rng.choice(['summary', 'notes', 'tables'])}-{n(3)}"),
+        ("secret", f"{n(4)}-0{rng.randint(1, 9)}-{rng.randint(10, 28)}T{n(2)}-{n(2)}-{n(2)}"),
+        ("secret", "a0" + "".join(rng.choice("0123456789abcdef") for _ in range(rng.choice([30, 38, 62])))),
         ("email", f"look at {rng.choice(['the', 'this', 'page'])}.net"), ("email", "arrive at noon.then")])
 
 
 def training_rows(text: str, key: str, most: int = 50) -> list[tuple[list[float], float, int, str]]:
     """``(features, label, held out, kind)`` of one document of the sample."""
     rng = random.Random(zlib.crc32(key.encode("utf-8", "surrogatepass")))
-    base = base_spans(text)
+    base, named = base_spans(text), named_secrets(text)
     rows = []
-    for kind, a, b in base[:most]:
+    for kind, a, b in base[:most] + named[:most]:
         left, span, right = _around(text, a, b)
-        for s in (span, _loose_forms(kind, span, rng)):
-            rows.append((features(kind, left, s, right), 1.0, kind))
+        loose = _loose_setting(left, rng) if kind == "secret" else left
+        for before, s in ((left, span), (loose, _loose_forms(kind, span, rng))):
+            rows.append((features(kind, before, s, right), 1.0, kind))
+    known = set(named)
     for kind, a, b in candidates(text)[:most]:
-        if not any(x < b and a < y for _, x, y in base):
+        if (kind, a, b) not in known and not any(x < b and a < y for _, x, y in base):
             rows.append((features(kind, *_around(text, a, b)), 0.0, kind))
     gap = text.find(" ", rng.randrange(len(text)))
     if gap >= 0:
@@ -194,8 +232,8 @@ def training_rows(text: str, key: str, most: int = 50) -> list[tuple[list[float]
 def fit(docs: DataFrame, fit_docs: int = 20_000, precision: float = 0.98) -> tuple[boosting.Trees, dict[str, float]] | None:
     """Calibrated trees and a threshold for each kind that reaches
     ``precision`` on the held-out rows; None if the sample cannot decide. The
-    sample is about ``fit_docs`` documents, of each at most 50 base spans and 50
-    candidates, and ``4 * fit_docs`` rows in all."""
+    sample is about ``fit_docs`` documents, of each at most 50 base spans, 50
+    named secrets and 50 candidates, and ``4 * fit_docs`` rows in all."""
     known = docs.where("text <> ''").select("text")
     share = min(1.0, fit_docs / max(1, docs.count()))
     sample = known.where(F.expr("pmod(xxhash64(text, 5), 1000003) / 1000003D") < share)
@@ -215,7 +253,7 @@ def fit(docs: DataFrame, fit_docs: int = 20_000, precision: float = 0.98) -> tup
     x, y, held = np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(), rows["held"].to_numpy() == 1
     model = boosting.calibrate(boosting.fit(x[~held], y[~held]), x[held], y[held])
     p, limits = np.round(model.probability(x[held]), 6), {}
-    for kind in KINDS:
+    for kind in ALL_KINDS:
         own = rows["kind"].to_numpy()[held] == kind
         pk, yk = p[own], y[held][own]
         order = np.argsort(-pk, kind="stable")
@@ -249,13 +287,13 @@ def added_spans(text: str, base: list[tuple[str, int, int]], model, limits) -> l
 def find(docs: DataFrame, fitted: tuple | None) -> DataFrame:
     """``doc_id, base, spans`` for each row of ``docs(doc_id, text)``: arrays
     of ``kind, start, end`` (code points, end exclusive) by kind as in
-    ``KINDS``, then place. ``base`` are the base patterns' spans, ``spans``
+    ``ALL_KINDS``, then place. ``base`` are the base patterns' spans, ``spans``
     those and the added ones (none without ``fitted``). Null and empty texts
     have none. Other columns are ignored; repeated rows each give a row."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     shape = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64())]))
     model, limits = fitted or (None, {})
-    rank = {k: i for i, k in enumerate(KINDS)}
+    rank = {k: i for i, k in enumerate(ALL_KINDS)}
 
     def run(batches):
         for b in batches:

@@ -210,7 +210,8 @@ def q_licenses(spark, sf_dir):
 
 @register("op3_pii_boosting")
 def q_pii(spark, sf_dir):
-    """Personal data in every document: base patterns and what the trees add."""
+    """Personal data in every document: base patterns and what the trees add
+    (``n_added``, of which ``n_secret`` are secrets); ``flagged`` if there is any."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     found = pii.find(docs, pii.fit(docs))
 
@@ -222,7 +223,9 @@ def q_pii(spark, sf_dir):
 
     return found.select(
         "doc_id", *[count(k).alias(f"n_{k}") for k in pii.KINDS],
-        sha_list(listed("base")).alias("base_sha256"), F.concat_ws(",", listed("spans")).alias("spans"))
+        sha_list(listed("base")).alias("base_sha256"), F.concat_ws(",", listed("spans")).alias("spans"),
+        F.size(F.filter("spans", lambda s: s["kind"] == "secret")).cast("long").alias("n_secret"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"), (F.size("spans") > 0).alias("flagged"))
 
 
 @register("op1_edit_token_counts")
