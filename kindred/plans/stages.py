@@ -27,7 +27,7 @@ from kindred.operators.compare import class_from_label, class_from_prediction, c
 from kindred.operators.sample import dedupe, sample_rows
 from kindred.operators.search import sequential_search
 from kindred.sources.session import materialize, scratch_path
-from kindred.sources.sinks import write_table
+from kindred.sources.sinks import append_run, write_table
 from kindred.sources.tables import lowercase_columns
 
 
@@ -140,12 +140,17 @@ def load(path: str) -> Artifacts:
                      meta["categories"], meta["codes"], meta["report"])
 
 
-def append_report(spark: SparkSession, art: Artifacts, path: str) -> None:
-    """Append the training run's row to the metrics table."""
+def append_report(spark: SparkSession, art: Artifacts, path: str, run_id: str | None = None) -> None:
+    """Append the training run's row to the metrics table. With ``run_id`` the
+    table is one of runs (``sinks.read_runs``) and a repeated run counts once."""
     r = art.report
     row = [(r["training_date"], r["cross_val_score"], r["val_score"], r["model_ver"])]
-    write_table(spark.createDataFrame(row, "training_date string, cross_val_score double, val_score double, "
-                                           "model_ver string").coalesce(1), path)
+    report = spark.createDataFrame(row, "training_date string, cross_val_score double, val_score double, "
+                                        "model_ver string").coalesce(1)
+    if run_id is None:
+        write_table(report, path)
+    else:
+        append_run(report, path, run_id)
 
 
 def scoring_rows(views: DataFrame, content: DataFrame, category: DataFrame, sentiment: DataFrame,
@@ -181,10 +186,11 @@ class Sources:
 
 def run_chain(src: Sources, out_dir: str, start: str, end: str, sample_size: int, sample_seed: str,
               resources: list[str], features: fe.FeatureConfig = fe.FeatureConfig(),
-              cfg: TrainConfig = TrainConfig()) -> DataFrame:
+              cfg: TrainConfig = TrainConfig(), run_id: str | None = None) -> DataFrame:
     """Stages 1 to 5 on one set of sources; the comparison of the labelled
     and the scored visitors. The feature, training and prediction tables and
-    the metrics row are stored under ``out_dir``, as are the artifacts."""
+    the metrics row are stored under ``out_dir``, as are the artifacts; with
+    ``run_id`` the row of a repeated run counts once."""
     spark = src.pageviews.sparkSession
 
     def stored(df: DataFrame, name: str) -> DataFrame:
@@ -197,7 +203,7 @@ def run_chain(src: Sources, out_dir: str, start: str, end: str, sample_size: int
     labelled = stored(training_set(feats, src.seed_labels), "training_set")
     save(train(labelled, cfg), os.path.join(out_dir, "artifacts"))
     art = load(os.path.join(out_dir, "artifacts"))
-    append_report(spark, art, os.path.join(out_dir, "metrics"))
+    append_report(spark, art, os.path.join(out_dir, "metrics"), run_id)
     new = stored(scoring_rows(src.pageviews, *dims, src.seed_labels, start, end, sample_size, sample_seed,
                               features.home_zone), "scoring_rows")
     scores = stored(score_features(visitor_features(new, src.pageviews, src.subscriptions, resources, features), art),
