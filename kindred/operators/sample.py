@@ -39,6 +39,63 @@ def sample_rows(df: DataFrame, n: int, seed: str, id_col: str = "event_id") -> D
     return keyed.where(F.col("_h") <= F.lit(last)).drop("_h")
 
 
+def slot_size(n: int, slots: int) -> int:
+    """Rows a slot keeps: its share of the first ``n`` and six standard deviations."""
+    return math.ceil(n / slots + 6 * math.sqrt(n / slots) + 64)
+
+
+def _first_of_slots(keyed: DataFrame, n: int, slots: int) -> DataFrame:
+    order = Window.partitionBy("_slot").orderBy("_h")
+    return keyed.withColumn("_n", F.row_number().over(order)).where(F.col("_n") <= slot_size(n, slots)).drop("_n")
+
+
+def sample_state(df: DataFrame, n: int, seed: str, id_col: str = "event_id", slots: int = 64,
+                 expected: int | None = None) -> DataFrame:
+    """Rows of ``df`` with ``_h`` and ``_slot``: those first in seeded hash
+    order, a bounded number by slot (a part of the ids, drawn by another hash).
+
+    One scan: the rank limit is applied in every task before the exchange.
+    With ``expected`` rows known (from footers or a catalog), rows far behind
+    the n-th hash are left out before that; if it was too high,
+    ``sample_from`` finds the state too short. Rows without an id have no place.
+    """
+    keyed = df.withColumn("_h", row_hash(id_col, seed)).where("_h IS NOT NULL")
+    keyed = keyed.withColumn("_slot", F.pmod(F.xxhash64("_h"), F.lit(slots)).cast("int"))
+    frac = (n + 6 * math.sqrt(n) + 64) / expected if expected else 1.0
+    if frac < 1.0:
+        keyed = keyed.where(F.conv(F.substring("_h", 1, 15), 16, 10).cast("long") < F.lit(int(frac * (1 << 60))))
+    return _first_of_slots(keyed, n, slots)
+
+
+def merge_samples(a: DataFrame, b: DataFrame, n: int, slots: int = 64) -> DataFrame:
+    """The state of the rows of both (days, partitions), as if seen at once."""
+    return _first_of_slots(a.unionByName(b), n, slots)
+
+
+def sample_from(state: DataFrame, n: int, slots: int = 64) -> DataFrame | None:
+    """The ``n`` rows first in hash order, rows of one id together; None if
+    the (stored) state does not hold them all: fewer than ``n`` rows, or an
+    id with so many rows that its slot was cut."""
+    full = state.groupBy("_slot").agg(F.count(F.lit(1)).alias("n"), F.max("_h").alias("top"))
+    info = full.agg(F.sum("n").alias("n"), F.min(F.when(F.col("n") >= slot_size(n, slots), F.col("top"))).alias("limit")).first()
+    if (info["n"] or 0) < n:
+        return None
+    last = state.select("_h").orderBy("_h").limit(n).agg(F.max("_h")).first()[0]
+    if info["limit"] is not None and last >= info["limit"]:
+        return None
+    return state.where(F.col("_h") <= F.lit(last)).drop("_h", "_slot")
+
+
+def sample_once(df: DataFrame, n: int, seed: str, id_col: str = "event_id", expected: int | None = None) -> DataFrame:
+    """As ``sample_rows``, from a stored state made in one scan; what the state
+    cannot decide (few rows, repeated ids) goes to ``sample_rows``."""
+    if n < 1:
+        return df.limit(0)
+    state = materialize(sample_state(df, n, seed, id_col, expected=expected), "sample-state")
+    found = sample_from(state, n)
+    return sample_rows(df, n, seed, id_col) if found is None else found
+
+
 def dedupe(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """One row per ``keys``: the first in ``order`` (ascending, nulls last).
 

@@ -12,7 +12,7 @@ from kindred.functions.text import matches, word_count
 from kindred.operators import enrich as en
 from kindred.operators import features as fe
 from kindred.operators.clean import clean_views
-from kindred.operators.sample import dedupe, sample_rows
+from kindred.operators.sample import dedupe, sample_once, sample_rows
 from kindred.plans.catalog import (
     CFG, DATE_END, DATE_START, RESOURCES, SAMPLE_ROWS, SAMPLE_SEED, W, fixtures, out, register, unpivoted)
 from kindred.plans.oracle_sql import feature_ctes, q, wide_sql
@@ -285,6 +285,14 @@ def q_sample_visitors(spark, sf):
     return _sample(_fx(spark, sf)).distinct()
 
 
+@register("sample_visitors_once", f"{W}\nSELECT DISTINCT visitor_id FROM ({SAMPLE_SQL})")
+def q_sample_visitors_once(spark, sf):
+    """The same visitors from a bounded state, made in one scan of the window."""
+    window = _fx(spark, sf).pageviews.where(
+        F.col("view_date").between(F.lit(DATE_START).cast("date"), F.lit(DATE_END).cast("date")))
+    return sample_once(window.select("event_id", "visitor_id"), SAMPLE_ROWS, SAMPLE_SEED).select("visitor_id").distinct()
+
+
 @register("semi_sampled", f"""{W}
 SELECT event_id, visitor_id FROM pageviews WHERE {WINDOW_SQL} AND visitor_id IN ({SAMPLE_SQL})""")
 def q_semi_sampled(spark, sf):

@@ -24,7 +24,7 @@ from kindred.operators import features as fe
 from kindred.operators import learn as ln
 from kindred.operators.metrics import weighted_f1
 from kindred.operators.compare import class_from_label, class_from_prediction, class_mix, compare_populations
-from kindred.operators.sample import dedupe, sample_rows
+from kindred.operators.sample import dedupe, sample_once, sample_rows
 from kindred.operators.search import sequential_search
 from kindred.sources.session import materialize, scratch_path
 from kindred.sources.sinks import append_run, write_table
@@ -159,7 +159,7 @@ def scoring_rows(views: DataFrame, content: DataFrame, category: DataFrame, sent
     """Rows of sampled visitors in the window, labelled visitors excluded,
     with the article, category and sentiment joins of stage 1."""
     window = views.where(F.col("view_date").between(F.lit(start).cast("date"), F.lit(end).cast("date")))
-    sampled = sample_rows(window.select("event_id", "visitor_id"), sample_size, seed, "event_id").select("visitor_id")
+    sampled = sample_once(window.select("event_id", "visitor_id"), sample_size, seed, "event_id").select("visitor_id")
     return en.raw_rows(views, content, category, sentiment, start, end, exclude=seed_labels, sampled=sampled, zone=zone)
 
 
