@@ -54,3 +54,56 @@ def test_edge_rows(spark):
     none, zero = li.fit(empty, dim=16)
     assert none == [] and li.predict(empty, none, zero).collect() == []
     assert {r.lang_pred for r in li.predict(df, none, zero).collect()} == {"und"}
+
+
+def test_query_equals_profiles_recomputed(spark):
+    """The whole query against prototypes and cosines computed text by text:
+    at this size every training row is read."""
+    d, dim, seed = "/root/testdata/sf0.001", 512, 7
+    docs = spark.read.parquet(f"{d}/documents.parquet").collect()
+    vectors, grams = {}, {}
+
+    def vector(c):
+        if c not in vectors:
+            vectors[c] = np.random.default_rng([seed, c]).integers(0, 2, dim) * 2 - 1
+        return vectors[c]
+
+    def profile(text):
+        codes = [0]
+        for ch in (text or "").lower():
+            c = ord(ch) if ch.isalpha() else 0
+            if c or codes[-1]:
+                codes.append(c)
+        if codes[-1]:
+            codes.append(0)
+        if not any(codes):
+            return None
+        total = np.zeros(dim)
+        for g in zip(codes, codes[1:], codes[2:]):
+            if g not in grams:
+                grams[g] = np.roll(vector(g[0]), 2) * np.roll(vector(g[1]), 1) * vector(g[2])
+            total += grams[g]
+        return total
+
+    def unit(v):
+        return v / np.linalg.norm(v)
+
+    def held(r):
+        return zlib.crc32(str(r.doc_id).encode()) % 5 == 0
+
+    seen = {r.doc_id: profile(r.text) for r in docs}
+    labels = sorted({r.lang for r in docs if r.lang is not None and not held(r)})
+    proto = {k: unit(sum(unit(seen[r.doc_id]) for r in docs if r.lang == k and not held(r) and seen[r.doc_id] is not None)) for k in labels}
+    mean = sum(proto.values()) / len(labels)
+    got = {r.doc_id: r for r in se.queries()["op6_language_id"](spark, d).collect()}
+    assert len(got) == len(docs) and len(labels) > 2
+    for r in docs:
+        v, out = seen[r.doc_id], got[r.doc_id]
+        assert out.held_out == held(r)
+        if v is None:
+            assert (out.lang_pred, out.score) == ("und", 0.0)
+            continue
+        own = unit(v) - mean
+        cos = {k: float(unit(proto[k] - mean) @ unit(own)) for k in labels}
+        best = max(cos.values())
+        assert cos[out.lang_pred] > best - 1e-6 and abs(out.score - min(1.0, max(0.0, best))) < 1e-5
