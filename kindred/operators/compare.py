@@ -37,14 +37,31 @@ def class_mix(rows: DataFrame, dims: list[str] = DIMENSIONS, cls: str = "c_level
     All dimensions are folded into one pass by stacking them; the shares
     and ranks are windows over the aggregated (small) category table.
     """
-    stacked = rows.select(
-        F.col(cls).alias("_cls"), F.col(measure).alias("_m"),
-        F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"),
-                                     F.col(d).cast("string").alias("category")) for d in dims])).alias("_e"))
-    agg = (stacked.where(F.col("_e.category").isNotNull())
-           .groupBy(F.col("_e.dimension").alias("dimension"), F.col("_e.category").alias("category"))
-           .agg(F.coalesce(F.sum(F.when(F.col("_cls") == C_LEVEL, F.col("_m"))), F.lit(0)).alias("_c"),
-                F.coalesce(F.sum(F.when(F.col("_cls") == NON_C_LEVEL, F.col("_m"))), F.lit(0)).alias("_n")))
+    stacked = _stacked(rows.select(F.col(cls).alias("_cls"), F.col(measure).alias("_m"), *dims), dims, "_cls", "_m")
+    return mix_of_views(stacked, "_cls", "_m")
+
+
+def _stacked(rows: DataFrame, dims: list[str], *keep: str) -> DataFrame:
+    """``keep, dimension, category``: a row for each non-null category."""
+    each = F.explode(F.array(*[F.struct(F.lit(d).alias("dimension"), F.col(d).cast("string").alias("category")) for d in dims]))
+    return rows.select(*keep, each.alias("_e")).where("_e.category IS NOT NULL").select(*keep, "_e.dimension", "_e.category")
+
+
+def visitor_views(rows: DataFrame, dims: list[str] = DIMENSIONS, measure: str = "page_views",
+                  key: str = "visitor_id") -> DataFrame:
+    """``visitor_id, dimension, category`` and the summed ``measure``: what
+    ``mix_of_views`` needs of a visitor, at most a row for each category.
+    Rows are summed in their own tasks first, so a hot visitor costs a row
+    for each of its categories and task. Rows without a visitor are left out."""
+    sums = rows.where(F.col(key).isNotNull()).groupBy(key, *dims).agg(F.sum(measure).alias(measure))
+    return _stacked(sums, dims, key, measure).groupBy(key, "dimension", "category").agg(F.sum(measure).alias(measure))
+
+
+def mix_of_views(views: DataFrame, cls: str = "c_level", measure: str = "page_views") -> DataFrame:
+    """``class_mix`` of rows or sums ``dimension, category, cls, measure``."""
+    agg = (views.groupBy("dimension", "category")
+           .agg(F.coalesce(F.sum(F.when(F.col(cls) == C_LEVEL, F.col(measure))), F.lit(0)).alias("_c"),
+                F.coalesce(F.sum(F.when(F.col(cls) == NON_C_LEVEL, F.col(measure))), F.lit(0)).alias("_n")))
     dim = Window.partitionBy("dimension")
     shares = agg.select(
         "dimension", "category",

@@ -23,9 +23,11 @@ from kindred.operators import enrich as en
 from kindred.operators import features as fe
 from kindred.operators import learn as ln
 from kindred.operators.metrics import weighted_f1
-from kindred.operators.compare import class_from_label, class_from_prediction, class_mix, compare_populations
+from kindred.operators.compare import (class_from_label, class_from_prediction, compare_populations, mix_of_views,
+                                       visitor_views)
 from kindred.operators.sample import dedupe, sample_once, sample_rows
 from kindred.operators.search import sequential_search
+from kindred.sources.buckets import bucket_count, write_bucketed
 from kindred.sources.session import materialize, scratch_path
 from kindred.sources.sinks import append_run, write_table
 from kindred.sources.tables import lowercase_columns
@@ -90,6 +92,27 @@ def training_set(features: DataFrame, seed_labels: DataFrame) -> DataFrame:
     return lowercase_columns(features.join(labels, "visitor_id"))
 
 
+def label_rows(seed_labels: DataFrame) -> DataFrame:
+    """Labels as they are stored: a row for each visitor and level, with the
+    number of label rows it stands for. Labels without a visitor join nothing."""
+    return (seed_labels.where(F.col("visitor_id").isNotNull()).groupBy("visitor_id", "management_level")
+            .agg(F.min("user_name").alias("user_name"), F.count(F.lit(1)).alias("n_rows")))
+
+
+def labelled_views(views: DataFrame, labels: DataFrame) -> DataFrame:
+    """``visitor_views`` joined with ``label_rows``: views by class, counted
+    once for each label row of the visitor."""
+    return views.join(labels.select("visitor_id", "management_level", "n_rows"), "visitor_id").select(
+        "visitor_id", "dimension", "category", (F.col("page_views") * F.col("n_rows")).alias("page_views"),
+        class_from_label().alias("c_level"))
+
+
+def scored_views(views: DataFrame, scores: DataFrame) -> DataFrame:
+    """``visitor_views`` joined with the predictions: views by class."""
+    return views.join(scores.select("visitor_id", "predicted"), "visitor_id") \
+        .select(*views.columns, class_from_prediction().alias("c_level"))
+
+
 def train(train_set: DataFrame, cfg: TrainConfig = TrainConfig()) -> Artifacts:
     """Stage 3: encode, split, search, select, fit, calibrate, evaluate."""
     data = sample_rows(train_set.drop("management_level").na.fill(0), cfg.max_fit_rows, str(cfg.seed), ln.KEY)
@@ -186,32 +209,40 @@ class Sources:
 
 def run_chain(src: Sources, out_dir: str, start: str, end: str, sample_size: int, sample_seed: str,
               resources: list[str], features: fe.FeatureConfig = fe.FeatureConfig(),
-              cfg: TrainConfig = TrainConfig(), run_id: str | None = None) -> DataFrame:
+              cfg: TrainConfig = TrainConfig(), run_id: str | None = None, buckets: int | None = None) -> DataFrame:
     """Stages 1 to 5 on one set of sources; the comparison of the labelled
     and the scored visitors. The feature, training and prediction tables and
     the metrics row are stored under ``out_dir``, as are the artifacts; with
-    ``run_id`` the row of a repeated run counts once."""
+    ``run_id`` the row of a repeated run counts once.
+
+    Features, labels, predictions and views by category are stored in
+    ``buckets`` by visitor, so their joins need no exchange."""
     spark = src.pageviews.sparkSession
 
     def stored(df: DataFrame, name: str) -> DataFrame:
         write_table(df, os.path.join(out_dir, name), replace=True)
         return spark.read.parquet(os.path.join(out_dir, name))
 
+    n = buckets or bucket_count(spark)
+
+    def by_visitor(df: DataFrame, name: str) -> DataFrame:
+        return write_bucketed(df, os.path.join(out_dir, name), "visitor_id", n)
+
     dims = (src.content, src.content_category, src.sentiment)
+    labels = by_visitor(label_rows(src.seed_labels), "labels")
     rows = stored(training_rows(src.pageviews, *dims, src.seed_labels, start, end, features.home_zone), "training_rows")
-    feats = stored(visitor_features(rows, src.pageviews, src.subscriptions, resources, features), "features")
-    labelled = stored(training_set(feats, src.seed_labels), "training_set")
+    feats = by_visitor(visitor_features(rows, src.pageviews, src.subscriptions, resources, features), "features")
+    labelled = stored(training_set(feats, labels), "training_set")
     save(train(labelled, cfg), os.path.join(out_dir, "artifacts"))
     art = load(os.path.join(out_dir, "artifacts"))
     append_report(spark, art, os.path.join(out_dir, "metrics"), run_id)
     new = stored(scoring_rows(src.pageviews, *dims, src.seed_labels, start, end, sample_size, sample_seed,
                               features.home_zone), "scoring_rows")
-    scores = stored(score_features(visitor_features(new, src.pageviews, src.subscriptions, resources, features), art),
-                    "predictions")
-    seen = rows.join(src.seed_labels.select("visitor_id", "management_level"), "visitor_id") \
-        .withColumn("c_level", class_from_label())
-    found = new.join(scores, "visitor_id").withColumn("c_level", class_from_prediction())
-    return compare_populations(class_mix(seen), class_mix(found))
+    scores = by_visitor(score_features(visitor_features(new, src.pageviews, src.subscriptions, resources, features), art),
+                        "predictions")
+    seen = labelled_views(by_visitor(visitor_views(rows), "training_views"), labels)
+    found = scored_views(by_visitor(visitor_views(new), "scoring_views"), scores)
+    return compare_populations(mix_of_views(seen), mix_of_views(found))
 
 
 def artifacts_path(spark, name: str) -> str:
