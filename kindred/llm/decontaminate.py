@@ -30,8 +30,9 @@ END = -1
 # row); larger ones are joined by shuffle.
 BROADCAST_ROWS = 500_000
 # Slots of the document filter that is broadcast before the last lists are
-# shuffled; its size is fixed, false positives only cost rows.
-FILTER_SLOTS = 1 << 20
+# shuffled: eight for each candidate document between these numbers (the
+# larger is some 100 MB). False positives only cost rows.
+FILTER_SLOTS, MOST_SLOTS = 1 << 20, 1 << 23
 
 
 def words(text) -> F.Column:
@@ -109,6 +110,15 @@ def _windows(ix: Index, window: int) -> DataFrame:
         "p", "s", "len", "w[0].ipos AS r1", "w[least(1, len - 1)].ipos AS r2")
 
 
+def _lists(ix: Index, alive: DataFrame) -> DataFrame:
+    """Postings of the documents ``(d, h)`` in ``alive``, and of a few others."""
+    docs = staged(alive.select("d", "h").distinct(), "dec-alive-docs")
+    slots = min(MOST_SLOTS, max(FILTER_SLOTS, 8 * docs.count()))
+    slot = F.expr(f"pmod(xxhash64(d, h), {slots})")
+    taken = staged(docs.select(slot.alias("slot")).distinct(), "dec-slots")
+    return ix.postings.join(F.broadcast(taken), slot == F.col("slot"), "left_semi")
+
+
 def exact_matches(ix: Index, window: int = 10) -> DataFrame:
     """``(d, h, p, at, len)``: each place where ``len`` consecutive document
     words from position ``at`` equal a window of phrase ``p`` (``window``
@@ -124,58 +134,86 @@ def exact_matches(ix: Index, window: int = 10) -> DataFrame:
     need = alive.withColumn("ipos", F.explode(F.expr("sequence(s, s + len - 1)"))) \
         .join(small(ix.terms.select("p", "ipos", "t")), ["p", "ipos"]) \
         .withColumn("pos", F.col("diag") + F.col("ipos"))
-    slot = F.expr(f"pmod(xxhash64(d, h), {FILTER_SLOTS})")
-    slots = staged(alive.select(slot.alias("slot")).distinct(), "dec-slots")
-    lists = ix.postings.join(F.broadcast(slots), slot == F.col("slot"), "left_semi")
     keys = ["d", "h", "p", "diag", "s", "len"]
-    met = need.join(lists, ["d", "h", "pos", "t"], "left_semi").groupBy(*keys).agg(F.count("*").alias("n"))
+    met = need.join(_lists(ix, alive), ["d", "h", "pos", "t"], "left_semi").groupBy(*keys).agg(F.count("*").alias("n"))
     return met.where("n = len").selectExpr("d", "h", "p", "diag + s AS at", "len")
 
 
-def proximity_matches(ix: Index, slop: int) -> DataFrame:
-    """``(d, h, p, at)``: places ``at`` of a phrase's rarest term that have
-    every other distinct term of the phrase within ``slop`` words before or
-    after, in any order. Lists are joined by document, term and block of
-    ``slop`` positions, so a long list is not read against itself."""
-    t = ix.terms.select("p", "t", "n").distinct()
-    low = t.groupBy("p").agg(F.min("n").alias("low"), F.count("*").alias("n_terms"))
-    first = t.join(low, "p").where("n = low AND low > 0").groupBy("p", "n_terms").agg(F.min("t").alias("t"))
-    size = max(1, slop)
-    at = ix.postings.join(staged(first, "dec-near"), "t").select("d", "h", "p", "n_terms", F.col("pos").alias("at")).distinct()
-    need = at.join(t.select("p", "t"), "p") \
-        .withColumn("b", F.explode(F.expr(f"sequence(int(at div {size}) - 1, int(at div {size}) + 1)")))
-    lists = ix.postings.withColumn("b", F.expr(f"int(pos div {size})"))
-    return need.join(lists, ["d", "h", "t", "b"]).where(F.abs(F.col("pos") - F.col("at")) <= slop) \
-        .groupBy("d", "h", "p", "at", "n_terms").agg(F.countDistinct("t").alias("n")) \
-        .where("n = n_terms").select("d", "h", "p", "at")
-
-
-def report(docs: DataFrame, ix: Index, matches: DataFrame) -> DataFrame:
+def proximity_matches(ix: Index, window: int = 10, slop: int = 2) -> DataFrame:
+    """``(d, h, p, at)``: alignments of phrase ``p`` with a document (the
+    phrase's first word would stand at ``at``, possibly outside the text) by
+    which every word of some window of the phrase has a posting at most
+    ``slop`` words from its place. Windows are those of ``exact_matches``,
+    whose places are among the alignments; with ``slop`` 0 they are all.
+
+    Postings of each window's two rarest terms, less their offset in the
+    item, are brought together in overlapping cells of ``2 slop + 1``
+    positions, so no list is read against itself; the other lists are
+    intersected with the alignments that both allow.
+    """
+    if slop < 0:
+        raise ValueError("slop is a number of words")
+    win = staged(_windows(ix, window), "dec-windows")
+    anchors = staged(win.select("p", F.explode(F.array("r1", "r2")).alias("ipos"), (F.col("r1") == F.col("r2")).alias("one"))
+                     .groupBy("p", "ipos").agg(F.max("one").alias("one"))
+                     .join(ix.terms, ["p", "ipos"]).select("t", "p", "ipos", "one"), "dec-near-anchors")
+    doc = ["d", "h", "p"]
+    cell = f"CAST(floor(diag / {2 * slop + 1}) AS INT)"
+    cells = ix.postings.join(small(anchors), "t").select(*doc, "ipos", "one", (F.col("pos") - F.col("ipos")).alias("diag")) \
+        .withColumn("cell", F.explode(F.expr(f"array({cell}, {cell} + 1)"))) \
+        .groupBy(*doc, "cell").agg(F.collect_set(F.struct("ipos", "diag")).alias("hit"), F.min("ipos").alias("low"),
+                                   F.max("ipos").alias("high"), F.max("one").alias("one"))
+    cand = staged(cells.where("low < high OR one").select(*doc, "hit"), "dec-near-candidates")
+    places = staged(
+        cand.join(small(win), "p")
+        .withColumn("x", F.explode(F.expr("filter(hit, y -> y.ipos = r1)")))
+        .withColumn("z", F.explode(F.expr(f"filter(hit, y -> y.ipos = r2 AND abs(y.diag - x.diag) <= {2 * slop})")))
+        .withColumn("at", F.explode(F.expr(f"sequence(greatest(x.diag, z.diag) - {slop}, least(x.diag, z.diag) + {slop})")))
+        .select(*doc, "at", "s", "len").distinct(), "dec-near-places")
+    each = places.withColumn("ipos", F.explode(F.expr("sequence(s, s + len - 1)")))
+    need = each.select(*doc, "at", "ipos").distinct().join(small(ix.terms.select("p", "ipos", "t")), ["p", "ipos"]) \
+        .withColumn("pos", F.explode(F.expr(f"sequence(at + ipos - {slop}, at + ipos + {slop})")))
+    met = staged(need.join(_lists(ix, places), ["d", "h", "pos", "t"], "left_semi").select(*doc, "at", "ipos").distinct(), "dec-near-met")
+    return each.join(met, [*doc, "at", "ipos"], "left_semi").groupBy(*doc, "at", "s", "len").agg(F.count("*").alias("n")) \
+        .where("n = len").select(*doc, "at").distinct()
+
+
+def _items(ix: Index, matches: DataFrame, name: str) -> DataFrame:
+    """``(d, h)`` and the sorted ids of the items of ``matches``."""
+    return matches.select("d", "h", "p").distinct().join(small(ix.phrases), "p") \
+        .select("d", "h", F.explode_outer("ids").alias("id")) \
+        .groupBy("d", "h").agg(F.array_sort(F.collect_set("id")).alias(name))
+
+
+def report(docs: DataFrame, ix: Index, matches: DataFrame, near: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_words, n_hit`` (words
-    inside any match), ``n_items, item_ids`` and ``contaminated``."""
+    inside any match), ``n_items, item_ids``, ``contaminated``, and the items
+    of the proximity matches ``near``: ``n_near_items, near_item_ids``."""
     matches = staged(matches, "dec-matches")
     hit = matches.select("d", "h", F.explode(F.expr("sequence(at, at + len - 1)")).alias("pos")).distinct() \
         .groupBy("d", "h").agg(F.count("*").alias("n_hit"))
-    ids = matches.select("d", "h", "p").distinct().join(small(ix.phrases), "p") \
-        .select("d", "h", F.explode_outer("ids").alias("id")) \
-        .groupBy("d", "h").agg(F.array_sort(F.collect_set("id")).alias("item_ids"))
-    found = staged(hit.join(ids, ["d", "h"]), "dec-found")
+    # An exact match is a proximity match too, so no document is lost on the left.
+    found = staged(_items(ix, near, "near_item_ids").join(hit, ["d", "h"], "left")
+                   .join(_items(ix, matches, "item_ids"), ["d", "h"], "left"), "dec-found")
     sizes = ix.postings.where(F.col("t") == END).groupBy("d", "h").agg(F.max("pos").cast("long").alias("n_words"))
     rows = keyed(docs).select("doc_id", "d", "h").join(sizes, ["d", "h"])
     return rows.join(found, ["d", "h"], "left").select(
         "doc_id", "n_words", F.coalesce("n_hit", F.lit(0)).cast("long").alias("n_hit"),
         F.coalesce(F.size("item_ids"), F.lit(0)).cast("long").alias("n_items"),
         F.coalesce("item_ids", F.array().cast("array<string>")).alias("item_ids"),
-        F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"))
+        F.coalesce(F.col("n_hit") > 0, F.lit(False)).alias("contaminated"),
+        F.coalesce(F.size("near_item_ids"), F.lit(0)).cast("long").alias("n_near_items"),
+        F.coalesce("near_item_ids", F.array().cast("array<string>")).alias("near_item_ids"))
 
 
-def scan(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:
-    """``report`` of ``docs`` against ``items``. Null text has no words.
+def scan(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 2) -> DataFrame:
+    """``report`` of ``docs`` against ``items``: exact windows, and windows
+    whose words each stand at most ``slop`` words from their place. Null text has no words.
     Empty ``items`` or ``docs`` give rows without hits, or none. Items are
     counted by distinct non-null ``item_id``: a hit of an item without id
     counts words only. Extra columns of either table are ignored."""
     ix = build_index(docs, items)
-    return report(docs, ix, exact_matches(ix, window))
+    return report(docs, ix, exact_matches(ix, window), proximity_matches(ix, window, slop))
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:

@@ -47,20 +47,29 @@ gram AS (SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS k
 met AS (SELECT g.doc_id, g.s, g.n, win.id FROM gram g JOIN win ON g.n = win.n AND g.k = win.k),
 hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
         FROM (SELECT doc_id, unnest(range(s, s + n)) AS pos FROM met) GROUP BY doc_id),
-ids AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS l FROM met GROUP BY doc_id)
+ids AS (SELECT doc_id, list_sort(list(DISTINCT id)) AS l FROM met GROUP BY doc_id),
+place AS (SELECT DISTINCT d.doc_id, i.id, i.n, i.ipos, d.pos + delta - i.ipos AS a0
+          FROM (SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS pos FROM doc) d
+          JOIN (SELECT id, least(len(w), 10) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS ipos FROM item) i USING (word),
+               (SELECT unnest(range(-2, 3)) AS delta)),
+run AS (SELECT *, ipos - row_number() OVER (PARTITION BY doc_id, id, a0 ORDER BY ipos) AS g FROM place),
+near AS (SELECT doc_id, count(DISTINCT id) AS n_near_items
+         FROM (SELECT doc_id, id FROM run GROUP BY doc_id, id, a0, g, n HAVING count(*) >= n) GROUP BY doc_id)
 SELECT doc.doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit,
        CAST(coalesce(len(l), 0) AS BIGINT) AS n_items, sha256(coalesce(array_to_string(l, ','), '')) AS items_sha256,
-       coalesce(n_hit, 0) > 0 AS contaminated
+       coalesce(n_hit, 0) > 0 AS contaminated, coalesce(n_near_items, 0) AS n_near_items
 FROM doc LEFT JOIN hit ON doc.doc_id = hit.doc_id LEFT JOIN ids ON doc.doc_id = ids.doc_id
+LEFT JOIN near ON doc.doc_id = near.doc_id
 """
 
 
 @register("op2_benchmark_decontamination", OP2_SQL)
 def q_decontaminate(spark, sf_dir):
-    """Words of every document that lie in a 10-word window of a benchmark item."""
-    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    """Words of every document that lie in a 10-word window of a benchmark item,
+    and the items with a window whose words stand at most 2 words from there."""
+    found = decontaminate.scan(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10, slop=2)
     return found.select("doc_id", "n_words", "n_hit", "n_items", sha_list("item_ids").alias("items_sha256"),
-                        "contaminated")
+                        "contaminated", "n_near_items")
 
 
 def _cut_sql(units: str) -> str:

@@ -1,5 +1,6 @@
 """Decontamination against brute force and the SQL oracle."""
 
+import random
 import re
 
 import pytest
@@ -61,11 +62,51 @@ def test_empty_tables(spark):
     assert not any(r[4] for r in rows(dec.scan(docs, items.limit(0))))
 
 
-def test_proximity(spark):
-    docs = spark.createDataFrame([(1, "blue x x fox"), (2, "fox x x x x x x x blue"), (3, "fox blue fox")], "doc_id long, text string")
-    items = spark.createDataFrame([(1, "blue fox")], "item_id long, text string")
-    ix = dec.build_index(docs, items)
-    assert sorted((r.d, r.at) for r in dec.proximity_matches(ix, 4).collect()) == [(1, 0), (3, 1)]
+def near_brute(docs, items, size=10, slop=2):
+    """{id of document: items with a window all of whose words have a document
+    word equal to them at most ``slop`` places from where it should stand}"""
+    out = {}
+    for i, t in docs:
+        places, n_words = {}, len(words(t))
+        for k, w in enumerate(words(t)):
+            places.setdefault(w, set()).update(range(k - slop, k + slop + 1))
+        for j, x in items:
+            v = words(x)
+            n = min(size, len(v))
+            if j is not None and any(all(at + o in places.get(v[s + o], ()) for o in range(n))
+                                     for s in range(len(v) - n + 1 if v else 0) for at in range(-slop, n_words + slop)):
+                out.setdefault(str(i), set()).add(str(j))
+    return out
+
+
+NEAR = [(20, "one TWO, and three four five six seven eight nine ten"), (21, "two one four three six five eight seven ten nine"),
+        (22, "one two x x x x x three four five six seven eight nine ten"), (23, "b zz a"), (24, "b zz zz zz zz a"),
+        (25, "three four five x six seven y eight nine ten eleven one two"), (26, "rep x rep rep rep rep rep rep rep rep rep"),
+        (27, "eleven ten nine eight seven six five four three two one"), (28, "a"), (29, "a b " * 300 + "one two")]
+
+
+@pytest.mark.parametrize("slop,limit", [(0, 500_000), (2, 500_000), (3, 0)])
+def test_proximity(spark, monkeypatch, slop, limit):
+    monkeypatch.setattr(dec, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(dec, "FILTER_SLOTS", 4)
+    monkeypatch.setattr(dec, "MOST_SLOTS", 8)
+    docs = spark.createDataFrame([(i, t, 1, "q") for i, t in DOCS + NEAR], "doc_id long, text string, at int, s string")
+    items = spark.createDataFrame([(i, t, 1) for i, t in ITEMS], "item_id long, text string, len int")
+    found = dec.scan(docs, items, slop=slop).collect()
+    want = near_brute(DOCS + NEAR, ITEMS, slop=slop)
+    assert {str(r.doc_id): set(r.near_item_ids) for r in found if r.n_near_items} == want
+    assert all(set(r.item_ids) <= set(r.near_item_ids) and r.n_near_items == len(r.near_item_ids) for r in found)
+    if slop == 0:
+        assert all(r.item_ids == r.near_item_ids for r in found)
+
+
+def test_proximity_at_random(spark):
+    rng = random.Random(5)
+    docs = [(i, " ".join(rng.choices("abcdef", k=rng.randrange(60)))) for i in range(60)]
+    items = [(i, " ".join(rng.choices("abcdef", [9, 5, 3, 2, 1, 1], k=rng.randrange(1, 9)))) for i in range(15)]
+    got = dec.scan(spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string"),
+                   window=5, slop=1).collect()
+    assert {str(r.doc_id): set(r.near_item_ids) for r in got if r.n_near_items} == near_brute(docs, items, 5, 1)
 
 
 def test_oracle(spark):
