@@ -33,6 +33,8 @@ BROADCAST_ROWS = 500_000
 # shuffled: eight for each candidate document between these numbers (the
 # larger is some 100 MB). False positives only cost rows.
 FILTER_SLOTS, MOST_SLOTS = 1 << 20, 1 << 23
+# Positions in a cell of a proximity search (more for a long reach).
+CELL = 64
 
 
 def words(text) -> F.Column:
@@ -139,16 +141,18 @@ def exact_matches(ix: Index, window: int = 10) -> DataFrame:
     return met.where("n = len").selectExpr("d", "h", "p", "diag + s AS at", "len")
 
 
-def proximity_matches(ix: Index, window: int = 10, slop: int = 2) -> DataFrame:
+def proximity_matches(ix: Index, window: int = 10, slop: int = 2, known: DataFrame | None = None) -> DataFrame:
     """``(d, h, p, at)``: alignments of phrase ``p`` with a document (the
     phrase's first word would stand at ``at``, possibly outside the text) by
     which every word of some window of the phrase has a posting at most
     ``slop`` words from its place. Windows are those of ``exact_matches``,
     whose places are among the alignments; with ``slop`` 0 they are all.
+    Documents and phrases ``(d, h, p)`` that are ``known`` to match are not
+    looked at again.
 
     Postings of each window's two rarest terms, less their offset in the
-    item, are brought together in overlapping cells of ``2 slop + 1``
-    positions, so no list is read against itself; the other lists are
+    item, are brought together in cells of positions that overlap by ``2
+    slop``, so no list is read against itself; the other lists are
     intersected with the alignments that both allow.
     """
     if slop < 0:
@@ -158,16 +162,21 @@ def proximity_matches(ix: Index, window: int = 10, slop: int = 2) -> DataFrame:
                      .groupBy("p", "ipos").agg(F.max("one").alias("one"))
                      .join(ix.terms, ["p", "ipos"]).select("t", "p", "ipos", "one"), "dec-near-anchors")
     doc = ["d", "h", "p"]
-    cell = f"CAST(floor(diag / {2 * slop + 1}) AS INT)"
+    reach = 2 * slop
+    size = max(CELL, 4 * reach)
+    cell, beyond = (f"CAST(floor((diag + {x}) / {size}) AS INT)" for x in (0, reach))
     cells = ix.postings.join(small(anchors), "t").select(*doc, "ipos", "one", (F.col("pos") - F.col("ipos")).alias("diag")) \
-        .withColumn("cell", F.explode(F.expr(f"array({cell}, {cell} + 1)"))) \
+        .withColumn("cell", F.explode(F.expr(f"array_distinct(array({cell}, {beyond}))"))) \
         .groupBy(*doc, "cell").agg(F.collect_set(F.struct("ipos", "diag")).alias("hit"), F.min("ipos").alias("low"),
                                    F.max("ipos").alias("high"), F.max("one").alias("one"))
-    cand = staged(cells.where("low < high OR one").select(*doc, "hit"), "dec-near-candidates")
+    cand = cells.where("low < high OR one").select(*doc, "hit")
+    if known is not None:
+        cand = cand.join(known.select(*doc).distinct(), doc, "left_anti")
+    cand = staged(cand, "dec-near-candidates")
     places = staged(
         cand.join(small(win), "p")
         .withColumn("x", F.explode(F.expr("filter(hit, y -> y.ipos = r1)")))
-        .withColumn("z", F.explode(F.expr(f"filter(hit, y -> y.ipos = r2 AND abs(y.diag - x.diag) <= {2 * slop})")))
+        .withColumn("z", F.explode(F.expr(f"filter(hit, y -> y.ipos = r2 AND abs(y.diag - x.diag) <= {reach})")))
         .withColumn("at", F.explode(F.expr(f"sequence(greatest(x.diag, z.diag) - {slop}, least(x.diag, z.diag) + {slop})")))
         .select(*doc, "at", "s", "len").distinct(), "dec-near-places")
     each = places.withColumn("ipos", F.explode(F.expr("sequence(s, s + len - 1)")))
@@ -188,12 +197,13 @@ def _items(ix: Index, matches: DataFrame, name: str) -> DataFrame:
 def report(docs: DataFrame, ix: Index, matches: DataFrame, near: DataFrame) -> DataFrame:
     """One row for each row of ``docs``: ``doc_id, n_words, n_hit`` (words
     inside any match), ``n_items, item_ids``, ``contaminated``, and the items
-    of the proximity matches ``near``: ``n_near_items, near_item_ids``."""
-    matches = staged(matches, "dec-matches")
+    of the exact and the proximity matches ``near``: ``n_near_items,
+    near_item_ids``. ``matches`` is read twice: pass a stored table."""
     hit = matches.select("d", "h", F.explode(F.expr("sequence(at, at + len - 1)")).alias("pos")).distinct() \
         .groupBy("d", "h").agg(F.count("*").alias("n_hit"))
     # An exact match is a proximity match too, so no document is lost on the left.
-    found = staged(_items(ix, near, "near_item_ids").join(hit, ["d", "h"], "left")
+    pairs = matches.select("d", "h", "p").unionByName(near.select("d", "h", "p"))
+    found = staged(_items(ix, pairs, "near_item_ids").join(hit, ["d", "h"], "left")
                    .join(_items(ix, matches, "item_ids"), ["d", "h"], "left"), "dec-found")
     sizes = ix.postings.where(F.col("t") == END).groupBy("d", "h").agg(F.max("pos").cast("long").alias("n_words"))
     rows = keyed(docs).select("doc_id", "d", "h").join(sizes, ["d", "h"])
@@ -213,7 +223,8 @@ def scan(docs: DataFrame, items: DataFrame, window: int = 10, slop: int = 2) ->
     counted by distinct non-null ``item_id``: a hit of an item without id
     counts words only. Extra columns of either table are ignored."""
     ix = build_index(docs, items)
-    return report(docs, ix, exact_matches(ix, window), proximity_matches(ix, window, slop))
+    matches = staged(exact_matches(ix, window), "dec-matches")
+    return report(docs, ix, matches, proximity_matches(ix, window, slop, matches))
 
 
 def clean(docs: DataFrame, items: DataFrame, window: int = 10) -> DataFrame:

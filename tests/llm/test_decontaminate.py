@@ -96,8 +96,9 @@ def test_proximity(spark, monkeypatch, slop, limit):
     want = near_brute(DOCS + NEAR, ITEMS, slop=slop)
     assert {str(r.doc_id): set(r.near_item_ids) for r in found if r.n_near_items} == want
     assert all(set(r.item_ids) <= set(r.near_item_ids) and r.n_near_items == len(r.near_item_ids) for r in found)
-    if slop == 0:
-        assert all(r.item_ids == r.near_item_ids for r in found)
+    ix = dec.build_index(docs, items)
+    exact, near = ({(r.d, r.h, r.p) for r in m.collect()} for m in (dec.exact_matches(ix), dec.proximity_matches(ix, slop=slop)))
+    assert exact == near if slop == 0 else exact < near
 
 
 def test_proximity_at_random(spark):
