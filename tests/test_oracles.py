@@ -13,7 +13,7 @@ FAST = ["user_features_wide", "pivot_country", "top_day_of_month", "share_tier1"
         "compare_top_k", "weighted_f1", "probability_histogram", "stratified_holdout", "fn_word_count",
         "profile_nulls", "sink_append_roundtrip", "dedupe_visitor_class", "flag_subscriber",
         "training_features", "align_features", "join_labels_using", "top_tier1_keep_inf", "profile_schema",
-        "shadow_feature_selection", "training_report", "score_visitors", "score_to_compare"]
+        "shadow_feature_selection", "training_report", "score_visitors", "score_to_compare", "stored_training_set", "stored_compare"]
 
 
 @pytest.fixture(scope="module")
