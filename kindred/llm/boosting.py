@@ -1,10 +1,18 @@
-"""Small gradient-boosted trees for a bounded, labelled sample of rows."""
+"""Small gradient-boosted trees: fitted by Spark on any number of labelled
+rows or here on a few in memory, calibrated, and applied inside tasks."""
 
 from __future__ import annotations
 
 from dataclasses import dataclass
 
 import numpy as np
+from pyspark.ml.classification import GBTClassifier
+from pyspark.ml.functions import array_to_vector
+from pyspark.sql import DataFrame
+
+from kindred.operators.trees import stored_nodes
+
+SCORE_PLACES = 3  # sums are rounded, so that many rows have few distinct ones
 
 
 @dataclass
@@ -26,10 +34,13 @@ class Trees:
             for _ in range(depth):
                 at = 2 * at + 1 + (x[rows, f[at]] > t[at])
             total += v[at - len(f)]
-        return total
+        return np.round(total, SCORE_PLACES)
+
+    def calibrated(self, s: np.ndarray) -> np.ndarray:
+        return 1 / (1 + np.exp(-np.clip(self.scale * s + self.shift, -40, 40)))
 
     def probability(self, x: np.ndarray) -> np.ndarray:
-        return 1 / (1 + np.exp(-np.clip(self.scale * self.raw(x) + self.shift, -40, 40)))
+        return self.calibrated(self.raw(x))
 
 
 def _best_split(x, cuts, g, h, rows):
@@ -72,14 +83,45 @@ def fit(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: flo
     return Trees(feature, threshold, value)
 
 
+def fit_rows(rows: DataFrame, trees: int = 60, depth: int = 3, rate: float = 0.2) -> Trees:
+    """Trees fitted by Spark on all of ``rows(x array<double>, y, n)``, ``n``
+    being how many rows one stands for. Spark ML grows them from bin sums of
+    every row (it looks for the bins' ends, up to 64 a feature, in a part of
+    the rows); only the trees come to the driver."""
+    model = GBTClassifier(labelCol="y", weightCol="n", maxIter=trees, maxDepth=depth, stepSize=rate, maxBins=64, seed=1).fit(
+        rows.select(array_to_vector("x").alias("features"), "y", "n"))
+    inner, nodes = 2 ** depth - 1, stored_nodes(model)
+    out = Trees(np.zeros((len(nodes), inner), dtype=np.int64), np.full((len(nodes), inner), np.inf), np.zeros((len(nodes), inner + 1)))
+    for k, weight in enumerate(model.treeWeights):
+        todo = [(0, 0)]
+        while todo:
+            node, at = todo.pop()
+            r = nodes[k][node]
+            if r["leftChild"] >= 0:
+                out.feature[k, at], out.threshold[k, at] = r["split"]["featureIndex"], r["split"]["leftCategoriesOrThreshold"][0]
+                todo += [(r["leftChild"], 2 * at + 1), (r["rightChild"], 2 * at + 2)]
+                continue
+            first = last = at  # every place below a leaf has its value
+            while first < inner:
+                first, last = 2 * first + 1, 2 * last + 2
+            out.value[k, first - inner:last - inner + 1] = weight * r["prediction"]
+    return out
+
+
 def calibrate(model: Trees, x: np.ndarray, y: np.ndarray, steps: int = 50) -> Trees:
     """Platt scaling on held-out rows: logistic regression of ``y`` on the sum."""
-    s, w = model.raw(x), np.array([1.0, 0.0])
+    return calibrate_sums(model, model.raw(x), y, np.ones(len(y)), steps)
+
+
+def calibrate_sums(model: Trees, s: np.ndarray, y: np.ndarray, n: np.ndarray, steps: int = 50) -> Trees:
+    """The same from sums ``s`` and labels that stand for ``n`` rows each."""
+    w = np.array([1.0, 0.0])
     a = np.stack([s, np.ones_like(s)], axis=1)
-    soft = np.where(y > 0, (y.sum() + 1) / (y.sum() + 2), 1 / ((1 - y).sum() + 2))
+    pos, neg = (n * y).sum(), (n * (1 - y)).sum()
+    soft = np.where(y > 0, (pos + 1) / (pos + 2), 1 / (neg + 2))
     for _ in range(steps):
         p = 1 / (1 + np.exp(-np.clip(a @ w, -40, 40)))
-        hess = a.T @ (a * (p * (1 - p))[:, None]) + 1e-6 * np.eye(2)
-        w = w + np.clip(np.linalg.solve(hess, a.T @ (soft - p)), -2, 2)
+        hess = a.T @ (a * (n * p * (1 - p))[:, None]) + 1e-6 * np.eye(2)
+        w = w + np.clip(np.linalg.solve(hess, a.T @ (n * (soft - p))), -2, 2)
     model.scale, model.shift = float(max(w[0], 1e-3)), float(w[1])
     return model

@@ -4,11 +4,10 @@ Generators propose overlapping spans: the exact base patterns, loose forms
 of them (spelled-out e-mails, other separators, missing prefixes), and
 secrets: runs of 16 or more characters that mix letters and digits.
 Boosted trees score a candidate from its format and its context, a held-out
-part of the sample calibrates the scores and sets one threshold for each
+part of the documents calibrates the scores and sets one threshold for each
 kind, and the loose candidates that reach it are added to the base spans.
 
-The trees are fitted on the candidates of a bounded sample of documents
-(``fit_docs`` expected, 50 candidates of a document at most). Labels are
+The trees are fitted by Spark on all candidates of all documents. Labels are
 weak: a base span is personal data, and so is the same value rewritten in a
 loose form at the same place; a run that a name such as ``token`` or
 ``password`` is set to in quotes is a secret. Candidates that none of these
@@ -207,19 +206,22 @@ def _not_personal(rng: random.Random) -> tuple[str, str]:
         ("email", f"look at {rng.choice(['the', 'this', 'page'])}.net"), ("email", "arrive at noon.then")])
 
 
-def training_rows(text: str, key: str, most: int = 50) -> list[tuple[list[float], float, int, str]]:
-    """``(features, label, held out, kind)`` of one document of the sample."""
+def training_rows(text: str, key: str) -> list[tuple[list[float], float, int, str]]:
+    """``(features, label, held out, kind)`` of all candidates of one document."""
     rng = random.Random(zlib.crc32(key.encode("utf-8", "surrogatepass")))
     base, named = base_spans(text), named_secrets(text)
+    taken = np.zeros(len(text), dtype=bool)
+    for _, a, b in base:
+        taken[a:b] = True
     rows = []
-    for kind, a, b in base[:most] + named[:most]:
+    for kind, a, b in base + named:
         left, span, right = _around(text, a, b)
         loose = _loose_setting(left, rng) if kind == "secret" else left
         for before, s in ((left, span), (loose, _loose_forms(kind, span, rng))):
             rows.append((features(kind, before, s, right), 1.0, kind))
     known = set(named)
-    for kind, a, b in candidates(text)[:most]:
-        if (kind, a, b) not in known and not any(x < b and a < y for _, x, y in base):
+    for kind, a, b in candidates(text):
+        if (kind, a, b) not in known and not taken[a:b].any():
             rows.append((features(kind, *_around(text, a, b)), 0.0, kind))
     gap = text.find(" ", rng.randrange(len(text)))
     if gap >= 0:
@@ -229,39 +231,57 @@ def training_rows(text: str, key: str, most: int = 50) -> list[tuple[list[float]
     return [(f, y, held, k) for f, y, k in rows]
 
 
-def fit(docs: DataFrame, fit_docs: int = 20_000, precision: float = 0.98) -> tuple[boosting.Trees, dict[str, float]] | None:
+def fit(docs: DataFrame, precision: float = 0.98) -> tuple[boosting.Trees, dict[str, float]] | None:
     """Calibrated trees and a threshold for each kind that reaches
-    ``precision`` on the held-out rows; None if the sample cannot decide. The
-    sample is about ``fit_docs`` documents, of each at most 50 base spans, 50
-    named secrets and 50 candidates, and ``4 * fit_docs`` rows in all."""
-    known = docs.where("text <> ''").select("text")
-    share = min(1.0, fit_docs / max(1, docs.count()))
-    sample = known.where(F.expr("pmod(xxhash64(text, 5), 1000003) / 1000003D") < share)
+    ``precision`` on the held-out rows; None if the rows cannot decide.
 
+    Every candidate of every document is read. Equal rows are stored once,
+    with their number; Spark fits the trees on those that are not held out
+    and scores the others, of which the driver gets counts by kind, label and
+    rounded score."""
     def run(batches):
         for b in batches:
-            rows = [r for t in b.column("text") if (s := t.as_py()) for r in training_rows(s, s[:200])]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array([r[1] for r in rows], pa.float64()),
-                 pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.string())],
-                ["x", "y", "held", "kind"])
-
-    made = staged(sample.mapInArrow(run, "x array<double>, y double, held int, kind string"), "pii-sample")
-    rows = made.orderBy(F.xxhash64("x", "y", "kind"), "x", "y", "held").limit(4 * fit_docs).toPandas()
-    if not len(rows) or rows.groupby("held")["y"].nunique().reindex([0, 1]).fillna(0).min() < 2:
+            rows = []
+            for t in b.column("text"):
+                rows += training_rows(s := t.as_py(), s[:200])
+                if len(rows) >= 5000:
+                    yield batch(rows)
+                    rows = []
+            yield batch(rows)
+
+    def batch(rows):
+        return pa.RecordBatch.from_arrays(
+            [pa.array([r[0] for r in rows], pa.list_(pa.float64())), pa.array([r[1] for r in rows], pa.float64()),
+             pa.array([r[2] for r in rows], pa.int32()), pa.array([r[3] for r in rows], pa.string())],
+            ["x", "y", "held", "kind"])
+
+    made = docs.where("text <> ''").select("text").mapInArrow(run, "x array<double>, y double, held int, kind string")
+    made = staged(made.groupBy("x", "y", "held", "kind").agg(F.count(F.lit(1)).cast("double").alias("n"))
+                  .sortWithinPartitions("x", "y", "held", "kind"), "pii-rows")
+    if made.select("held", "y").distinct().count() < 4:
         return None
-    x, y, held = np.stack(rows["x"].to_numpy()), rows["y"].to_numpy(), rows["held"].to_numpy() == 1
-    model = boosting.calibrate(boosting.fit(x[~held], y[~held]), x[held], y[held])
-    p, limits = np.round(model.probability(x[held]), 6), {}
+    trees = boosting.fit_rows(made.where("held = 0"))
+
+    def score(batches):
+        for b in batches:
+            if b.num_rows:
+                s = trees.raw(np.stack([np.asarray(x) for x in b.column("x").to_pylist()]))
+                yield pa.RecordBatch.from_arrays([b.column("kind"), b.column("y"), b.column("n"), pa.array(s)], ["kind", "y", "n", "s"])
+
+    rows = made.where("held = 1").select("x", "kind", "y", "n").mapInArrow(score, "kind string, y double, n double, s double") \
+        .groupBy("kind", "s", "y").agg(F.sum("n").alias("n")).orderBy("kind", "s", "y").toPandas()
+    s, y, n = (rows[c].to_numpy() for c in "syn")
+    model = boosting.calibrate_sums(trees, s, y, n)
+    p, limits = np.round(model.calibrated(s), 6), {}
     for kind in ALL_KINDS:
-        own = rows["kind"].to_numpy()[held] == kind
-        pk, yk = p[own], y[held][own]
-        order = np.argsort(-pk, kind="stable")
-        right = np.cumsum(yk[order]) / np.arange(1, len(order) + 1)
-        ends = np.append(np.diff(pk[order]) != 0, True) if len(order) else np.zeros(0, dtype=bool)
-        good = np.flatnonzero(ends & (right >= precision) & (np.arange(len(order)) >= 9))
+        own = rows["kind"].to_numpy() == kind
+        order = np.argsort(-p[own], kind="stable")
+        pk, yk, nk = p[own][order], y[own][order], n[own][order]
+        right = np.cumsum(yk * nk) / np.cumsum(nk)
+        ends = np.append(np.diff(pk) != 0, True) if len(order) else np.zeros(0, dtype=bool)
+        good = np.flatnonzero(ends & (right >= precision) & (np.cumsum(nk) >= 10))
         if len(good):
-            limits[kind] = max(0.5, float(pk[order][good[-1]]))
+            limits[kind] = max(0.5, float(pk[good[-1]]))
     return model, limits
 
 
