@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from kindred.llm import decontaminate, langid, lines, mixing, simhash
-from kindred.llm.common import on_workers, staged, table
+from kindred.llm.common import on_workers, small_batches, staged, table
 from kindred.llm.queries import MIX
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -22,8 +22,7 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 def language_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects texts without a letter and texts that are not like the language
-    they are closest to (``langid.alike``, measured on the labelled training
-    rows). A null ``lang`` is set to the prediction; a given one stays."""
+    they are closest to (``langid.alike``, measured on all labelled rows). A null ``lang`` is set to the prediction; a given one stays."""
     labels, proto = langid.fit(docs)
     usual = langid.typical(docs, labels, proto)
     out = langid.predict(docs, labels, proto, usual=usual).where(F.col("lang_pred") != langid.UNDETERMINED)
@@ -63,6 +62,7 @@ ORACLE_SQL = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     on_workers(spark)
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    with small_batches(spark):
+        for name, stage in STAGES[:-1]:
+            docs = staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
