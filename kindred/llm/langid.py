@@ -21,13 +21,13 @@ from kindred.llm.common import staged
 
 UNDETERMINED = "und"
 GAP = 0
-CACHE_ROWS = 1 << 16  # trigram vectors a worker keeps; others are rebuilt when met
+CACHE_ROWS = 1 << 16  # trigram vectors a worker keeps, a byte an entry; others are rebuilt when met
 
 
 @lru_cache(maxsize=1)
 def letter_table() -> np.ndarray:
     """Code point to itself if it is a letter, else to ``GAP``."""
-    return np.array([c if chr(c).isalpha() else GAP for c in range(0x110000)], dtype=np.uint32)
+    return np.fromiter((c if chr(c).isalpha() else GAP for c in range(0x110000)), dtype=np.uint32, count=0x110000)
 
 
 class Encoder:
@@ -37,7 +37,7 @@ class Encoder:
         self.dim, self.seed = dim, seed
         self.letters: dict[int, tuple] = {}
         self.rows: dict[int, int] = {}
-        self.cache = np.empty((0, dim), dtype=np.float32)
+        self.cache = np.empty((0, dim), dtype=np.int8)
 
     def letter(self, c: int) -> tuple:
         if c not in self.letters:
@@ -48,7 +48,7 @@ class Encoder:
     def trigrams(self, codes: np.ndarray) -> np.ndarray:
         place = [[self.letter(c)[k] for c in (codes >> np.uint64(s) & np.uint64(0x1FFFFF)).tolist()]
                  for k, s in ((0, 42), (1, 21), (2, 0))]
-        return (np.array(place[0]) * np.array(place[1]) * np.array(place[2])).astype(np.float32)
+        return np.array(place[0]) * np.array(place[1]) * np.array(place[2])
 
     def vectors(self, codes: np.ndarray) -> np.ndarray:
         keys = codes.tolist()
@@ -56,7 +56,7 @@ class Encoder:
         if new and len(self.rows) + len(new) <= CACHE_ROWS:
             self.rows.update(zip(new, range(len(self.rows), len(self.rows) + len(new))))
             if len(self.rows) > len(self.cache):
-                grown = np.empty((min(CACHE_ROWS, 2 * len(self.rows)), self.dim), dtype=np.float32)
+                grown = np.empty((min(CACHE_ROWS, 2 * len(self.rows)), self.dim), dtype=np.int8)
                 grown[:len(self.cache)] = self.cache
                 self.cache = grown
             self.cache[len(self.rows) - len(new):len(self.rows)] = self.trigrams(np.array(new, dtype=np.uint64))
@@ -85,8 +85,8 @@ class Encoder:
             if len(c) > 2:
                 size += len(c) - 2
                 codes, n = np.unique(c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:], return_counts=True)
-                for k in range(0, len(codes), 8192):
-                    total += np.einsum("i,ij->j", n[k:k + 8192].astype(np.float32), self.vectors(codes[k:k + 8192]))
+                for k in range(0, len(codes), 2048):
+                    total += np.einsum("i,ij->j", n[k:k + 2048].astype(np.float32), self.vectors(codes[k:k + 2048]).astype(np.float32))
             tail = c[-2:]
         return (total, size) if found else (None, 0)
 
@@ -96,27 +96,19 @@ def encoder(dim: int, seed: int) -> Encoder:
     return Encoder(dim, seed)
 
 
-def training_rows(docs: DataFrame, rows_per_label: int) -> tuple[list[str], DataFrame]:
-    """The labels, and ``lang, text`` of the rows that ``fit`` reads."""
-    known = docs.where("lang IS NOT NULL AND text IS NOT NULL")
-    counts = {r["lang"]: r["n"] for r in known.groupBy("lang").agg(F.count("*").alias("n")).collect()}
-    labels = sorted(counts)
-    if not labels:
-        return labels, known.select("lang", "text")
-    share = F.create_map(*[F.lit(x) for k in labels for x in (k, min(1.0, rows_per_label / counts[k]))])
-    draw = F.expr("pmod(xxhash64(doc_id, length(text)), 1000003) / 1000003D")
-    return labels, known.where(draw < share[F.col("lang")]).select("lang", "text")
+def training_rows(docs: DataFrame) -> tuple[list[str], DataFrame]:
+    """The labels, and ``lang, text`` of the rows that ``fit`` reads: all that have both."""
+    known = docs.where("lang IS NOT NULL AND text IS NOT NULL").select("lang", "text")
+    return sorted(r["lang"] for r in known.select("lang").distinct().collect()), known
 
 
-def fit(docs: DataFrame, dim: int = 512, seed: int = 7, rows_per_label: int = 2000) -> tuple[list[str], np.ndarray]:
-    """Labels and their prototypes, from text and non-null ``lang``.
+def fit(docs: DataFrame, dim: int = 512, seed: int = 7) -> tuple[list[str], np.ndarray]:
+    """Labels and their prototypes, from text and non-null ``lang`` of every row.
 
-    The fit reads a sample: each label's rows are taken with the chance that
-    makes ``rows_per_label`` expected (all, if it has fewer), by a hash of
-    ``doc_id`` and text. The label set is the classifier's class list and
-    small. Prototypes are sums per task and label, added up by Spark.
+    The label set is the classifier's class list and small. Prototypes are
+    sums per task and label, added up by Spark.
     """
-    labels, sample = training_rows(docs, rows_per_label)
+    labels, known = training_rows(docs)
     if not labels:
         return [], np.zeros((0, dim))
 
@@ -132,7 +124,7 @@ def fit(docs: DataFrame, dim: int = 512, seed: int = 7, rows_per_label: int = 20
             yield pa.RecordBatch.from_arrays(
                 [pa.array(list(sums)), pa.array([v.tolist() for v in sums.values()], pa.list_(pa.float64()))], ["lang", "v"])
 
-    parts = staged(sample.mapInArrow(bundle, "lang string, v array<double>"), "lang-bundles")
+    parts = staged(known.mapInArrow(bundle, "lang string, v array<double>"), "lang-bundles")
     at = parts.select("lang", F.posexplode("v").alias("k", "x")).groupBy("lang", "k").agg(F.sum("x").alias("x"))
     proto = np.zeros((len(labels), dim))
     for r in at.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("k", "x"))).alias("v")).collect():
@@ -153,17 +145,20 @@ def classify(v: np.ndarray | None, labels: list[str], proto: np.ndarray) -> tupl
     return (labels[best], float(min(1.0, max(0.0, cos[best])))) if cos[best] > -2 else (UNDETERMINED, 0.0)
 
 
-def typical(docs: DataFrame, labels: list[str], proto: np.ndarray, seed: int = 7, rows_per_label: int = 2000) -> np.ndarray:
+def typical(docs: DataFrame, labels: list[str], proto: np.ndarray, seed: int = 7) -> np.ndarray:
     """For each label, the median over its training rows of the dot product
     with the label's prototype for each trigram of the text, the row itself
     taken out of the prototype. -inf for a label of fewer than two rows.
 
     A trigram's vector has +-1 entries and a prototype length 1, so one that
     the label does not have adds 0 on average, with standard deviation 1; this
-    mean does not depend on the text's length. Only three numbers a sampled
-    row go to the driver.
+    mean does not depend on the text's length. The median is that of all
+    rows, counted by value to four places; one number a label goes to the
+    driver.
     """
-    _, sample = training_rows(docs, rows_per_label)
+    if not labels:
+        return np.zeros(0)
+    _, known = training_rows(docs)
     dim = proto.shape[1]
 
     def score(batches):
@@ -177,17 +172,15 @@ def typical(docs: DataFrame, labels: list[str], proto: np.ndarray, seed: int = 7
             yield pa.RecordBatch.from_arrays([pa.array([x[0] for x in out], pa.string()), *(
                 pa.array([x[k] for x in out], pa.float64()) for k in (1, 2))], ["lang", "cos", "size"])
 
-    found: dict[str, list] = {k: [] for k in labels}
-    if labels:
-        for r in sample.mapInArrow(score, "lang string, cos double, size double").collect():
-            found[r["lang"]].append((r["cos"], r["size"]))
+    rows = staged(known.mapInArrow(score, "lang string, cos double, size double"), "lang-scores")
+    # ``whole`` is the length of the sum of unit vectors, as the prototype is its direction
+    whole = rows.groupBy("lang").agg(F.sum("cos").alias("whole"), F.count(F.lit(1)).alias("k")).where("k > 1")
+    own = F.expr("round(size * (whole * cos - 1) / sqrt(greatest(whole * whole - 2 * whole * cos + 1, 1e-12D)), 4)")
+    middle = rows.join(F.broadcast(whole), "lang").groupBy("lang", own.alias("own")).agg(F.count(F.lit(1)).alias("n")) \
+        .groupBy("lang").agg(F.expr("percentile(own, 0.5D, n)").alias("usual"))
     out = np.full(len(labels), -np.inf)
-    for k, lang in enumerate(labels):
-        if len(found[lang]) > 1:
-            cos, size = np.array(found[lang]).T
-            whole = cos.sum()  # length of the sum of unit vectors, as the prototype is its direction
-            rest = np.sqrt(np.maximum(whole * whole - 2 * whole * cos + 1, 1e-12))
-            out[k] = np.median(size * (whole * cos - 1) / rest)
+    for r in middle.collect():
+        out[labels.index(r["lang"])] = r["usual"]
     return out
 
 
