@@ -70,6 +70,23 @@ def test_shadows_permute_each_feature(spark):
     assert sum(tuple(s) in where for s in shadow) < 10  # not one permutation of whole rows
 
 
+def test_shadows_move_in_blocks(spark, monkeypatch):
+    """Cells move in buffers: no row a cell, and no table of all shadows on the driver."""
+    monkeypatch.setattr(ln, "BLOCK", 16)
+    monkeypatch.setattr(ln, "CELLS", 30)
+    ranked = ln.ranked_cells(_table(spark, 97), ["s", "n1", "n2"])
+    shadowed = ln.with_shadows(ranked, 97, 3, 5)
+    plan = shadowed._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" not in plan and "Broadcast" not in plan
+    rows = sorted(shadowed.collect(), key=lambda r: r["_rn"])
+    assert shadowed.columns == ["_rn", "c_level", "x", "shadow"] and [r["_rn"] for r in rows] == list(range(97))
+    for j in range(3):
+        at = {r["x"][j]: r["_rn"] for r in rows}
+        if len(at) == 97:  # a line through the rows: equal steps
+            came = [at[r["shadow"][j]] for r in rows]
+            assert len({(b - a) % 97 for a, b in zip(came, came[1:])}) == 1
+
+
 def test_shadow_selection_decides(spark):
     df = _table(spark, 300).checkpoint()
     params = ln.TreeParams(max_iter=5, step_size=0.3, max_depth=3)
