@@ -108,6 +108,27 @@ def test_cross_validate_and_encoder(spark):
     assert len(means) == 2 and max(means) > 0.9
 
 
+def test_cross_validate_assembles_once_and_fits_no_rest(spark, monkeypatch):
+    """Candidates of different weights share the assembled rows; a fit for each candidate and fold, no other."""
+    split = ln.stratify(_table(spark, 300), seed=5).where(~F.col("holdout")).checkpoint()
+    made = {"rows": 0, "fits": 0}
+    assemble, gbt = ln.assemble, ln.gbt
+
+    def counted(key, f):
+        def g(*a, **k):
+            made[key] += 1
+            return f(*a, **k)
+        return g
+
+    monkeypatch.setattr(ln, "assemble", counted("rows", assemble))
+    monkeypatch.setattr(ln, "gbt", counted("fits", gbt))
+    cands = [ln.TreeParams(max_iter=2, max_depth=2, pos_weight=w) for w in (1, 3)]
+    _, means = ln.cross_validate(split, ["s", "n1"], cands, folds=5)
+    assert made == {"rows": 1, "fits": 10} and len(means) == 2
+    with pytest.raises(ValueError, match="folds"):
+        ln.cross_validate(split.where("fold <> 2"), ["s", "n1"], cands, folds=5)
+
+
 def test_binomial_bounds():
     lo, hi = ln.binomial_bounds(100)
     assert lo < 50 < hi and lo >= 35 and hi <= 65
