@@ -32,6 +32,14 @@ def _cleaned(spark):
     return clean_views(_views(spark))
 
 
+def test_sums_names_and_pivot_share_one_exchange(spark):
+    """Rows a category and a feature are made after the exchange by visitor, and meet where they are."""
+    cleaned = _cleaned(spark)
+    wide = fe.pivot_long(fe.long_features(fe.prepare(cleaned, fe.Vocabulary.build(cleaned))), [(0, "rf_a")])
+    plan = _plan(wide)
+    assert "Generate" in plan and "Exchange" not in plan[:plan.rindex("Generate")]
+
+
 def test_features_use_hash_aggregates_and_no_raw_shuffle(spark):
     cleaned = _cleaned(spark)
     long = fe.long_features(fe.prepare(cleaned, fe.Vocabulary.build(cleaned)))
