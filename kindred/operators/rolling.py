@@ -43,6 +43,13 @@ def _day(d) -> dt.date:
     return d if isinstance(d, dt.date) else dt.date.fromisoformat(d)
 
 
+PARTS = 16   # files of a day's partial: so many tasks write it
+
+
+def _part():
+    return F.pmod(F.xxhash64(V), F.lit(PARTS)).cast("int")
+
+
 def day_states(views: DataFrame, cfg: fe.FeatureConfig = fe.FeatureConfig()) -> dict[str, DataFrame]:
     """The four partial tables of joined page-view rows, with the column
     ``day``. Rows without a date are in no window and left out."""
@@ -63,10 +70,12 @@ def day_states(views: DataFrame, cfg: fe.FeatureConfig = fe.FeatureConfig()) ->
                       entry("day_name", day_name(F.col("day"))), entry("day_of_month", F.dayofmonth("day")),
                       F.when(F.col("home"), entry(AWAY, F.col("away"))).otherwise(entry("business_hours", F.col("away"))),
                       F.when(F.col("home"), entry(AT_HOME, F.col("local"))))
-    cats = own.select("day", V, "n", "views", "time", F.explode(entries).alias("e")) \
+    # Combinations move once, before they are taken apart by column.
+    cats = own.withColumn("part", _part()).repartition("day", "part") \
+        .select("day", "part", V, "n", "views", "time", F.explode(entries).alias("e")) \
         .where(F.col("e").isNotNull() & (F.col("e.raw").isNotNull() | F.col("e.column").isin(*cfg.collapse_columns))) \
-        .groupBy("day", V, F.col("e.column").alias("column"), F.col("e.raw").alias("raw")) \
-        .agg(F.sum("n").alias("n"), F.sum("views").alias("views"), F.sum("time").alias("time"))
+        .groupBy("day", "part", V, F.col("e.column").alias("column"), F.col("e.raw").alias("raw")) \
+        .agg(F.sum("n").alias("n"), F.sum("views").alias("views"), F.sum("time").alias("time")).drop("part")
     known = rows.where(F.col(V).isNotNull())
     count = F.count(F.lit(1)).alias("n")
     return {
@@ -81,7 +90,9 @@ def write_days(views: DataFrame, root: str, cfg: fe.FeatureConfig = fe.FeatureCo
     """Stores the partials of all days in ``views`` under ``root``, replacing
     those days: give a day's rows whole. A repeated run changes nothing."""
     for name, df in day_states(views, cfg).items():
-        df.repartition("day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        if name != "cats":  # those are by day and part of the visitors already
+            df = df.repartition("day", F.pmod(F.xxhash64(KEYS[name][0]), F.lit(PARTS)))
+        df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
             .partitionBy("day").parquet(os.path.join(root, "days", name))
 
 

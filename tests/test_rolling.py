@@ -56,6 +56,12 @@ def differs(spark, root, views, window, cfg):
     return a.exceptAll(b).count() + b.exceptAll(a).count()
 
 
+def test_day_partials_move_combinations(spark, views):
+    """Categories are taken apart after the last exchange, by day and part of the visitors."""
+    plan = ro.day_states(views, CFG)["cats"]._jdf.queryExecution().executedPlan().toString()
+    assert "Generate" in plan and "Exchange" not in plan[:plan.index("Generate")]
+
+
 def test_moves_equal_features_built_anew(spark, views, root):
     steps = [span(2, 9), span(5, 12), span(0, 12), span(3, 6)]  # forwards, longer backwards, shorter
     ro.open_window(spark, root, *steps[0])
