@@ -166,3 +166,20 @@ def test_checkpoint_folder_must_be_shared_on_a_cluster(monkeypatch):
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         session.checkpoint_dir(Session())
+
+
+def test_training_reads_all_labelled_rows(spark, monkeypatch):
+    """More than a million labelled rows are all split into folds and hold-out."""
+    class Stop(Exception):
+        pass
+
+    def split(df, **_):
+        raise Stop(df.count(), df.agg(F.sum("visitor_id")).first()[0])
+
+    n = 1_000_500
+    monkeypatch.setattr(ln, "stratify", split)
+    rows = spark.range(n).select(F.col("id").alias("visitor_id"), F.lit(None).cast("string").alias("management_level"),
+                                 F.lit("x").alias("cat"), (F.col("id") % 2).cast("int").alias("c_level"))
+    with pytest.raises(Stop) as seen:
+        st.train(rows)
+    assert seen.value.args == (n, n * (n - 1) // 2)
