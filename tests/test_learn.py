@@ -3,11 +3,13 @@
 import os
 import tempfile
 
+import numpy as np
 import pytest
 from pyspark.ml import PipelineModel
 from pyspark.sql import functions as F
 
 from kindred.operators import learn as ln
+from kindred.operators import trees as tr
 from kindred.plans import stages as st
 
 
@@ -183,3 +185,83 @@ def test_training_reads_all_labelled_rows(spark, monkeypatch):
     with pytest.raises(Stop) as seen:
         st.train(rows)
     assert seen.value.args == (n, n * (n - 1) // 2)
+
+
+def _rare(spark, n, names):
+    """Each feature is 1 in one row of its own, and those rows are positive."""
+    at = {f: (7919 * (j + 1)) % n for j, f in enumerate(names)}
+    rows = spark.range(n).select(F.col("id").alias("visitor_id"), *[(F.col("id") == k).cast("double").alias(f) for f, k in at.items()])
+    return rows.withColumn("c_level", F.col("visitor_id").isin(*at.values()).cast("int"))
+
+
+def test_trees_split_at_values_of_one_row(spark):
+    """Splits are looked for in every row, also where there are more than Spark ML looks at."""
+    names = [f"f{j}" for j in range(8)]
+    df = _rare(spark, 40_000, names).checkpoint()
+    params = ln.TreeParams(max_iter=1, max_depth=9, step_size=1.0)
+    model = ln.fit_model(df, names, params)
+    assert {f for p in tr.leaves(model) for f, *_ in p.conditions} == set(range(8))
+    scored = ln.score(df, names, model, ln.calibrate(model, df, names), carry=("c_level",))
+    assert scored.where("predicted <> c_level").count() == 0 and scored.where("predicted = 1").count() == 8
+    folds = df.withColumn("fold", F.when(F.col("c_level") == 1, 0).otherwise(F.col("visitor_id") % 2).cast("int"))
+    met = []
+    plain = ln.gbt
+    try:
+        ln.gbt = lambda *a, **k: met.append(k["max_bins"]) or plain(*a, **k)
+        ln.cross_validate(folds, names, [params], folds=2)
+        ln.shadow_selection(df, names, ln.TreeParams(max_iter=1, max_depth=2), trials=10)
+    finally:
+        ln.gbt = plain
+    assert len(met) == 12 and min(met) ** 2 >= 40_000
+
+
+def _odd_table(spark, n=3000):
+    h = lambda salt, k: F.abs(F.xxhash64(F.col("id"), F.lit(salt))) % k
+    return spark.range(n).select(
+        F.col("id").alias("visitor_id"), (h("a", 100_003) / 7.0).alias("many"), F.when(h("b", 10) == 0, h("c", 500) - 250).otherwise(0).cast("double").alias("mostly 0"),
+        h("d", 32).cast("double").alias("as many as bins"), h("e", 33).cast("double").alias("one more"), F.lit(3.5).alias("one"),
+        (h("f", 2) * F.lit(float("inf")) * F.when(h("g", 2) == 0, -1).otherwise(1)).alias("odd"), F.lit(float("nan")).alias("none"),
+    ).withColumn("c_level", ((F.col("many") > 5000) == (F.col("mostly 0") > 20)).cast("int"))
+
+
+def test_cut_points_are_those_of_spark_for_all_rows(spark, monkeypatch):
+    df = _odd_table(spark).repartition(5).checkpoint()
+    names = ["many", "mostly 0", "as many as bins", "one more", "one"]
+    params = ln.TreeParams(max_iter=6, max_depth=5, step_size=0.3)
+    own = ln.fit_model(df, names, params)
+    monkeypatch.setattr(ln, "SEEN", 10)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "97")  # values go on from batch to batch
+    try:
+        cuts = ln.cut_points(df, names)
+        model = ln.fit_model(df, names, params, cuts=cuts)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert cuts.max_bins ** 2 >= 3000 and [len(p) for p in cuts.of(names)][2:] == [31, 32 - 1, 0]
+    tree = lambda m: [(p.tree, p.leaf, p.value, p.conditions) for p in tr.leaves(m)]
+    assert tree(model) == tree(own) and model.treeWeights == own.treeWeights
+    assert model.featureImportances == own.featureImportances
+
+
+def test_cut_points_of_odd_values(spark, monkeypatch):
+    """Infinite values stand apart, NaN is above all cuts; no value, no cut."""
+    monkeypatch.setattr(ln, "SEEN", 0)
+    df = _odd_table(spark, 200).checkpoint()
+    cuts = ln.cut_points(df, ["odd", "none", "one"])
+    assert cuts.of(["none", "one"])[0].size == cuts.of(["none", "one"])[1].size == 0
+    rows = df.select(F.array("odd", "none").alias("x"), "odd")
+    bins = {(str(r["odd"]), *r["x"]) for r in ln.binned(rows, "x", cuts.of(["odd", "none"])).collect()}
+    values = sorted({r["odd"] for r in df.select("odd").collect() if not np.isnan(r["odd"])})
+    assert {b for b in bins if b[0] != "nan"} == {(str(v), float(i), 0.0) for i, v in enumerate(values)}
+    assert all(b[1] == len(cuts.places["odd"]) for b in bins if b[0] == "nan")
+    assert ln.cut_points(df.limit(0), ["odd"]).places is None
+
+
+def test_walk_takes_values_in_parts():
+    """The cuts do not depend on how values and their counts are cut into parts."""
+    rng = np.random.default_rng(3)
+    v = np.sort(np.round(rng.exponential(40, 5000)))
+    whole, parts = ln._Walk(len(v) / 32), ln._Walk(len(v) / 32)
+    whole.add(v, np.ones(len(v), dtype=int))
+    for part in np.split(v, [1, 2, 50, 51, 1700]):
+        parts.add(part, np.ones(len(part), dtype=int))
+    assert parts.end() == whole.end() and 8 < len(whole.cuts) <= 31
